@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymark.functions import difference
-from daymark.operators.hotkeys import ROWS_PER_TASK, spread_left_join
+from daymark.operators.hotkeys import ROWS_PER_TASK, heavy_keys, hot_keys, spread_left_join
 from daymark.operators.small import broadcast_if_small
 from daymark.schemas import DATE_COL, KEYS
 
@@ -72,5 +72,18 @@ def compare_all_dates(
         F.col("qt_teorica").alias("_qt_before"),
         F.col("pc_participacao").alias("_pc_before"),
     )
-    joined = spread_left_join(now, before, ("dt_d2", *KEYS), rows_per_task)
+    # Both sides are the same rows, so one pass finds the heavy keys of both: a date's
+    # keys are right keys under that date and left keys under the date it is paired with.
+    (heavy,) = heavy_keys([df], (DATE_COL, *KEYS), rows_per_task)
+    earlier = {}
+    if heavy.counts:
+        hot_dates = sorted({date for date, *_ in heavy.counts})
+        earlier = dict(pairs.where(F.col(DATE_COL).isin(hot_dates)).collect())
+    now_counts = {
+        (earlier[date], *key): n for (date, *key), n in heavy.counts.items() if earlier.get(date)
+    }
+    hot = hot_keys(
+        before, ("dt_d2", *KEYS), now_counts, heavy.counts, heavy.nulls, rows_per_task
+    )
+    joined = spread_left_join(now, before, ("dt_d2", *KEYS), rows_per_task, hot)
     return _with_differences(joined, *KEYS, DATE_COL, "dt_d2")

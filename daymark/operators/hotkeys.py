@@ -6,7 +6,8 @@ when one key's right rows, or identical copies of one row, are too many for a ta
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -14,70 +15,109 @@ from pyspark.sql import functions as F
 
 # A key with more rows than this on one side is split into pieces of this size.
 ROWS_PER_TASK = 1_000_000
-# Only keys above this fraction of a side's rows are split, so at most as many
-# keys as its inverse can be hot. The sketch error (3.5 / TRACKED) is below it.
-SHARE = 1 / 1000
+# Only keys above this fraction of a side's rows are split, so a side has at most
+# as many hot keys as its inverse.
+MAX_HOT = 1000
+# The error of a sketch is 3.5 / TRACKED of the rows, below 1 / MAX_HOT.
 TRACKED = 8192
 SLOTS = 64
 
 
+class Heavy(NamedTuple):
+    """Row counts of a frame's heavy keys, and whether rows with null keys are many."""
+
+    counts: dict[tuple, int]
+    nulls: bool
+
+
 class HotKeys(NamedTuple):
-    """``frame`` has ``_key, _left_splits, _right_splits`` per hot key, or is None."""
+    """``frame`` has the keys, ``_left_splits`` and ``_right_splits``; None if no key is hot."""
 
     frame: DataFrame | None
-    null_rows: bool
+    nulls: bool
 
 
-def _key_text(keys: Sequence[str]) -> Column:
-    """An unambiguous text for a key; null if any part is null, as such keys match nothing."""
-    known = F.lit(True)
-    for key in keys:
-        known = known & F.col(key).isNotNull()
-    return F.when(known, F.to_json(F.struct(*keys)))
+def _key_hash(keys: Sequence[str]) -> Column:
+    """A hash of the keys; null if any of them is null, as such keys match nothing."""
+    known = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
+    return F.when(known, F.xxhash64(*keys))
 
 
-def _heavy(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> dict[str | None, int]:
-    """Row counts of the keys above the threshold, from a sketch: no row is shuffled.
+def heavy_keys(
+    frames: Sequence[DataFrame], keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> list[Heavy]:
+    """The heavy keys of each frame, in one pass over the key columns of all.
 
-    Sketches are merged in two steps, so that no task reads one from every task.
+    Each task sketches its key hashes and only sketches are shuffled, in two steps so
+    that no task merges one from every task. Only if that finds something are the
+    rows of those hashes counted, exactly. At most ``MAX_HOT`` rows per frame and
+    step reach the driver: no more keys than that can be above the threshold.
     """
-    merged = (
-        df.select(
-            _key_text(keys).alias("_key"), (F.spark_partition_id() % SLOTS).alias("_slot")
-        )
-        .groupBy("_slot")
+    hashes = reduce(
+        DataFrame.unionByName,
+        [
+            df.select(
+                F.lit(side).alias("_side"),
+                _key_hash(keys).alias("_hash"),
+                (F.spark_partition_id() % SLOTS).alias("_slot"),
+            )
+            for side, df in enumerate(frames)
+        ],
+    )
+    sketches = (
+        hashes.groupBy("_side", "_slot")
         .agg(
-            F.expr(f"approx_top_k_accumulate(_key, {TRACKED})").alias("_sketch"),
-            F.count("*").alias("_n"),
+            F.expr(f"approx_top_k_accumulate(_hash, {TRACKED})").alias("_sketch"),
+            F.count("*").alias("_rows"),
         )
-        .groupBy(F.lit("all"))  # combining no sketches at all is an error, no group is not
+        .groupBy("_side")
         .agg(
             F.expr(f"approx_top_k_combine(_sketch, {TRACKED})").alias("_sketch"),
-            F.sum("_n").alias("_n"),
+            F.sum("_rows").alias("_rows"),
         )
     )
-    top = round(1 / SHARE)
-    found = merged.select(
-        F.explode(F.expr(f"approx_top_k_estimate(_sketch, {top})")).alias("t"), "_n"
-    ).where(F.col("t.count") > F.greatest(F.lit(float(rows_per_task)), F.col("_n") * SHARE))
-    return {row.item: row["count"] for row in found.select("t.item", "t.count").collect()}
+    limit = F.greatest(F.lit(rows_per_task), F.floor(F.col("_rows") / MAX_HOT))
+    top = F.expr(f"approx_top_k_estimate(_sketch, {MAX_HOT})")
+    found = (
+        sketches.select("_side", limit.alias("limit"), F.explode(top).alias("top"))
+        .where("top.count > limit")
+        .select("_side", "limit", "top.item")
+        .collect()
+    )
+    result = []
+    for side, df in enumerate(frames):
+        mine = [row for row in found if row["_side"] == side]
+        wanted = [row["item"] for row in mine if row["item"] is not None]
+        counts = {}
+        if wanted:
+            counted = (
+                df.where(_key_hash(keys).isin(wanted))
+                .groupBy(*keys)
+                .agg(F.count("*").alias("_rows"))
+                .where(F.col("_rows") > mine[0]["limit"])
+            )
+            counts = {tuple(row)[:-1]: row["_rows"] for row in counted.collect()}
+        result.append(Heavy(counts, any(row["item"] is None for row in mine)))
+    return result
 
 
-def find_hot_keys(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+def hot_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    left: Mapping[tuple, int],
+    right: Mapping[tuple, int],
+    nulls: bool = False,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> HotKeys:
-    """The hot keys of either side; one pass over the key columns of each."""
-    n_left, n_right = _heavy(left, keys, rows_per_task), _heavy(right, keys, rows_per_task)
+    """How many pieces each heavy key is cut into on either side; ``df`` has the key types."""
     rows = [
-        (key, -(-n_left.get(key, 1) // rows_per_task), -(-n_right.get(key, 1) // rows_per_task))
-        for key in (n_left.keys() | n_right.keys()) - {None}
+        (*key, *(-(-side.get(key, 1) // rows_per_task) for side in (left, right)))
+        for key in left.keys() | right.keys()
     ]
-    frame = None
-    if rows:
-        frame = left.sparkSession.createDataFrame(
-            rows, "_key string, _left_splits long, _right_splits long"
-        )
-    return HotKeys(frame, None in n_left)
+    if not rows:
+        return HotKeys(None, nulls)
+    schema = df.select(*keys).schema.add("_left_splits", "long").add("_right_splits", "long")
+    return HotKeys(df.sparkSession.createDataFrame(rows, schema), nulls)
 
 
 def _pieces(df: DataFrame, own: str, other: str, own_axis: str, other_axis: str) -> DataFrame:
@@ -90,15 +130,16 @@ def _pieces(df: DataFrame, own: str, other: str, own_axis: str, other_axis: str)
     counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     parts = F.least("_copies", own)
     place = F.pmod(F.xxhash64(*df.columns), F.col(own)) + F.col("_part")
+    zero = F.lit(0).cast("long")
     return (
-        counted.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        counted.withColumn("_part", F.explode(F.sequence(zero, parts - 1)))
         .withColumn(own_axis, F.pmod(place, F.col(own)))
         .withColumn(
             "_copies",
             F.floor(F.col("_copies") / parts)
             + F.when(F.col("_part") < F.col("_copies") % parts, 1).otherwise(0),
         )
-        .withColumn(other_axis, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
+        .withColumn(other_axis, F.explode(F.sequence(zero, F.col(other) - 1)))
         .drop("_part")
     )
 
@@ -111,17 +152,18 @@ def _hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
     the row still appears with its partners.
     """
     rows = _pieces(left, "_left_splits", "_right_splits", "_x", "_y")
-    partners = _pieces(right, "_right_splits", "_left_splits", "_y", "_x").drop(
-        "_left_splits", "_right_splits"
+    partners = (
+        _pieces(right, "_right_splits", "_left_splits", "_y", "_x")
+        .drop("_left_splits", "_right_splits")
+        .withColumnRenamed("_copies", "_partner_copies")
     )
-    joined = rows.join(
-        partners.withColumnRenamed("_copies", "_partner_copies"), [*keys, "_x", "_y"], "left"
-    ).where(F.col("_partner_copies").isNotNull() | (F.col("_right_splits") == 1))
-    once = F.lit(1).cast("long")
-    return joined.withColumn("_again", F.explode(F.sequence(once, F.col("_copies")))).withColumn(
-        "_again",
-        F.explode(F.sequence(once, F.coalesce(F.col("_partner_copies"), once))),
+    joined = rows.join(partners, [*keys, "_x", "_y"], "left").where(
+        F.col("_partner_copies").isNotNull() | (F.col("_right_splits") == 1)
     )
+    once = F.lit(1).cast("long")
+    for copies in (F.col("_copies"), F.coalesce("_partner_copies", once)):
+        joined = joined.withColumn("_again", F.explode(F.sequence(once, copies)))
+    return joined
 
 
 def spread_left_join(
@@ -139,27 +181,19 @@ def spread_left_join(
     keys = list(keys)
     payload = [c for c in right.columns if c not in keys]
     out = [*left.columns, *payload]
-    hot = hot or find_hot_keys(left, right, keys, rows_per_task)
-    if hot.frame is None and not hot.null_rows:
-        return left.join(right, keys, "left").select(*out)
+    if hot is None:
+        of_left, of_right = heavy_keys([left, right], keys, rows_per_task)
+        hot = hot_keys(left, keys, of_left.counts, of_right.counts, of_left.nulls, rows_per_task)
 
-    left, right = (df.withColumn("_key", _key_text(keys)) for df in (left, right))
     branches = []
-    if hot.null_rows:
-        lone = left.where(F.col("_key").isNull())
-        for name in payload:
-            lone = lone.withColumn(name, F.lit(None).cast(right.schema[name].dataType))
-        branches.append(lone)
-        left = left.where(F.col("_key").isNotNull())
+    if hot.nulls:
+        matchless = _key_hash(keys).isNull()
+        empty = {c: F.lit(None).cast(right.schema[c].dataType) for c in payload}
+        branches.append(left.where(matchless).withColumns(empty))
+        left = left.where(~matchless)
     if hot.frame is not None:
         known = F.broadcast(hot.frame)
-        branches.append(
-            _hot_join(
-                left.join(known, "_key").drop("_key"), right.join(known, "_key").drop("_key"), keys
-            )
-        )
-        left, right = (df.join(known, "_key", "left_anti") for df in (left, right))
-    result = left.drop("_key").join(right.drop("_key"), keys, "left").select(*out)
-    for branch in branches:
-        result = result.unionByName(branch.select(*out))
-    return result
+        branches.append(_hot_join(left.join(known, keys), right.join(known, keys), keys))
+        left, right = (df.join(known, keys, "left_anti") for df in (left, right))
+    branches.append(left.join(right, keys, "left"))
+    return reduce(DataFrame.unionByName, [branch.select(*out) for branch in branches])

@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 
 from daymark.functions import cell_text
 
-INVISIBLE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+# What is never closed runs to the end of the page, as in a browser.
+INVISIBLE = (
+    r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+)
+NOT_BODY = r"(?is)<thead\b.*?(?:</thead\s*>|\z)|<tfoot\b.*?(?:</tfoot\s*>|\z)"
 PAGES_PER_BLOCK = 10_000
 
 
@@ -29,13 +33,10 @@ def _bodies(html: Column) -> Column:
     """Body sections of all tables; a table without any has what is not head or foot."""
 
     def of_table(table: Column) -> Column:
-        rest = F.regexp_replace(
-            table, r"(?is)<thead\b.*?</thead\s*>|<tfoot\b.*?</tfoot\s*>", ""
-        )
         return F.when(
             F.regexp_like(table, F.lit(r"(?i)<tbody[\s>]")),
             _all(table, _inner("tbody", r"<tfoot[\s>]", r"<tbody[\s>]")),
-        ).otherwise(F.array(rest))
+        ).otherwise(F.array(F.regexp_replace(table, NOT_BODY, "")))
 
     return F.flatten(F.transform(_all(html, _inner("table")), of_table))
 

@@ -17,23 +17,26 @@ def date_glob(root: str) -> str:
     return f"{root.rstrip('/')}/{DATE_COL}={EIGHT_DIGITS}"
 
 
-def is_missing_path(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+def is_absent(error: AnalysisException) -> bool:
+    """Whether a read failed because there is no directory, or no file in it."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def list_partitions(spark: SparkSession, root: str, strict: bool = False) -> DataFrame:
-    """The dates that have files, from the file listing alone: no file is opened."""
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(date_glob(root))
-        )
-    except AnalysisException as error:
-        if is_missing_path(error):
-            raise ValueError(f"no snapshot partitions under {root}") from error
-        raise
-    dates = files.select(partition_date("path", strict).alias(DATE_COL))
+    """The dates that have a directory.
+
+    One listing of the root, by the Hadoop file system the root belongs to: the
+    files of the dates are neither listed nor opened, and the driver sees one path
+    per date.
+    """
+    glob = spark._jvm.org.apache.hadoop.fs.Path(date_glob(root))
+    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
+    paths = [(status.getPath().toString(),) for status in found or () if status.isDirectory()]
+    if not paths:
+        raise ValueError(f"no snapshot partitions under {root}")
+    dates = spark.createDataFrame(paths, "path string").select(
+        partition_date("path", strict).alias(DATE_COL)
+    )
     return dates.where(F.col(DATE_COL).isNotNull()).distinct()
 
 

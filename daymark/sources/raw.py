@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from daymark.schemas import CAPTURE_COL, DATE_COL, HEADERS, RAW_SCHEMA
-from daymark.sources.partitions import EIGHT_DIGITS, date_glob, is_missing_path
+from daymark.sources.partitions import EIGHT_DIGITS, date_glob, is_absent
 
 FILE_SCHEMA = StructType([f for f in RAW_SCHEMA if f.name not in (CAPTURE_COL, DATE_COL)])
 
@@ -43,7 +43,7 @@ def read_snapshot_or_empty(spark: SparkSession, root: str, dt: str) -> DataFrame
         try:
             return read_snapshot(spark, root, dt)
         except AnalysisException as error:
-            if not is_missing_path(error):
+            if not is_absent(error):
                 raise
     return spark.createDataFrame([], RAW_SCHEMA)
 

@@ -1,0 +1,93 @@
+import pytest
+from pyspark.sql import functions as F
+
+from daymark import schemas
+from daymark.operators import (
+    apply_positional_schema,
+    conform,
+    preview,
+    refine,
+    rename_columns,
+)
+
+ENGLISH = [headers[1] for headers in schemas.HEADERS.values()]
+PORTUGUESE = [headers[0] for headers in schemas.HEADERS.values()]
+TYPED = ("A1", "Alfa", "ON", 1234, 1.5)
+
+
+def strings(spark, names, *rows):
+    return spark.createDataFrame(list(rows), ", ".join(f"`{n}` string" for n in names))
+
+
+@pytest.mark.parametrize("names", [ENGLISH, PORTUGUESE, list(schemas.HEADERS)])
+def test_refine_takes_either_dialect(spark, names):
+    df = refine(strings(spark, names, ("A1", "Alfa", "ON", "1.234", "1,5")))
+    assert df.columns == list(schemas.HEADERS)
+    assert [tuple(r) for r in df.collect()] == [TYPED]
+
+
+def test_refine_mixes_dialects_by_row(spark):
+    row = ("A1", "Alfa", "ON", "1.234", "1,5")
+    nothing = (None,) * 5
+    df = strings(spark, PORTUGUESE + ENGLISH, row + nothing, nothing + row)
+    assert [tuple(r) for r in refine(df).collect()] == [TYPED, TYPED]
+
+
+def test_refine_names_missing_columns(spark):
+    with pytest.raises(ValueError, match="Código / Code, Ação / Stock"):
+        refine(strings(spark, ["Tipo", "Qtde. Teórica", "Part. (%)"], ("ON", "1", "1")))
+
+
+def test_rename_skips_missing_and_keeps_order(spark):
+    df = strings(spark, ["extra", "Qtde. Teórica", "Código"], ("x", "1", "A1"))
+    assert rename_columns(df, schemas.RENAMES).columns == ["extra", "qt_teorica", "codigo"]
+
+
+def cells(spark, *rows):
+    return spark.createDataFrame([(i, list(r)) for i, r in enumerate(rows)], "i int, cells array<string>")
+
+
+def test_positional_schema_pads(spark):
+    df = apply_positional_schema(cells(spark, "abcde", "ab", ""), "cells", list("vwxyz"))
+    assert [tuple(r) for r in df.orderBy("i").collect()] == [
+        (0, "a", "b", "c", "d", "e"),
+        (1, "a", "b", None, None, None),
+        (2, None, None, None, None, None),
+    ]
+
+
+@pytest.mark.parametrize("widest", ["abcdef", "abcd"])
+def test_positional_schema_refuses_other_widths(spark, widest):
+    with pytest.raises(ValueError, match="5 columns expected"):
+        apply_positional_schema(cells(spark, widest, "ab"), "cells", list("vwxyz"))
+
+
+def test_positional_schema_takes_no_rows(spark):
+    assert apply_positional_schema(cells(spark).limit(0), "cells", list("vwxyz")).count() == 0
+
+
+def test_unchecked_positional_schema_fails_on_long_rows_when_read(spark):
+    df = apply_positional_schema(cells(spark, "abcdef"), "cells", list("vwxyz"), check=False)
+    with pytest.raises(Exception, match="5 columns expected, row has 6 cells"):
+        df.collect()
+
+
+def test_conform(spark):
+    df = spark.createDataFrame(
+        [("20240101", "A1", "Alfa", 1, 2.0, "gone")],
+        "dt_ptcm string, codigo string, acao string, diferenca_qt_teorica int, "
+        "diferenca_pc_participacao double, extra string",
+    )
+    out = conform(df, schemas.COMPARISON_SCHEMA, schemas.COMPARISON_RENAMES)
+    assert [(f.name, f.dataType) for f in out.schema] == [
+        (f.name, f.dataType) for f in schemas.COMPARISON_SCHEMA
+    ]
+    assert tuple(out.first()) == ("A1", "Alfa", "20240101", 1, 2.0)
+    with pytest.raises(ValueError, match="diff_qt_teorica"):
+        conform(df, schemas.COMPARISON_SCHEMA)
+
+
+def test_preview(spark):
+    df = spark.range(100).select((100 - F.col("id")).alias("x"))
+    assert [r.x for r in preview(df, 3, "x").collect()] == [1, 2, 3]
+    assert preview(df).count() == 5
