@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -21,6 +22,25 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(database)}{where}")
 
 
+def _bare(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
+def _is_registered(
+    spark: SparkSession, full: str, schema: StructType, path: str, partitions: Sequence[str]
+) -> bool:
+    """Whether the table exists with exactly this definition."""
+    if not spark.catalog.tableExists(full):
+        return False
+    if spark.catalog.getTable(full).tableType != "EXTERNAL":
+        raise ValueError(f"{full} exists and is not an external table")
+    columns = [(c.name, c.dataType, c.isPartition) for c in spark.catalog.listColumns(full)]
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {full}").where("col_name = 'Location'").first()
+    return _bare(details["data_type"]) == _bare(path) and columns == [
+        (f.name, f.dataType.simpleString(), f.name in partitions) for f in schema
+    ]
+
+
 def register_external(
     spark: SparkSession,
     database: str,
@@ -31,23 +51,25 @@ def register_external(
 ) -> None:
     """Create the table over existing files, or replace its definition; the files stay.
 
-    Replacing is a drop and a create, so a reader may find no table in between. A
-    managed table of that name is refused, because dropping it would delete its data.
+    An unchanged definition is kept with the partitions it has, so a daily run only
+    adds the new ones. Replacing is a drop and a create: a reader may find no table
+    in between. A managed table of that name is refused, because dropping it would
+    delete its data.
     """
     full = f"{_name(database)}.{_name(table)}"
-    if spark.catalog.tableExists(full):
-        if spark.catalog.getTable(full).tableType != "EXTERNAL":
-            raise ValueError(f"{database}.{table} exists and is not an external table")
-        spark.sql(f"DROP TABLE {full}")
-    columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in schema)
-    by = f" PARTITIONED BY ({', '.join(map(_name, partitions))})" if partitions else ""
-    spark.sql(f"CREATE TABLE {full} ({columns}) USING PARQUET{by} LOCATION {_text(path)}")
+    if _is_registered(spark, full, schema, path, partitions):
+        spark.catalog.refreshTable(full)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in schema)
+        by = f" PARTITIONED BY ({', '.join(map(_name, partitions))})" if partitions else ""
+        spark.sql(f"CREATE TABLE {full} ({columns}) USING PARQUET{by} LOCATION {_text(path)}")
     repair_partitions(spark, database, table, partitions)
 
 
 def repair_partitions(
     spark: SparkSession, database: str, table: str, partitions: Sequence[str]
 ) -> None:
-    """Register the partition directories found under the table; nothing to do without any."""
+    """Match the registered partitions to the directories; nothing to do without partitions."""
     if partitions:
-        spark.sql(f"MSCK REPAIR TABLE {_name(database)}.{_name(table)}")
+        spark.sql(f"MSCK REPAIR TABLE {_name(database)}.{_name(table)} SYNC PARTITIONS")

@@ -1,13 +1,31 @@
-from daymark.plans.backfill import compare_dates, refine_dates, summarise_dates
-from daymark.plans.jobs import capture, extract, load, run_latest, transform
+from daymark.plans.backfill import (
+    compare_dates,
+    refine_dates,
+    store_backfill,
+    summarise_dates,
+)
+from daymark.plans.jobs import (
+    capture,
+    extract,
+    load,
+    load_stored,
+    run_latest,
+    store_refined,
+    store_results,
+    transform,
+)
 
 __all__ = [
     "capture",
     "compare_dates",
     "extract",
     "load",
+    "load_stored",
     "refine_dates",
     "run_latest",
+    "store_backfill",
+    "store_refined",
+    "store_results",
     "summarise_dates",
     "transform",
 ]

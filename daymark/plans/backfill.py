@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from daymark import schemas
-from daymark.operators import compare_all_dates, latest_capture, refine, summarise
-from daymark.sources import list_partitions, read_snapshots
+from daymark.operators import compare_all_dates, conform, latest_capture, refine, summarise
+from daymark.sinks import write_partitioned
+from daymark.sources import list_partitions, read_refined, read_snapshots
 
 
 def refine_dates(spark: SparkSession, raw_root: str) -> DataFrame:
@@ -23,3 +24,20 @@ def compare_dates(spark: SparkSession, raw_root: str, back: int = 2) -> DataFram
     return compare_all_dates(
         refine_dates(spark, raw_root), list_partitions(spark, raw_root), back
     )
+
+
+def store_backfill(spark: SparkSession, raw_root: str, base: str, back: int = 2) -> None:
+    """Both results of all dates, written under ``base``, from raw rows parsed once."""
+    refined_path = f"{base}/refined/all"
+    write_partitioned(
+        refine_dates(spark, raw_root), refined_path, [schemas.DATE_COL], gather=False
+    )
+    refined = read_refined(spark, refined_path, schemas.REFINED_SCHEMA)
+    write_partitioned(
+        conform(summarise(refined), schemas.SUMMARY_SCHEMA), f"{base}/agrupamento"
+    )
+    write_partitioned(
+        compare_all_dates(refined, list_partitions(spark, raw_root), back),
+        f"{base}/comparacao_datas",
+        [schemas.DATE_COL],
+    )

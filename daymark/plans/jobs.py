@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from daymark import catalog, schemas
 from daymark.operators import (
@@ -11,26 +13,31 @@ from daymark.operators import (
     conform,
     html_table_rows,
     latest_capture,
+    observe_refined,
     refine,
     summarise,
 )
 from daymark.sinks import append_capture, replace_date, write_partitioned, write_refined
 from daymark.sources import latest_dates, read_refined, read_snapshot, read_snapshot_or_empty
 
+logger = logging.getLogger(__name__)
 
-def capture(pages: DataFrame, root: str, capture_ts: float, html_col: str = "html") -> None:
+def capture(
+    pages: DataFrame,
+    root: str,
+    capture_ts: float,
+    html_col: str = "html",
+    check: bool = True,
+) -> None:
     """Store the table rows of HTML pages as one capture.
 
-    ``pages`` may have ``dt_ptcm``; rows without cells are no data and are left out.
+    ``pages`` may have ``dt_ptcm``. ``check`` is that of ``apply_positional_schema``;
+    it reads the pages once more, before anything is written.
     """
     kept = [c for c in pages.columns if c in (schemas.DATE_COL, html_col)]
     rows = html_table_rows(pages.select(*kept), html_col).drop("row_pos")
     append_capture(
-        apply_positional_schema(
-            rows.where("size(cells) > 0"), "cells", schemas.CAPTURE_NAMES, check=False
-        ),
-        root,
-        capture_ts,
+        apply_positional_schema(rows, "cells", schemas.CAPTURE_NAMES, check), root, capture_ts
     )
 
 
@@ -82,19 +89,49 @@ def load(
     )
 
 
+def store_refined(
+    spark: SparkSession, raw_root: str, d0: str, d2: str, base: str
+) -> tuple[DataFrame, DataFrame]:
+    """``extract``, written under ``base`` and read back.
+
+    The summary and the comparison both need these rows: they are parsed once, and a
+    lost executor then costs a read, not a parse.
+    """
+    for name, df in zip(("d0", "d2"), extract(spark, raw_root, d0, d2)):
+        seen = Observation()
+        write_refined(observe_refined(df, seen), f"{base}/refined/{name}")
+        logger.info("refined %s: %s", name, seen.get)
+    return read_stored_refined(spark, base)
+
+
+def read_stored_refined(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    return tuple(
+        read_refined(spark, f"{base}/refined/{name}", schemas.REFINED_SCHEMA)
+        for name in ("d0", "d2")
+    )
+
+
+def store_results(spark: SparkSession, base: str) -> None:
+    """``transform`` of the stored refined rows, written under ``base``."""
+    summary, comparison = transform(*read_stored_refined(spark, base))
+    write_refined(summary, f"{base}/results/summary")
+    write_refined(comparison, f"{base}/results/comparison")
+
+
+def load_stored(
+    spark: SparkSession, base: str, database: str, replaced_date: str | None = None
+) -> None:
+    """``load`` of the stored results."""
+    summary, comparison = (
+        read_refined(spark, f"{base}/results/{name}") for name in ("summary", "comparison")
+    )
+    load(summary, comparison, base, database, replaced_date)
+
+
 def run_latest(
     spark: SparkSession, raw_root: str, base: str, database: str, back: int = 2
 ) -> tuple[str, str]:
-    """Extract, transform and load the newest date; returns the two dates used.
-
-    The refined rows are written once and read back: the summary and the comparison
-    both need them, and a lost executor then costs a read, not a parse.
-    """
+    """Extract, transform and load the newest date; returns the two dates used."""
     d0, d2 = latest_dates(spark, raw_root, back)
-    refined = []
-    for name, df in zip(("d0", "d2"), extract(spark, raw_root, d0, d2)):
-        path = f"{base.rstrip('/')}/refined/{name}"
-        write_refined(df, path)
-        refined.append(read_refined(spark, path, schemas.REFINED_SCHEMA))
-    load(*transform(*refined), base, database)
+    load(*transform(*store_refined(spark, raw_root, d0, d2, base)), base, database)
     return d0, d2

@@ -21,16 +21,20 @@ def _by_leaf(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partitions: Sequence[str] = SUMMARY_PARTITIONS
+    df: DataFrame,
+    path: str,
+    partitions: Sequence[str] = SUMMARY_PARTITIONS,
+    gather: bool = True,
 ) -> None:
     """Replace only the leaf partitions that ``df`` has rows for.
 
     A leaf that an earlier run wrote and ``df`` has no rows for stays; ``replace_date``
     removes such leaves. Null and empty partition values both read back as null.
+    Without ``gather`` there is no shuffle, for rows that are read leaf by leaf anyway.
     """
+    rows = _by_leaf(df, partitions) if gather else df
     (
-        _by_leaf(df, partitions)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from daymark.operators import refine
-from daymark.schemas import CAPTURE_COL, DATE_COL, RAW_SCHEMA
+from daymark.schemas import DATE_COL, RAW_SCHEMA
 from daymark.sources.partitions import date_glob
 
 # A file is new if it was not read before, however old it is.
@@ -24,7 +24,7 @@ def ingest_new_files(
 
     The checkpoint holds which files were read and the sink which batches were
     written, so a rerun adds nothing and a failed batch is not read twice from ``out``.
-    Parsing is narrow: no state, no shuffle.
+    Parsing is narrow: no state, no shuffle. All captures are kept, with their times.
     """
     files = (
         spark.readStream.schema(RAW_SCHEMA)
@@ -35,7 +35,6 @@ def ingest_new_files(
         files = files.option("maxFilesPerTrigger", max_files_per_batch)
     query = (
         refine(files.parquet(date_glob(landing)))
-        .drop(CAPTURE_COL)
         .writeStream.format("parquet")
         .partitionBy(DATE_COL)
         .option("checkpointLocation", checkpoint)

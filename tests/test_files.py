@@ -206,7 +206,17 @@ def test_capture_job(spark, tmp_path):
     path = f"{tmp_path}/raw"
     plans.capture(spark.createDataFrame([(page,)], "html string"), path, 1704110400.0)
     d0, _ = plans.extract(spark, path, "20240101", "")
-    assert bag(d0) == Counter([("A1", "Alfa", "ON", 1234, 1.5, "20240101")])
+    nothing = (None, None, None, None, None, "20240101")  # the row without cells
+    assert bag(d0) == Counter([("A1", "Alfa", "ON", 1234, 1.5, "20240101"), nothing])
+
+
+@pytest.mark.parametrize("n", [4, 6])
+def test_capture_job_refuses_tables_of_another_width(spark, tmp_path, n):
+    page = f"<table><tr>{'<td>x</td>' * n}</tr></table>"
+    pages = spark.createDataFrame([(page,)], "html string")
+    with pytest.raises(ValueError, match="5 columns expected"):
+        plans.capture(pages, f"{tmp_path}/raw", 1704110400.0)
+    assert not os.path.exists(f"{tmp_path}/raw")
 
 
 def test_extract_uses_the_newest_capture(spark, tmp_path):
@@ -257,6 +267,25 @@ def test_registered_tables_prune_and_list(spark, root, tmp_path):
     assert tuple(sources.pick_partitions(dates).first()) == ("20240106", "20240102")
 
 
+def test_changed_definition_replaces_the_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    sinks.write_partitioned(summary(spark, ("d1", "x", "A", 1)), path)
+    catalog.ensure_database(spark, "change_db")
+    register = lambda schema, where, by: catalog.register_external(
+        spark, "change_db", "t", schema, where, by
+    )
+    register(schemas.COMPARISON_SCHEMA, f"{tmp_path}/none", ())
+    for _ in range(2):
+        register(schemas.SUMMARY_SCHEMA, path, schemas.SUMMARY_PARTITIONS)
+        assert bag(spark.table("change_db.t")) == Counter([("A", 1, 1.0, 1, "d1", "x")])
+    sinks.write_partitioned(summary(spark, ("d2", "y", "B", 2)), path)
+    sinks.replace_date(summary(spark, ("d1", "z", "C", 3)), path, "d1")
+    register(schemas.SUMMARY_SCHEMA, path, schemas.SUMMARY_PARTITIONS)
+    assert bag(spark.table("change_db.t").select("dt_ptcm", "acao", "codigo")) == Counter(
+        [("d2", "y", "B"), ("d1", "z", "C")]
+    )
+
+
 def test_repair_skips_unpartitioned_and_managed_tables_are_safe(spark):
     catalog.ensure_database(spark, "managed_db")
     catalog.ensure_database(spark, "managed_db")
