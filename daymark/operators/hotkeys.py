@@ -21,6 +21,7 @@ MAX_HOT = 1000
 # The error of a sketch is 3.5 / TRACKED of the rows, below 1 / MAX_HOT.
 TRACKED = 8192
 SLOTS = 64
+MAX_HOT_TASKS = 20_000
 
 
 class Heavy(NamedTuple):
@@ -31,10 +32,14 @@ class Heavy(NamedTuple):
 
 
 class HotKeys(NamedTuple):
-    """``frame`` has the keys, ``_left_splits`` and ``_right_splits``; None if no key is hot."""
+    """``frame`` has the keys, ``_left_splits`` and ``_right_splits``; None if no key is hot.
+
+    ``cells`` is how many pairs of pieces they make.
+    """
 
     frame: DataFrame | None
     nulls: bool
+    cells: int = 0
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
@@ -116,8 +121,9 @@ def hot_keys(
     ]
     if not rows:
         return HotKeys(None, nulls)
+    cells = sum(row[-2] * row[-1] for row in rows)
     schema = df.select(*keys).schema.add("_left_splits", "long").add("_right_splits", "long")
-    return HotKeys(df.sparkSession.createDataFrame(rows, schema), nulls)
+    return HotKeys(df.sparkSession.createDataFrame(rows, schema), nulls, cells)
 
 
 def _pieces(df: DataFrame, own: str, other: str, own_axis: str, other_axis: str) -> DataFrame:
@@ -144,9 +150,12 @@ def _pieces(df: DataFrame, own: str, other: str, own_axis: str, other_axis: str)
     )
 
 
-def _hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str], cells: int) -> DataFrame:
     """Left join of the rows of hot keys; each left piece meets each right piece once.
 
+    There are as many tasks as cells, up to a bound: the few bytes of counted rows
+    would otherwise be coalesced into few tasks, though their pairs are many.
+
     A left row is repeated for every right piece of its key. Where there are several,
     the key has right rows, so a repetition that meets an empty piece is dropped and
     the row still appears with its partners.
@@ -157,7 +166,10 @@ def _hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
         .drop("_left_splits", "_right_splits")
         .withColumnRenamed("_copies", "_partner_copies")
     )
-    joined = rows.join(partners, [*keys, "_x", "_y"], "left").where(
+    by = [*keys, "_x", "_y"]
+    tasks = min(cells, MAX_HOT_TASKS)
+    joined = rows.repartition(tasks, *by).join(partners.repartition(tasks, *by), by, "left")
+    joined = joined.where(
         F.col("_partner_copies").isNotNull() | (F.col("_right_splits") == 1)
     )
     once = F.lit(1).cast("long")
@@ -193,7 +205,7 @@ def spread_left_join(
         left = left.where(~matchless)
     if hot.frame is not None:
         known = F.broadcast(hot.frame)
-        branches.append(_hot_join(left.join(known, keys), right.join(known, keys), keys))
+        branches.append(_hot_join(left.join(known, keys), right.join(known, keys), keys, hot.cells))
         left, right = (df.join(known, keys, "left_anti") for df in (left, right))
     branches.append(left.join(right, keys, "left"))
     return reduce(DataFrame.unionByName, [branch.select(*out) for branch in branches])

@@ -145,11 +145,12 @@ def test_compare_all_dates_beyond_the_broadcast_bound(spark, monkeypatch):
     assert bag(compare_all_dates(df, back=1)) == expected
 
 
-def test_pin_small(spark):
+def test_small_rows(spark):
     df = spark.range(10).where("id >= 0")
-    assert small.pin_small(df, 9) is None
-    assert small.pin_small(df, 10).count() == 10
+    assert small.small_rows(df, 9) is None
+    assert len(small.small_rows(df, 10)) == 10
     assert small.broadcast_if_small(df, 9) is df
+    assert small.broadcast_if_small(df, 10).count() == 10
 
 
 def test_summarise_nulls_and_overflow(spark):
@@ -168,13 +169,30 @@ def test_summarise_aggregates_before_the_shuffle(spark):
     assert steps == ["HashAggregate", "Exchange", "HashAggregate"]
 
 
-def test_latest_capture_keeps_ties_and_dates_without_capture_time(spark):
+def test_latest_capture_keeps_ties_and_dates_without_capture_time(spark, monkeypatch):
     rows = [("d1", 1.0, 1), ("d1", 2.0, 2), ("d1", 2.0, 3), ("d1", None, 4), ("d2", None, 5), (None, 1.0, 6)]
     df = spark.createDataFrame(rows, "dt_ptcm string, capture_ts double, i int")
     assert sorted(r.i for r in latest_capture(df).collect()) == [2, 3, 5, 6]
+    one = df.where("dt_ptcm = 'd1'")
+    assert sorted(r.i for r in latest_capture(one).collect()) == [2, 3]
+    none = df.where("capture_ts is null")
+    assert sorted(r.i for r in latest_capture(none).collect()) == [4, 5]
+    monkeypatch.setattr("daymark.operators.captures.small_rows", lambda d: None)
+    assert sorted(r.i for r in latest_capture(df).collect()) == [2, 3, 5, 6]
+
+
+def test_one_dates_newest_capture_is_a_scan_filter(spark, tmp_path):
+    spark.createDataFrame([("d1", 1.0, 1), ("d1", 2.0, 2)], "dt_ptcm string, capture_ts double, i int").write.parquet(
+        f"{tmp_path}/c"
+    )
+    df = latest_capture(spark.read.parquet(f"{tmp_path}/c"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(capture_ts,2.0)" in plan and "Join" not in plan
 
 
 def test_latest_capture_does_not_shuffle_the_rows(spark):
-    df = spark.range(100).selectExpr("'d1' dt_ptcm", "cast(id % 3 as double) capture_ts", "id")
+    df = spark.range(100).selectExpr(
+        "concat('d', id % 2) dt_ptcm", "cast(id % 3 as double) capture_ts", "id"
+    )
     plan = latest_capture(df)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,6 @@ from pyspark.sql import functions as F
 from daymark.schemas import CAPTURE_NAMES, DATE_COL, HEADERS
 
 PORTUGUESE = {name: headers[0] for name, headers in HEADERS.items()}
-RAW_COLUMNS = [*PORTUGUESE.values(), DATE_COL]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -78,11 +78,10 @@ def raw_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land(rows: DataFrame, root: str) -> str:
+def land(rows: DataFrame, root: str, headers: Sequence[str] = tuple(PORTUGUESE.values())) -> str:
     """Store raw rows the way captures arrive, one directory per date."""
-    rows.select(*map(_quoted, RAW_COLUMNS)).hint("rebalance", DATE_COL).write.mode(
-        "append"
-    ).partitionBy(DATE_COL).parquet(root)
+    raw = rows.select(*map(_quoted, headers), DATE_COL).hint("rebalance", DATE_COL)
+    raw.write.mode("append").partitionBy(DATE_COL).parquet(root)
     return root
 
 

@@ -17,6 +17,9 @@ dates AS (
 pick AS (SELECT dt_ptcm AS d0, dt_d2 AS d2 FROM dates ORDER BY dt_ptcm DESC LIMIT 1),
 d0 AS (SELECT * FROM snap WHERE dt_ptcm = (SELECT d0 FROM pick)),
 d2 AS (SELECT * FROM snap WHERE dt_ptcm = (SELECT d2 FROM pick)),
+edge AS (
+  SELECT CASE WHEN acao <> 'error' THEN codigo END AS codigo, acao, qt_teorica, pc_participacao, dt_ptcm
+  FROM snap),
 month_snap AS (
   SELECT 'P' || l_partkey AS codigo, l_returnflag AS acao,
          CAST(round(l_extendedprice) AS BIGINT) AS qt_teorica, l_discount AS pc_participacao,
@@ -62,6 +65,8 @@ SELECTS = {
     "read_snapshot": SNAP_NAMES + " WHERE dt_ptcm = '20240115'",
     "read_snapshot_missing": SNAP_NAMES,
     "list_partitions": "SELECT DISTINCT dt_ptcm FROM snap",
+    "list_table_partitions": "SELECT DISTINCT dt_ptcm FROM snap",
+    "read_mixed_headers": SNAP_ROWS,
     "pick_partitions": "SELECT d0, d2 FROM pick",
     "pick_partitions_few": "SELECT max(dt_ptcm) AS d0, '' AS d2 FROM snap",
     "refined_roundtrip": SNAP_ROWS,
@@ -118,6 +123,7 @@ SELECTS = {
         CROSS JOIN (VALUES (0), (1)) AS r(pos)""",
     "compare_snapshots": COMPARISON,
     "compare_spread": COMPARISON,
+    "compare_edge_rows": ALL_DATES.format(rows="edge", dates="dates"),
     "compare_no_d2": """
         SELECT codigo, acao, dt_ptcm, CAST(NULL AS BIGINT) AS diferenca_qt_teorica,
                CAST(NULL AS DOUBLE) AS diferenca_pc_participacao

@@ -72,6 +72,33 @@ def pick_partitions_few(spark, sf_dir):
     return sources.pick_partitions(raw_events(spark, sf_dir), back=36_500)
 
 
+def list_table_partitions(spark, sf_dir):
+    """The dates of a registered summary of all dates, from the catalog."""
+    database, path = new_database(), scratch(spark, "summary")
+    summary = plans.summarise_dates(spark, landed(spark, sf_dir))
+    sinks.write_partitioned(operators.conform(summary, schemas.SUMMARY_SCHEMA), path)
+    catalog.ensure_database(spark, database, scratch(spark, "database"))
+    catalog.register_external(
+        spark,
+        database,
+        schemas.SUMMARY_TABLE,
+        schemas.SUMMARY_SCHEMA,
+        path,
+        schemas.SUMMARY_PARTITIONS,
+    )
+    return sources.list_table_partitions(spark, f"{database}.{schemas.SUMMARY_TABLE}")
+
+
+def read_mixed_headers(spark, sf_dir):
+    """One root with files of both header dialects."""
+    root, rows = scratch(spark, "raw"), raw_events(spark, sf_dir)
+    english = dict(zip(PORTUGUESE.values(), schemas.CAPTURE_NAMES))
+    on = F.col(PORTUGUESE["tipo"]) == "ON"
+    land(rows.where(on), root)
+    land(operators.rename_columns(rows.where(~on), english), root, schemas.CAPTURE_NAMES)
+    return operators.refine(sources.read_snapshots(spark, root)).select(*REFINED)
+
+
 def refined_roundtrip(spark, sf_dir):
     path = scratch(spark, "refined")
     sinks.write_refined(refined_events(spark, sf_dir), path)
@@ -226,6 +253,13 @@ def compare_spread(spark, sf_dir):
     return rounded(operators.compare_snapshots(*newest_pair(spark, sf_dir), rows_per_task=1))
 
 
+def compare_edge_rows(spark, sf_dir):
+    """Null keys match nothing, repeated keys multiply, keys of the earlier date alone go."""
+    rows = refined_events(spark, sf_dir)
+    keyless = rows.withColumn("codigo", F.when(F.col("acao") != "error", F.col("codigo")))
+    return rounded(operators.compare_all_dates(keyless, rows_per_task=100))
+
+
 def compare_no_d2(spark, sf_dir):
     root = landed(spark, sf_dir)
     d0, _ = sources.latest_dates(spark, root)
@@ -352,6 +386,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         read_snapshot,
         read_snapshot_missing,
         list_partitions,
+        list_table_partitions,
+        read_mixed_headers,
         pick_partitions,
         pick_partitions_few,
         refined_roundtrip,
@@ -372,6 +408,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         html_pages_ordered,
         compare_snapshots,
         compare_spread,
+        compare_edge_rows,
         compare_no_d2,
         summarise_snapshot,
         conform_agrupamento,
