@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daymark import schemas
 from daymark.operators import compare_all_dates, conform, latest_capture, refine, summarise
-from daymark.sinks import write_partitioned
+from daymark.sinks import write_partitioned, write_refined
 from daymark.sources import list_partitions, read_refined, read_snapshots
 
 
@@ -27,17 +27,19 @@ def compare_dates(spark: SparkSession, raw_root: str, back: int = 2) -> DataFram
 
 
 def store_backfill(spark: SparkSession, raw_root: str, base: str, back: int = 2) -> None:
-    """Both results of all dates, written under ``base``, from raw rows parsed once."""
-    refined_path = f"{base}/refined/all"
-    write_partitioned(
-        refine_dates(spark, raw_root), refined_path, [schemas.DATE_COL], gather=False
-    )
+    """Both results of all dates, rebuilt under ``base``. Raw rows are parsed once."""
+    by_date = [schemas.DATE_COL]
+    refined_path, summary_path = f"{base}/refined/all", f"{base}/results/summary_all"
+    comparison_path = f"{base}/results/comparison_all"
+    # Stored rows are read date by date, so these are written without a shuffle.
+    write_partitioned(refine_dates(spark, raw_root), refined_path, by_date, False, True)
     refined = read_refined(spark, refined_path, schemas.REFINED_SCHEMA)
-    write_partitioned(
-        conform(summarise(refined), schemas.SUMMARY_SCHEMA), f"{base}/agrupamento"
-    )
-    write_partitioned(
-        compare_all_dates(refined, list_partitions(spark, raw_root), back),
-        f"{base}/comparacao_datas",
-        [schemas.DATE_COL],
+    write_refined(conform(summarise(refined), schemas.SUMMARY_SCHEMA), summary_path)
+    write_refined(
+        compare_all_dates(refined, list_partitions(spark, raw_root), back), comparison_path
     )
+    for stored, path, partitions in (
+        (summary_path, f"{base}/agrupamento", schemas.SUMMARY_PARTITIONS),
+        (comparison_path, f"{base}/comparacao_datas", by_date),
+    ):
+        write_partitioned(read_refined(spark, stored), path, partitions, whole=True)

@@ -61,6 +61,7 @@ def load(
 ) -> None:
     """Write both result tables under ``base`` and register them in ``database``.
 
+    The summary is read twice, to count its partitions and to write them.
     ``replaced_date`` also removes what an earlier run stored for that date and this
     one does not have.
     """
@@ -89,31 +90,21 @@ def load(
     )
 
 
-def store_refined(
-    spark: SparkSession, raw_root: str, d0: str, d2: str, base: str
-) -> tuple[DataFrame, DataFrame]:
-    """``extract``, written under ``base`` and read back.
-
-    The summary and the comparison both need these rows: they are parsed once, and a
-    lost executor then costs a read, not a parse.
-    """
+def store_refined(spark: SparkSession, raw_root: str, d0: str, d2: str, base: str) -> None:
+    """``extract``, written under ``base``."""
     for name, df in zip(("d0", "d2"), extract(spark, raw_root, d0, d2)):
         seen = Observation()
         write_refined(observe_refined(df, seen), f"{base}/refined/{name}")
         logger.info("refined %s: %s", name, seen.get)
-    return read_stored_refined(spark, base)
 
 
-def read_stored_refined(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    return tuple(
+def store_results(spark: SparkSession, base: str) -> None:
+    """``transform`` of the stored refined rows, written under ``base``."""
+    d0, d2 = (
         read_refined(spark, f"{base}/refined/{name}", schemas.REFINED_SCHEMA)
         for name in ("d0", "d2")
     )
-
-
-def store_results(spark: SparkSession, base: str) -> None:
-    """``transform`` of the stored refined rows, written under ``base``."""
-    summary, comparison = transform(*read_stored_refined(spark, base))
+    summary, comparison = transform(d0, d2)
     write_refined(summary, f"{base}/results/summary")
     write_refined(comparison, f"{base}/results/comparison")
 
@@ -131,7 +122,13 @@ def load_stored(
 def run_latest(
     spark: SparkSession, raw_root: str, base: str, database: str, back: int = 2
 ) -> tuple[str, str]:
-    """Extract, transform and load the newest date; returns the two dates used."""
+    """Extract, transform and load the newest date; returns the two dates used.
+
+    Each step stores what it made and the next one reads it, so nothing is computed
+    twice: the refined rows serve two results, and the load counts before it writes.
+    """
     d0, d2 = latest_dates(spark, raw_root, back)
-    load(*transform(*store_refined(spark, raw_root, d0, d2, base)), base, database)
+    store_refined(spark, raw_root, d0, d2, base)
+    store_results(spark, base)
+    load_stored(spark, base, database)
     return d0, d2

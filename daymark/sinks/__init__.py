@@ -1,3 +1,15 @@
-from daymark.sinks.files import append_capture, replace_date, write_partitioned, write_refined
+from daymark.sinks.files import (
+    append_capture,
+    gather_leaves,
+    replace_date,
+    write_partitioned,
+    write_refined,
+)
 
-__all__ = ["append_capture", "replace_date", "write_partitioned", "write_refined"]
+__all__ = [
+    "append_capture",
+    "gather_leaves",
+    "replace_date",
+    "write_partitioned",
+    "write_refined",
+]

@@ -3,21 +3,61 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from math import ceil
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daymark.operators.small import small_rows
 from daymark.schemas import CAPTURE_COL, DATE_COL, SUMMARY_PARTITIONS
 
+# A task opens one file after the other, so small leaves are limited by their number.
+LEAVES_PER_TASK = 16
+# A leaf with more rows than this is written by several tasks.
+ROWS_PER_TASK = 2_000_000
+
 
 def write_refined(df: DataFrame, path: str) -> None:
     """Replace the whole directory. An empty frame still leaves its schema there."""
     df.write.mode("overwrite").parquet(path)
 
 
-def _by_leaf(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Bring a leaf's rows together for few files, while adaptive execution splits large leaves."""
-    return df.hint("rebalance", *columns)
+def gather_leaves(
+    df: DataFrame,
+    partitions: Sequence[str],
+    leaves_per_task: int = LEAVES_PER_TASK,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Bring the rows of a leaf partition together, so that it gets few files.
+
+    The leaves are counted first, which reads the partition columns of ``df`` once
+    more: many small leaves need many tasks, however few bytes they hold, and a leaf
+    too large for one task is left to adaptive execution, which splits it by size.
+    """
+    columns = list(partitions)
+    leaves = df.groupBy(*columns).agg(F.count("*").alias("_rows"))
+    n, rows, largest = leaves.agg(F.count("*"), F.sum("_rows"), F.max("_rows")).first()
+    if not n:
+        return df
+    tasks = ceil(max(n / leaves_per_task, rows / rows_per_task))
+    if largest <= rows_per_task:
+        return df.repartition(tasks, *columns)
+    large = leaves.where(F.col("_rows") > rows_per_task).select(
+        *[F.col(c).alias(f"_large_{c}") for c in columns]
+    )
+    known = small_rows(large)
+    if known is None:
+        return df.hint("rebalance", *columns)
+    large = F.broadcast(df.sparkSession.createDataFrame(known, large.schema))
+    same = reduce(
+        Column.__and__, [F.col(c).eqNullSafe(F.col(f"_large_{c}")) for c in columns]
+    )
+    return (
+        df.join(large, same, "left_anti")
+        .repartition(tasks, *columns)
+        .unionByName(df.join(large, same, "left_semi").hint("rebalance", *columns))
+    )
 
 
 def write_partitioned(
@@ -25,17 +65,18 @@ def write_partitioned(
     path: str,
     partitions: Sequence[str] = SUMMARY_PARTITIONS,
     gather: bool = True,
+    whole: bool = False,
 ) -> None:
-    """Replace only the leaf partitions that ``df`` has rows for.
+    """Replace only the leaf partitions that ``df`` has rows for, or the ``whole`` table.
 
     A leaf that an earlier run wrote and ``df`` has no rows for stays; ``replace_date``
     removes such leaves. Null and empty partition values both read back as null.
     Without ``gather`` there is no shuffle, for rows that are read leaf by leaf anyway.
     """
-    rows = _by_leaf(df, partitions) if gather else df
+    rows = gather_leaves(df, partitions) if gather else df
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
     )
@@ -47,13 +88,7 @@ def replace_date(
     """Replace everything stored for one date by the rows ``df`` has for it."""
     date_col, *inner = partitions
     day = df.where(F.col(date_col) == dt).drop(date_col)
-    (
-        _by_leaf(day, inner)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*inner)
-        .parquet(f"{path.rstrip('/')}/{date_col}={dt}")
-    )
+    write_partitioned(day, f"{path.rstrip('/')}/{date_col}={dt}", inner, whole=True)
 
 
 def append_capture(df: DataFrame, root: str, capture_ts: float) -> None:
