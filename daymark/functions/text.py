@@ -31,9 +31,12 @@ def strip(col: Column | str) -> Column:
 
 def cell_text(markup: Column | str) -> Column:
     """Text of a flat HTML cell: white space collapsed, tags dropped, entities decoded."""
-    text = F.regexp_replace(markup, r"[ \t\r\n\f]+", " ")
-    text = F.regexp_replace(text, r"(?i) ?<br\s*/?> ?", "\n")
-    text = F.regexp_replace(text, r"<[^>]*>", "")
+    markup = F.col(markup) if isinstance(markup, str) else markup
+    # Single spaces are not matched, and most cells have neither tags nor entities.
+    text = F.regexp_replace(markup, r"[\t\r\n\f][ \t\r\n\f]*| [ \t\r\n\f]+", " ")
+    lines = F.regexp_replace(text, r"(?i) ?<br\s*/?> ?", "\n")
+    text = F.when(markup.contains("<"), F.regexp_replace(lines, r"<[^>]*>", "")).otherwise(text)
+    decoded = text
     for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return strip(text)
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return strip(F.when(markup.contains("&"), decoded).otherwise(text))

@@ -11,18 +11,28 @@ from pyspark.sql import functions as F
 
 from daymark.functions import cell_text
 
-# What is never closed runs to the end of the page, as in a browser.
-INVISIBLE = (
-    r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
-)
-NOT_BODY = r"(?is)<thead\b.*?(?:</thead\s*>|\z)|<tfoot\b.*?(?:</tfoot\s*>|\z)"
+
+def _until(*stops: str) -> str:
+    """Everything up to a "<" that begins one of the stops, or to the end of the text.
+
+    Possessive, so it takes one pass and no stack, however long the text is.
+    """
+    return rf"[^<]*+(?:<(?!{'|'.join(stops)})[^<]*+)*+"
+
+
+def _whole(*tags: str) -> str:
+    """Elements of these tags after their "<"; one never closed runs to the end, as in a browser."""
+    return "|".join(rf"{tag}\b{_until(rf'/{tag}')}(?:</{tag}[^>]*>|\z)" for tag in tags)
+
+
+INVISIBLE = rf"(?is)<(?:!--.*?(?:-->|\z)|{_whole('script', 'style')})"
+NOT_BODY = rf"(?is)<(?:{_whole('thead', 'tfoot')})"
 PAGES_PER_BLOCK = 10_000
 
 
 def _inner(tag: str, *ends: str) -> str:
     """Content of ``<tag ...>``, up to its end tag, one of ``ends``, or the end of the text."""
-    stops = "|".join([rf"</{tag}\s*>", *ends, r"\z"])
-    return rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)(?={stops})"
+    return rf"(?is)<{tag}(?:\s[^>]*)?>({_until(rf'/{tag}[\s>]', *ends)})"
 
 
 def _all(text: Column, pattern: str) -> Column:
@@ -35,7 +45,7 @@ def _bodies(html: Column) -> Column:
     def of_table(table: Column) -> Column:
         return F.when(
             F.regexp_like(table, F.lit(r"(?i)<tbody[\s>]")),
-            _all(table, _inner("tbody", r"<tfoot[\s>]", r"<tbody[\s>]")),
+            _all(table, _inner("tbody", r"tfoot[\s>]", r"tbody[\s>]")),
         ).otherwise(F.array(F.regexp_replace(table, NOT_BODY, "")))
 
     return F.flatten(F.transform(_all(html, _inner("table")), of_table))
@@ -54,9 +64,8 @@ def html_table_rows(
     heads and feet; turn it off for rows that are not in tables. The other columns
     of ``df`` are kept, the page text is not.
     """
-    row_end, cell_end = rf"<{row_tag}[\s>]", rf"<{cell_tag}[\s>]"
     visible = F.regexp_replace(html_col, INVISIBLE, "")
-    row = _inner(row_tag, row_end)
+    row, cell = (_inner(tag, rf"{tag}[\s>]") for tag in (row_tag, cell_tag))
     if bodies_only:
         rows = F.flatten(F.transform(_bodies(visible), lambda body: _all(body, row)))
     else:
@@ -66,7 +75,7 @@ def html_table_rows(
     return df.select(*kept, F.posexplode(rows).alias("row_pos", "_row")).select(
         *kept,
         "row_pos",
-        F.transform(_all(F.col("_row"), _inner(cell_tag, cell_end)), cell_text).alias("cells"),
+        F.transform(_all(F.col("_row"), cell), cell_text).alias("cells"),
     )
 
 

@@ -31,6 +31,8 @@ def rows(spark, html, **options):
         ("<script>'<table><tr><td>a</td></tr></table>'</script><table><tr><td>b</td></tr></table>", [["b"]]),
         ("<table><tbody><tr><td><b>1.234</b> &amp; x</td><td></td></tr></tbody></table>", [["1.234 & x", ""]]),
         ("<table><tbody><track><tr><tdx>a</tdx><td>b</td></tr></tbody></table>", [["b"]]),
+        ("<table><tr><td>a  \n b<br> c\t</td></tr></table>", [["a b\nc"]]),
+        ("<table><tr><td>a</td></tr><script>var t = '<tr>'", [["a"]]),
         ("<tr><td>outside</td></tr>", []),
         ("", []),
         (None, []),
@@ -51,6 +53,11 @@ def test_long_pages_are_read_to_the_end(spark):
     assert rows(spark, html) == [[str(i)] for i in range(n)]
 
 
+def test_long_cells_with_many_tags(spark):
+    html = f"<table><tr><td>{'<b>x</b> ' * 200_000}</td><td>y<!-- - -- --></td></tr></table>"
+    assert rows(spark, html) == [[("x " * 200_000).strip(), "y"]]
+
+
 def test_unclosed_comments_are_not_slow(spark):
     assert rows(spark, "<table><tr><td>a</td></tr></table>" + "<!-- x " * 200_000) == [["a"]]
 
