@@ -19,8 +19,8 @@ ROWS_PER_TASK = 1_000_000
 # as many hot keys as its inverse.
 MAX_HOT = 1000
 # The error of a sketch is 3.5 / TRACKED of the rows, below 1 / MAX_HOT.
-TRACKED = 8192
-SLOTS = 64
+TRACKED = 4096
+SLOTS = 256
 MAX_HOT_TASKS = 20_000
 
 

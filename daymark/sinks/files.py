@@ -13,7 +13,7 @@ from daymark.operators.small import small_rows
 from daymark.schemas import CAPTURE_COL, DATE_COL, SUMMARY_PARTITIONS
 
 # A task opens one file after the other, so small leaves are limited by their number.
-LEAVES_PER_TASK = 16
+LEAVES_PER_TASK = 32
 # A leaf with more rows than this is written by several tasks.
 ROWS_PER_TASK = 2_000_000
 

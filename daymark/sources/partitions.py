@@ -37,7 +37,7 @@ def list_partitions(spark: SparkSession, root: str, strict: bool = False) -> Dat
     dates = spark.createDataFrame(paths, "path string").select(
         partition_date("path", strict).alias(DATE_COL)
     )
-    return dates.where(F.col(DATE_COL).isNotNull()).distinct()
+    return dates.where(F.col(DATE_COL).isNotNull())
 
 
 def list_table_partitions(spark: SparkSession, table: str, strict: bool = False) -> DataFrame:

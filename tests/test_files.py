@@ -169,24 +169,33 @@ def test_write_partitioned_replaces_only_its_leaves(spark, tmp_path):
     assert len(untouched) == 2 and untouched.items() <= files(path).items()
 
 
-@pytest.mark.parametrize("rows_per_task", [1000, 50])
+@pytest.mark.parametrize("rows_per_task", [100_000, 500])
 def test_gathering_leaves(spark, tmp_path, rows_per_task):
-    """39 leaves of 20 rows, of them one null, and one with half of all rows."""
-    rows = spark.range(1560).select(
-        F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 78 > 1, F.concat(F.lit("a"), F.col("id") % 78)).alias("acao"),
+    """39 leaves of 200 rows, of them one null, and one with half of all rows."""
+    place = F.col("id") % 78
+    rows = spark.range(15_600).select(
+        F.when(place % 2 == 0, "hot").when(place > 1, F.concat(F.lit("a"), place)).alias("acao"),
         F.lit("d1").alias("dt_ptcm"),
         "id",
     )
     by = ("dt_ptcm", "acao")
     gathered = sinks.gather_leaves(rows, by, leaves_per_task=4, rows_per_task=rows_per_task)
-    sinks.write_partitioned(gathered, f"{tmp_path}/t", by, gather=False)
-    assert bag(spark.read.parquet(f"{tmp_path}/t").select("id", "acao", "dt_ptcm")) == bag(rows.select("id", "acao", "dt_ptcm"))
-    per_leaf = Counter(os.path.dirname(f) for f in files(f"{tmp_path}/t"))
-    assert len(per_leaf) == 40
-    assert all(n == 1 for leaf, n in per_leaf.items() if not leaf.endswith("hot"))
-    plan = gathered._jdf.queryExecution().optimizedPlan().toString()
-    assert ("RebalancePartitions" in plan) == (rows_per_task == 50)
-    assert sinks.gather_leaves(rows.limit(0), by).count() == 0
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        sinks.write_partitioned(gathered, f"{tmp_path}/t", by, gather=False)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored_rows = spark.read.parquet(f"{tmp_path}/t").select(*rows.columns)
+    assert bag(stored_rows) == bag(rows)
+    per_leaf = Counter(os.path.basename(os.path.dirname(f)) for f in files(f"{tmp_path}/t"))
+    hot = per_leaf.pop("acao=hot")
+    assert len(per_leaf) == 39 and set(per_leaf.values()) == {1}
+    assert (hot > 3) == (rows_per_task == 500)
+
+
+def test_gathering_nothing(spark):
+    empty = spark.createDataFrame([], schemas.SUMMARY_SCHEMA)
+    assert sinks.gather_leaves(empty, schemas.SUMMARY_PARTITIONS).count() == 0
 
 
 def test_replace_date_removes_the_rest_of_the_date(spark, tmp_path):
