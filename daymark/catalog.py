@@ -48,22 +48,28 @@ def register_external(
     schema: StructType,
     path: str,
     partitions: Sequence[str] = (),
+    added: Sequence[tuple] | None = None,
 ) -> None:
     """Create the table over existing files, or replace its definition; the files stay.
 
-    An unchanged definition is kept with the partitions it has, so a daily run only
-    adds the new ones. Replacing is a drop and a create: a reader may find no table
-    in between. A managed table of that name is refused, because dropping it would
-    delete its data.
+    An unchanged definition is kept with the partitions it has. If ``added`` lists the
+    partition values that were written since, only those are registered then;
+    otherwise all partition directories are looked up. Replacing is a drop and a
+    create: a reader may find no table in between. A managed table of that name is
+    refused, because dropping it would delete its data.
     """
     full = f"{_name(database)}.{_name(table)}"
     if _is_registered(spark, full, schema, path, partitions):
+        if added is not None:
+            add_partitions(spark, database, table, partitions, added)
+        else:
+            repair_partitions(spark, database, table, partitions)
         spark.catalog.refreshTable(full)
-    else:
-        spark.sql(f"DROP TABLE IF EXISTS {full}")
-        columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in schema)
-        by = f" PARTITIONED BY ({', '.join(map(_name, partitions))})" if partitions else ""
-        spark.sql(f"CREATE TABLE {full} ({columns}) USING PARQUET{by} LOCATION {_text(path)}")
+        return
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in schema)
+    by = f" PARTITIONED BY ({', '.join(map(_name, partitions))})" if partitions else ""
+    spark.sql(f"CREATE TABLE {full} ({columns}) USING PARQUET{by} LOCATION {_text(path)}")
     repair_partitions(spark, database, table, partitions)
 
 
@@ -73,3 +79,24 @@ def repair_partitions(
     """Match the registered partitions to the directories; nothing to do without partitions."""
     if partitions:
         spark.sql(f"MSCK REPAIR TABLE {_name(database)}.{_name(table)} SYNC PARTITIONS")
+
+
+def _partition(partitions: Sequence[str], values: Sequence[str | None]) -> str:
+    """A partition of string columns; empty text is stored as null."""
+    pairs = [f"{_name(c)} = {_text(v) if v else 'null'}" for c, v in zip(partitions, values)]
+    return f"PARTITION ({', '.join(pairs)})"
+
+
+def add_partitions(
+    spark: SparkSession,
+    database: str,
+    table: str,
+    partitions: Sequence[str],
+    values: Sequence[tuple],
+    per_statement: int = 500,
+) -> None:
+    """Register partitions by their values, known ones included, without a look at the files."""
+    found = sorted({_partition(partitions, v) for v in values})
+    for start in range(0, len(found), per_statement):
+        batch = " ".join(found[start : start + per_statement])
+        spark.sql(f"ALTER TABLE {_name(database)}.{_name(table)} ADD IF NOT EXISTS {batch}")

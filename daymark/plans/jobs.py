@@ -71,8 +71,9 @@ def load(
     rows = conform(summary, schemas.SUMMARY_SCHEMA)
     if replaced_date:
         replace_date(rows, summary_path, replaced_date)
+        added = None  # and leaves may be gone, which a repair finds
     else:
-        write_partitioned(rows, summary_path)
+        added = write_partitioned(rows, summary_path)
     write_refined(
         conform(comparison, schemas.COMPARISON_SCHEMA, schemas.COMPARISON_RENAMES), comparison_path
     )
@@ -84,6 +85,7 @@ def load(
         schemas.SUMMARY_SCHEMA,
         summary_path,
         schemas.SUMMARY_PARTITIONS,
+        added,
     )
     catalog.register_external(
         spark, database, schemas.COMPARISON_TABLE, schemas.COMPARISON_SCHEMA, comparison_path

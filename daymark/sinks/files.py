@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 from math import ceil
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from daymark.schemas import CAPTURE_COL, DATE_COL, SUMMARY_PARTITIONS
 LEAVES_PER_TASK = 32
 # A leaf with more rows than this is written by several tasks.
 ROWS_PER_TASK = 2_000_000
+FEW_LEAVES = 10_000
 
 
 def write_refined(df: DataFrame, path: str) -> None:
@@ -23,28 +25,50 @@ def write_refined(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+class Leaves(NamedTuple):
+    """How many leaf partitions rows have, and their values if they are few."""
+
+    number: int
+    rows: int
+    largest: int
+    values: list[tuple] | None
+
+
+def count_leaves(df: DataFrame, partitions: Sequence[str]) -> Leaves:
+    """Reads only the partition columns; a leaf leaves each task as one row."""
+    leaves = df.groupBy(*partitions).agg(F.count("*").alias("_rows"))
+    few = small_rows(leaves, FEW_LEAVES)
+    if few is None:
+        stats = leaves.agg(F.count("*"), F.sum("_rows"), F.max("_rows")).first()
+        return Leaves(*stats, None)
+    counts = [row["_rows"] for row in few]
+    return Leaves(len(few), sum(counts), max(counts, default=0), [tuple(r)[:-1] for r in few])
+
+
 def gather_leaves(
     df: DataFrame,
     partitions: Sequence[str],
+    leaves: Leaves | None = None,
     leaves_per_task: int = LEAVES_PER_TASK,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Bring the rows of a leaf partition together, so that it gets few files.
 
-    The leaves are counted first, which reads the partition columns of ``df`` once
-    more: many small leaves need many tasks, however few bytes they hold, and a leaf
-    too large for one task is left to adaptive execution, which splits it by size.
+    Many small leaves need many tasks, however few bytes they hold. A leaf too large
+    for one task is left to adaptive execution, which splits it by size.
     """
     columns = list(partitions)
-    leaves = df.groupBy(*columns).agg(F.count("*").alias("_rows"))
-    n, rows, largest = leaves.agg(F.count("*"), F.sum("_rows"), F.max("_rows")).first()
-    if not n:
+    leaves = leaves or count_leaves(df, columns)
+    if not leaves.number:
         return df
-    tasks = ceil(max(n / leaves_per_task, rows / rows_per_task))
-    if largest <= rows_per_task:
+    tasks = ceil(max(leaves.number / leaves_per_task, leaves.rows / rows_per_task))
+    if leaves.largest <= rows_per_task:
         return df.repartition(tasks, *columns)
-    large = leaves.where(F.col("_rows") > rows_per_task).select(
-        *[F.col(c).alias(f"_large_{c}") for c in columns]
+    large = (
+        df.groupBy(*columns)
+        .agg(F.count("*").alias("_rows"))
+        .where(F.col("_rows") > rows_per_task)
+        .select(*[F.col(c).alias(f"_large_{c}") for c in columns])
     )
     known = small_rows(large)
     if known is None:
@@ -66,29 +90,40 @@ def write_partitioned(
     partitions: Sequence[str] = SUMMARY_PARTITIONS,
     gather: bool = True,
     whole: bool = False,
-) -> None:
+) -> list[tuple] | None:
     """Replace only the leaf partitions that ``df`` has rows for, or the ``whole`` table.
 
     A leaf that an earlier run wrote and ``df`` has no rows for stays; ``replace_date``
     removes such leaves. Null and empty partition values both read back as null.
-    Without ``gather`` there is no shuffle, for rows that are read leaf by leaf anyway.
+    ``df`` is read twice, first to count its leaves. Without ``gather`` it is not, and
+    there is no shuffle, for rows that are read leaf by leaf anyway.
+
+    Returns the partition values written, if they are known and few.
     """
-    rows = gather_leaves(df, partitions) if gather else df
+    leaves = None
+    if gather:
+        leaves = count_leaves(df, partitions)
+        df = gather_leaves(df, partitions, leaves)
     (
-        rows.write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
     )
+    return leaves.values if leaves else None
 
 
 def replace_date(
     df: DataFrame, path: str, dt: str, partitions: Sequence[str] = SUMMARY_PARTITIONS
-) -> None:
-    """Replace everything stored for one date by the rows ``df`` has for it."""
+) -> list[tuple] | None:
+    """Replace everything stored for one date by the rows ``df`` has for it.
+
+    Returns the partition values written, if they are few.
+    """
     date_col, *inner = partitions
     day = df.where(F.col(date_col) == dt).drop(date_col)
-    write_partitioned(day, f"{path.rstrip('/')}/{date_col}={dt}", inner, whole=True)
+    values = write_partitioned(day, f"{path.rstrip('/')}/{date_col}={dt}", inner, whole=True)
+    return None if values is None else [(dt, *rest) for rest in values]
 
 
 def append_capture(df: DataFrame, root: str, capture_ts: float) -> None:

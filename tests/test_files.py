@@ -9,6 +9,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from daymark import catalog, operators, plans, schemas, sinks, sources, streaming
+from daymark.sinks import files as files_sink
 
 ENGLISH = list(schemas.CAPTURE_NAMES)
 PORTUGUESE = [headers[0] for headers in schemas.HEADERS.values()]
@@ -179,7 +180,7 @@ def test_gathering_leaves(spark, tmp_path, rows_per_task):
         "id",
     )
     by = ("dt_ptcm", "acao")
-    gathered = sinks.gather_leaves(rows, by, leaves_per_task=4, rows_per_task=rows_per_task)
+    gathered = sinks.gather_leaves(rows, by, None, 4, rows_per_task)
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
     try:
         sinks.write_partitioned(gathered, f"{tmp_path}/t", by, gather=False)
@@ -315,6 +316,31 @@ def test_changed_definition_replaces_the_table(spark, tmp_path):
     )
 
 
+def test_adding_partitions_without_a_repair(spark, tmp_path, monkeypatch):
+    path, names = f"{tmp_path}/t", ["x", "", None, "y/ z", "it's \\ here"]
+    sinks.write_partitioned(summary(spark, ("d1", "x", "A", 1)), path)
+    catalog.ensure_database(spark, "add_db")
+    register = lambda added: catalog.register_external(
+        spark, "add_db", "t", schemas.SUMMARY_SCHEMA, path, schemas.SUMMARY_PARTITIONS, added
+    )
+    register(None)
+    monkeypatch.setattr(catalog, "repair_partitions", None)
+    added = sinks.write_partitioned(summary(spark, *[("d2", n, "B", 2) for n in names]), path)
+    assert sorted(added, key=str) == sorted([("d2", n) for n in names], key=str)
+    for _ in range(2):
+        register(added)
+        rows = spark.table("add_db.t").select("dt_ptcm", "acao", "codigo", "qtd_registros")
+        assert bag(rows) == stored(spark, path) and rows.count() == 6
+
+
+def test_many_leaves_are_counted_in_the_cluster(spark, monkeypatch):
+    rows = spark.range(300).select((F.col("id") % 30).alias("acao"), F.lit("d").alias("dt_ptcm"))
+    few = files_sink.count_leaves(rows, ["dt_ptcm", "acao"])
+    assert few[:3] == (30, 300, 10) and len(few.values) == 30
+    monkeypatch.setattr(files_sink, "FEW_LEAVES", 29)
+    assert files_sink.count_leaves(rows, ["dt_ptcm", "acao"]) == (30, 300, 10, None)
+
+
 def test_repair_skips_unpartitioned_and_managed_tables_are_safe(spark):
     catalog.ensure_database(spark, "managed_db")
     catalog.ensure_database(spark, "managed_db")
