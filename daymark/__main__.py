@@ -34,7 +34,9 @@ def _parser() -> argparse.ArgumentParser:
     sub = job("backfill", "write the summary and the comparison of all dates", "raw", "base")
     sub.add_argument("--back", type=int, default=2)
     sub = job("ingest", "refine the files that landed since the last run", "raw", "out", "checkpoint")
-    sub.add_argument("--max-files-per-batch", type=int)
+    sub.add_argument(
+        "--max-files-per-batch", type=int, default=streaming.ingest.MAX_FILES_PER_BATCH
+    )
     return parser
 
 

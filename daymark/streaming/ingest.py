@@ -11,6 +11,8 @@ from daymark.sources.partitions import date_glob
 
 # A file is new if it was not read before, however old it is.
 NEVER_TOO_OLD = "36500d"
+# A backlog is taken in several batches, as the driver keeps the file names of one.
+MAX_FILES_PER_BATCH = 10_000
 
 
 def ingest_new_files(
@@ -18,7 +20,7 @@ def ingest_new_files(
     landing: str,
     out: str,
     checkpoint: str,
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int = MAX_FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Refine the files that landed since the last call, then stop.
 
@@ -30,11 +32,11 @@ def ingest_new_files(
         spark.readStream.schema(RAW_SCHEMA)
         .option("basePath", landing)
         .option("maxFileAge", NEVER_TOO_OLD)
+        .option("maxFilesPerTrigger", max_files_per_batch)
+        .parquet(date_glob(landing))
     )
-    if max_files_per_batch:
-        files = files.option("maxFilesPerTrigger", max_files_per_batch)
     query = (
-        refine(files.parquet(date_glob(landing)))
+        refine(files)
         .writeStream.format("parquet")
         .partitionBy(DATE_COL)
         .option("checkpointLocation", checkpoint)

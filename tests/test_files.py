@@ -52,6 +52,15 @@ def test_read_snapshot_mixed_dialects(spark, tmp_path):
     assert bag(df.drop("dt_ptcm", "capture_ts")) == Counter({("A1", "Alfa", "ON", 1234, 1.5): 2})
 
 
+def test_capture_without_rows(spark, tmp_path):
+    """Such a file has no types for its columns."""
+    os.makedirs(f"{tmp_path}/dt_ptcm=20240101")
+    pd.DataFrame([], columns=ENGLISH).to_parquet(f"{tmp_path}/dt_ptcm=20240101/a.parquet")
+    write(f"{tmp_path}/dt_ptcm=20240101/b.parquet", names=ENGLISH)
+    d0, _ = plans.extract(spark, str(tmp_path), "20240101", "")
+    assert d0.count() == 1
+
+
 def test_read_snapshot_names_missing_columns(spark, tmp_path):
     write(f"{tmp_path}/dt_ptcm=20240101/a.parquet", names=["Code", "x", "Type", "y", "z"])
     with pytest.raises(ValueError, match="Ação / Stock, Qtde. Teórica / Theoretical Qty"):
