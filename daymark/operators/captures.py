@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daymark.local import local_frame
 from daymark.operators.small import small_rows
 
 
@@ -26,7 +27,7 @@ def latest_capture(
             return df
         if len(rows) == 1:
             return df.where(F.col(capture_col) == rows[0]["_newest"])
-        newest = F.broadcast(df.sparkSession.createDataFrame(rows, per_date.schema))
+        newest = F.broadcast(local_frame(df.sparkSession, rows, per_date.schema))
     return df.join(
         newest,
         F.col(date_col).eqNullSafe(F.col("_date"))

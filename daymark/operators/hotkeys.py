@@ -13,6 +13,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daymark.local import local_frame
+
 # A key with more rows than this on one side is split into pieces of this size.
 ROWS_PER_TASK = 1_000_000
 # Only keys above this fraction of a side's rows are split, so a side has at most
@@ -123,7 +125,7 @@ def hot_keys(
         return HotKeys(None, nulls)
     cells = sum(row[-2] * row[-1] for row in rows)
     schema = df.select(*keys).schema.add("_left_splits", "long").add("_right_splits", "long")
-    return HotKeys(df.sparkSession.createDataFrame(rows, schema), nulls, cells)
+    return HotKeys(local_frame(df.sparkSession, rows, schema), nulls, cells)
 
 
 def _pieces(df: DataFrame, own: str, other: str, own_axis: str, other_axis: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from daymark.local import local_frame
+
 # One row per snapshot date is 270 years of daily dates, a few megabytes.
 MAX_BROADCAST_ROWS = 100_000
 
@@ -25,4 +27,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     run again in the join.
     """
     rows = small_rows(df, max_rows)
-    return df if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return df if rows is None else F.broadcast(local_frame(df.sparkSession, rows, df.schema))

@@ -10,6 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daymark.local import local_frame
 from daymark.operators.small import small_rows
 from daymark.schemas import CAPTURE_COL, DATE_COL, SUMMARY_PARTITIONS
 
@@ -73,7 +74,7 @@ def gather_leaves(
     known = small_rows(large)
     if known is None:
         return df.hint("rebalance", *columns)
-    large = F.broadcast(df.sparkSession.createDataFrame(known, large.schema))
+    large = F.broadcast(local_frame(df.sparkSession, known, large.schema))
     same = reduce(
         Column.__and__, [F.col(c).eqNullSafe(F.col(f"_large_{c}")) for c in columns]
     )

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from daymark.functions import partition_date
+from daymark.local import local_frame
 from daymark.schemas import DATE_COL
 
 EIGHT_DIGITS = "[0-9]" * 8
+PATH_SCHEMA = StructType([StructField("path", StringType())])
 
 
 def date_glob(root: str) -> str:
@@ -34,7 +37,7 @@ def list_partitions(spark: SparkSession, root: str, strict: bool = False) -> Dat
     paths = [(status.getPath().toString(),) for status in found or () if status.isDirectory()]
     if not paths:
         raise ValueError(f"no snapshot partitions under {root}")
-    dates = spark.createDataFrame(paths, "path string").select(
+    dates = local_frame(spark, paths, PATH_SCHEMA).select(
         partition_date("path", strict).alias(DATE_COL)
     )
     return dates.where(F.col(DATE_COL).isNotNull())

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from daymark.local import local_frame
 from daymark.schemas import CAPTURE_COL, DATE_COL, HEADERS, RAW_SCHEMA
 from daymark.sources.partitions import EIGHT_DIGITS, date_glob, is_absent
 
@@ -45,7 +46,7 @@ def read_snapshot_or_empty(spark: SparkSession, root: str, dt: str) -> DataFrame
         except AnalysisException as error:
             if not is_absent(error):
                 raise
-    return spark.createDataFrame([], RAW_SCHEMA)
+    return local_frame(spark, [], RAW_SCHEMA)
 
 
 def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
