@@ -6,8 +6,10 @@ when one key's right rows, or identical copies of one row, are too many for a ta
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections import Counter
+from collections.abc import Sequence
 from functools import reduce
+from math import ceil, isqrt
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -15,28 +17,24 @@ from pyspark.sql import functions as F
 
 from daymark.local import local_frame
 
-# A key with more rows than this on one side is split into pieces of this size.
+# The rows of a key on one side are cut into pieces of at most this size, and into
+# smaller ones if a pair of pieces would give more than PAIRS_PER_ROW times as many rows.
 ROWS_PER_TASK = 1_000_000
-# Only keys above this fraction of a side's rows are split, so a side has at most
-# as many hot keys as its inverse.
+PAIRS_PER_ROW = 200
+# Only keys above this fraction of a side's rows are cut, so a side has at most as
+# many hot keys as its inverse.
 MAX_HOT = 1000
-# The error of a sketch is 3.5 / TRACKED of the rows, below 1 / MAX_HOT.
-TRACKED = 4096
-SLOTS = 256
+# Rows are first counted per hash bucket of their key. An even bucket has a fraction of
+# 1 / BUCKETS of the rows, so one above 1 / MAX_HOT has a heavy key.
+BUCKETS = 8192
 MAX_HOT_TASKS = 20_000
 
 
-class Heavy(NamedTuple):
-    """Row counts of a frame's heavy keys, and whether rows with null keys are many."""
-
-    counts: dict[tuple, int]
-    nulls: bool
-
-
 class HotKeys(NamedTuple):
     """``frame`` has the keys, ``_left_splits`` and ``_right_splits``; None if no key is hot.
 
-    ``cells`` is how many pairs of pieces they make.
+    ``nulls`` says whether many left rows share keys with a null, ``cells`` how many
+    pairs of pieces the hot keys make.
     """
 
     frame: DataFrame | None
@@ -44,88 +42,86 @@ class HotKeys(NamedTuple):
     cells: int = 0
 
 
-def _key_hash(keys: Sequence[str]) -> Column:
-    """A hash of the keys; null if any of them is null, as such keys match nothing."""
-    known = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
-    return F.when(known, F.xxhash64(*keys))
+def _matches_nothing(keys: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.col(key).isNull() for key in keys])
+
+
+def _sides(left: DataFrame, right: DataFrame, *columns: Column | str) -> DataFrame:
+    return left.select(F.lit("left").alias("_side"), *columns).unionAll(
+        right.select(F.lit("right").alias("_side"), *columns)
+    )
 
 
-def heavy_keys(
-    frames: Sequence[DataFrame], keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> list[Heavy]:
-    """The heavy keys of each frame, in one pass over the key columns of all.
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
 
-    Each task sketches its key hashes and only sketches are shuffled, in two steps so
-    that no task merges one from every task. Only if that finds something are the
-    rows of those hashes counted, exactly. At most ``MAX_HOT`` rows per frame and
-    step reach the driver: no more keys than that can be above the threshold.
+
+def _heavy_buckets(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], at_least: int
+) -> tuple[set[int], dict[str, int]]:
+    """The buckets with more rows than a side's limit, and those limits.
+
+    No heavy key is missed, as its bucket is no smaller. Each task counts before the
+    shuffle, and the driver gets one number per bucket.
     """
-    hashes = reduce(
-        DataFrame.unionByName,
-        [
-            df.select(
-                F.lit(side).alias("_side"),
-                _key_hash(keys).alias("_hash"),
-                (F.spark_partition_id() % SLOTS).alias("_slot"),
-            )
-            for side, df in enumerate(frames)
-        ],
+    counts = (
+        _sides(left, right, _bucket(keys).alias("_bucket"))
+        .groupBy("_side", "_bucket")
+        .agg(F.count("*").alias("_rows"))
+        .collect()
     )
-    sketches = (
-        hashes.groupBy("_side", "_slot")
-        .agg(
-            F.expr(f"approx_top_k_accumulate(_hash, {TRACKED})").alias("_sketch"),
-            F.count("*").alias("_rows"),
-        )
-        .groupBy("_side")
+    rows = Counter()
+    for side, _, n in counts:
+        rows[side] += n
+    limits = {side: max(at_least, n // MAX_HOT) for side, n in rows.items()}
+    return {bucket for side, bucket, n in counts if n > limits[side]}, limits
+
+
+def _splits(own: int, other: int, rows_per_task: int) -> int:
+    """Into how many pieces ``own`` rows of a key are cut that meet ``other`` rows each."""
+    pairs = rows_per_task * PAIRS_PER_ROW
+    piece = min(rows_per_task, max(isqrt(pairs), pairs // max(other, 1)))
+    return max(1, ceil(own / piece))
+
+
+def find_hot_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> HotKeys:
+    """The keys whose rows or pairs are too many for one task.
+
+    One pass over the key columns of both sides; only if that finds heavy buckets are
+    the keys in them counted. At most ``MAX_HOT`` keys per side reach the driver, as
+    no more can be above the limit.
+    """
+    at_least = min(rows_per_task, isqrt(rows_per_task * PAIRS_PER_ROW))
+    buckets, limits = _heavy_buckets(left, right, keys, at_least)
+    if not buckets:
+        return HotKeys(None, False)
+    heavy = reduce(
+        Column.__or__, [F.col(f"_{side}_rows") > limit for side, limit in limits.items()]
+    )
+    counted = (
+        _sides(*(df.where(_bucket(keys).isin(buckets)) for df in (left, right)), *keys)
+        .groupBy(*keys)
         .agg(
-            F.expr(f"approx_top_k_combine(_sketch, {TRACKED})").alias("_sketch"),
-            F.sum("_rows").alias("_rows"),
+            F.count_if(F.col("_side") == "left").alias("_left_rows"),
+            F.count_if(F.col("_side") == "right").alias("_right_rows"),
         )
+        .where(heavy)
     )
-    limit = F.greatest(F.lit(rows_per_task), F.floor(F.col("_rows") / MAX_HOT))
-    top = F.expr(f"approx_top_k_estimate(_sketch, {MAX_HOT})")
-    found = (
-        sketches.select("_side", limit.alias("limit"), F.explode(top).alias("top"))
-        .where("top.count > limit")
-        .select("_side", "limit", "top.item")
-        .collect()
-    )
-    result = []
-    for side, df in enumerate(frames):
-        mine = [row for row in found if row["_side"] == side]
-        wanted = [row["item"] for row in mine if row["item"] is not None]
-        counts = {}
-        if wanted:
-            counted = (
-                df.where(_key_hash(keys).isin(wanted))
-                .groupBy(*keys)
-                .agg(F.count("*").alias("_rows"))
-                .where(F.col("_rows") > mine[0]["limit"])
-            )
-            counts = {tuple(row)[:-1]: row["_rows"] for row in counted.collect()}
-        result.append(Heavy(counts, any(row["item"] is None for row in mine)))
-    return result
-
-
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    left: Mapping[tuple, int],
-    right: Mapping[tuple, int],
-    nulls: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> HotKeys:
-    """How many pieces each heavy key is cut into on either side; ``df`` has the key types."""
-    rows = [
-        (*key, *(-(-side.get(key, 1) // rows_per_task) for side in (left, right)))
-        for key in left.keys() | right.keys()
-    ]
+    rows, nulls = [], False
+    for *key, n_left, n_right in counted.collect():
+        if None in key:
+            nulls = nulls or n_left > rows_per_task
+            continue
+        grid = _splits(n_left, n_right, rows_per_task), _splits(n_right, n_left, rows_per_task)
+        if max(grid) > 1:
+            rows.append((*key, *grid))
     if not rows:
         return HotKeys(None, nulls)
+    schema = left.select(*keys).schema.add("_left_splits", "long").add("_right_splits", "long")
     cells = sum(row[-2] * row[-1] for row in rows)
-    schema = df.select(*keys).schema.add("_left_splits", "long").add("_right_splits", "long")
-    return HotKeys(local_frame(df.sparkSession, rows, schema), nulls, cells)
+    return HotKeys(local_frame(left.sparkSession, rows, schema), nulls, cells)
 
 
 def _pieces(df: DataFrame, own: str, other: str, own_axis: str, other_axis: str) -> DataFrame:
@@ -185,7 +181,6 @@ def spread_left_join(
     right: DataFrame,
     keys: Sequence[str],
     rows_per_task: int = ROWS_PER_TASK,
-    hot: HotKeys | None = None,
 ) -> DataFrame:
     """``left.join(right, keys, "left")`` with hot keys spread over many tasks.
 
@@ -195,13 +190,11 @@ def spread_left_join(
     keys = list(keys)
     payload = [c for c in right.columns if c not in keys]
     out = [*left.columns, *payload]
-    if hot is None:
-        of_left, of_right = heavy_keys([left, right], keys, rows_per_task)
-        hot = hot_keys(left, keys, of_left.counts, of_right.counts, of_left.nulls, rows_per_task)
+    hot = find_hot_keys(left, right, keys, rows_per_task)
 
     branches = []
     if hot.nulls:
-        matchless = _key_hash(keys).isNull()
+        matchless = _matches_nothing(keys)
         empty = {c: F.lit(None).cast(right.schema[c].dataType) for c in payload}
         branches.append(left.where(matchless).withColumns(empty))
         left = left.where(~matchless)

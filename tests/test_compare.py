@@ -13,7 +13,7 @@ from daymark.operators import (
     summarise,
 )
 from daymark.operators import small
-from daymark.operators.hotkeys import heavy_keys, spread_left_join
+from daymark.operators.hotkeys import find_hot_keys, spread_left_join
 
 REFINED = "codigo string, acao string, dt_ptcm string, qt_teorica long, pc_participacao double"
 D0 = [("A", "x", 10, 1.0), ("A", "x", 20, 2.0), ("B", "y", 5, 1.0), (None, "z", 5, 1.0)]
@@ -81,7 +81,7 @@ def test_a_third_in_one_key_on_both_sides(spark):
     plain = left.join(right, "k", "left").select("k", "a", "b")
     assert spread.count() == 1000 * 200 + 2000
     assert bag(spread.groupBy("k", "a", "b").count()) == bag(plain.groupBy("k", "a", "b").count())
-    # 1000 x 200 pairs over 20 x 4 cells.
+    # 1000 x 200 pairs, in pieces of 50 x 50 rows.
     assert "_x" in spread._jdf.queryExecution().optimizedPlan().toString()
 
 
@@ -100,17 +100,29 @@ def test_without_hot_keys_the_plan_is_one_join(spark):
     assert plan.count("Join") == 1 and "Union" not in plan
 
 
-def test_heavy_keys_are_counted_exactly(spark):
+def test_hot_keys_are_counted_exactly(spark):
     df = spark.range(10_000).select(
         F.when(F.col("id") < 3000, "a").when(F.col("id") < 3010, "b").otherwise(
             F.col("id").cast("string")
         ).alias("k")
     )
-    one, both = heavy_keys([df, df.unionAll(df)], ["k"], rows_per_task=5)
-    assert one.counts == {("a",): 3000} and not one.nulls  # b is below a thousandth
-    assert both.counts == {("a",): 6000}
-    (none,) = heavy_keys([df.limit(0)], ["k"], rows_per_task=5)
-    assert none.counts == {} and not none.nulls
+    few = spark.createDataFrame([("a",), ("a",)], "k string")
+    hot = find_hot_keys(df, few, ["k"], rows_per_task=5)
+    assert [tuple(r) for r in hot.frame.collect()] == [("a", 600, 1)]  # b is below a thousandth
+    assert hot.cells == 600 and not hot.nulls
+    hot = find_hot_keys(few, df.unionAll(df), ["k"], rows_per_task=1000)
+    assert [tuple(r) for r in hot.frame.collect()] == [("a", 1, 6)]
+    # 3000 x 3000 pairs, at most 1000 x 200 for a task: pieces of 447 rows on each side.
+    hot = find_hot_keys(df, df, ["k"], rows_per_task=1000)
+    assert [tuple(r) for r in hot.frame.collect()] == [("a", 7, 7)]
+    assert find_hot_keys(df.limit(0), few.limit(0), ["k"], 5) == (None, False, 0)
+    assert find_hot_keys(df, few, ["k"]) == (None, False, 0)
+    nulls = df.select(F.lit(None).cast("string").alias("k"))
+    assert find_hot_keys(nulls, few, ["k"], 5) == (None, True, 0)
+    assert find_hot_keys(few, nulls, ["k"], 5) == (None, False, 0)
+    # A null in one key alone does not make rows meet in one task.
+    spread = df.select(F.lit(None).cast("string").alias("k"), F.monotonically_increasing_id().alias("j"))
+    assert find_hot_keys(spread, spread, ["k", "j"], 5) == (None, False, 0)
 
 
 def test_date_pairs_are_positions(spark):
