@@ -48,7 +48,7 @@ def test_grouped_numbers_come_back(spark, numbers):
 
 
 @settings(max_examples=5, deadline=None)
-@given(st.lists(st.text(st.sampled_from(" \t\n\x0b\x1c\x85\xa0   　ab<"), max_size=8), min_size=1))
+@given(st.lists(st.text(st.sampled_from(" \t\n\x0b\x1c\x85\xa0   \u3000ab<"), max_size=8), min_size=1))
 def test_strip_is_python_strip(spark, texts):
     assert values(spark, texts, strip) == [t.strip() for t in texts]
 
