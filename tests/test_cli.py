@@ -4,7 +4,7 @@ import pytest
 
 from daymark import schemas, sources
 from daymark.__main__ import main
-from test_files import bag, root, write  # noqa: F401
+from test_files import bag, root  # noqa: F401
 
 
 @pytest.fixture(autouse=True)
