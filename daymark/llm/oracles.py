@@ -86,6 +86,43 @@ FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
 LEFT JOIN bounds b ON s.source IS NOT DISTINCT FROM b.source
 """
 
+DECONTAMINATE = r"""
+WITH texts AS (
+    SELECT FALSE AS item, row_number() OVER () AS row_no, doc_id AS id, text FROM documents
+    UNION ALL SELECT TRUE, row_number() OVER (), item_id, text FROM benchmark
+), cut AS (
+    SELECT item, row_no, id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM texts
+), wanted AS (
+    SELECT DISTINCT id, size, array_to_string(w[i : i + size - 1], ' ') AS gram
+    FROM (
+        SELECT id, w, least(len(w), 13) AS size, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i
+        FROM cut WHERE item AND len(w) > 0
+    )
+), grams AS (
+    SELECT row_no, i, size, array_to_string(w[i : i + size - 1], ' ') AS gram
+    FROM (
+        SELECT row_no, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM cut, (SELECT DISTINCT size FROM wanted) WHERE NOT item AND len(w) >= size
+    )
+), met AS (
+    SELECT row_no, i, size, id FROM grams JOIN wanted USING (gram, size)
+), words AS (
+    SELECT row_no, count(DISTINCT p) AS n_hit
+    FROM (SELECT row_no, unnest(range(i, i + size)) AS p FROM met) GROUP BY row_no
+), items AS (
+    SELECT row_no, count(DISTINCT id) AS n_items,
+        string_agg(DISTINCT id::VARCHAR, ',' ORDER BY id::VARCHAR) AS ids
+    FROM met GROUP BY row_no
+)
+SELECT id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM cut LEFT JOIN words USING (row_no) LEFT JOIN items USING (row_no) WHERE NOT item
+"""
+
 ROLLUP = r"""
 WITH c AS (
     SELECT doc_id, source, lang, coalesce(length(text), 0) AS n,
@@ -108,5 +145,6 @@ ORACLES = {
     "op1_warc": WARC,
     "op2_chat": CHAT,
     "op5_mixing": MIXING,
+    "op8_decontaminate": DECONTAMINATE,
     "op10_rollup": ROLLUP,
 }
