@@ -200,8 +200,10 @@ class Postings:
             near.sort()
             last: dict[int, int] = {}
             for place, k in near:
+                # Else a shorter span ended before, at another place of this term.
+                needed = k not in last or last[k] == min(last.values())
                 last[k] = place
-                if len(last) == len(starts) and place - min(last.values()) < width:
+                if needed and len(last) == len(starts) and place - min(last.values()) < width:
                     found.add((min(last.values()), place + 1))
         return sorted(found)
 
