@@ -19,7 +19,9 @@ Equal sets are one class from the start. The classes are joined in regions:
    are, without the pivots. So on, with more pivots each time, until a region is small, and then
    its pairs are compared. A region all of whose members are connected already is done.
 
-Each link that is found is exact (the sets are intersected), and no pair of different components
+Pairs are first compared by odd sketches, some bits for each shingle: these bound the distance
+from below, so the sets of pairs that are far apart never travel. Each link that is found is
+exact (the sets are intersected), and no pair of different components
 is left out, so components are exact; within a component not all links need to be found.
 
 The global order comes from a count sketch of fixed size. Sets are told apart by 64-bit hashes,
@@ -35,7 +37,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 from hashlib import blake2b
 
@@ -54,6 +56,7 @@ SKETCH_CHUNK = 1 << 14
 HOT_SHINGLE = 50_000  # above the sketch's mean; such regions aren't gathered in one task
 LEAF = 32  # members of a region whose pairs are compared directly
 FIRST_PIVOTS = 8  # after a first level with one; doubled from level to level
+ODD_BITS = 4  # buckets of an odd sketch for each shingle
 POSTINGS_PER_BUCKET = 1_000_000
 SPREAD = 64
 
@@ -227,10 +230,18 @@ def postings(docs: DataFrame, sets: DataFrame, size: int, percent: int, seed: in
     return rows.groupBy("bucket").applyInArrow(meet, POSTING_SCHEMA)
 
 
-def _class_sets(docs: DataFrame, wanted: DataFrame, size: int, seed: int) -> DataFrame:
-    """(cls, shingles) of the classes in ``wanted``, (rep, cls): each from its representative.
-
-    A row repeated with its id gives its class again.
+def _of_classes(
+    docs: DataFrame,
+    wanted: DataFrame,
+    size: int,
+    seed: int,
+    pack: Callable[[list[np.ndarray]], pa.Array],
+    kind: str,
+) -> DataFrame:
+    """(cls, value) of the classes in ``wanted``, (rep, cls): each from its representative.
+
+    ``pack`` makes the values of some sets, of the SQL type ``kind``. A row repeated with its id
+    gives its class again.
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,27 +260,78 @@ def _class_sets(docs: DataFrame, wanted: DataFrame, size: int, seed: int) -> Dat
                 yield packed(own)
 
     def packed(own: list) -> pa.RecordBatch:
-        edges = np.concatenate(([0], np.cumsum([len(x) for _, x in own])))
-        flat = np.concatenate([x for _, x in own]).view(np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat))
-        return pa.RecordBatch.from_arrays([pa.array([c for c, _ in own]), lists], ["cls", "shingles"])
+        values = pack([x for _, x in own])
+        return pa.RecordBatch.from_arrays([pa.array([c for c, _ in own]), values], ["cls", "value"])
 
     wanted = broadcast_if_few(wanted)
     rows = own_columns(docs, "doc_id", "text")
     rows = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["rep"]))
-    return rows.select("cls", "text").mapInArrow(cut, "cls long, shingles array<long>")
+    return rows.select("cls", "text").mapInArrow(cut, f"cls long, value {kind}")
+
+
+def _whole(sets: list[np.ndarray]) -> pa.Array:
+    edges = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+    flat = np.concatenate(sets).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat))
+
+
+def odd_sketch(own: np.ndarray) -> np.ndarray:
+    """Parities of the shingles by bucket, packed; a power of two of at least 4 * n buckets."""
+    buckets = max(64, 1 << (ODD_BITS * len(own) - 1).bit_length())
+    at = (own & np.uint64(buckets - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=buckets) & 1).astype(np.uint8), bitorder="little")
+
+
+def _odd_sketches(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array([odd_sketch(x).tobytes() for x in sets], pa.binary())
+
+
+def least_difference(left: bytes, right: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets, from their odd sketches.
+
+    Buckets whose parities differ hold an element that only one set has. A larger sketch is
+    folded to the size of the smaller one.
+    """
+    x, y = np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8)
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x, y = y, x
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
 
+def _least_distances(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(a, b, least): lower bounds of the distances of pairs."""
 
-def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) with the size of the intersection and of the union of their sets."""
-    left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("_a"))
-    right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("_b"))
-    both = F.size(F.array_intersect("_a", "_b"))
+    def bound(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = zip(batch.column("_a"), batch.column("_b"))
+            apart = np.array([least_difference(x.as_py(), y.as_py()) for x, y in sides], float)
+            n = batch.column("_n").to_numpy() + batch.column("_m").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(2 * apart / (n + apart))],
+                ["a", "b", "least"],
+            )
+
+    left = sketches.select(F.col("cls").alias("a"), F.col("n").alias("_n"), F.col("value").alias("_a"))
+    right = sketches.select(F.col("cls").alias("b"), F.col("n").alias("_m"), F.col("value").alias("_b"))
+    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "_n", "_m", "_a", "_b")
+    return rows.mapInArrow(bound, "a long, b long, least double").dropDuplicates(["a", "b"])
+
+
+def _distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, d, linked): the exact distances of pairs."""
+    left = sets.select(F.col("cls").alias("a"), F.col("value").alias("_a"))
+    right = sets.select(F.col("cls").alias("b"), F.col("value").alias("_b"))
+    overlap = F.size(F.array_intersect("_a", "_b"))
+    both, either = F.col("both"), F.col("either")
     return (
         pairs.join(left, "a")
         .join(right, "b")
-        .select("a", "b", both.alias("both"), (F.size("_a") + F.size("_b") - both).alias("either"))
+        .select("a", "b", overlap.alias("both"), (F.size("_a") + F.size("_b")).alias("all"))
         .distinct()
+        .withColumn("either", F.col("all") - both)
+        .select("a", "b", (1 - both / either).alias("d"), (100 * both >= percent * either).alias("linked"))
     )
 
 
@@ -317,27 +379,42 @@ def _may_link(percent: int) -> Column:
 
 
 class _Levels:
-    """A join in regions, level by level."""
+    """A join in regions, level by level.
 
-    def __init__(self, sets: DataFrame, percent: int):
-        self.sets, self.percent = sets, percent
+    ``sketches`` is (cls, n, value) of all classes, ``fetch`` gives (cls, value), the sets, of
+    the classes in a frame (cls).
+    """
+
+    def __init__(self, sketches: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int):
+        self.sketches, self.fetch, self.percent = sketches, fetch, percent
         self.e = (100 - percent) / 100 + 1e-9  # on the safe side of rounding
         self.known: list[DataFrame] = []
         self.roots: DataFrame | None = None
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """The exact overlaps of pairs (a, b), and all that were known before."""
+        """(a, b, d, linked) of pairs (a, b), and of all that were known before.
+
+        Distances up to 3 e are exact, larger ones may be lower bounds above 3 e: these come from
+        sketches, and the sets of such pairs aren't fetched.
+        """
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = pairs.where("a != b").distinct()
         if self.known:
             before = reduce(DataFrame.unionAll, self.known).select("a", "b")
             pairs = pairs.join(before, ["a", "b"], "left_anti")
-        self.known.append(stored(_distances(stored(pairs, "pairs"), self.sets), "overlaps"))
+        bounded = stored(_least_distances(stored(pairs, "pairs"), self.sketches), "bounds")
+        far = F.col("least") > 3 * self.e
+        near = bounded.where(~far).select("a", "b")
+        self.known.append(
+            bounded.where(far).select("a", "b", F.col("least").alias("d"), F.lit(False).alias("linked"))
+        )
+        classes = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        exact = _distances(near, self.fetch(stored(classes, "near")), self.percent)
+        self.known.append(stored(exact, "distances"))
         return reduce(DataFrame.unionAll, self.known)
 
     def links(self) -> DataFrame:
-        known = reduce(DataFrame.unionAll, self.known)
-        return known.where(100 * F.col("both") >= self.percent * F.col("either")).select("a", "b")
+        return reduce(DataFrame.unionAll, self.known).where("linked").select("a", "b")
 
     def connect(self) -> None:
         """The components of the links so far, with the number of their classes."""
@@ -402,9 +479,8 @@ class _Levels:
             F.least("cls", "pivot").alias("a"),
             F.greatest("cls", "pivot").alias("b"),
         )
-        known = known.select("a", "b", (1 - F.col("both") / F.col("either")).alias("d"))
         homes = (
-            away.join(known, ["a", "b"])
+            away.join(known.select("a", "b", "d"), ["a", "b"])
             .groupBy(*columns, "size")
             .agg(F.min("d").alias("home"), F.collect_list(F.struct("d", "pivot")).alias("all"))
         )
@@ -466,6 +542,7 @@ def similarity_join(
             .groupBy("cls")
             .agg(
                 F.min("doc_id").alias("rep"),
+                F.first("n").alias("n"),
                 F.count("*").alias("copies"),
                 (F.min("other") != F.max("other")).alias("clash"),
             ),
@@ -477,9 +554,15 @@ def similarity_join(
     members = stored(
         regions.dropDuplicates(["shingle", "cls"]).withColumnRenamed("shingle", "rid"), "regions"
     )
-    shared = members.select("cls").distinct()
-    wanted = stored(classes.join(shared, "cls").select("rep", "cls"), "wanted")
-    levels = _Levels(stored(_class_sets(docs, wanted, size, seed), "class_sets"), percent)
+    def made(of: DataFrame, pack, kind: str, name: str) -> DataFrame:
+        wanted = stored(classes.join(of, "cls").select("rep", "cls"), "wanted")
+        return stored(_of_classes(docs, wanted, size, seed, pack, kind), name)
+
+    sketches = made(members.select("cls").distinct(), _odd_sketches, "binary", "sketches")
+    sketches = sketches.join(classes.select("cls", "n"), "cls")
+    levels = _Levels(
+        stored(sketches, "sized"), lambda of: made(of, _whole, "array<long>", "class_sets"), percent
+    )
     levels.run(members, leaf, pivots)
     if levels.roots is None:
         known = classes.select("cls", "copies", F.col("rep").alias("component_id"))
