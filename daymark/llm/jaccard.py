@@ -16,8 +16,13 @@ Equal sets are one class from the start. The classes are joined in regions:
    pivot form that pivot's Voronoi region, the others the outer one. Whoever can have a partner
    in another region is replicated there: to pivot q if d(q) <= d(nearest) + 2 e and d(q) <= 3 e,
    to the outer region if d(nearest) > e. Regions that don't shrink this way are kept as they
-   are, without the pivots. So on, with more pivots each time, until a region is small, and then
-   its pairs are compared. A region all of whose members are connected already is done.
+   are, without the pivots. So on, with more pivots each time.
+3. What is small is joined in blocks: a task compares two blocks of members and hands on only
+   pairs that may be linked and lie in different components. A region all of whose members are
+   connected already is done.
+
+First of all, a single pivot in every region connects most near copies, whose pairs then never
+show up.
 
 Pairs are first compared by odd sketches, some bits for each shingle: these bound the distance
 from below, so the sets of pairs that are far apart never travel. Each link that is found is
@@ -54,13 +59,18 @@ LEAST_PERCENT = 85
 SKETCH_BITS = 20  # counters of the sketch; 1 MB is broadcast
 SKETCH_CHUNK = 1 << 14
 HOT_SHINGLE = 50_000  # above the sketch's mean; such regions aren't gathered in one task
-LEAF = 32  # members of a region whose pairs are compared directly
-FIRST_PIVOTS = 8  # after a first level with one; doubled from level to level
+LEAF = 4096  # members of a region that is compared in blocks, without more pivots
+BLOCK = 512
+ROWS_PER_BUCKET = 4000  # members that a task compares at a time, about
+FIRST_TAKE = 2  # candidates of a member and a component that are verified at first
+FIRST_PIVOTS = 16  # after a first level with one
+MORE_PIVOTS = 4  # times as many from level to level
 ODD_BITS = 4  # buckets of an odd sketch for each shingle
 POSTINGS_PER_BUCKET = 1_000_000
 SPREAD = 64
 
 SETS_SCHEMA = "doc_id long, cls long, other long, n int, chunk int, counts binary"
+CANDIDATE_SCHEMA = "rid long, a long, b long, more boolean"
 POSTING_SCHEMA = "shingle long, cls long, n int, pos int"
 
 
@@ -371,11 +381,83 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _may_link(percent: int) -> Column:
-    """Whether the sizes of a pair, and its places where it meets first, allow a link."""
-    need = F.ceil(percent * (F.col("n") + F.col("n2")) / (100 + percent) - 1e-9)
-    left = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
-    return (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (left >= need)
+def _block_join(percent: int, take: int) -> Callable[[pa.Table], pa.Table]:
+    """A function from rows of regions' blocks to CANDIDATE_SCHEMA.
+
+    Of a region's two blocks, or of one with itself, all pairs are compared by size, place and
+    odd sketch, but only those in different components that may be linked are handed on.
+    """
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        rid, low, high, own, cls, root, n, pos = (
+            table[name].to_numpy()
+            for name in ("rid", "low", "high", "own", "cls", "root", "n", "pos")
+        )
+        values = table["value"]
+        order = np.lexsort((n, high, low, rid))
+        keys = np.stack([rid[order], low[order], high[order]])
+        edges = np.flatnonzero(
+            np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0), [True]))
+        )
+        out: list[tuple[int, int | None, int | None, bool]] = []
+        for first, last in zip(edges[:-1], edges[1:]):
+            rows = order[first:last]
+            if (root[rows] == root[rows[0]]).all():
+                continue
+            two = low[rows[0]] != high[rows[0]]
+            sketches = [np.frombuffer(values[int(r)].as_py(), np.uint64) for r in rows]
+            sizes, places, blocks = n[rows].astype(float), pos[rows], own[rows]
+            folded: dict[int, np.ndarray] = {}
+            widths = np.array([len(x) for x in sketches])
+            more = False
+            for i, r in enumerate(rows.tolist()):
+                # Sorted by size: partners are those behind that aren't too large.
+                to = int(np.searchsorted(sizes, sizes[i] * 100 / percent + 1e-9, "right"))
+                if to <= i + 1:
+                    continue
+                need = np.ceil(percent * (sizes[i] + sizes[i + 1 : to]) / (100 + percent) - 1e-9)
+                left = np.minimum(sizes[i] - places[i], sizes[i + 1 : to] - places[i + 1 : to])
+                fits = (left >= need) & (root[rows[i + 1 : to]] != root[r])
+                if two:
+                    fits &= blocks[i + 1 : to] != blocks[i]
+                at = np.flatnonzero(fits) + i + 1
+                if not len(at):
+                    continue
+                width = int(widths[i])
+                if width not in folded:
+                    # Larger sets have sketches as wide or wider; those before are never used.
+                    folded[width] = _fold(sketches, width)
+                apart = np.bitwise_count(folded[width][at] ^ folded[width][i]).sum(axis=1, dtype=float)
+                least = 2 * apart / (sizes[i] + sizes[at] + apart)
+                near = np.flatnonzero(least <= (100 - percent) / 100 + 1e-9)
+                if len(near) > take:
+                    # The nearest ones of each component.
+                    by = near[np.lexsort((least[near], root[rows[at[near]]]))]
+                    groups = root[rows[at[by]]]
+                    begins = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
+                    rank = np.arange(len(by)) - np.repeat(begins, np.diff(np.append(begins, len(by))))
+                    more |= bool((rank >= take).any())
+                    near = by[rank < take]
+                out += [(int(rid[r]), int(cls[r]), int(x), False) for x in cls[rows[at[near]]]]
+            if more:
+                out.append((int(rid[rows[0]]), None, None, True))
+        columns = list(zip(*out)) if out else [[], [], [], []]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], ["rid", "a", "b", "more"])
+
+    return compare
+
+
+def _fold(sketches: list[np.ndarray], width: int) -> np.ndarray:
+    """All sketches at ``width`` words; narrower ones as zeros."""
+    out = np.zeros((len(sketches), width), np.uint64)
+    for i, x in enumerate(sketches):
+        if len(x) >= width:
+            while len(x) > width:
+                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+            out[i] = x
+    return out
 
 
 class _Levels:
@@ -416,8 +498,11 @@ class _Levels:
     def links(self) -> DataFrame:
         return reduce(DataFrame.unionAll, self.known).where("linked").select("a", "b")
 
-    def connect(self) -> None:
-        """The components of the links so far, with the number of their classes."""
+    def connect(self, fresh: DataFrame) -> None:
+        """The components of the links so far, with the number of their classes, if any of the
+        ``fresh`` pairs are linked."""
+        if not fresh.where("linked").limit(1).count() and self.roots is not None:
+            return
         roots = stored(components(self.links()), "roots")
         sizes = roots.groupBy("root").agg(F.count("*").alias("weight"))
         self.roots = stored(roots.join(sizes, "root").withColumnRenamed("node", "cls"), "weighed")
@@ -425,6 +510,7 @@ class _Levels:
     def unfinished(self, members: DataFrame) -> DataFrame:
         """The members of regions with several components, with their root, their region's size
         and the root of its largest component."""
+        members = members.select("rid", "cls", "n", "pos")
         if self.roots is None:
             labelled = members.withColumns({"root": F.col("cls"), "weight": F.lit(1).cast("long")})
         else:
@@ -438,22 +524,51 @@ class _Levels:
                 F.max("root").alias("_r2"),
                 F.count("*").alias("size"),
                 F.max(F.struct("weight", "root"))["root"].alias("main"),
+                F.bit_xor(F.xxhash64("cls")).alias("_s1"),
+                F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("_s2"),
             )
             .where("_r1 != _r2")
-            .drop("_r1", "_r2")
+            # Near copies share many regions with the same members: one of each is enough.
+            .groupBy("_s1", "_s2", "size", "main")
+            .agg(F.min("rid").alias("rid"), F.count("*").alias("same"))
+            .drop("_s1", "_s2")
         )
-        return stored(labelled.drop("weight").join(open_, "rid"), "members")
+        # Places are those in one region, so merged ones go without them.
+        pos = F.when(F.col("same") > 1, 0).otherwise(F.col("pos"))
+        members = labelled.drop("weight").join(open_, "rid").withColumn("pos", pos).drop("same")
+        return stored(members, "members")
 
-    def pairs_of_small(self, members: DataFrame) -> DataFrame:
-        other = members.select(
-            "rid", *(F.col(c).alias(f"{c}2") for c in ("cls", "n", "pos", "root"))
-        )
-        return (
-            members.join(other, "rid")
-            .where((F.col("cls") < F.col("cls2")) & (F.col("root") != F.col("root2")))
-            .where(_may_link(self.percent))
-            .select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
-        )
+    def join_blocks(self, members: DataFrame) -> None:
+        """Find what links the components of regions, each in blocks of bounded size.
+
+        Tasks compare the odd sketches of two blocks and hand on pairs that may be linked, for
+        each member and component the ``take`` nearest. While that leaves some out, the regions
+        concerned come again, with more.
+        """
+        take = FIRST_TAKE
+        while True:
+            members = self.unfinished(members)
+            n = members.count()
+            if not n:
+                return
+            blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+            own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
+            others = F.sequence(F.lit(0), blocks - 1)
+            rows = members.join(self.sketches.drop("n"), "cls").withColumns({"own": own, "other": F.explode(others)})
+            rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+            buckets = n // ROWS_PER_BUCKET + 1
+            rows = rows.withColumn("bucket", F.pmod(F.xxhash64("rid", "low", "high"), F.lit(buckets)))
+            columns = ("bucket", "rid", "low", "high", "own", "cls", "root", "n", "pos", "value")
+            compare = _block_join(self.percent, take)
+            found = rows.select(*columns).groupBy("bucket").applyInArrow(compare, CANDIDATE_SCHEMA)
+            found = stored(found, "candidates")
+            self.verify(found.where("b IS NOT NULL").select("a", "b"))
+            self.connect(self.known[-1])
+            again = found.where("more").select("rid").distinct()
+            members = stored(
+                members.join(again, "rid", "left_semi").select("rid", "cls", "n", "pos"), "again"
+            )
+            take *= 4
 
     def choose(self, members: DataFrame, k: int) -> DataFrame:
         """(rid, pivot): ``k`` members of each region, those outside its main component first.
@@ -500,26 +615,30 @@ class _Levels:
         parts = F.when(F.col("kept"), F.array("rid")).otherwise(F.col("regions"))
         return homes.join(kept, "rid").select(F.explode(parts).alias("rid"), "cls", "n", "pos")
 
+    def meet_pivots(self, members: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Compare the members of each region with ``k`` pivots, which are done then.
+
+        Returns the members that are left in unfinished regions, the pivots, and what is known.
+        """
+        chosen = self.choose(members, k)
+        met = members.join(broadcast_if_few(chosen), "rid")
+        known = self.verify(met.select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
+        self.connect(self.known[-1])
+        done = broadcast_if_few(chosen.withColumnRenamed("pivot", "cls"))
+        rest = members.join(done, ["rid", "cls"], "left_anti").select("rid", "cls", "n", "pos")
+        return self.unfinished(rest), chosen, known
+
     def run(self, members: DataFrame, leaf: int, pivots: int) -> None:
         # First a single pivot in each region: that connects most copies.
-        k, small = 1, 2
-        members = self.unfinished(members)
+        members, _, _ = self.meet_pivots(self.unfinished(members), 1)
         while members.limit(1).count():
-            large = members.where(F.col("size") > small)
-            chosen = self.choose(large, k)
-            met = large.join(broadcast_if_few(chosen), "rid")
-            pairs = self.pairs_of_small(members.where(F.col("size") <= small))
-            known = self.verify(
-                pairs.unionByName(met.select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
-            )
-            self.connect()
-            # Pivots have met all members, so they are done.
-            done = broadcast_if_few(chosen.withColumnRenamed("pivot", "cls"))
-            rest = large.join(done, ["rid", "cls"], "left_anti").select("rid", "cls", "n", "pos")
-            rest = self.unfinished(rest)
-            if rest.limit(1).count():
-                rest = self.unfinished(self.split(rest, chosen, known))
-            members, k, small = rest, pivots if k == 1 else 2 * k, leaf
+            self.join_blocks(members.where(F.col("size") <= leaf))
+            large = members.where(F.col("size") > leaf)
+            if not large.limit(1).count():
+                break
+            rest, chosen, known = self.meet_pivots(large, pivots)
+            members = self.unfinished(self.split(rest, chosen, known))
+            pivots *= MORE_PIVOTS
 
 
 def similarity_join(

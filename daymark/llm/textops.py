@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts are worked on in slices of about so many bytes; a longer text is a slice by itself.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 
 _BYTES = np.arange(256, dtype=np.uint8)
 LOWER = np.where((_BYTES >= 0x41) & (_BYTES <= 0x5A), _BYTES + 0x20, _BYTES).astype(np.uint8)

@@ -72,7 +72,7 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize(("leaf", "pivots"), [(32, 8), (2, 2), (1, 1)])
+@pytest.mark.parametrize(("leaf", "pivots"), [(4096, 16), (20, 2), (1, 1)])
 def test_against_brute_force(spark, leaf, pivots):
     rows = corpus(leaf)
     got, links = joined(spark, rows, leaf=leaf, pivots=pivots)
