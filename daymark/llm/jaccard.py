@@ -473,26 +473,28 @@ class _Levels:
         self.known: list[DataFrame] = []
         self.roots: DataFrame | None = None
 
-    def verify(self, pairs: DataFrame) -> DataFrame:
+    def verify(self, pairs: DataFrame, reach: float) -> DataFrame:
         """(a, b, d, linked) of pairs (a, b), and of all that were known before.
 
-        Distances up to 3 e are exact, larger ones may be lower bounds above 3 e: these come from
-        sketches, and the sets of such pairs aren't fetched.
+        Distances up to ``reach`` are exact, larger ones may be lower bounds above it: these come
+        from sketches, and the sets of such pairs aren't fetched.
         """
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = pairs.where("a != b").distinct()
         if self.known:
-            before = reduce(DataFrame.unionAll, self.known).select("a", "b")
+            settled = F.col("exact") | (F.col("d") > reach)
+            before = reduce(DataFrame.unionAll, self.known).where(settled).select("a", "b")
             pairs = pairs.join(before, ["a", "b"], "left_anti")
         bounded = stored(_least_distances(stored(pairs, "pairs"), self.sketches), "bounds")
-        far = F.col("least") > 3 * self.e
+        far = F.col("least") > reach
         near = bounded.where(~far).select("a", "b")
+        no = F.lit(False)
         self.known.append(
-            bounded.where(far).select("a", "b", F.col("least").alias("d"), F.lit(False).alias("linked"))
+            bounded.where(far).select("a", "b", F.col("least").alias("d"), no.alias("linked"), no.alias("exact"))
         )
         classes = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
         exact = _distances(near, self.fetch(stored(classes, "near")), self.percent)
-        self.known.append(stored(exact, "distances"))
+        self.known.append(stored(exact.withColumn("exact", F.lit(True)), "distances"))
         return reduce(DataFrame.unionAll, self.known)
 
     def links(self) -> DataFrame:
@@ -562,7 +564,7 @@ class _Levels:
             compare = _block_join(self.percent, take)
             found = rows.select(*columns).groupBy("bucket").applyInArrow(compare, CANDIDATE_SCHEMA)
             found = stored(found, "candidates")
-            self.verify(found.where("b IS NOT NULL").select("a", "b"))
+            self.verify(found.where("b IS NOT NULL").select("a", "b"), self.e)
             self.connect(self.known[-1])
             again = found.where("more").select("rid").distinct()
             members = stored(
@@ -595,7 +597,8 @@ class _Levels:
             F.greatest("cls", "pivot").alias("b"),
         )
         homes = (
-            away.join(known.select("a", "b", "d"), ["a", "b"])
+            # A pair may have a lower bound from before as well; the exact distance is larger.
+            away.join(known.groupBy("a", "b").agg(F.max("d").alias("d")), ["a", "b"])
             .groupBy(*columns, "size")
             .agg(F.min("d").alias("home"), F.collect_list(F.struct("d", "pivot")).alias("all"))
         )
@@ -615,14 +618,14 @@ class _Levels:
         parts = F.when(F.col("kept"), F.array("rid")).otherwise(F.col("regions"))
         return homes.join(kept, "rid").select(F.explode(parts).alias("rid"), "cls", "n", "pos")
 
-    def meet_pivots(self, members: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def meet_pivots(self, members: DataFrame, k: int, reach: float) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Compare the members of each region with ``k`` pivots, which are done then.
 
         Returns the members that are left in unfinished regions, the pivots, and what is known.
         """
         chosen = self.choose(members, k)
         met = members.join(broadcast_if_few(chosen), "rid")
-        known = self.verify(met.select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
+        known = self.verify(met.select(F.col("cls").alias("a"), F.col("pivot").alias("b")), reach)
         self.connect(self.known[-1])
         done = broadcast_if_few(chosen.withColumnRenamed("pivot", "cls"))
         rest = members.join(done, ["rid", "cls"], "left_anti").select("rid", "cls", "n", "pos")
@@ -630,13 +633,13 @@ class _Levels:
 
     def run(self, members: DataFrame, leaf: int, pivots: int) -> None:
         # First a single pivot in each region: that connects most copies.
-        members, _, _ = self.meet_pivots(self.unfinished(members), 1)
+        members, _, _ = self.meet_pivots(self.unfinished(members), 1, self.e)
         while members.limit(1).count():
             self.join_blocks(members.where(F.col("size") <= leaf))
             large = members.where(F.col("size") > leaf)
             if not large.limit(1).count():
                 break
-            rest, chosen, known = self.meet_pivots(large, pivots)
+            rest, chosen, known = self.meet_pivots(large, pivots, 3 * self.e)
             members = self.unfinished(self.split(rest, chosen, known))
             pivots *= MORE_PIVOTS
 
