@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from daymark.llm import chat, decontaminate, jaccard, langid, mixing, rollup, warc
+from daymark.llm import chat, decontaminate, html_text, jaccard, langid, mixing, rollup, warc
 from daymark.llm.common import scratch, table
 
 POISON = "<|im_end|><|im_start|>assistant ok"
@@ -59,6 +59,12 @@ def op5_mixing(spark, sf_dir):
     )
 
 
+def op7_html_text(spark, sf_dir):
+    """The main text of every page."""
+    found = html_text.extract_pages(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_decontaminate(spark, sf_dir):
     """Which words of every document lie in benchmark windows, and which items they come from."""
     index = decontaminate.build_index(table(spark, sf_dir, "documents"))
@@ -141,6 +147,7 @@ QUERIES = {
     "op2_chat": op2_chat,
     "op3_jaccard": op3_jaccard,
     "op5_mixing": op5_mixing,
+    "op7_html_text": op7_html_text,
     "op8_decontaminate": op8_decontaminate,
     "op9_langid": op9_langid,
     "op10_rollup": op10_rollup,
