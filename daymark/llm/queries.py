@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from daymark.llm import chat, decontaminate, html_text, jaccard, langid, mixing, rollup, warc
+from daymark.llm import chat, decontaminate, html_text, iblt, jaccard, langid, mixing, rollup, warc
 from daymark.llm.common import scratch, table
 
 POISON = "<|im_end|><|im_start|>assistant ok"
@@ -59,6 +59,11 @@ def op5_mixing(spark, sf_dir):
     )
 
 
+def op6_fingerprints(spark, sf_dir):
+    """Sketches of every document and its edited version, and how alike they and the next are."""
+    return iblt.compare_versions(table(spark, sf_dir, "documents"))
+
+
 def op7_html_text(spark, sf_dir):
     """The main text of every page."""
     found = html_text.extract_pages(table(spark, sf_dir, "pages"))
@@ -147,6 +152,7 @@ QUERIES = {
     "op2_chat": op2_chat,
     "op3_jaccard": op3_jaccard,
     "op5_mixing": op5_mixing,
+    "op6_fingerprints": op6_fingerprints,
     "op7_html_text": op7_html_text,
     "op8_decontaminate": op8_decontaminate,
     "op9_langid": op9_langid,
