@@ -707,3 +707,19 @@ def similarity_join(
         F.coalesce("copies", F.lit(1).cast("long")).alias("copies"),
     )
     return labelled, links
+
+
+def one_of_each_group(
+    docs: DataFrame, percent: int = LEAST_PERCENT, size: int = SHINGLE_WORDS
+) -> DataFrame:
+    """The rows of ``docs`` without those that are linked to a document with a smaller id.
+
+    Of rows repeated with their id and text one stays; rows without an id all stay.
+    """
+    labelled, _ = similarity_join(docs, percent, size)
+    labelled = stored(labelled, "labelled")
+    gone = stored(labelled.where("doc_id != component_id").select("doc_id").distinct(), "gone")
+    if labelled.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        keyed = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
+        docs = keyed.unionByName(docs.where("doc_id IS NULL"))
+    return docs.join(broadcast_if_few(gone), "doc_id", "left_anti").select(*docs.columns)

@@ -127,16 +127,16 @@ def _thresholds(sizes: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def mix(
+def plan(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
     share: float = SHARE,
     most_epochs: int = MOST_EPOCHS,
-) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of (doc_id, text, source).
+) -> tuple[DataFrame, DataFrame]:
+    """The sizes of (doc_id, source, text), and how each source is taken.
 
-    ``taken`` is the words that the mix takes of the document: its size as often as it is
-    repeated, 0 where it is left out.
+    The second is (_source, source_size, target, whole, threshold): ``whole`` times all documents,
+    and once more those with a hash below the threshold.
     """
     sizes = stored(
         own_columns(docs, "doc_id", "source", "text").select(
@@ -146,23 +146,50 @@ def mix(
     )
     targets = stored(source_targets(sizes, weights, share, most_epochs), "targets")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    plan = targets.withColumn("whole", whole.cast("long"))
-    wanted = plan.select(
+    taken = targets.withColumn("whole", whole.cast("long"))
+    wanted = taken.select(
         "source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("wanted")
     ).where("wanted > 0")
     bounds = _thresholds(sizes.select("source", "hash", "size"), wanted)
-    plan = plan.join(
-        bounds.withColumnRenamed("source", "_source"),
-        plan["source"].eqNullSafe(F.col("_source")),
-        "left",
-    ).drop("_source")
-    plan = broadcast_if_few(stored(plan.withColumnRenamed("source", "_source"), "plan"))
-    below = F.col("hash") < F.coalesce("threshold", F.lit(0).cast("long"))
-    return sizes.join(plan, sizes["source"].eqNullSafe(plan["_source"])).select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * (F.col("whole") + F.when(below, 1).otherwise(0))).alias("taken"),
+    bounds = bounds.withColumnRenamed("source", "_source")
+    taken = taken.join(bounds, taken["source"].eqNullSafe(F.col("_source")), "left").drop("_source")
+    none = F.lit(0).cast("long")
+    taken = taken.withColumn("threshold", F.coalesce("threshold", none))
+    return sizes, stored(taken.withColumnRenamed("source", "_source"), "plan")
+
+
+def mix(
+    docs: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    share: float = SHARE,
+    most_epochs: int = MOST_EPOCHS,
+) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken) of (doc_id, text, source).
+
+    ``taken`` is the words that the mix takes of the document: its size as often as it is
+    repeated, 0 where it is left out.
+    """
+    sizes, taken = plan(docs, weights, share, most_epochs)
+    taken = broadcast_if_few(taken)
+    times = F.col("whole") + (F.col("hash") < F.col("threshold")).cast("long")
+    return sizes.join(taken, sizes["source"].eqNullSafe(taken["_source"])).select(
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * times).alias("taken")
+    )
+
+
+def mixed(
+    docs: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    share: float = SHARE,
+    most_epochs: int = MOST_EPOCHS,
+) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it does, numbered by ``copy``."""
+    _, taken = plan(docs, weights, share, most_epochs)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    taken = broadcast_if_few(
+        taken.select(*(F.col(c).alias(f"_mix_{c}") for c in ("_source", "whole", "threshold")))
     )
+    extra = (id_hash("doc_id") < F.col("_mix_threshold")).cast("long")
+    rows = docs.join(taken, docs["source"].eqNullSafe(taken["_mix__source"]))
+    rows = rows.withColumn("_mix_times", F.col("_mix_whole") + extra).where("_mix_times > 0")
+    return rows.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_mix_times").cast("int"))).alias("copy"))
