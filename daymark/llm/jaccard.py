@@ -66,12 +66,12 @@ FIRST_TAKE = 2  # candidates of a member and a component that are verified at fi
 FIRST_PIVOTS = 16  # after a first level with one
 MORE_PIVOTS = 4  # times as many from level to level
 ODD_BITS = 4  # buckets of an odd sketch for each shingle
-POSTINGS_PER_BUCKET = 1_000_000
+POSTINGS_PER_BUCKET = 300_000
 SPREAD = 64
 
 SETS_SCHEMA = "doc_id long, cls long, other long, n int, chunk int, counts binary"
 CANDIDATE_SCHEMA = "rid long, a long, b long, more boolean"
-POSTING_SCHEMA = "shingle long, cls long, n int, pos int"
+POSTING_SCHEMA = "shingle long, cls long, n int, pos int, hot boolean"
 
 
 def _sets(column: pa.Array, size: int, seed: int) -> Iterator[np.ndarray]:
@@ -96,6 +96,12 @@ def shingled(docs: DataFrame, size: int = SHINGLE_WORDS, seed: int = 0) -> DataF
     ``cls`` and ``other`` are the two halves of a hash of the set, null for an empty one.
     """
 
+    def count(counters: np.ndarray, fresh: list[np.ndarray]) -> None:
+        if fresh:
+            marks = np.concatenate(fresh).astype(np.int64)
+            counters += np.bincount(marks, minlength=1 << SKETCH_BITS).astype(np.uint32)
+            fresh.clear()
+
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(1 << SKETCH_BITS, np.uint32)
         seen = set()
@@ -110,9 +116,9 @@ def shingled(docs: DataFrame, size: int = SHINGLE_WORDS, seed: int = 0) -> DataF
                 if both[0] not in seen:
                     seen.add(both[0])
                     fresh.append(own >> np.uint64(64 - SKETCH_BITS))
-            for at in range(0, len(fresh), 1000):
-                marks = np.concatenate(fresh[at : at + 1000]).astype(np.int64)
-                counters += np.bincount(marks, minlength=1 << SKETCH_BITS).astype(np.uint32)
+                if len(fresh) == 500:
+                    count(counters, fresh)
+            count(counters, fresh)
             if rows:
                 columns = [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32()))]
                 nulls = [pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())]
@@ -226,14 +232,16 @@ def postings(docs: DataFrame, sets: DataFrame, size: int, percent: int, seed: in
             np.frombuffer(b"".join(table[name].to_pylist()), kind)
             for name, kind in zip(("shingle", "cls", "n", "pos"), kinds)
         )
-        if table["bucket"][0].as_py() >= 0:
+        hot = table["bucket"][0].as_py() < 0
+        if not hot:
             by = np.lexsort((cls, shingles))
             same = (shingles[by][1:] == shingles[by][:-1]) & (cls[by][1:] == cls[by][:-1])
             by = by[np.concatenate(([True], ~same))]  # copies in several tasks
             _, which, many = np.unique(shingles[by], return_inverse=True, return_counts=True)
             by = by[many[which] > 1]
             shingles, cls, n, pos = (x[by] for x in (shingles, cls, n, pos))
-        return pa.table({"shingle": shingles, "cls": cls, "n": n, "pos": pos})
+        flag = np.full(len(n), hot)
+        return pa.table({"shingle": shingles, "cls": cls, "n": n, "pos": pos, "hot": flag})
 
     packed = "bucket int, shingle binary, cls binary, n binary, pos binary"
     rows = own_columns(docs, "text").mapInArrow(cut, packed)
@@ -381,6 +389,13 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
+def _may_link(percent: int) -> Column:
+    """Whether the sizes of a pair, and its places where it meets first, allow a link."""
+    need = F.ceil(percent * (F.col("n") + F.col("n2")) / (100 + percent) - 1e-9)
+    left = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
+    return (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (left >= need)
+
+
 def _block_join(percent: int, take: int) -> Callable[[pa.Table], pa.Table]:
     """A function from rows of regions' blocks to CANDIDATE_SCHEMA.
 
@@ -519,17 +534,20 @@ class _Levels:
             labelled = members.join(broadcast_if_few(self.roots), "cls", "left").withColumns(
                 {"root": F.coalesce("root", "cls"), "weight": F.coalesce("weight", F.lit(1))}
             )
+        sums = [
+            F.count("*").alias("size"),
+            F.bit_xor(F.xxhash64("cls")).alias("_s1"),
+            F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("_s2"),
+        ]
+        by_region = labelled.groupBy("rid")
+        if self.roots is None:
+            open_ = by_region.agg(*sums).where("size > 1").withColumn("main", F.lit(None).cast("long"))
+        else:
+            main = F.max(F.struct("weight", "root"))["root"].alias("main")
+            least, most = F.min("root").alias("_r1"), F.max("root").alias("_r2")
+            open_ = by_region.agg(*sums, main, least, most).where("_r1 != _r2")
         open_ = (
-            labelled.groupBy("rid")
-            .agg(
-                F.min("root").alias("_r1"),
-                F.max("root").alias("_r2"),
-                F.count("*").alias("size"),
-                F.max(F.struct("weight", "root"))["root"].alias("main"),
-                F.bit_xor(F.xxhash64("cls")).alias("_s1"),
-                F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("_s2"),
-            )
-            .where("_r1 != _r2")
+            open_
             # Near copies share many regions with the same members: one of each is enough.
             .groupBy("_s1", "_s2", "size", "main")
             .agg(F.min("rid").alias("rid"), F.count("*").alias("same"))
@@ -573,7 +591,7 @@ class _Levels:
             take *= 4
 
     def choose(self, members: DataFrame, k: int) -> DataFrame:
-        """(rid, pivot): ``k`` members of each region, those outside its main component first.
+        """(rid, pivot, n2, pos2): ``k`` members of each region, those outside its main component first.
 
         The order is the same in all regions, so sets that share several regions have few pivots.
         """
@@ -582,7 +600,7 @@ class _Levels:
         return stored(
             members.withColumn("_rank", F.row_number().over(order))
             .where(F.col("_rank") <= k)
-            .select("rid", F.col("cls").alias("pivot")),
+            .select("rid", F.col("cls").alias("pivot"), F.col("n").alias("n2"), F.col("pos").alias("pos2")),
             "pivots",
         )
 
@@ -625,9 +643,11 @@ class _Levels:
         """
         chosen = self.choose(members, k)
         met = members.join(broadcast_if_few(chosen), "rid")
+        if reach <= self.e:  # then only links are asked for
+            met = met.where(_may_link(self.percent))
         known = self.verify(met.select(F.col("cls").alias("a"), F.col("pivot").alias("b")), reach)
         self.connect(self.known[-1])
-        done = broadcast_if_few(chosen.withColumnRenamed("pivot", "cls"))
+        done = broadcast_if_few(chosen.select("rid", F.col("pivot").alias("cls")))
         rest = members.join(done, ["rid", "cls"], "left_anti").select("rid", "cls", "n", "pos")
         return self.unfinished(rest), chosen, known
 
@@ -672,10 +692,12 @@ def similarity_join(
         )
         if not classes.where("clash").limit(1).count():
             break
-    regions = postings(docs, sets, size, percent, seed)
-    members = stored(
-        regions.dropDuplicates(["shingle", "cls"]).withColumnRenamed("shingle", "rid"), "regions"
-    )
+    regions = stored(postings(docs, sets, size, percent, seed), "postings")
+    members = regions.where("NOT hot").select(F.col("shingle").alias("rid"), "cls", "n", "pos")
+    if regions.where("hot").limit(1).count():
+        # Copies in several tasks were not met in a bucket.
+        hot = regions.where("hot").select(F.col("shingle").alias("rid"), "cls", "n", "pos")
+        members = members.unionByName(hot.dropDuplicates(["rid", "cls"]))
     def made(of: DataFrame, pack, kind: str, name: str) -> DataFrame:
         wanted = stored(classes.join(of, "cls").select("rep", "cls"), "wanted")
         return stored(_of_classes(docs, wanted, size, seed, pack, kind), name)

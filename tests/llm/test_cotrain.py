@@ -84,13 +84,11 @@ def test_views_teach_each_other():
     """A view that has seen few labels learns from the other one's sure guesses."""
     rng = np.random.default_rng(1)
     y = (rng.random(2000) < 0.5).astype(float)
-    left = y[:, None] + rng.normal(0, 0.1, (2000, 10))
+    left = y[:, None] + rng.normal(0, 0.1, (2000, 30))
     right = np.hstack([y[:, None] + rng.normal(0, 0.4, (2000, 1)), rng.normal(0, 1, (2000, 30))])
-    few = slice(0, 40)
-    pool = slice(40, 1500)
+    few, pool, test = slice(0, 60), slice(60, 1500), slice(1500, 2000)
     _, taught = cotrain.co_train(left[few], right[few], y[few], left[pool], right[pool])
     alone = cotrain.fit_view(right[few], y[few], 20.0)
-    test = slice(1500, 2000)
     accuracy = [np.mean((v.raw(right[test]) > 0) == y[test]) for v in (alone, taught)]
     assert accuracy[1] > accuracy[0]
 
