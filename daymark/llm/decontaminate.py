@@ -36,7 +36,7 @@ from daymark.llm.common import broadcast_if_few, own_columns, stored
 from daymark.llm.textops import ALPHANUMERIC, text_slices, words
 
 WINDOW = 13
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_000_000
 BLOCK_WORDS = 200_000  # of test items that are searched at once
 
 INDEX_SCHEMA = (

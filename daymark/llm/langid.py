@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymark.llm.common import own_columns, stored
-from daymark.llm.textops import mix
+from daymark.llm.textops import give_back, mix
 
 ORDER = 4
 FOLDS = 4
@@ -110,6 +110,7 @@ def _text_slices(column: pa.Array) -> Iterator[tuple[int, int, list[str | None]]
             texts, first, size = [], at + 1, 0
     if texts:
         yield first, len(column), texts
+    give_back()
 
 
 def _predicted_places(starts: np.ndarray) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -77,6 +78,15 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Ranges of texts with their bytes and their offsets in these."""
     data, offsets = utf8(column)
@@ -84,6 +94,7 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         yield first, last, data[offsets[first] : offsets[last]], (
             offsets[first : last + 1] - offsets[first]
         )
+    give_back()
 
 
 class Words(NamedTuple):
