@@ -42,8 +42,8 @@ MAX_GRAMS = 400_000
 UNKNOWN = "und"
 FALSE_REJECTIONS = 0.0005
 REJECTION_SLACK = 1.25
-SLICE_CHARS = 1_000_000
-HELD_GRAMS = 1_000_000  # distinct runs that a task holds before it passes them on
+SLICE_CHARS = 250_000
+HELD_GRAMS = 250_000  # distinct runs that a task holds before it passes them on
 DIRECTORY_BITS = 18
 CALIBRATION_BINS = 400
 
@@ -166,7 +166,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
                 at = at[where]
                 chars = codes[at[:, None] + np.arange(ORDER)]
                 held.append((keys, lang[at].astype(np.int64), chars, n))
-                if len(held) > 8:
+                if len(held) > 4:
                     held[:] = [merged()]
                     if len(held[0][0]) > HELD_GRAMS:
                         yield from emit()
