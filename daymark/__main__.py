@@ -32,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     sub = job("run-latest", "extract, transform and load the newest date", "raw", "base", "database")
     sub.add_argument("--back", type=int, default=2)
     sub = job("backfill", "write the summary and the comparison of all dates", "raw", "base")
+    sub.add_argument("--database", help="where the summary table is registered, if anywhere")
     sub.add_argument("--back", type=int, default=2)
     sub = job("ingest", "refine the files that landed since the last run", "raw", "out", "checkpoint")
     sub.add_argument(
@@ -57,7 +58,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "run-latest":
         print(*plans.run_latest(spark, args.raw, args.base, args.database, args.back))
     elif args.job == "backfill":
-        plans.store_backfill(spark, args.raw, args.base, args.back)
+        plans.store_backfill(spark, args.raw, args.base, args.back, args.database)
     else:
         streaming.ingest_new_files(
             spark, args.raw, args.out, args.checkpoint, args.max_files_per_batch

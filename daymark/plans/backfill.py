@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark import schemas
+from daymark import catalog, schemas
 from daymark.operators import compare_all_dates, conform, latest_capture, refine, summarise
 from daymark.sinks import write_partitioned, write_refined
 from daymark.sources import list_partitions, read_refined, read_snapshots
@@ -26,8 +26,15 @@ def compare_dates(spark: SparkSession, raw_root: str, back: int = 2) -> DataFram
     )
 
 
-def store_backfill(spark: SparkSession, raw_root: str, base: str, back: int = 2) -> None:
-    """Both results of all dates, rebuilt under ``base``. Raw rows are parsed once."""
+def store_backfill(
+    spark: SparkSession, raw_root: str, base: str, back: int = 2, database: str | None = None
+) -> None:
+    """Both results of all dates that ``raw_root`` has, under ``base``. Raw rows are parsed once.
+
+    Results of dates that the raw root no longer has stay, and so do leaves of a rebuilt
+    date that it has no rows for. With a ``database`` the summary table there shows all
+    of them afterwards.
+    """
     by_date = [schemas.DATE_COL]
     refined_path, summary_path = f"{base}/refined/all", f"{base}/results/summary_all"
     comparison_path = f"{base}/results/comparison_all"
@@ -42,4 +49,14 @@ def store_backfill(spark: SparkSession, raw_root: str, base: str, back: int = 2)
         (summary_path, f"{base}/agrupamento", schemas.SUMMARY_PARTITIONS),
         (comparison_path, f"{base}/comparacao_datas", by_date),
     ):
-        write_partitioned(read_refined(spark, stored), path, partitions, whole=True)
+        write_partitioned(read_refined(spark, stored), path, partitions)
+    if database:
+        catalog.ensure_database(spark, database)
+        catalog.register_external(
+            spark,
+            database,
+            schemas.SUMMARY_TABLE,
+            schemas.SUMMARY_SCHEMA,
+            f"{base.rstrip('/')}/agrupamento",
+            schemas.SUMMARY_PARTITIONS,
+        )

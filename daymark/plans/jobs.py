@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from daymark import catalog, schemas
 from daymark.operators import (
@@ -63,17 +64,26 @@ def load(
 
     The summary is read twice, to count its partitions and to write them.
     ``replaced_date`` also removes what an earlier run stored for that date and this
-    one does not have.
+    one does not have; rows of other dates are written as well. A summary without rows
+    of that date is refused before anything is touched.
+
+    Every load looks all partition directories up, so a table also shows what a load
+    wrote that broke off before it could register it.
     """
     spark = summary.sparkSession
     base = base.rstrip("/")
     summary_path, comparison_path = f"{base}/agrupamento", f"{base}/comparacao"
     rows = conform(summary, schemas.SUMMARY_SCHEMA)
     if replaced_date:
+        of_date = F.col(schemas.DATE_COL).eqNullSafe(F.lit(replaced_date))
+        if not rows.where(of_date).limit(1).count():
+            raise ValueError(f"the summary has no rows of {replaced_date!r}")
+        others = rows.where(~of_date)
         replace_date(rows, summary_path, replaced_date)
-        added = None  # and leaves may be gone, which a repair finds
+        if others.limit(1).count():
+            write_partitioned(others, summary_path)
     else:
-        added = write_partitioned(rows, summary_path)
+        write_partitioned(rows, summary_path)
     write_refined(
         conform(comparison, schemas.COMPARISON_SCHEMA, schemas.COMPARISON_RENAMES), comparison_path
     )
@@ -85,7 +95,6 @@ def load(
         schemas.SUMMARY_SCHEMA,
         summary_path,
         schemas.SUMMARY_PARTITIONS,
-        added,
     )
     catalog.register_external(
         spark, database, schemas.COMPARISON_TABLE, schemas.COMPARISON_SCHEMA, comparison_path

@@ -388,3 +388,44 @@ def test_stream_reads_each_file_once(spark, root, tmp_path):
     batch = operators.refine(sources.read_snapshots(spark, root)).drop("capture_ts")
     streamed = sources.read_refined(spark, out, schemas.REFINED_SCHEMA)
     assert count() == 9 and bag(streamed) == bag(batch)
+
+
+def load(spark, base, rows, replaced=None):
+    compared = spark.createDataFrame([], schemas.COMPARISON_SCHEMA)
+    plans.load(summary(spark, *rows), compared, base, "loads", replaced)
+    table = spark.table(f"loads.{schemas.SUMMARY_TABLE}")
+    return Counter(r[schemas.DATE_COL] for r in table.collect())
+
+
+@pytest.fixture
+def loads(spark):
+    yield
+    spark.sql("DROP DATABASE IF EXISTS loads CASCADE")
+
+
+def test_load_replacing_a_date_keeps_the_others(spark, tmp_path, loads):
+    base = str(tmp_path)
+    load(spark, base, [("d1", "x", "A", 1), ("d1", "y", "B", 1)])
+    with pytest.raises(ValueError, match="no rows"):
+        load(spark, base, [("d2", "x", "A", 1)], "d1")
+    assert load(spark, base, [("d1", "x", "A", 2), ("d2", "x", "A", 1)], "d1") == {"d1": 1, "d2": 1}
+
+
+def test_load_after_an_interrupted_one(spark, tmp_path, loads):
+    base = str(tmp_path)
+    load(spark, base, [("d1", "x", "A", 1)])
+    sinks.write_partitioned(summary(spark, ("d2", "x", "A", 1)), f"{base}/agrupamento")
+    assert load(spark, base, [("d3", "x", "A", 1)]) == {"d1": 1, "d2": 1, "d3": 1}
+
+
+def test_backfill_keeps_dates_that_are_gone(spark, tmp_path, loads):
+    base, raw = f"{tmp_path}/out", f"{tmp_path}/raw"
+    load(spark, base, [("20200101", "x", "A", 1)])
+    day = spark.createDataFrame(
+        [("U1", "x", "ON", "1.000", "1,5", "20240102")],
+        [h[0] for h in schemas.HEADERS.values()] + [schemas.DATE_COL],
+    )
+    day.write.partitionBy(schemas.DATE_COL).parquet(raw)
+    plans.store_backfill(spark, raw, base, database="loads")
+    table = spark.table(f"loads.{schemas.SUMMARY_TABLE}")
+    assert Counter(r[schemas.DATE_COL] for r in table.collect()) == {"20200101": 1, "20240102": 1}
