@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 # Rows of a few numbers that may be broadcast: some 20 MB in each executor.
 MAX_BROADCAST_ROWS = 500_000
+BATCH_ROWS = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +49,18 @@ def broadcast_if_few(df: DataFrame, most: int = MAX_BROADCAST_ROWS) -> DataFrame
     return F.broadcast(df) if few(df, most) else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python workers in batches of at most BATCH_ROWS rows.
+
+    Spark's default of 10,000 rows is tens of megabytes of texts, held on both sides. Only a
+    larger setting is changed.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def own_columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns: others never clash with what an operator adds."""
     return df.select(*(F.col(f"`{name}`") for name in names))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import own_columns, stored
+from daymark.llm.common import own_columns, small_batches, stored
 from daymark.llm.textops import NOT_SPACE, text_slices, words
 
 LABELLED = 6000
@@ -268,6 +268,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model |
 
     Without documents of both labels, the share of good ones.
     """
+    small_batches(docs.sparkSession)
     known = labels.select("doc_id", F.col(label).cast("double").alias("y")).where(
         "doc_id IS NOT NULL AND y IS NOT NULL"
     )
@@ -298,6 +299,7 @@ SCORE_SCHEMA = "quality_score double, text_score double, meta_score double, reje
 
 def score(docs: DataFrame, model: Model | float) -> DataFrame:
     """(doc_id) and SCORE_SCHEMA of every document."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [part.split()[0] for part in SCORE_SCHEMA.split(", ")]
 
@@ -314,6 +316,7 @@ def score(docs: DataFrame, model: Model | float) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model | float) -> DataFrame:
     """The rows of ``docs`` that are not rejected, as they are."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from daymark.llm.common import broadcast_if_few, own_columns, stored
+from daymark.llm.common import broadcast_if_few, own_columns, small_batches, stored
 from daymark.llm.textops import ALPHANUMERIC, text_slices, words
 
 WINDOW = 13
@@ -99,6 +99,8 @@ def _shard(number: int, ids: list, counts: list[np.ndarray], hashes: list[np.nda
 def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     """The stored index of (doc_id, text), as INDEX_SCHEMA has it."""
 
+    small_batches(docs.sparkSession)
+
     def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Shards are only told apart, so what they are numbered from may differ between runs.
         number = TaskContext.get().partitionId() << 32

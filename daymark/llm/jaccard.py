@@ -51,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daymark.llm.common import broadcast_if_few, own_columns, stored
+from daymark.llm.common import broadcast_if_few, own_columns, small_batches, stored
 from daymark.llm.textops import NOT_SPACE, mix, shingle_sets, text_slices, words
 
 SHINGLE_WORDS = 4
@@ -676,6 +676,7 @@ def similarity_join(
     ``copies`` is the number of documents with an equal set; links are between the smallest ids
     of such documents.
     """
+    small_batches(docs.sparkSession)
     for seed in range(10):
         sets = stored(shingled(docs, size, seed), "sets")
         rows = sets.where("chunk IS NULL").select("doc_id", "cls", "other", "n")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import own_columns, stored
+from daymark.llm.common import own_columns, small_batches, stored
 from daymark.llm.textops import give_back, mix
 
 ORDER = 4
@@ -494,6 +494,7 @@ def _logistic(x: np.ndarray, right: np.ndarray, wrong: np.ndarray) -> tuple[floa
 
 def train(docs: DataFrame, most: int = MAX_GRAMS) -> Model | None:
     """The model of (doc_id, text, lang), without the held-out fold; None if there is nothing."""
+    small_batches(docs.sparkSession)
     rows = own_columns(docs, "doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
     calibration = rows.where(fold() == CALIBRATION)
     counts = stored(
@@ -544,6 +545,7 @@ def _fields() -> list[tuple[str, pa.DataType]]:
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, held_out) and PREDICTION_SCHEMA for each row of (doc_id, text)."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -563,6 +565,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows of ``docs`` whose language is not rejected, as they are."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
