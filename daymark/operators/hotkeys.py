@@ -6,26 +6,25 @@ when one key's right rows, or identical copies of one row, are too many for a ta
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil, isqrt
+from math import isqrt
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymark.local import local_frame
+from daymark.operators.small import small_rows
 
 # The rows of a key on one side are cut into pieces of at most this size, and into
 # smaller ones if a pair of pieces would give more than PAIRS_PER_ROW times as many rows.
 ROWS_PER_TASK = 1_000_000
 PAIRS_PER_ROW = 200
-# Only keys above this fraction of a side's rows are cut, so a side has at most as
-# many hot keys as its inverse.
-MAX_HOT = 1000
-# Rows are first counted per hash bucket of their key. An even bucket has a fraction of
-# 1 / BUCKETS of the rows, so one above 1 / MAX_HOT has a heavy key.
+# More hot keys than this are not held as values.
+MAX_KNOWN = 20_000
+# Rows are first counted per hash bucket of their key; a bucket that is small on both
+# sides has no hot key, and its keys are not counted one by one.
 BUCKETS = 8192
 MAX_HOT_TASKS = 20_000
 
@@ -58,70 +57,77 @@ def _bucket(keys: Sequence[str]) -> Column:
 
 def _heavy_buckets(
     left: DataFrame, right: DataFrame, keys: Sequence[str], at_least: int
-) -> tuple[set[int], dict[str, int]]:
-    """The buckets with more rows than a side's limit, and those limits.
+) -> list[int]:
+    """The buckets with more than ``at_least`` rows of a side.
 
-    No heavy key is missed, as its bucket is no smaller. Each task counts before the
+    No hot key is missed, as its bucket is no smaller. Each task counts before the
     shuffle, and the driver gets one number per bucket.
     """
     counts = (
         _sides(left, right, _bucket(keys).alias("_bucket"))
         .groupBy("_side", "_bucket")
         .agg(F.count("*").alias("_rows"))
-        .collect()
+        .where(F.col("_rows") > at_least)
     )
-    rows = Counter()
-    for side, _, n in counts:
-        rows[side] += n
-    limits = {side: max(at_least, n // MAX_HOT) for side, n in rows.items()}
-    return {bucket for side, bucket, n in counts if n > limits[side]}, limits
+    return sorted({row["_bucket"] for row in counts.collect()})
 
 
-def _splits(own: int, other: int, rows_per_task: int) -> int:
+def _splits(own: str, other: str, rows_per_task: int) -> Column:
     """Into how many pieces ``own`` rows of a key are cut that meet ``other`` rows each."""
     pairs = rows_per_task * PAIRS_PER_ROW
-    piece = min(rows_per_task, max(isqrt(pairs), pairs // max(other, 1)))
-    return max(1, ceil(own / piece))
+    by_pairs = F.floor(F.lit(pairs) / F.greatest(F.col(other), F.lit(1)))
+    piece = F.least(F.lit(rows_per_task), F.greatest(F.lit(isqrt(pairs)), by_pairs))
+    return F.greatest(F.lit(1), F.ceil(F.col(own) / piece)).cast("long")
 
 
 def find_hot_keys(
     left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> HotKeys:
-    """The keys whose rows or pairs are too many for one task.
+    """The keys whose rows or pairs are too many for one task, however many rows there are.
 
     One pass over the key columns of both sides; only if that finds heavy buckets are
-    the keys in them counted. At most ``MAX_HOT`` keys per side reach the driver, as
-    no more can be above the limit.
+    the keys in them counted, with a partial count in each task. Few hot keys are held
+    as values; more than can be broadcast stay a frame, for a shuffled join.
     """
     at_least = min(rows_per_task, isqrt(rows_per_task * PAIRS_PER_ROW))
-    buckets, limits = _heavy_buckets(left, right, keys, at_least)
+    buckets = _heavy_buckets(left, right, keys, at_least)
     if not buckets:
         return HotKeys(None, False)
-    heavy = reduce(
-        Column.__or__, [F.col(f"_{side}_rows") > limit for side, limit in limits.items()]
-    )
-    counted = (
-        _sides(*(df.where(_bucket(keys).isin(buckets)) for df in (left, right)), *keys)
+    if len(buckets) < BUCKETS // 2:
+        left, right = (df.where(_bucket(keys).isin(buckets)) for df in (left, right))
+    grid = "_left_splits", "_right_splits"
+    hot = (
+        _sides(left, right, *keys)
         .groupBy(*keys)
         .agg(
             F.count_if(F.col("_side") == "left").alias("_left_rows"),
             F.count_if(F.col("_side") == "right").alias("_right_rows"),
         )
-        .where(heavy)
+        .where(F.greatest("_left_rows", "_right_rows") > at_least)
+        .withColumn(grid[0], _splits("_left_rows", "_right_rows", rows_per_task))
+        .withColumn(grid[1], _splits("_right_rows", "_left_rows", rows_per_task))
+        .withColumn("_matchless", _matches_nothing(keys))
+        .where(
+            F.when(F.col("_matchless"), F.col("_left_rows") > rows_per_task).otherwise(
+                F.greatest(*grid) > 1
+            )
+        )
+        .select(*keys, *grid, "_matchless")
     )
-    rows, nulls = [], False
-    for *key, n_left, n_right in counted.collect():
-        if None in key:
-            nulls = nulls or n_left > rows_per_task
-            continue
-        grid = _splits(n_left, n_right, rows_per_task), _splits(n_right, n_left, rows_per_task)
-        if max(grid) > 1:
-            rows.append((*key, *grid))
-    if not rows:
+    rows = small_rows(hot, MAX_KNOWN)
+    if rows is None:
+        matchless = F.col("_matchless")
+        nulls = bool(hot.where(matchless).limit(1).count())
+        hot = hot.where(~matchless).drop("_matchless")
+        cells = hot.agg(F.sum(F.col(grid[0]) * F.col(grid[1]))).first()[0]
+        return HotKeys(hot if cells else None, nulls, cells or 0)
+    nulls = any(row["_matchless"] for row in rows)
+    known = [tuple(row)[:-1] for row in rows if not row["_matchless"]]
+    if not known:
         return HotKeys(None, nulls)
-    schema = left.select(*keys).schema.add("_left_splits", "long").add("_right_splits", "long")
-    cells = sum(row[-2] * row[-1] for row in rows)
-    return HotKeys(local_frame(left.sparkSession, rows, schema), nulls, cells)
+    schema = hot.drop("_matchless").schema
+    cells = sum(row[-2] * row[-1] for row in known)
+    return HotKeys(F.broadcast(local_frame(left.sparkSession, known, schema)), nulls, cells)
 
 
 def _pieces(df: DataFrame, own: str, other: str, own_axis: str, other_axis: str) -> DataFrame:
@@ -199,7 +205,7 @@ def spread_left_join(
         branches.append(left.where(matchless).withColumns(empty))
         left = left.where(~matchless)
     if hot.frame is not None:
-        known = F.broadcast(hot.frame)
+        known = hot.frame
         branches.append(_hot_join(left.join(known, keys), right.join(known, keys), keys, hot.cells))
         left, right = (df.join(known, keys, "left_anti") for df in (left, right))
     branches.append(left.join(right, keys, "left"))

@@ -108,8 +108,8 @@ def test_hot_keys_are_counted_exactly(spark):
     )
     few = spark.createDataFrame([("a",), ("a",)], "k string")
     hot = find_hot_keys(df, few, ["k"], rows_per_task=5)
-    assert [tuple(r) for r in hot.frame.collect()] == [("a", 600, 1)]  # b is below a thousandth
-    assert hot.cells == 600 and not hot.nulls
+    assert sorted(map(tuple, hot.frame.collect())) == [("a", 600, 1), ("b", 2, 1)]
+    assert hot.cells == 602 and not hot.nulls
     hot = find_hot_keys(few, df.unionAll(df), ["k"], rows_per_task=1000)
     assert [tuple(r) for r in hot.frame.collect()] == [("a", 1, 6)]
     # 3000 x 3000 pairs, at most 1000 x 200 for a task: pieces of 447 rows on each side.
@@ -125,6 +125,25 @@ def test_hot_keys_are_counted_exactly(spark):
     assert find_hot_keys(spread, spread, ["k", "j"], 5) == (None, False, 0)
 
 
+@pytest.mark.parametrize("n", [10_000, 200_000])
+def test_a_key_is_hot_however_many_rows_there_are(spark, n):
+    df = spark.range(n).select(
+        F.when(F.col("id") < 150, "a").otherwise(F.col("id").cast("string")).alias("k")
+    )
+    hot = find_hot_keys(df, df, ["k"], rows_per_task=1)
+    assert [tuple(r) for r in hot.frame.collect()] == [("a", 150, 150)]
+
+
+@pytest.mark.parametrize("known", [0, 1, 20_000])
+def test_many_hot_keys_are_joined_without_a_broadcast(spark, monkeypatch, known):
+    monkeypatch.setattr("daymark.operators.hotkeys.MAX_KNOWN", known)
+    left = spark.range(300).selectExpr("if(id < 40, null, id % 5) k", "id % 7 a")
+    right = spark.range(200).selectExpr("if(id < 40, null, id % 4) k", "id % 3 b")
+    spread = spread_left_join(left, right, ["k"], rows_per_task=5)
+    plain = left.join(right, "k", "left").select("k", "a", "b")
+    assert bag(spread) == bag(plain)
+
+
 def test_date_pairs_are_positions(spark):
     df = spark.createDataFrame([(d,) for d in ("20240108", "20240105", "20240101", "20240105")], "dt_ptcm string")
     assert bag(date_pairs(df)) == Counter(
