@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,16 +15,49 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# The entities a serialised DOM contains. The ampersand goes last,
-# so that "&amp;lt;" becomes "&lt;" and not "<".
-ENTITIES = {
-    "&nbsp;": "\xa0",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&amp;": "&",
+# Named references by the standard library's HTML table, those of one code point, and
+# the numbers 128 to 159, which HTML reads as the characters of code page 1252.
+NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+C1_CODES = {
+    code: bytes([code]).decode("cp1252") for code in range(128, 160) if code not in (129, 141, 143, 144, 157)
 }
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _literal_map(values: Mapping) -> Column:
+    return F.create_map(*[F.lit(part) for pair in values.items() for part in pair])
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; the replacement character where there is none."""
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    utf32 = F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(0xFFFD))), 8, "0"))
+    return F.coalesce(
+        F.try_element_at(_literal_map(C1_CODES), code.cast("int")), F.decode(utf32, "UTF-32")
+    )
+
+
+def decode_references(text: Column) -> Column:
+    """Character references, named or numbered, become their characters, each once.
+
+    What is no reference, or one of an unknown name, stays as it is.
+    """
+    parts = F.split(text, "&")
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, REFERENCE, 1)
+        rest = F.substr(part, F.char_length(name) + F.lit(2))
+        number = F.when(
+            F.lower(F.substr(name, F.lit(2), F.lit(1))) == "x",
+            F.conv(F.substr(name, F.lit(3)), 16, 10),
+        ).otherwise(F.substr(name, F.lit(2)))
+        char = F.when(
+            name.startswith("#"), _character(number.try_cast("bigint"))
+        ).otherwise(F.try_element_at(_literal_map(NAMED), name))
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part))
+
+    others = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
+    return F.concat(F.element_at(parts, 1), F.array_join(others, ""))
 
 
 def strip(col: Column | str) -> Column:
@@ -36,7 +72,4 @@ def cell_text(markup: Column | str) -> Column:
     text = F.regexp_replace(markup, r"[\t\r\n\f][ \t\r\n\f]*| [ \t\r\n\f]+", " ")
     lines = F.regexp_replace(text, r"(?i) ?<br\s*/?> ?", "\n")
     text = F.when(markup.contains("<"), F.regexp_replace(lines, r"<[^>]*>", "")).otherwise(text)
-    decoded = text
-    for entity, char in ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return strip(F.when(markup.contains("&"), decoded).otherwise(text))
+    return strip(F.when(markup.contains("&"), decode_references(text)).otherwise(text))

@@ -1,7 +1,7 @@
 """Table rows from stored HTML pages, with built-in expressions only.
 
-Meant for flat tables. Nested tables, and text hidden by styles or scripts, come out
-differently than in a browser.
+Meant for flat tables. The rows of a nested table follow the row that holds it, as in a
+browser, but what that row has after the nested table is lost. Text hidden by styles shows.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ def _whole(*tags: str) -> str:
 
 
 INVISIBLE = rf"(?is)<(?:!--.*?(?:-->|\z)|{_whole('script', 'style')})"
-NOT_BODY = rf"(?is)<(?:{_whole('thead', 'tfoot')})"
+SECTION = r"t(?:head|body|foot)[\s>]"
+NOT_BODY = rf"(?is)<t(?:head|foot)\b{_until(SECTION, '/t(?:head|foot|able)')}"
 PAGES_PER_BLOCK = 10_000
 
 
@@ -40,15 +41,8 @@ def _all(text: Column, pattern: str) -> Column:
 
 
 def _bodies(html: Column) -> Column:
-    """Body sections of all tables; a table without any has what is not head or foot."""
-
-    def of_table(table: Column) -> Column:
-        return F.when(
-            F.regexp_like(table, F.lit(r"(?i)<tbody[\s>]")),
-            _all(table, _inner("tbody", r"tfoot[\s>]", r"tbody[\s>]")),
-        ).otherwise(F.array(F.regexp_replace(table, NOT_BODY, "")))
-
-    return F.flatten(F.transform(_all(html, _inner("table")), of_table))
+    """What is left of the tables without their heads and feet."""
+    return F.regexp_replace(F.regexp_extract(html, r"(?is)<table[\s>].*", 0), NOT_BODY, "")
 
 
 def html_table_rows(
@@ -67,7 +61,7 @@ def html_table_rows(
     visible = F.regexp_replace(html_col, INVISIBLE, "")
     row, cell = (_inner(tag, rf"{tag}[\s>]") for tag in (row_tag, cell_tag))
     if bodies_only:
-        rows = F.flatten(F.transform(_bodies(visible), lambda body: _all(body, row)))
+        rows = _all(_bodies(visible), row)
     else:
         rows = _all(visible, row)
     kept = [c for c in df.columns if c != html_col]
@@ -88,13 +82,14 @@ def concat_pages(
 ) -> DataFrame:
     """Number the rows of each capture from 1 in page order, as ``row_no``.
 
-    ``pos_col`` counts the rows of a page from 0. No row is sorted: a row's number is
-    its position plus the rows on earlier pages, summed first within blocks of
+    ``pos_col`` counts the rows of a page from 0, and the page column is a number. Where
+    rows were filtered out, their numbers stay free. No row is sorted: a row's number is
+    its position plus the extents of earlier pages, summed first within blocks of
     pages and then over blocks, so one capture of very many pages is spread too.
     """
     pages = (
         df.groupBy(F.col(capture_col).alias("_capture"), F.col(page_col).alias("_page"))
-        .agg(F.count("*").alias("_rows"))
+        .agg((F.max(pos_col) + F.lit(1).cast("long")).alias("_rows"))
         .withColumn("_block", F.floor(F.col("_page") / pages_per_block))
     )
     blocks = pages.groupBy("_capture", "_block").agg(F.sum("_rows").alias("_block_rows"))

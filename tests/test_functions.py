@@ -86,6 +86,17 @@ def test_cell_text(spark):
     assert values(spark, markup, cell_text) == ["Ação", "a\nb", "1 2", "&lt; <x>", "", ""]
 
 
+def test_character_references(spark):
+    markup = [
+        "A&ccedil;&atilde;o &middot; &copy;", "&#231;&#xe7;&#XE7; &#8364; &#150;", "&#128512;",
+        "&#0; &#xD800; &#x110000;", "a & b &nosuch; &amp;amp; &", "&apos;&lt;&amp;lt;", "&#99999999;",
+    ]
+    assert values(spark, markup, cell_text) == [
+        "Ação \xb7 ©", "ççç € –", "\U0001f600",
+        "\ufffd \ufffd \ufffd", "a & b &nosuch; &amp; &", "'<&lt;", "&#99999999;",
+    ]
+
+
 def test_functions_stay_out_of_python(spark):
     df = spark.range(1).select(F.lit("1,5").alias("x"))
     plan = df.select(parse_decimal_comma("x"), strip("x"), cell_text("x"))._jdf.queryExecution()

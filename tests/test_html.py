@@ -33,6 +33,14 @@ def rows(spark, html, **options):
         ("<table><tbody><track><tr><tdx>a</tdx><td>b</td></tr></tbody></table>", [["b"]]),
         ("<table><tr><td>a  \n b<br> c\t</td></tr></table>", [["a b\nc"]]),
         ("<table><tr><td>a</td></tr><script>var t = '<tr>'", [["a"]]),
+        (
+            "<table><tr><td>1</td></tr><tr><td>n<table><tr><td>in</td></tr></table></td></tr>"
+            "<tr><td>3</td></tr></table>",
+            [["1"], ["n"], ["in"], ["3"]],
+        ),
+        # A head that is not closed ends where the body begins.
+        ("<table><thead><tr><td>h</td></tr><tbody><tr><td>a</td></tr></table>", [["a"]]),
+        ("<table><thead><tr><td>h</td></tr></table><table><tr><td>a</td></tr></table>", [["a"]]),
         ("<tr><td>outside</td></tr>", []),
         ("", []),
         (None, []),
@@ -81,6 +89,14 @@ def test_pages_are_numbered_through(spark, pages, pages_per_block):
     assert Counter(map(tuple, got)) == expected
 
 
+def test_row_numbers_stay_unique_after_a_filter(spark):
+    df = spark.createDataFrame([("c", p, i) for p in (1, 2) for i in range(3)], "c string, p int, row_pos int")
+    got = concat_pages(df.where("not (p = 1 and row_pos = 0)"), "c", "p")
+    assert sorted((r.row_no, r.p, r.row_pos) for r in got.collect()) == [
+        (2, 1, 1), (3, 1, 2), (4, 2, 0), (5, 2, 1), (6, 2, 2)
+    ]
+
+
 def test_counting_rows_does_not_cut_cells(spark):
     df = spark.createDataFrame([(1, "<table></table>")], "p int, html string")
     plan = html_table_rows(df).groupBy("p").count()._jdf.queryExecution().optimizedPlan().toString()
