@@ -23,6 +23,7 @@ def _parser() -> argparse.ArgumentParser:
 
     sub = job("capture", "store the table rows of HTML pages as a capture", "pages", "raw")
     sub.add_argument("--capture-ts", type=float, help="epoch seconds; now if left out")
+    sub.add_argument("--page-col", help="the column with the number of the page, to keep row order")
     job("dates", "print the newest date and the one it is compared with", "raw")
     sub = job("extract", "write the refined rows of two dates", "raw", "d0", "base")
     sub.add_argument("--d2", default="", help="left out if there is no earlier date")
@@ -31,6 +32,9 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--replace-date", help="also drop what is stored for this date and not new")
     sub = job("run-latest", "extract, transform and load the newest date", "raw", "base", "database")
     sub.add_argument("--back", type=int, default=2)
+    sub.add_argument(
+        "--replace", action="store_true", help="also drop what is stored for that date and not new"
+    )
     sub = job("backfill", "write the summary and the comparison of all dates", "raw", "base")
     sub.add_argument("--database", help="where the summary table is registered, if anywhere")
     sub.add_argument("--back", type=int, default=2)
@@ -46,7 +50,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = configure(SparkSession.builder.appName(f"daymark {args.job}")).getOrCreate()
     if args.job == "capture":
         pages = spark.read.parquet(args.pages)
-        plans.capture(pages, args.raw, args.capture_ts or time.time())
+        capture_ts = time.time() if args.capture_ts is None else args.capture_ts
+        plans.capture(pages, args.raw, capture_ts, page_col=args.page_col)
     elif args.job == "dates":
         print(*sources.latest_dates(spark, args.raw))
     elif args.job == "extract":
@@ -56,7 +61,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "load":
         plans.load_stored(spark, args.base, args.database, args.replace_date)
     elif args.job == "run-latest":
-        print(*plans.run_latest(spark, args.raw, args.base, args.database, args.back))
+        print(
+            *plans.run_latest(spark, args.raw, args.base, args.database, args.back, args.replace)
+        )
     elif args.job == "backfill":
         plans.store_backfill(spark, args.raw, args.base, args.back, args.database)
     else:

@@ -42,9 +42,8 @@ def store_backfill(
     write_partitioned(refine_dates(spark, raw_root), refined_path, by_date, False, True)
     refined = read_refined(spark, refined_path, schemas.REFINED_SCHEMA)
     write_refined(conform(summarise(refined), schemas.SUMMARY_SCHEMA), summary_path)
-    write_refined(
-        compare_all_dates(refined, list_partitions(spark, raw_root), back), comparison_path
-    )
+    comparison = compare_all_dates(refined, list_partitions(spark, raw_root), back)
+    write_refined(conform(comparison, schemas.DATES_COMPARISON_SCHEMA), comparison_path)
     for stored, path, partitions in (
         (summary_path, f"{base}/agrupamento", schemas.SUMMARY_PARTITIONS),
         (comparison_path, f"{base}/comparacao_datas", by_date),

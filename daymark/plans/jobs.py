@@ -11,6 +11,7 @@ from daymark import catalog, schemas
 from daymark.operators import (
     apply_positional_schema,
     compare_snapshots,
+    concat_pages,
     conform,
     html_table_rows,
     latest_capture,
@@ -23,23 +24,33 @@ from daymark.sources import latest_dates, read_refined, read_snapshot, read_snap
 
 logger = logging.getLogger(__name__)
 
+
 def capture(
     pages: DataFrame,
     root: str,
     capture_ts: float,
     html_col: str = "html",
     check: bool = True,
+    page_col: str | None = None,
 ) -> None:
-    """Store the table rows of HTML pages as one capture.
+    """Store the table rows of HTML pages as one capture, and log how many they are.
 
-    ``pages`` may have ``dt_ptcm``. ``check`` is that of ``apply_positional_schema``;
-    it reads the pages once more, before anything is written.
+    ``pages`` may have ``dt_ptcm``. With a numeric ``page_col`` the rows of a date are
+    numbered in page order, from 1, in the stored column ``row_no``. ``check`` is that of
+    ``apply_positional_schema``; it reads the pages once more, before anything is written.
     """
-    kept = [c for c in pages.columns if c in (schemas.DATE_COL, html_col)]
-    rows = html_table_rows(pages.select(*kept), html_col).drop("row_pos")
+    names = {schemas.DATE_COL, html_col, page_col}
+    rows = html_table_rows(pages.select(*[c for c in pages.columns if c in names]), html_col)
+    if page_col:
+        date = F.col(schemas.DATE_COL) if schemas.DATE_COL in rows.columns else F.lit("")
+        rows = concat_pages(rows.withColumn("_capture_date", date), "_capture_date", page_col)
+        rows = rows.drop("_capture_date", page_col)
+    shaped = apply_positional_schema(rows.drop("row_pos"), "cells", schemas.CAPTURE_NAMES, check)
+    seen = Observation()
     append_capture(
-        apply_positional_schema(rows, "cells", schemas.CAPTURE_NAMES, check), root, capture_ts
+        shaped.observe(seen, F.count(F.lit(1)).alias("n_rows")), root, capture_ts
     )
+    logger.info("captured %d rows", seen.get["n_rows"])
 
 
 def extract(spark: SparkSession, raw_root: str, d0: str, d2: str) -> tuple[DataFrame, DataFrame]:
@@ -131,15 +142,22 @@ def load_stored(
 
 
 def run_latest(
-    spark: SparkSession, raw_root: str, base: str, database: str, back: int = 2
+    spark: SparkSession,
+    raw_root: str,
+    base: str,
+    database: str,
+    back: int = 2,
+    replace: bool = False,
 ) -> tuple[str, str]:
     """Extract, transform and load the newest date; returns the two dates used.
 
+    ``replace`` also drops what is stored for the newest date and not new.
+
     Each step stores what it made and the next one reads it, so nothing is computed
     twice: the refined rows serve two results, and the load counts before it writes.
     """
     d0, d2 = latest_dates(spark, raw_root, back)
     store_refined(spark, raw_root, d0, d2, base)
     store_results(spark, base)
-    load_stored(spark, base, database)
+    load_stored(spark, base, database, d0 if replace else None)
     return d0, d2

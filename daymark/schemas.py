@@ -73,6 +73,18 @@ COMPARISON_SCHEMA = StructType(
     ]
 )
 
+# The comparison of all dates, partitioned by its newer date.
+DATES_COMPARISON_SCHEMA = StructType(
+    [
+        StructField("codigo", StringType()),
+        StructField("acao", StringType()),
+        StructField("diferenca_qt_teorica", LongType()),
+        StructField("diferenca_pc_participacao", DoubleType()),
+        StructField("dt_d2", StringType()),
+        StructField(DATE_COL, StringType()),
+    ]
+)
+
 # The comparison job's column names -> the table's column names.
 COMPARISON_RENAMES = {
     DATE_COL: "data_atual",

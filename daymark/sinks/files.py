@@ -7,18 +7,19 @@ from functools import reduce
 from math import ceil
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymark.local import local_frame
 from daymark.operators.small import small_rows
 from daymark.schemas import CAPTURE_COL, DATE_COL, SUMMARY_PARTITIONS
+from daymark.sources.partitions import date_glob, is_absent
 
 # A task opens one file after the other, so small leaves are limited by their number.
 LEAVES_PER_TASK = 32
 # A leaf with more rows than this is written by several tasks.
 ROWS_PER_TASK = 2_000_000
-FEW_LEAVES = 10_000
 
 
 def write_refined(df: DataFrame, path: str) -> None:
@@ -27,23 +28,22 @@ def write_refined(df: DataFrame, path: str) -> None:
 
 
 class Leaves(NamedTuple):
-    """How many leaf partitions rows have, and their values if they are few."""
+    """How many leaf partitions rows have, their rows, and those of the largest."""
 
     number: int
     rows: int
     largest: int
-    values: list[tuple] | None
 
 
 def count_leaves(df: DataFrame, partitions: Sequence[str]) -> Leaves:
     """Reads only the partition columns; a leaf leaves each task as one row."""
     leaves = df.groupBy(*partitions).agg(F.count("*").alias("_rows"))
-    few = small_rows(leaves, FEW_LEAVES)
-    if few is None:
-        stats = leaves.agg(F.count("*"), F.sum("_rows"), F.max("_rows")).first()
-        return Leaves(*stats, None)
-    counts = [row["_rows"] for row in few]
-    return Leaves(len(few), sum(counts), max(counts, default=0), [tuple(r)[:-1] for r in few])
+    none = F.lit(0)
+    return Leaves(
+        *leaves.agg(
+            F.count("*"), F.coalesce(F.sum("_rows"), none), F.coalesce(F.max("_rows"), none)
+        ).first()
+    )
 
 
 def gather_leaves(
@@ -91,49 +91,54 @@ def write_partitioned(
     partitions: Sequence[str] = SUMMARY_PARTITIONS,
     gather: bool = True,
     whole: bool = False,
-) -> list[tuple] | None:
+) -> None:
     """Replace only the leaf partitions that ``df`` has rows for, or the ``whole`` table.
 
     A leaf that an earlier run wrote and ``df`` has no rows for stays; ``replace_date``
     removes such leaves. Null and empty partition values both read back as null.
     ``df`` is read twice, first to count its leaves. Without ``gather`` it is not, and
     there is no shuffle, for rows that are read leaf by leaf anyway.
-
-    Returns the partition values written, if they are known and few.
     """
-    leaves = None
     if gather:
-        leaves = count_leaves(df, partitions)
-        df = gather_leaves(df, partitions, leaves)
+        df = gather_leaves(df, partitions)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
     )
-    return leaves.values if leaves else None
 
 
 def replace_date(
     df: DataFrame, path: str, dt: str, partitions: Sequence[str] = SUMMARY_PARTITIONS
-) -> list[tuple] | None:
-    """Replace everything stored for one date by the rows ``df`` has for it.
-
-    Returns the partition values written, if they are few.
-    """
+) -> None:
+    """Replace everything stored for one date by the rows ``df`` has for it."""
     date_col, *inner = partitions
     day = df.where(F.col(date_col) == dt).drop(date_col)
-    values = write_partitioned(day, f"{path.rstrip('/')}/{date_col}={dt}", inner, whole=True)
-    return None if values is None else [(dt, *rest) for rest in values]
+    write_partitioned(day, f"{path.rstrip('/')}/{date_col}={dt}", inner, whole=True)
+
+
+def _refuse_stored(df: DataFrame, root: str, time: Column) -> None:
+    """Fail if a capture of this time is stored. The time is a filter pushed to the scan."""
+    try:
+        stored = df.sparkSession.read.schema(f"{CAPTURE_COL} double").parquet(date_glob(root))
+    except AnalysisException as error:
+        if is_absent(error):
+            return
+        raise
+    if stored.where(F.col(CAPTURE_COL) == time).limit(1).count():
+        raise ValueError(f"a capture of this time is already stored under {root}")
 
 
 def append_capture(df: DataFrame, root: str, capture_ts: float) -> None:
     """Add one capture, under ``dt_ptcm`` if ``df`` has it, else under the capture's own day.
 
-    The day is taken in the session time zone. Earlier captures are never touched.
+    The day is taken in the session time zone. Earlier captures are never touched, and a
+    time that is stored already, of any date, is refused, so that a repeated run adds nothing.
     Rows are written from the tasks that hold them, without a shuffle.
     """
     time = F.lit(float(capture_ts))
+    _refuse_stored(df, root, time)
     if DATE_COL not in df.columns:
         df = df.withColumn(DATE_COL, F.date_format(F.timestamp_seconds(time), "yyyyMMdd"))
     df.withColumn(CAPTURE_COL, time).write.mode("append").partitionBy(DATE_COL).parquet(root)

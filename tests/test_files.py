@@ -249,6 +249,28 @@ def test_capture_job(spark, tmp_path):
     assert bag(d0) == Counter([("A1", "Alfa", "ON", 1234, 1.5, "20240101"), nothing])
 
 
+def test_captured_rows_keep_their_page_order(spark, tmp_path, caplog):
+    cells = "<td>{0}</td><td>x</td><td>ON</td><td>1</td><td>1</td>"
+    page = lambda *codes: "<table>" + "".join(f"<tr>{cells.format(c)}</tr>" for c in codes) + "</table>"
+    pages = spark.createDataFrame(
+        [(2, page("d")), (0, page("a", "b")), (1, page("c")), (3, None)], "page int, html string"
+    )
+    path = f"{tmp_path}/raw"
+    with caplog.at_level("INFO", logger="daymark.plans.jobs"):
+        plans.capture(pages, path, 1704110400.0, page_col="page")
+    assert "4 rows" in caplog.text
+    stored_rows = spark.read.parquet(path).orderBy("row_no")
+    assert [(r.row_no, r[1]) for r in stored_rows.select("row_no", schemas.CAPTURE_NAMES[0]).collect()] == [
+        (1, "a"), (2, "b"), (3, "c"), (4, "d")
+    ]
+    before = files(path)
+    with pytest.raises(ValueError, match="already stored"):
+        plans.capture(pages, path, 1704110400.0, page_col="page")
+    assert files(path) == before
+    d0, _ = plans.extract(spark, path, "20240101", "")
+    assert sorted(r.codigo for r in d0.collect()) == ["a", "b", "c", "d"]
+
+
 @pytest.mark.parametrize("n", [4, 6])
 def test_capture_job_refuses_tables_of_another_width(spark, tmp_path, n):
     page = f"<table><tr>{'<td>x</td>' * n}</tr></table>"
@@ -334,20 +356,18 @@ def test_adding_partitions_without_a_repair(spark, tmp_path, monkeypatch):
     )
     register(None)
     monkeypatch.setattr(catalog, "repair_partitions", None)
-    added = sinks.write_partitioned(summary(spark, *[("d2", n, "B", 2) for n in names]), path)
-    assert sorted(added, key=str) == sorted([("d2", n) for n in names], key=str)
+    added = [("d2", n) for n in names]
+    sinks.write_partitioned(summary(spark, *[(*leaf, "B", 2) for leaf in added]), path)
     for _ in range(2):
         register(added)
         rows = spark.table("add_db.t").select("dt_ptcm", "acao", "codigo", "qtd_registros")
         assert bag(rows) == stored(spark, path) and rows.count() == 6
 
 
-def test_many_leaves_are_counted_in_the_cluster(spark, monkeypatch):
+def test_leaves_are_counted_in_the_cluster(spark):
     rows = spark.range(300).select((F.col("id") % 30).alias("acao"), F.lit("d").alias("dt_ptcm"))
-    few = files_sink.count_leaves(rows, ["dt_ptcm", "acao"])
-    assert few[:3] == (30, 300, 10) and len(few.values) == 30
-    monkeypatch.setattr(files_sink, "FEW_LEAVES", 29)
-    assert files_sink.count_leaves(rows, ["dt_ptcm", "acao"]) == (30, 300, 10, None)
+    assert files_sink.count_leaves(rows, ["dt_ptcm", "acao"]) == (30, 300, 10)
+    assert files_sink.count_leaves(rows.limit(0), ["dt_ptcm", "acao"]) == (0, 0, 0)
 
 
 def test_repair_skips_unpartitioned_and_managed_tables_are_safe(spark):
