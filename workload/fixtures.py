@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -18,7 +19,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new directory path in the folder the cluster shares for intermediate data."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir is not set")
         base = tempfile.mkdtemp(prefix="daymark-")
     return f"{base.rstrip('/')}/daymark-{uuid.uuid4().hex}/{name}"

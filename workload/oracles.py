@@ -31,7 +31,6 @@ months AS (
 """
 
 SNAP_ROWS = "SELECT codigo, acao, tipo, qt_teorica, pc_participacao, dt_ptcm FROM snap"
-SNAP_NAMES = "SELECT codigo, acao, tipo, dt_ptcm FROM snap"
 
 COMPARISON = """
 SELECT d0.codigo AS codigo, d0.acao AS acao, d0.dt_ptcm AS dt_ptcm,
@@ -62,8 +61,8 @@ LEFT JOIN {rows} AS b ON b.dt_ptcm = d.dt_d2 AND b.codigo = a.codigo AND b.acao
 """
 
 SELECTS = {
-    "read_snapshot": SNAP_NAMES + " WHERE dt_ptcm = '20240115'",
-    "read_snapshot_missing": SNAP_NAMES,
+    "read_snapshot": SNAP_ROWS + " WHERE dt_ptcm = '20240115'",
+    "read_snapshot_missing": SNAP_ROWS,
     "list_partitions": "SELECT DISTINCT dt_ptcm FROM snap",
     "list_table_partitions": "SELECT DISTINCT dt_ptcm FROM snap",
     "read_mixed_headers": SNAP_ROWS,
@@ -153,6 +152,21 @@ SELECTS = {
     "sql_over_registered": """
         SELECT acao, dt_ptcm, CAST(sum(qt_teorica) AS BIGINT) AS total, count(*) AS n_rows
         FROM d0 GROUP BY acao, dt_ptcm""",
+    "sql_over_both_tables": f"""
+        SELECT s.acao AS acao, s.dt_ptcm AS dt_ptcm, CAST(sum(s.qt_teorica) AS BIGINT) AS total,
+               count(*) AS n_rows, any_value(c.n_compared) AS n_compared,
+               any_value(c.diff_total) AS diff_total
+        FROM snap AS s
+        LEFT JOIN (SELECT acao, data_atual, count(*) AS n_compared,
+                          CAST(sum(diff_qt_teorica) AS BIGINT) AS diff_total
+                   FROM ({COMPARISON_TABLE.strip()}) AS t GROUP BY acao, data_atual) AS c
+          ON c.acao = s.acao AND c.data_atual = s.dt_ptcm
+        GROUP BY s.acao, s.dt_ptcm""",
+    "load_after_interruption": SUMMARY.format(rows="snap"),
+    "load_replacing_date": SUMMARY.format(
+        rows="(SELECT * FROM snap WHERE NOT (dt_ptcm = (SELECT d0 FROM pick) AND acao = 'view')) AS kept"
+    ),
+    "backfill_registered": SUMMARY.format(rows="snap"),
     "compare_all_dates": ALL_DATES.format(rows="snap", dates="dates"),
     "summarise_all_dates": SUMMARY.format(rows="snap"),
     "compare_all_months": ALL_DATES.format(rows="month_snap", dates="months"),

@@ -49,14 +49,14 @@ def new_database() -> str:
 
 def read_snapshot(spark, sf_dir):
     rows = sources.read_snapshot(spark, landed(spark, sf_dir), "20240115")
-    return operators.refine(rows).select("codigo", "acao", "tipo", DATE_COL)
+    return operators.refine(rows).select(*REFINED)
 
 
 def read_snapshot_missing(spark, sf_dir):
     root = landed(spark, sf_dir)
     missing = sources.read_snapshot_or_empty(spark, root, "19990101")
     rows = sources.read_snapshots(spark, root).unionByName(missing)
-    return operators.refine(rows).select("codigo", "acao", "tipo", DATE_COL)
+    return operators.refine(rows).select(*REFINED)
 
 
 def list_partitions(spark, sf_dir):
@@ -352,6 +352,68 @@ def sql_over_registered(spark, sf_dir):
     )
 
 
+def _loading(spark, sf_dir):
+    """The summary of all dates, and a load of some of its rows beside the newest comparison."""
+    database, base = new_database(), scratch(spark, "results")
+    catalog.ensure_database(spark, database, scratch(spark, "database"))
+    stored, compared = scratch(spark, "summary"), scratch(spark, "comparison")
+    sinks.write_refined(plans.summarise_dates(spark, landed(spark, sf_dir)), stored)
+    sinks.write_refined(operators.compare_snapshots(*newest_pair(spark, sf_dir)), compared)
+    summary, comparison = (sources.read_refined(spark, path) for path in (stored, compared))
+
+    def load(rows, replaced_date=None):
+        plans.load(rows, comparison, base, database, replaced_date)
+
+    return summary, load, base, database
+
+
+def sql_over_both_tables(spark, sf_dir):
+    """Totals of all dates by SQL, with what the comparison says of the newest one."""
+    summary, load, _, database = _loading(spark, sf_dir)
+    load(summary)
+    return spark.sql(
+        f"""
+        SELECT s.acao, s.dt_ptcm, s.total, s.n_rows, c.n_compared, c.diff_total
+        FROM (SELECT acao, dt_ptcm, sum(soma_qt_teorica) AS total, sum(qtd_registros) AS n_rows
+              FROM {database}.{schemas.SUMMARY_TABLE} GROUP BY acao, dt_ptcm) AS s
+        LEFT JOIN (SELECT acao, data_atual, count(*) AS n_compared, sum(diff_qt_teorica) AS diff_total
+                   FROM {database}.{schemas.COMPARISON_TABLE} GROUP BY acao, data_atual) AS c
+          ON c.acao = s.acao AND c.data_atual = s.dt_ptcm
+        """
+    )
+
+
+def load_after_interruption(spark, sf_dir):
+    """A third of the dates loaded, a third written but not registered, then the last third loaded."""
+    summary, load, base, database = _loading(spark, sf_dir)
+    third = F.dayofmonth(F.to_date(DATE_COL, "yyyyMMdd")) % 3
+    load(summary.where(third == 0))
+    broken_off = operators.conform(summary.where(third == 1), schemas.SUMMARY_SCHEMA)
+    sinks.write_partitioned(broken_off, f"{base}/agrupamento")
+    load(summary.where(third == 2))
+    return rounded(spark.table(f"{database}.{schemas.SUMMARY_TABLE}"))
+
+
+def load_replacing_date(spark, sf_dir):
+    """All dates, then again with the newest one replaced by its rows without ``view``."""
+    summary, load, _, database = _loading(spark, sf_dir)
+    load(summary)
+    d0, _ = sources.latest_dates(spark, landed(spark, sf_dir))
+    load(summary.where((F.col(DATE_COL) != d0) | (F.col("acao") != "view")), d0)
+    return rounded(spark.table(f"{database}.{schemas.SUMMARY_TABLE}"))
+
+
+def backfill_registered(spark, sf_dir):
+    """The daily run of the newest date, then a backfill from a root that has only the others."""
+    database, base, older = new_database(), scratch(spark, "results"), scratch(spark, "older")
+    catalog.ensure_database(spark, database, scratch(spark, "database"))
+    root = landed(spark, sf_dir)
+    d0, _ = plans.run_latest(spark, root, base, database)
+    land(raw_events(spark, sf_dir).where(F.col(DATE_COL) != d0), older)
+    plans.store_backfill(spark, older, base, database=database)
+    return rounded(spark.table(f"{database}.{schemas.SUMMARY_TABLE}"))
+
+
 def compare_all_dates(spark, sf_dir):
     return rounded(plans.compare_dates(spark, landed(spark, sf_dir)))
 
@@ -420,6 +482,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         job_transform,
         run_latest,
         sql_over_registered,
+        sql_over_both_tables,
+        load_after_interruption,
+        load_replacing_date,
+        backfill_registered,
         compare_all_dates,
         summarise_all_dates,
         compare_all_months,
