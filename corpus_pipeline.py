@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from daymark.llm import cotrain, decontaminate, jaccard, langid, mixing
 from daymark.llm.common import stored, table
 
+# What the stage of near copies takes for one; ``op3_jaccard`` has bounds of its own.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; the models learn from these same documents."""
@@ -25,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id."""
-    return jaccard.one_of_each_group(docs)
+    return jaccard.one_of_each_group(docs, percent=NEAR_PERCENT, size=NEAR_WORDS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

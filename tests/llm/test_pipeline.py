@@ -1,6 +1,7 @@
 """Each stage against brute force or its operator, on its own input."""
 
 import os
+import random
 import re
 from collections import Counter
 
@@ -69,6 +70,35 @@ def test_deduplicated(steps):
     assert set(after) == set(group.values())
 
 
+def test_near_copies_of_five_words(spark):
+    """Copies with up to five changed words, of which many are too far apart at four words and 85 %."""
+    rng = random.Random(5)
+    rows = []
+    for start in range(0, 400, 10):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(40, 240))]
+        for i in range(4):
+            own = list(base)
+            for _ in range(rng.randrange(6)):
+                own[rng.randrange(len(own))] = f"e{rng.randrange(10**6)}"
+            rows.append((start + i, " ".join(own), "en", "s", 9))
+    sets = {r[0]: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for r in rows for w in [r[1].split()]}
+
+    def kept(shared):
+        group = {i: i for i in sets}
+        for a in sets:
+            for b in range(a - a % 10, a):
+                if shared(a, b):
+                    low, high = sorted((group[a], group[b]))
+                    group = {i: low if g == high else g for i, g in group.items()}
+        return set(group.values())
+
+    near = kept(lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+    four = {r[0]: shingles(r[1]) for r in rows}
+    assert near != kept(lambda a, b: 100 * len(four[a] & four[b]) >= 85 * len(four[a] | four[b]))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert set(texts(corpus_pipeline.deduplicated(spark, df, SF_DIR))) == near
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(1, "a b c d e", "en", "s", 9)] * 2 + [(2, "A b c d e", "en", "s", 9), (None, "a b c d e", "en", "s", 9)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
