@@ -2,8 +2,8 @@
 
 Markup is stripped into lines, one for each block element with text. Scripts, styles and the
 like go with their content, and so do elements that are no article text by their kind (menus,
-page headers, footers, sidebars, forms) or by the words of their class, id or role (notices,
-adverts, comments). The lengths of the lines that are left, not counting link texts, are summed
+page headers, footers, sidebars, forms) or by their role. Words of a class or id only exclude with
+care (adverts, comments, notices), as text has them too: see ``_named``. The lengths of the lines that are left, not counting link texts, are summed
 over sliding windows. Where a window's sum first rises above a bound is the surge point, where it
 last falls below is the dive point, and the lines between are the text. Lines of the page's
 largest ``article`` (or ``main``) element count as long whatever their length and lines beside
@@ -45,18 +45,22 @@ BLOCKS = frozenset(
 EXCLUDED = frozenset("nav aside footer form select button menu dialog audio video head".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption caption".split())
 MAINS = frozenset(["article", "main"])
+# Of these an id says where a link leads, not what kind of text it is.
+TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dt figcaption caption".split())
 ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar "
     "toolbar".split()
 )
-HINTS = frozenset(
-    "ad ads adv advert adverts advertisement advertisements advertising adsense banner breadcrumb "
-    "breadcrumbs comment comments commentlist consent cookie cookies copyright dialog disclaimer "
-    "disqus footer gdpr login masthead menu menus modal nav navbar navigation navi newsletter notice "
-    "notices notification overlay pager pagination paywall popup promo promoted promotion related "
-    "recommended recommendations replies reply respond search share sharing sidebar sidebars signin "
-    "signup social sponsor sponsored sponsors subscribe subscription teaser toolbar topbar toc widget "
-    "widgets".split()
+SURE_HINTS = frozenset(
+    "ad ads adv advert adverts advertisement advertisements adsense breadcrumb breadcrumbs comment "
+    "commentlist comments cookie cookies disqus footer gdpr masthead nav navbar navi newsletter pager "
+    "pagination paywall popup sidebar sidebars signin signup sponsored topbar".split()
+)
+HINTS = SURE_HINTS | frozenset(
+    "advertising banner consent copyright dialog disclaimer login menu menus modal navigation "
+    "notice notices notification overlay promo promoted promotion related recommended "
+    "recommendations replies reply respond search share sharing social sponsor sponsors subscribe "
+    "subscription teaser toolbar toc widget widgets".split()
 )
 
 _PIECE = re.compile(
@@ -79,38 +83,71 @@ class Line(NamedTuple):
     mains: tuple[int, ...]  # the article and main elements that it lies in
 
 
-def _excluded(name: str, attributes: str, in_main: bool) -> bool:
-    """Whether an element is not article text by its kind or its attributes."""
+ALWAYS, LINKS_OR_SHORT, LINKS = range(3)  # when an element is excluded
+
+
+def _named(name: str, classes: str, own_id: str, in_main: bool) -> int | None:
+    """When an element is excluded by the words of its class and id; None is never.
+
+    Paragraphs and headings go by a class of nothing but hints, if they are short or links;
+    their ids are not looked at. Other blocks go by a class with a sure hint. Inside the article an
+    id must be nothing but hints (``comments``, not ``cookie-recipes``). Hints that are not sure
+    need short text or links besides, or links alone if other words stand with them.
+    """
+    tokens = [
+        set(_WORDS.findall(_CAMEL.sub(" ", x).lower()))
+        for x in (classes.split() if name in TEXTS else [*classes.split(), own_id])
+    ]
+    tokens = [x for x in tokens if x & HINTS]
+    if not in_main and name not in TEXTS and name != "article" and "header" in _WORDS.findall(
+        _CAMEL.sub(" ", f"{classes} {own_id}").lower()
+    ):
+        return ALWAYS
+    if not tokens:
+        return None
+    whole = [x for x in tokens if x <= HINTS]
+    if name in TEXTS:
+        return LINKS_OR_SHORT if whole else None
+    of_id = set(_WORDS.findall(_CAMEL.sub(" ", own_id).lower()))
+    if in_main:
+        tokens = [x for x in tokens if x != of_id or x <= HINTS]
+        whole = [x for x in whole if x != of_id or x & SURE_HINTS]
+    if name in BLOCKS and any(x & SURE_HINTS for x in tokens):
+        return ALWAYS
+    if whole or tokens and not in_main:
+        return LINKS_OR_SHORT if name in BLOCKS else LINKS
+    return LINKS if tokens else None
+
+
+def _excluded(name: str, attributes: str, in_main: bool) -> int | None:
+    """When an element is no article text by its kind or its attributes; None is never."""
     if name in EXCLUDED or name == "header" and not in_main:
-        return True
+        return ALWAYS
     if not attributes.strip() or name in ("html", "body", "main"):
-        return False
+        return None
     found = {
         m[1].lower(): next((v for v in m.groups()[1:] if v is not None), "")
         for m in _ATTRIBUTE.finditer(attributes)
     }
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
-        return True
+        return ALWAYS
     if _HIDDEN_STYLE.search(found.get("style", "")):
-        return True
+        return ALWAYS
     if found.get("role", "").lower() in ROLES:
-        return True
-    named = _CAMEL.sub(" ", f"{found.get('class', '')} {found.get('id', '')}").lower()
-    tokens = set(_WORDS.findall(named))
-    if not in_main and "header" in tokens and name != "article":
-        return True
-    return bool(tokens & HINTS)
+        return ALWAYS
+    return _named(name, found.get("class", ""), found.get("id", ""), in_main)
 
 
-def lines(page: str) -> tuple[list[Line], set[int], dict[int, set[int]]]:
+def lines(page: str) -> tuple[list[Line], set[int], dict[int, set[int]], dict[int, int]]:
     """The lines of a page, the numbers of its article elements, and for each excluded element
-    the article and main elements inside."""
+    the article and main elements inside and when it is excluded."""
     out: list[Line] = []
     stack: list[tuple[str, int | None, int | None]] = []  # name, excluded element, main element
     text: list[str] = []
     linked, links, number = 0, 0, 0
     articles: set[int] = set()
     inside: dict[int, set[int]] = {}
+    when: dict[int, int] = {}
     prose = False
 
     def end_line() -> None:
@@ -173,22 +210,24 @@ def lines(page: str) -> tuple[list[Line], set[int], dict[int, set[int]]]:
             continue
         number += 1
         in_main = any(x is not None for _, _, x in stack)
-        excluded = number if _excluded(name, m[3], in_main) else None
-        main = number if name in MAINS and excluded is None else None
-        if excluded is not None:
-            inside[number] = set()
+        kind = _excluded(name, m[3], in_main)
+        excluded = number if kind is not None else None
+        main = number if name in MAINS and kind != ALWAYS else None
         if main is not None:
             if name == "article":
                 articles.add(number)
             for _, outer, _ in stack:
                 if outer is not None:
                     inside[outer].add(number)
+        if excluded is not None:
+            inside[number] = set()
+            when[number] = kind
         if m[3].endswith("/") and name not in BLOCKS:
             continue  # <x/>
         links += name == "a"
         stack.append((name, excluded, main))
     end_line()
-    return out, articles, inside
+    return out, articles, inside, when
 
 
 def surge_and_dive(lengths: list[int], window: int = WINDOW, least: int = SURGE) -> tuple[int, int]:
@@ -225,7 +264,7 @@ def extract(page: str | None) -> str:
     """The main text of a page, its blocks joined by newlines."""
     if not page:
         return ""
-    found, articles, inside = lines(page)
+    found, articles, inside, when = lines(page)
     sizes: dict[int, int] = {}
     for line in found:
         for x in line.mains:
@@ -237,6 +276,16 @@ def extract(page: str | None) -> str:
         for x, mains in inside.items()
         if mains and 2 * max((sizes.get(y, 0) for y in mains), default=0) > outermost
     }
+    size, linked = dict.fromkeys(inside, 0), dict.fromkeys(inside, 0)
+    for line in found:
+        for x in line.outside:
+            size[x] += len(line.text)
+            linked[x] += line.linked
+    pardoned |= {
+        x
+        for x, kind in when.items()
+        if kind != ALWAYS and 2 * linked[x] <= size[x] and (kind == LINKS or size[x] >= SURGE)
+    }
     kept = [line for line in found if not set(line.outside) - pardoned]
     own: dict[int, int] = {}
     for line in kept:

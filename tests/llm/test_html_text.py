@@ -61,6 +61,39 @@ def test_odd_pages(page, text):
     assert extract(page) == text
 
 
+@pytest.mark.parametrize(
+    "block",
+    [
+        "<h2 id='related-work'>{}</h2>",
+        "<h2 id='search'>{}</h2>",
+        "<section id='search-algorithms'><p>{}</p></section>",
+        "<section id='cookie-recipes'><p>{}</p></section>",
+        "<p class='share-price'>{}</p>",
+        "<p class='notice'>" + LONG + "{}</p>",
+        "<div class='search-results-explained'><p>{}</p></div>",
+    ],
+)
+@pytest.mark.parametrize("outer", ["article", "main"])
+def test_text_named_like_furniture(block, outer):
+    page = f"<{outer}><p>{LONG}</p>{block.format('Own text.')}<p>{LONG}</p></{outer}>"
+    assert "Own text." in extract(page)
+
+
+@pytest.mark.parametrize(
+    "block",
+    [
+        "<section id='comments'><p>{}</p></section>",
+        "<div class='ad-container'>{}</div>",
+        "<div class='share'>Share</div>",
+        "<div class='related-posts'><a href=x>{}</a></div>",
+        "<p class='social'><a href=x>{}</a></p>",
+    ],
+)
+def test_furniture_inside_the_article(block):
+    page = f"<article><p>Text {LONG}</p>{block.format(LONG)}<p>End. {LONG}</p></article>"
+    assert extract(page) == f"Text {LONG}\nEnd. {LONG}"
+
+
 def test_deep_and_long_pages():
     assert extract("<div>" * 2000 + "x" + "</div>" * 2000) == "x"
     long = "<article>" + f"<p>{LONG}</p>" * 5000 + "</article>"
