@@ -5,13 +5,13 @@ like go with their content, and so do elements that are no article text by their
 page headers, footers, sidebars, forms) or by their role. Words of a class or id only exclude with
 care (adverts, comments, notices), as text has them too: see ``_named``. The lengths of the lines that are left, not counting link texts, are summed
 over sliding windows. Where a window's sum first rises above a bound is the surge point, where it
-last falls below is the dive point, and the lines between are the text. Lines of the page's
-largest ``article`` (or ``main``) element count as long whatever their length and lines beside
-it as empty, so all of the article lies between the points and nothing else does. Without such an
-element, paragraphs and headings next to the points belong to the text too.
+last falls below is the dive point, and the lines between are the text. An ``article`` or ``main``
+element with most of the text is a hint: runs that don't meet it are left out, short lines beside it
+are no text, and what is met of it is taken whole. Long lines that go on beside it are text. Without
+such an element, paragraphs and headings next to the points belong to the text too.
 
 Edge cases: null and empty pages have empty text; unclosed elements end where an outer one does;
-an excluded element that holds most of the article's text is not excluded; text without any
+the article in an excluded element that holds most of the article's text is not excluded; text without any
 block is one line; a page without long lines gives its longest run of lines with text; repeated
 rows are rows each; other columns are ignored.
 """
@@ -230,14 +230,14 @@ def lines(page: str) -> tuple[list[Line], set[int], dict[int, set[int]], dict[in
     return out, articles, inside, when
 
 
-def surge_and_dive(lengths: list[int], window: int = WINDOW, least: int = SURGE) -> tuple[int, int]:
-    """The first line and the one after the last of the text, by the lines' lengths."""
+def dense_runs(lengths: list[int], window: int = WINDOW, least: int = SURGE) -> list[tuple[int, int]]:
+    """From each surge to its dive: the first line and the one after the last, by the lines' lengths."""
     n = len(lengths)
     sums, total = [], 0
     for i in range(n):
         total += lengths[i] - (lengths[i - window] if i >= window else 0)
         sums.append(total)  # of the block that ends with line i
-    best, run = (0, 0, 0), None
+    found, run = [], None
     for i in range(n + 1):
         dense = i < n and sums[i] >= least
         if dense and run is None:
@@ -249,17 +249,63 @@ def surge_and_dive(lengths: list[int], window: int = WINDOW, least: int = SURGE)
                 first += 1
             while last > first and not lengths[last - 1]:
                 last -= 1
-            best = max(best, (sum(lengths[first:last]), first, last))
+            found.append((first, last))
             run = None
-    if not best[0] and n:
-        first = 0
-        for i in range(n + 1):
-            if i == n or not lengths[i]:
-                best = max(best, (sum(lengths[first:i]), first, i))
-                first = i + 1
+    return found
+
+
+def surge_and_dive(lengths: list[int], window: int = WINDOW, least: int = SURGE) -> tuple[int, int]:
+    """The first line and the one after the last of the text, by the lines' lengths."""
+    runs = dense_runs(lengths, window, least)
+    if runs:
+        return max(runs, key=lambda x: (sum(lengths[x[0] : x[1]]), x))
+    best, first, n = (0, 0, 0), 0, len(lengths)
+    for i in range(n + 1):
+        if i == n or not lengths[i]:
+            best = max(best, (sum(lengths[first:i]), first, i))
+            first = i + 1
     return best[1], best[2]
 
 
+def _hinted(kept: list[Line], lengths: list[int], articles: set[int]) -> list[int | None]:
+    """The article or main element that each line lies in, if that holds most of the page's text."""
+    own: dict[int, int] = {}
+    for line in kept:
+        for x in line.mains:
+            own[x] = own.get(x, 0) + len(line.text)
+    candidates = [x for x in own if x in articles] or list(own)
+    if candidates:
+        chosen = max(candidates, key=lambda x: (own[x], -x))
+        hints = [chosen if chosen in line.mains else None for line in kept]
+        if 2 * sum(n for n, x in zip(lengths, hints) if x is not None) >= sum(lengths):
+            return hints
+    return [None] * len(kept)
+
+
+def _hinted_points(kept: list[Line], lengths: list[int], hints: list[int | None]) -> tuple[int, int]:
+    """Surge and dive on a page whose text is mostly in ``hints``.
+
+    Of several runs those that meet the elements count; lines beside an element that are in a run
+    only because its window reaches past the element don't; an element that is met is taken whole.
+    """
+    runs = [x for x in dense_runs(lengths) if any(y is not None for y in hints[x[0] : x[1]])]
+    if not runs:  # all short, or links
+        inside = [i for i, x in enumerate(hints) if x is not None]
+        return inside[0], inside[-1] + 1
+    first, last = runs[0][0], runs[-1][1]
+
+    def beside(i: int) -> bool:
+        return hints[i] is None and lengths[i] < SURGE and not (kept[i].prose and kept[i].mains)
+
+    while beside(first):
+        first += 1
+    while beside(last - 1):
+        last -= 1
+    met = {x for x in hints[first:last] if x is not None}
+    inside = [i for i, x in enumerate(hints) if x in met]
+    return min(first, inside[0]), max(last, inside[-1] + 1)
+
+
 def extract(page: str | None) -> str:
     """The main text of a page, its blocks joined by newlines."""
     if not page:
@@ -281,24 +327,21 @@ def extract(page: str | None) -> str:
         for x in line.outside:
             size[x] += len(line.text)
             linked[x] += line.linked
-    pardoned |= {
+    harmless = {
         x
         for x, kind in when.items()
         if kind != ALWAYS and 2 * linked[x] <= size[x] and (kind == LINKS or size[x] >= SURGE)
     }
-    kept = [line for line in found if not set(line.outside) - pardoned]
-    own: dict[int, int] = {}
-    for line in kept:
-        for x in line.mains:
-            own[x] = own.get(x, 0) + len(line.text)
-    candidates = [x for x in own if x in articles] or list(own)
-    if candidates:
-        chosen = max(candidates, key=lambda x: (own[x], -x))
-        lengths = [max(len(line.text), SURGE) if chosen in line.mains else 0 for line in kept]
-        first, last = surge_and_dive(lengths)
-        body = [line for line in kept[first:last] if chosen in line.mains]
-        return "\n".join(line.text for line in body)
+    kept = [
+        line
+        for line in found
+        if all(x in harmless or x in pardoned and inside[x] & set(line.mains) for x in line.outside)
+    ]
     lengths = [max(len(line.text) - line.linked, 0) if 2 * line.linked <= len(line.text) else 0 for line in kept]
+    hints = _hinted(kept, lengths, articles)
+    if any(x is not None for x in hints):
+        first, last = _hinted_points(kept, lengths, hints)
+        return "\n".join(line.text for line in kept[first:last])
     first, last = surge_and_dive(lengths)
     while first and kept[first - 1].prose and lengths[first - 1]:
         first -= 1

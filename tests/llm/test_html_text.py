@@ -34,6 +34,27 @@ def test_line_blocks_without_an_article():
     assert "Title" in got and "Home" not in got and "(c) x" not in got
 
 
+def test_line_blocks_decide_beside_an_article():
+    article = f"<article><p>One {LONG}</p><p>Two {LONG}</p><p>Three {LONG}</p></article>"
+    inner = f"One {LONG}\nTwo {LONG}\nThree {LONG}"
+    far = "<div><a href=x>Link</a></div>" * 4
+    # Text that goes on beside the element, a run far from it, and short lines next to it.
+    assert extract(f"{article}<div><p>Four {LONG}</p></div>") == f"{inner}\nFour {LONG}"
+    assert extract(f"{article}{far}<div>Four {LONG}</div>") == inner
+    assert extract(f"<div>Menu</div>{article}<div>(c) x</div>") == inner
+    # An element with little of the text says nothing.
+    text = "".join(f"<p>{i} {LONG}</p>" for i in range(20))
+    got = extract(f"<div>{text}</div>{far}<article><p>Card {LONG}</p></article>")
+    assert got.startswith(f"0 {LONG}\n1 {LONG}\n") and f"19 {LONG}" in got
+
+
+def test_the_window_decides_beside_an_article(monkeypatch):
+    page = f"<article><p>A {LONG}</p></article>" + "<div><a href=x>Link</a></div>" * 4 + f"<div>B {LONG}</div>"
+    assert f"B {LONG}" not in extract(page)
+    monkeypatch.setattr(html_text.dense_runs, "__defaults__", (8, 80))
+    assert f"B {LONG}" in extract(page)
+
+
 def test_surge_and_dive():
     assert html_text.surge_and_dive([0, 5, 0, 0, 90, 0, 70, 10, 0, 0, 0, 5]) == (4, 8)
     assert html_text.surge_and_dive([5, 0, 3, 4, 0]) == (2, 4)
