@@ -5,8 +5,8 @@ like go with their content, and so do elements that are no article text by their
 page headers, footers, sidebars, forms) or by their role. Words of a class or id only exclude with
 care (adverts, comments, notices), as text has them too: see ``_named``. The lengths of the lines that are left, not counting link texts, are summed
 over sliding windows. Where a window's sum first rises above a bound is the surge point, where it
-last falls below is the dive point, and the lines between are the text. An ``article`` or ``main``
-element with most of the text is a hint: runs that don't meet it are left out, short lines beside it
+last falls below is the dive point, and all lines between are the text, links too. An ``article`` or ``main``
+element with most of the text, or several side by side, is a hint: runs that don't meet it are left out, short lines beside it
 are no text, and what is met of it is taken whole. Long lines that go on beside it are text. Without
 such an element, paragraphs and headings next to the points belong to the text too.
 
@@ -258,7 +258,7 @@ def surge_and_dive(lengths: list[int], window: int = WINDOW, least: int = SURGE)
     """The first line and the one after the last of the text, by the lines' lengths."""
     runs = dense_runs(lengths, window, least)
     if runs:
-        return max(runs, key=lambda x: (sum(lengths[x[0] : x[1]]), x))
+        return runs[0][0], runs[-1][1]
     best, first, n = (0, 0, 0), 0, len(lengths)
     for i in range(n + 1):
         if i == n or not lengths[i]:
@@ -268,17 +268,26 @@ def surge_and_dive(lengths: list[int], window: int = WINDOW, least: int = SURGE)
 
 
 def _hinted(kept: list[Line], lengths: list[int], articles: set[int]) -> list[int | None]:
-    """The article or main element that each line lies in, if that holds most of the page's text."""
+    """The article or main element that each line lies in, if they hold most of the page's text.
+
+    All outermost ones count, side by side; of a ``main`` most of whose text lies in articles, these.
+    """
     own: dict[int, int] = {}
+    within: dict[int, int] = {}  # of a main element, in its articles
     for line in kept:
-        for x in line.mains:
+        for x in line.mains[:1]:
             own[x] = own.get(x, 0) + len(line.text)
-    candidates = [x for x in own if x in articles] or list(own)
-    if candidates:
-        chosen = max(candidates, key=lambda x: (own[x], -x))
-        hints = [chosen if chosen in line.mains else None for line in kept]
-        if 2 * sum(n for n, x in zip(lengths, hints) if x is not None) >= sum(lengths):
-            return hints
+            if len(line.mains) > 1 and line.mains[1] in articles:
+                within[x] = within.get(x, 0) + len(line.text)
+
+    def hint(mains: tuple[int, ...]) -> int | None:
+        if not mains or mains[0] in articles or 2 * within.get(mains[0], 0) <= own[mains[0]]:
+            return mains[0] if mains else None
+        return mains[1] if len(mains) > 1 and mains[1] in articles else None
+
+    hints = [hint(line.mains) for line in kept]
+    if 2 * sum(n for n, x in zip(lengths, hints) if x is not None) >= sum(lengths):
+        return hints
     return [None] * len(kept)
 
 
@@ -347,7 +356,7 @@ def extract(page: str | None) -> str:
         first -= 1
     while last < len(kept) and kept[last].prose and lengths[last]:
         last += 1
-    return "\n".join(line.text for line in kept[first:last] if 2 * line.linked <= len(line.text))
+    return "\n".join(line.text for line in kept[first:last])
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

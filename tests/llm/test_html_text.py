@@ -48,6 +48,31 @@ def test_line_blocks_decide_beside_an_article():
     assert got.startswith(f"0 {LONG}\n1 {LONG}\n") and f"19 {LONG}" in got
 
 
+LINKS = "<div><a href=x>Link</a></div>" * 4
+
+
+def test_text_goes_on_after_links():
+    page = LINKS + f"<p>A {LONG}</p><p>B {LONG}</p>{LINKS}<p>C {LONG}</p>" + LINKS
+    assert extract(page) == "\n".join([f"A {LONG}", f"B {LONG}", *["Link"] * 4, f"C {LONG}"])
+    linked = f"<p>See <a href=x>{LONG}</a></p>"
+    assert extract(f"<p>A {LONG}</p>{linked}<p>B {LONG}</p>") == f"A {LONG}\nSee {LONG}\nB {LONG}"
+
+
+def test_main_with_a_card():
+    text = [f"{i} {LONG}" for i in range(20)]
+    body = "".join(f"<p>{x}</p>" for x in text)
+    assert extract(f"<main>{body}<article class='card'>A card.</article></main>") == "\n".join([*text, "A card."])
+
+
+@pytest.mark.parametrize("outer", ["main", "div"])
+@pytest.mark.parametrize("between", ["", LINKS])
+def test_sibling_articles(outer, between):
+    texts = [f"{i} {LONG * n}" for i, n in enumerate((2, 5, 1))]
+    page = between.join(f"<article><p>{x}</p></article>" for x in texts)
+    links = "Link\n" * between.count("Link")
+    assert extract(f"<{outer}>{page}</{outer}>") == f"\n{links}".join(texts)
+
+
 def test_the_window_decides_beside_an_article(monkeypatch):
     page = f"<article><p>A {LONG}</p></article>" + "<div><a href=x>Link</a></div>" * 4 + f"<div>B {LONG}</div>"
     assert f"B {LONG}" not in extract(page)
