@@ -12,8 +12,11 @@ up, and shorter ones only where no language has it. The language with the lowest
 per character is taken. One fold of the training documents is kept from counting: on
 it the score (how likely the answer is right) and the rejection bound are calibrated.
 
-What is broadcast is bounded: of each length the ``MAX_GRAMS`` runs that are most frequent are
-kept (shorter ones stand in for the rest). All counts cover the whole corpus.
+All counts cover the whole corpus, and scoring uses all of them. With more than ``MAX_GRAMS``
+distinct runs of a length the model is cut into slices by the two middle characters of a run: all
+that a place of a text looks up lies in one of them (runs of one or two characters are in all). The
+slices are built and broadcast one after another, each adds up the places that are its own, and
+the sums are put together by row.
 
 Edge cases: null and empty texts and texts without letters are ``und`` with score 0, rejected;
 ties go to the first language in code point order; rows without a language are not learned
@@ -24,6 +27,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -179,8 +183,10 @@ def count_grams(docs: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _most_frequent(level: DataFrame, weight: str, most: int) -> DataFrame:
+def _most_frequent(level: DataFrame, weight: str, most: int | None) -> DataFrame:
     """The rows of at most ``most`` runs, the most frequent ones, without a sort of the runs."""
+    if most is None:
+        return level
     runs = level.groupBy("gram").agg(F.sum(weight).alias("_w"))
     sizes = runs.groupBy(F.log2(F.col("_w").cast("double")).cast("int").alias("b")).count()
     left, bound = most, 0  # at most 64 rows reach the driver
@@ -327,6 +333,76 @@ class Model(NamedTuple):
         return -sums / np.maximum(n, 1)[:, None], n
 
 
+    def slice_sums(self, texts: list[str | None], slices: int, own: int) -> tuple[np.ndarray, np.ndarray]:
+        """log2 p by text and language, of the places in slice ``own``, and the number of letters."""
+        codes, starts = normalised(texts)
+        sums = np.zeros((len(texts), len(self.langs)))
+        at = np.flatnonzero(_predicted_places(starts))
+        if len(at):
+            wide = codes.astype(np.int64)
+            at = at[(wide[at + 1] * 31 + wide[at + 2]) % slices == own]
+            text = np.searchsorted(starts, at, "right") - 1
+            np.add.at(sums, text, self.log_probabilities(codes, at, ORDER))
+        return sums, np.maximum(np.diff(starts) - (ORDER - 1), 0)
+
+
+class Sliced(NamedTuple):
+    """A model too large to be broadcast at once: its tables, and into how many slices it is cut."""
+
+    langs: list[str]
+    made: dict[int, tuple[DataFrame, DataFrame]] | None
+    slices: int
+    calibration: Calibration | None = None
+
+    def slice(self, own: int) -> Model:
+        def part(df: DataFrame, key: str, k: int) -> DataFrame:
+            a, b = (F.ascii(F.substring(key, k - 2 + i, 1)).cast("long") for i in (0, 1))
+            return df.where((a * 31 + b) % self.slices == own)
+
+        return _build(
+            {
+                k: (part(grams, "gram", k), part(contexts, "context", k)) if k > 2 else (grams, contexts)
+                for k, (grams, contexts) in self.made.items()
+            },
+            None,
+        )
+
+    def scored(self, docs: DataFrame) -> DataFrame:
+        """``docs`` with ``_sums``, log2 p by language, and ``_letters``; one scan for each slice."""
+        rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+        parts = []
+        for own in range(self.slices):
+            shared = docs.sparkSession.sparkContext.broadcast(self.slice(own))
+
+            def work(
+                batches: Iterable[pa.RecordBatch], shared=shared, slices=self.slices, own=own
+            ) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    for first, last, texts in _text_slices(batch.column("text")):
+                        sums, n = shared.value.slice_sums(texts, slices, own)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                batch.column("_row").slice(first, last - first),
+                                pa.array(list(sums), pa.list_(pa.float64())),
+                                pa.array(n, pa.int64()),
+                            ],
+                            ["_row", "_sums", "_letters"],
+                        )
+
+            made = rows.select("_row", "text").mapInArrow(
+                work, "_row long, _sums array<double>, _letters long"
+            )
+            parts.append(stored(made, "slice"))
+            shared.destroy()
+        sums = (F.sum(F.col("_sums")[i]) for i in range(len(self.langs)))
+        total = (
+            reduce(DataFrame.unionByName, parts)
+            .groupBy("_row")
+            .agg(F.array(*sums).alias("_sums"), F.first("_letters").alias("_letters"))
+        )
+        return rows.join(total, "_row").drop("_row")
+
+
 class Calibration(NamedTuple):
     """What the calibration fold says about right answers.
 
@@ -347,19 +423,37 @@ def _strength(margin: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.minimum(margin * np.sqrt(n), 40.0)
 
 
-def _decide(model: Model, texts: list[str | None]):
+def _entropies(model: Model | Sliced | None, batch: pa.RecordBatch):
+    """First and last row, bits per character by language, and letters, for parts of a batch."""
+    if isinstance(model, Sliced):
+        n = batch.column("_letters").to_numpy()
+        sums = batch.column("_sums").flatten().to_numpy().reshape(len(n), len(model.langs))
+        yield 0, len(n), -sums / np.maximum(n, 1)[:, None], n
+        return
+    for first, last, texts in _text_slices(batch.column("text")):
+        if model is None:
+            yield first, last, np.zeros((len(texts), 0)), np.zeros(len(texts), np.int64)
+        else:
+            yield first, last, *model.cross_entropies(texts)
+
+
+def _decide(entropies: np.ndarray, n: np.ndarray):
     """Best language, its cross entropy, the lead over the second one, and the letters."""
-    entropies, n = model.cross_entropies(texts)
     best = entropies.argmin(axis=1)
-    lowest = entropies[np.arange(len(texts)), best]
-    if len(model.langs) > 1:
+    lowest = entropies[np.arange(len(n)), best]
+    if entropies.shape[1] > 1:
         margin = np.partition(entropies, 1, axis=1)[:, 1] - lowest
     else:
-        margin = np.full(len(texts), 1.0)
+        margin = np.full(len(n), 1.0)
     return best, lowest, margin, n
 
 
-def _build(made: dict[int, tuple[DataFrame, DataFrame]], most: int) -> Model:
+def _shared(spark, model: Model | Sliced | None):
+    """The model broadcast, without its tables if these are not arrays."""
+    return spark.sparkContext.broadcast(model._replace(made=None) if isinstance(model, Sliced) else model)
+
+
+def _build(made: dict[int, tuple[DataFrame, DataFrame]], most: int | None) -> Model:
     langs = sorted(r.lang for r in made[1][0].select("lang").distinct().collect())
     column = {lang: i for i, lang in enumerate(langs)}
     characters = made[1][0].select("gram").distinct().count() + 1
@@ -403,21 +497,23 @@ def _build(made: dict[int, tuple[DataFrame, DataFrame]], most: int) -> Model:
     return model
 
 
-def _calibrate(docs: DataFrame, model: Model) -> Calibration:
+def _calibrate(docs: DataFrame, model: Model | Sliced) -> Calibration:
     """From (text, lang) of the calibration fold; each task hands on one row of sums.
 
     The sums are right and wrong answers by strength, and right ones by distance from a first
     mean; their number is fixed.
     """
     spark, n_langs = docs.sparkSession, len(model.langs)
-    shared = spark.sparkContext.broadcast(model)
+    shared = _shared(spark, model)
     rows = own_columns(docs, "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
+    if isinstance(model, Sliced):
+        rows = stored(model.scored(rows).drop("text"), "calibration")
 
     def judged(batch: pa.RecordBatch):
         langs = batch.column("lang").to_pylist()
         column = {lang: i for i, lang in enumerate(shared.value.langs)}
-        for first, last, texts in _text_slices(batch.column("text")):
-            best, lowest, margin, n = _decide(shared.value, texts)
+        for first, last, entropies, n in _entropies(shared.value, batch):
+            best, lowest, margin, n = _decide(entropies, n)
             truth = np.array([column.get(x, -1) for x in langs[first:last]])
             some = n > 0
             yield best[some], lowest[some], margin[some], n[some], (best == truth)[some]
@@ -492,8 +588,11 @@ def _logistic(x: np.ndarray, right: np.ndarray, wrong: np.ndarray) -> tuple[floa
     return float(beta[0]), float(max(beta[1], 0.0) / scale)
 
 
-def train(docs: DataFrame, most: int = MAX_GRAMS) -> Model | None:
-    """The model of (doc_id, text, lang), without the held-out fold; None if there is nothing."""
+def train(docs: DataFrame, most: int | None = None, at_once: int = MAX_GRAMS) -> Model | Sliced | None:
+    """The model of (doc_id, text, lang), without the held-out fold; None if there is nothing.
+
+    With more than ``at_once`` runs of a length it is sliced. ``most`` keeps only that many runs.
+    """
     small_batches(docs.sparkSession)
     rows = own_columns(docs, "doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
     calibration = rows.where(fold() == CALIBRATION)
@@ -502,20 +601,34 @@ def train(docs: DataFrame, most: int = MAX_GRAMS) -> Model | None:
     )
     if not counts.limit(1).count():
         return None
-    model = _build(kneser_ney(counts), most)
+    made = kneser_ney(counts)
+    runs = 0 if most else max(made[k][0].select("gram").distinct().count() for k in (ORDER - 1, ORDER))
+    if runs > at_once:
+        langs = sorted(r.lang for r in made[1][0].select("lang").distinct().collect())
+        # Twice as many slices as needed, as they are uneven.
+        model = Sliced(langs, made, 2 * -(-runs // at_once))
+    else:
+        model = _build(made, most)
     return model._replace(calibration=_calibrate(calibration, model))
 
 
 def predictions(model: Model | None, texts: list[str | None]) -> dict[str, np.ndarray]:
     """The columns of PREDICTION_SCHEMA for some texts."""
     if model is None:
-        zeros = np.zeros(len(texts))
-        names = np.full(len(texts), UNKNOWN, object)
+        return _answers(None, np.zeros((len(texts), 0)), np.zeros(len(texts), np.int64))
+    return _answers(model, *model.cross_entropies(texts))
+
+
+def _answers(model: Model | Sliced | None, entropies: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+    """The columns of PREDICTION_SCHEMA, from bits per character by language and letters."""
+    if model is None:
+        zeros = np.zeros(len(n))
+        names = np.full(len(n), UNKNOWN, object)
         return dict(
             lang_pred=names, score=zeros, rejected=zeros == 0, cross_entropy=zeros, margin=zeros,
             letters=zeros.astype(np.int64),
         )
-    best, lowest, margin, n = _decide(model, texts)
+    best, lowest, margin, n = _decide(entropies, n)
     known = n > 0
     c = model.calibration
     logit = c.offset + c.slope * _strength(margin, n)
@@ -543,15 +656,15 @@ def _fields() -> list[tuple[str, pa.DataType]]:
     ]
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+def predict(docs: DataFrame, model: Model | Sliced | None) -> DataFrame:
     """(doc_id, held_out) and PREDICTION_SCHEMA for each row of (doc_id, text)."""
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = _shared(docs.sparkSession, model)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, texts in _text_slices(batch.column("text")):
-                got = predictions(shared.value, texts)
+            for first, last, entropies, n in _entropies(shared.value, batch):
+                got = _answers(shared.value, entropies, n)
                 rest = batch.select(["doc_id", "held_out"]).slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(
                     [*rest.columns, *(pa.array(got[name], kind) for name, kind in _fields())],
@@ -559,22 +672,26 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 )
 
     rows = own_columns(docs, "doc_id", "text").withColumn("held_out", fold() == HELD_OUT)
+    if isinstance(model, Sliced):
+        rows = model.scored(rows).drop("text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(score, f"doc_id {kind}, held_out boolean, {PREDICTION_SCHEMA}")
 
 
-def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
+def accepted(docs: DataFrame, model: Model | Sliced | None) -> DataFrame:
     """The rows of ``docs`` whose language is not rejected, as they are."""
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = _shared(docs.sparkSession, model)
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [
-                predictions(shared.value, texts)["rejected"]
-                for _, _, texts in _text_slices(batch.column("text"))
+                _answers(shared.value, entropies, n)["rejected"]
+                for _, _, entropies, n in _entropies(shared.value, batch)
             ]
             if parts:
-                yield batch.filter(pa.array(~np.concatenate(parts)))
+                yield batch.select(names).filter(pa.array(~np.concatenate(parts)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    names = docs.columns
+    rows = model.scored(docs) if isinstance(model, Sliced) else docs
+    return rows.mapInArrow(keep, docs.schema)

@@ -90,6 +90,27 @@ def test_few_runs_kept(spark):
     assert np.mean([g == lang for g, (_, _, lang) in zip(got, data)]) > 0.9
 
 
+def test_all_runs_count_beyond_the_bound(spark):
+    """A model in slices gives the figures of the whole one, for rare runs too."""
+    data = rows(300) + [(900, None, "xx"), (901, "", None), (None, "oir 漢字 𝒳𝒴", "yy"), (5, "ba", "xx"), (5, "ba", "xx")]
+    data += [(1000 + i, "漢字仮名 " + text(random.Random(i), "xx", 5), "zz") for i in range(12)]
+    docs = frame(spark, data)
+    whole, sliced = langid.train(docs), langid.train(docs, at_once=20)
+    assert isinstance(whole, langid.Model) and sliced.slices > 10
+    assert max(len(sliced.slice(i).levels[3][0].rows) for i in range(sliced.slices)) < len(whole.levels[3][0].rows)
+
+    def table(model):
+        return sorted((tuple(r) for r in langid.predict(docs, model).collect()), key=str)
+
+    got, expected = table(sliced), table(whole)
+    assert len(got) == len(data)
+    for a, b in zip(got, expected):
+        assert a == tuple(pytest.approx(x, abs=1e-3) if isinstance(x, float) else x for x in b)
+    kept = langid.accepted(docs, sliced)
+    assert kept.schema == docs.schema
+    assert sorted(kept.collect(), key=str) == sorted(langid.accepted(docs, whole).collect(), key=str)
+
+
 def test_predictions(spark):
     data = rows(400)
     data += [(900, None, "xx"), (901, "", None), (902, "12 !!", "yy"), (903, "ba na", None)]
