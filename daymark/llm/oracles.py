@@ -141,10 +141,42 @@ SELECT source, lang, tokenizer, count(*) AS docs, sum(tokens)::BIGINT AS tokens
 FROM parts GROUP BY ALL
 """
 
+INFILL = r"""
+WITH h AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d
+    FROM documents
+), cut AS (
+    SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS u,
+        ('0x' || d[1:8])::BIGINT AS h1, ('0x' || d[9:16])::BIGINT AS h2,
+        ('0x' || d[17:24])::BIGINT AS h3, ('0x' || d[25:32])::BIGINT AS h4
+    FROM h
+), ranked AS (
+    SELECT *, len(u)::BIGINT AS n,
+        least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS low,
+        greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS high,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+            WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM cut
+), parts AS (
+    SELECT doc_id, text, n, form, array_to_string(u[1:low], '') AS p,
+        array_to_string(u[low + 1:high], '') AS m, array_to_string(u[high + 1:], '') AS s
+    FROM ranked
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
 ORACLES = {
     "op1_warc": WARC,
     "op2_chat": CHAT,
     "op5_mixing": MIXING,
     "op8_decontaminate": DECONTAMINATE,
     "op10_rollup": ROLLUP,
+    "op13_fill_in_middle": INFILL,
 }

@@ -1,0 +1,89 @@
+"""The skip list against plain sums, forms and cuts against slow ones, and exact round trips."""
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from daymark.llm import infill
+
+SCHEMA = "doc_id long, text string"
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 9), max_size=400))
+def test_descent_reaches_every_rank_and_code_point(lengths):
+    units = infill.SkipList(np.array(lengths, np.int64))
+    sums = np.concatenate(([0], np.cumsum(lengths))).astype(int).tolist()
+    for rank, points in enumerate(sums):
+        assert units.descend(rank) == (rank, points)
+    for point in range(sums[-1] + 1):
+        rank = int(np.searchsorted(sums, point, "right")) - 1
+        assert units.descend(point, by_points=True) == (rank, sums[rank])
+
+
+def test_lanes_thin_out_and_their_widths_add_up():
+    units = infill.SkipList(np.full(50_000, 3))
+    sizes = [len(lane[2]) for lane in units.lanes]
+    assert sizes[0] == 50_001 and sizes[-1] <= 2 * infill.LANE_STEP
+    assert all(4 * b < 3 * a for a, b in zip(sizes, sizes[1:]))
+    for lane in units.lanes:
+        assert [x * 3 for x in lane[0]] == lane[1]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="aZé \n<PSM>日😀1", max_size=40), min_size=1, max_size=5))
+def test_units_of_several_texts(texts):
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(x.encode()) for x in texts]))).astype(np.int64)
+    expected = [[len(u) for u in re.findall(r"[A-Za-z]+|[^A-Za-z]", x)] for x in texts]
+    assert [x.tolist() for x in infill.unit_lengths(data, offsets)] == expected
+
+
+def slow(doc_id, text):
+    text = text or ""
+    digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * k : 8 * k + 8], 16) for k in range(4)]
+    units = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = ("".join(x) for x in (units[:a], units[a:b], units[b:]))
+    if h[3] % 100 < 20:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+EDGES = [
+    (None, "no id, two rows"),
+    (None, "no id, two rows"),
+    (1, None),
+    (2, ""),
+    (3, "has a <P> mark"),
+    (4, "ends in <"),
+    (5, "<<S<M a>b"),
+    (6, "äöü 日本語 😀😀 one\r\n\ttwo"),
+    (7, "x" * 300_000),
+    (8, "1 a " * 300_000),
+    (8, "1 a " * 300_000),
+    *((k, f"Some words, number {k}; <S and M> é") for k in range(9, 300)),
+]
+
+
+@pytest.mark.parametrize("rows", [EDGES, []])
+def test_all_forms_against_plain_cuts(spark, rows):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    # Clashing names of other columns are ignored.
+    clash = docs.withColumns({x: F.lit("?") for x in ("n", "form", "output", "h1", "h2", "prefix_chars")})
+    made = infill.transform(clash)
+    found = made.withColumn("back", infill.restored(F.col("output"), F.col("form"))).collect()
+    key = lambda r: tuple(str(x) for x in r)
+    expected = sorted(((i, *slow(i, x), x or "") for i, x in rows), key=key)
+    assert sorted((tuple(r) for r in found), key=key) == expected
+    if rows:
+        assert {r.form for r in found} == {"plain", "psm", "spm"}
