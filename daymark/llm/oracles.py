@@ -141,6 +141,57 @@ SELECT source, lang, tokenizer, count(*) AS docs, sum(tokens)::BIGINT AS tokens
 FROM parts GROUP BY ALL
 """
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), cut AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+    SELECT lang, g, len(g) AS k, count(*) AS f FROM (
+        SELECT lang, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i : i + k - 1])) AS g
+        FROM cut, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k
+    ) GROUP BY lang, g HAVING count(*) >= 30
+), longer AS (
+    SELECT lang, p.g AS g, p.left_ AS left_, f FROM (
+        SELECT lang, f, unnest([{'g': g[2:], 'left_': TRUE}, {'g': g[1:k - 1], 'left_': FALSE}]) AS p
+        FROM grams WHERE k > 1)
+), ext AS (
+    SELECT lang, g, count(*) FILTER (left_) AS n_left, max(f) FILTER (left_) AS most_left,
+        count(*) FILTER (NOT left_) AS n_right, max(f) FILTER (NOT left_) AS most_right
+    FROM longer GROUP BY ALL
+), inside AS (
+    SELECT lang, unnest(list_transform(
+        [[1, k - 1], [2, k], [1, k - 2], [2, k - 1], [3, k]], lambda x: g[x[1]:x[2]])) AS g, f
+    FROM grams WHERE k > 2
+), absorbed AS (
+    SELECT lang, g, max(f) AS most FROM inside WHERE len(g) >= 2 GROUP BY ALL
+), cuts AS (
+    SELECT lang, g, k, f, unnest(range(1, k)) AS c FROM grams WHERE k > 1
+), scored AS (
+    SELECT u.lang, u.g, u.f AS a, c, x.f AS l, y.f AS r,
+        (2000000::HUGEINT * u.f // (x.f + y.f))::BIGINT AS score
+    FROM cuts u JOIN grams x ON x.lang = u.lang AND x.g = u.g[1:c]
+    JOIN grams y ON y.lang = u.lang AND y.g = u.g[c + 1:]
+), weakest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1
+), kept AS (
+    SELECT w.*, array_to_string(w.g, ' ') AS phrase FROM weakest w LEFT JOIN absorbed b
+    ON b.lang = w.lang AND b.g = w.g WHERE coalesce(100 * most < 80 * a, TRUE)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+), sizes AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM cut GROUP BY lang
+)
+SELECT s.lang, rank, phrase, a, l, r, n, score, coalesce(n_left, 0) AS n_left,
+    coalesce(most_left, 0) AS most_left, coalesce(n_right, 0) AS n_right,
+    coalesce(most_right, 0) AS most_right
+FROM ranked s JOIN sizes USING (lang) LEFT JOIN ext e ON e.lang = s.lang AND e.g = s.g
+WHERE rank <= 2000
+"""
+
 INFILL = r"""
 WITH h AS (
     SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d
@@ -178,5 +229,6 @@ ORACLES = {
     "op5_mixing": MIXING,
     "op8_decontaminate": DECONTAMINATE,
     "op10_rollup": ROLLUP,
+    "op12_collocations": COLLOCATIONS,
     "op13_fill_in_middle": INFILL,
 }

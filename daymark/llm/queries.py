@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from daymark.llm import (
     chat,
+    collocations,
     cotrain,
     decontaminate,
     html_text,
@@ -165,6 +166,11 @@ def rollup_counts(docs):
     )
 
 
+def op12_collocations(spark, sf_dir):
+    """The phrases of each language whose words keep together most."""
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_fill_in_middle(spark, sf_dir):
     """Every document rearranged for filling in its middle, and read back."""
     made = infill.transform(table(spark, sf_dir, "documents"))
@@ -198,5 +204,6 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_langid": op9_langid,
     "op10_rollup": op10_rollup,
+    "op12_collocations": op12_collocations,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
