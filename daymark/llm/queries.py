@@ -15,6 +15,7 @@ from daymark.llm import (
     jaccard,
     langid,
     mixing,
+    neighbours,
     rollup,
     warc,
 )
@@ -166,6 +167,12 @@ def rollup_counts(docs):
     )
 
 
+def op11_near_vectors(spark, sf_dir):
+    """Every vector with its links and the smallest id that they lead to."""
+    labelled, _ = neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return labelled
+
+
 def op12_collocations(spark, sf_dir):
     """The phrases of each language whose words keep together most."""
     return collocations.mine(table(spark, sf_dir, "documents"))
@@ -204,6 +211,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_langid": op9_langid,
     "op10_rollup": op10_rollup,
+    "op11_near_vectors": op11_near_vectors,
     "op12_collocations": op12_collocations,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
