@@ -24,9 +24,11 @@ def _parser() -> argparse.ArgumentParser:
     sub = job("capture", "store the table rows of HTML pages as a capture", "pages", "raw")
     sub.add_argument("--capture-ts", type=float, help="epoch seconds; now if left out")
     sub.add_argument("--page-col", help="the column with the number of the page, to keep row order")
-    job("dates", "print the newest date and the one it is compared with", "raw")
+    stored = job("dates", "print the newest date and the one it is compared with", "raw")
+    job("audit", "print the raw files that lack a column's header", "raw")
     sub = job("extract", "write the refined rows of two dates", "raw", "d0", "base")
     sub.add_argument("--d2", default="", help="left out if there is no earlier date")
+    layouts = [stored, sub]
     job("transform", "write the summary and the comparison of the refined rows", "base")
     sub = job("load", "write and register the result tables", "base", "database")
     sub.add_argument("--replace-date", help="also drop what is stored for this date and not new")
@@ -35,13 +37,22 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument(
         "--replace", action="store_true", help="also drop what is stored for that date and not new"
     )
+    layouts.append(sub)
     sub = job("backfill", "write the summary and the comparison of all dates", "raw", "base")
+    layouts.append(sub)
     sub.add_argument("--database", help="where the summary table is registered, if anywhere")
     sub.add_argument("--back", type=int, default=2)
     sub = job("ingest", "refine the files that landed since the last run", "raw", "out", "checkpoint")
     sub.add_argument(
         "--max-files-per-batch", type=int, default=streaming.ingest.MAX_FILES_PER_BATCH
     )
+    for sub in layouts:
+        sub.add_argument(
+            "--layout",
+            choices=sorted(sources.layouts.LAYOUTS),
+            default="partitions",
+            help="partitions: RAW/dt_ptcm=YYYYMMDD/; captures: RAW/YYYYMMDD/<epoch>.parquet",
+        )
     return parser
 
 
@@ -53,19 +64,23 @@ def main(argv: list[str] | None = None) -> None:
         capture_ts = time.time() if args.capture_ts is None else args.capture_ts
         plans.capture(pages, args.raw, capture_ts, page_col=args.page_col)
     elif args.job == "dates":
-        print(*sources.latest_dates(spark, args.raw))
+        dates = sources.layout(args.layout).dates(spark, args.raw)
+        print(*sources.latest_dates(spark, args.raw, dates=dates))
+    elif args.job == "audit":
+        found = sources.audit_headers(spark, args.raw).where("size(missing) > 0")
+        for row in found.orderBy("file").toLocalIterator():
+            print(row["file"], row["n_rows"], ", ".join(row["missing"]), sep="\t")
     elif args.job == "extract":
-        plans.store_refined(spark, args.raw, args.d0, args.d2, args.base)
+        plans.store_refined(spark, args.raw, args.d0, args.d2, args.base, args.layout)
     elif args.job == "transform":
         plans.store_results(spark, args.base)
     elif args.job == "load":
         plans.load_stored(spark, args.base, args.database, args.replace_date)
     elif args.job == "run-latest":
-        print(
-            *plans.run_latest(spark, args.raw, args.base, args.database, args.back, args.replace)
-        )
+        where = args.raw, args.base, args.database
+        print(*plans.run_latest(spark, *where, args.back, args.replace, args.layout))
     elif args.job == "backfill":
-        plans.store_backfill(spark, args.raw, args.base, args.back, args.database)
+        plans.store_backfill(spark, args.raw, args.base, args.back, args.database, args.layout)
     else:
         streaming.ingest_new_files(
             spark, args.raw, args.out, args.checkpoint, args.max_files_per_batch

@@ -20,7 +20,7 @@ from daymark.operators import (
     summarise,
 )
 from daymark.sinks import append_capture, replace_date, write_partitioned, write_refined
-from daymark.sources import latest_dates, read_refined, read_snapshot, read_snapshot_or_empty
+from daymark.sources import latest_dates, layout, read_refined
 
 logger = logging.getLogger(__name__)
 
@@ -47,15 +47,24 @@ def capture(
         rows = rows.drop("_capture_date", page_col)
     shaped = apply_positional_schema(rows.drop("row_pos"), "cells", schemas.CAPTURE_NAMES, check)
     seen = Observation()
-    append_capture(
-        shaped.observe(seen, F.count(F.lit(1)).alias("n_rows")), root, capture_ts
-    )
+    shaped = shaped.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+    dates = None
+    if schemas.DATE_COL in pages.columns:  # those of the pages, before their text is looked at
+        found = pages.select(schemas.DATE_COL).where(F.col(schemas.DATE_COL).isNotNull())
+        dates = [row[0] for row in found.distinct().collect()]
+    append_capture(shaped, root, capture_ts, dates)
     logger.info("captured %d rows", seen.get["n_rows"])
 
 
-def extract(spark: SparkSession, raw_root: str, d0: str, d2: str) -> tuple[DataFrame, DataFrame]:
-    """Refined rows of the newest capture of two dates; ``d2`` may be "" or missing."""
-    frames = read_snapshot(spark, raw_root, d0), read_snapshot_or_empty(spark, raw_root, d2)
+def extract(
+    spark: SparkSession, raw_root: str, d0: str, d2: str, stored_as: str = "partitions"
+) -> tuple[DataFrame, DataFrame]:
+    """Refined rows of the newest capture of two dates; ``d2`` may be "" or missing.
+
+    ``stored_as`` is the layout of the root: "partitions" or "captures".
+    """
+    reads = layout(stored_as)
+    frames = reads.date(spark, raw_root, d0), reads.date_or_empty(spark, raw_root, d2)
     return tuple(refine(latest_capture(df)).drop(schemas.CAPTURE_COL) for df in frames)
 
 
@@ -112,9 +121,11 @@ def load(
     )
 
 
-def store_refined(spark: SparkSession, raw_root: str, d0: str, d2: str, base: str) -> None:
+def store_refined(
+    spark: SparkSession, raw_root: str, d0: str, d2: str, base: str, stored_as: str = "partitions"
+) -> None:
     """``extract``, written under ``base``."""
-    for name, df in zip(("d0", "d2"), extract(spark, raw_root, d0, d2)):
+    for name, df in zip(("d0", "d2"), extract(spark, raw_root, d0, d2, stored_as)):
         seen = Observation()
         write_refined(observe_refined(df, seen), f"{base}/refined/{name}")
         logger.info("refined %s: %s", name, seen.get)
@@ -148,6 +159,7 @@ def run_latest(
     database: str,
     back: int = 2,
     replace: bool = False,
+    stored_as: str = "partitions",
 ) -> tuple[str, str]:
     """Extract, transform and load the newest date; returns the two dates used.
 
@@ -156,8 +168,8 @@ def run_latest(
     Each step stores what it made and the next one reads it, so nothing is computed
     twice: the refined rows serve two results, and the load counts before it writes.
     """
-    d0, d2 = latest_dates(spark, raw_root, back)
-    store_refined(spark, raw_root, d0, d2, base)
+    d0, d2 = latest_dates(spark, raw_root, back, layout(stored_as).dates(spark, raw_root))
+    store_refined(spark, raw_root, d0, d2, base, stored_as)
     store_results(spark, base)
     load_stored(spark, base, database, d0 if replace else None)
     return d0, d2

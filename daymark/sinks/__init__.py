@@ -2,6 +2,7 @@ from daymark.sinks.files import (
     append_capture,
     gather_leaves,
     replace_date,
+    write_captures,
     write_partitioned,
     write_refined,
 )
@@ -10,6 +11,7 @@ __all__ = [
     "append_capture",
     "gather_leaves",
     "replace_date",
+    "write_captures",
     "write_partitioned",
     "write_refined",
 ]

@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 from math import ceil
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.local import local_frame
 from daymark.operators.small import small_rows
 from daymark.schemas import CAPTURE_COL, DATE_COL, SUMMARY_PARTITIONS
-from daymark.sources.partitions import date_glob, is_absent
+from daymark.sources.partitions import is_absent
 
 # A task opens one file after the other, so small leaves are limited by their number.
 LEAVES_PER_TASK = 32
 # A leaf with more rows than this is written by several tasks.
 ROWS_PER_TASK = 2_000_000
+# Holds a marker file per stored capture; readers leave out what begins so.
+CLAIMS = "_captures"
 
 
 def write_refined(df: DataFrame, path: str) -> None:
@@ -118,27 +122,105 @@ def replace_date(
     write_partitioned(day, f"{path.rstrip('/')}/{date_col}={dt}", inner, whole=True)
 
 
-def _refuse_stored(df: DataFrame, root: str, time: Column) -> None:
-    """Fail if a capture of this time is stored. The time is a filter pushed to the scan."""
+def _hadoop(spark: SparkSession, path: str):
+    """(path, file system) of the Hadoop file system that the path belongs to."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _refuse_stored(spark: SparkSession, root: str, dates: Sequence[str], capture_ts: float) -> None:
+    """Fail if a capture of this time is stored under one of the dates. No other date is listed."""
+    time = F.lit(capture_ts)
+    for dt in dates:
+        try:
+            stored = spark.read.schema(f"{CAPTURE_COL} double").parquet(f"{root}/{DATE_COL}={dt}")
+        except AnalysisException as error:
+            if is_absent(error):
+                continue
+            raise
+        if stored.where(F.col(CAPTURE_COL) == time).limit(1).count():
+            raise ValueError(f"a capture of this time is already stored under {root} for {dt}")
+
+
+def _claim(spark: SparkSession, root: str, dates: Sequence[str], capture_ts: float) -> list[str]:
+    """Markers of this capture, one per date, each created by one run only."""
+    claimed: list[str] = []
+    for dt in dates:
+        marker = f"{root}/{CLAIMS}/{dt}-{capture_ts!r}"
+        path, files = _hadoop(spark, marker)
+        if not files.createNewFile(path):
+            _release(spark, claimed)
+            raise ValueError(
+                f"a capture of this time is stored, being stored or broken off under {root} for "
+                f"{dt}; to store it all the same, remove {marker}"
+            )
+        claimed.append(marker)
+    return claimed
+
+
+def _release(spark: SparkSession, markers: Sequence[str]) -> None:
+    for marker in markers:
+        path, files = _hadoop(spark, marker)
+        files.delete(path, False)
+
+
+def append_capture(
+    df: DataFrame, root: str, capture_ts: float, dates: Sequence[str] | None = None
+) -> None:
+    """Add one capture, under ``dt_ptcm`` if ``df`` has it, else under the capture's own day.
+
+    The day is taken in the session time zone; of rows with ``dt_ptcm``, ``dates`` may say
+    which ones there are. Earlier captures are never touched. A time that is stored already
+    for one of the dates is refused, so that a repeated run adds nothing, and of two runs with
+    the same time only one stores it: each date is claimed by a marker file first. Only the
+    directories of these dates are looked at. Rows are written from the tasks that hold them,
+    without a shuffle.
+    """
+    spark, root, capture_ts = df.sparkSession, root.rstrip("/"), float(capture_ts)
+    if DATE_COL not in df.columns:
+        day = F.date_format(F.timestamp_seconds(F.lit(capture_ts)), "yyyyMMdd")
+        dates = [spark.range(1).select(day.alias(DATE_COL)).first()[0]]
+        df = df.withColumn(DATE_COL, F.lit(dates[0]))
+    elif dates is None:
+        # One row per date.
+        dates = [row[0] for row in df.select(DATE_COL).where(f"{DATE_COL} IS NOT NULL").distinct().collect()]
+    dates = sorted(dates)
+    _refuse_stored(spark, root, dates, capture_ts)
+    claimed = _claim(spark, root, dates, capture_ts)
+    rows = df.withColumn(CAPTURE_COL, F.lit(capture_ts))
     try:
-        stored = df.sparkSession.read.schema(f"{CAPTURE_COL} double").parquet(date_glob(root))
-    except AnalysisException as error:
-        if is_absent(error):
-            return
+        rows.write.mode("append").partitionBy(DATE_COL).parquet(root)
+    except Exception:
+        _release(spark, claimed)
         raise
-    if stored.where(F.col(CAPTURE_COL) == time).limit(1).count():
-        raise ValueError(f"a capture of this time is already stored under {root}")
 
 
-def append_capture(df: DataFrame, root: str, capture_ts: float) -> None:
-    """Add one capture, under ``dt_ptcm`` if ``df`` has it, else under the capture's own day.
+def write_captures(df: DataFrame, prefix: str) -> None:
+    """Store captures, rows with ``dt_ptcm`` and ``capture_ts``, as ``PREFIX/YYYYMMDD/<time>.parquet``.
 
-    The day is taken in the session time zone. Earlier captures are never touched, and a
-    time that is stored already, of any date, is refused, so that a repeated run adds nothing.
-    Rows are written from the tasks that hold them, without a shuffle.
+    They are written aside first, and each file is moved into its place when all are complete.
+    The further files of a large capture have numbers. A capture that is there already is
+    refused, before anything is moved. The number of files passes through the driver.
     """
-    time = F.lit(float(capture_ts))
-    _refuse_stored(df, root, time)
-    if DATE_COL not in df.columns:
-        df = df.withColumn(DATE_COL, F.date_format(F.timestamp_seconds(time), "yyyyMMdd"))
-    df.withColumn(CAPTURE_COL, time).write.mode("append").partitionBy(DATE_COL).parquet(root)
+    spark, prefix = df.sparkSession, prefix.rstrip("/")
+    aside = f"{prefix}/_storing-{uuid.uuid4().hex}"
+    df.write.partitionBy(DATE_COL, CAPTURE_COL).parquet(aside)
+    moves, parts = [], Counter()
+    written = spark.read.format("binaryFile").load(f"{aside}/{DATE_COL}=*/{CAPTURE_COL}=*/*.parquet")
+    for row in written.select("path").orderBy("path").toLocalIterator():
+        day, time = (part.split("=", 1)[1] for part in row["path"].split("/")[-3:-1])
+        number = parts[day, time]
+        parts[day, time] += 1
+        name = f"{float(time)!r}" + (f"-{number}" if number else "")
+        moves.append((row["path"], f"{prefix}/{day}/{name}.parquet"))
+    for _, to in moves:
+        path, files = _hadoop(spark, to)
+        if files.exists(path):
+            raise ValueError(f"a capture is already stored as {to}")
+    for source, to in moves:
+        path, files = _hadoop(spark, to)
+        files.mkdirs(path.getParent())
+        if not files.rename(_hadoop(spark, source)[0], path):
+            raise ValueError(f"{source} could not be moved to {to}")
+    path, files = _hadoop(spark, aside)
+    files.delete(path, True)

@@ -65,6 +65,9 @@ def pick_partitions(dates: DataFrame, back: int = 2) -> DataFrame:
     )
 
 
-def latest_dates(spark: SparkSession, root: str, back: int = 2) -> tuple[str, str]:
-    """The two dates a run is about; the only values that reach the driver."""
-    return tuple(pick_partitions(list_partitions(spark, root), back).first())
+def latest_dates(
+    spark: SparkSession, root: str, back: int = 2, dates: DataFrame | None = None
+) -> tuple[str, str]:
+    """The two dates a run is about, of the root's or of ``dates``; all that reaches the driver."""
+    listed = list_partitions(spark, root) if dates is None else dates
+    return tuple(pick_partitions(listed, back).first())

@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.schemas import CAPTURE_NAMES, DATE_COL, HEADERS
+from daymark.schemas import CAPTURE_COL, CAPTURE_NAMES, DATE_COL, HEADERS
+from daymark.sinks import write_captures
 
 PORTUGUESE = {name: headers[0] for name, headers in HEADERS.items()}
 
@@ -101,6 +102,21 @@ def landed(spark: SparkSession, sf_dir: str, source=raw_events) -> str:
     return _landed[key]
 
 
+def captured(spark: SparkSession, sf_dir: str) -> str:
+    """The events as two captures a day, stored file by file: of the morning, and of the whole day."""
+    key = (spark.sparkContext.applicationId, sf_dir, "captured")
+    if key not in _landed:
+        rows = raw_events(spark, sf_dir)
+        noon = F.unix_timestamp(F.to_timestamp(DATE_COL, "yyyyMMdd")).cast("double") + 43_200.0
+        morning = rows.where("capture_hour < 12").withColumn(CAPTURE_COL, noon)
+        rows = morning.unionByName(rows.withColumn(CAPTURE_COL, noon + 39_600.5))
+        prefix = scratch(spark, "captures")
+        raw = rows.select(*map(_quoted, PORTUGUESE.values()), DATE_COL, CAPTURE_COL)
+        write_captures(raw.hint("rebalance", DATE_COL, CAPTURE_COL), prefix)
+        _landed[key] = prefix
+    return _landed[key]
+
+
 def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw events as HTML pages, each with a table of one event."""
     cells = [

@@ -84,6 +84,21 @@ SELECTS = {
         SELECT dt_ptcm, CASE WHEN capture_hour < 12 THEN 1 ELSE 2 END AS capture_ts,
                count(*) AS n_rows
         FROM snap GROUP BY 1, 2""",
+    "header_audit": """
+        SELECT dt_ptcm, CASE WHEN acao = 'error' THEN 'Qtde. Teórica / Theoretical Qty' ELSE '' END
+                 AS missing, count(*) AS n_rows
+        FROM snap GROUP BY 1, 2""",
+    "backfill_bad_file": SUMMARY.format(rows="snap"),
+    "stream_bad_file": SNAP_ROWS,
+    "captures_listed": """
+        SELECT DISTINCT dt_ptcm,
+               epoch(strptime(dt_ptcm, '%Y%m%d')) + CASE WHEN k = 0 THEN 43200 ELSE 82800.5 END AS capture_ts
+        FROM snap, (VALUES (0), (1)) AS two(k) WHERE k = 1 OR capture_hour < 12""",
+    "captures_extract": """
+        SELECT 'd0' AS side, codigo, acao, tipo, qt_teorica, pc_participacao, dt_ptcm FROM d0
+        UNION ALL
+        SELECT 'd2', codigo, acao, tipo, qt_teorica, pc_participacao, dt_ptcm FROM d2""",
+    "captures_backfill": ALL_DATES.format(rows="snap", dates="dates"),
     "rename_columns": "SELECT codigo, acao, tipo FROM snap",
     "rename_columns_missing": "SELECT codigo, event_id AS extra FROM snap",
     "parse_grouped_long": "SELECT event_id, qt_teorica FROM snap",

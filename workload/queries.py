@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from daymark import catalog, functions, operators, plans, schemas, sinks, source
 from daymark.schemas import CAPTURE_COL, DATE_COL, KEYS
 from workload.fixtures import (
     PORTUGUESE,
+    captured,
     customer_pages,
     event_pages,
     land,
@@ -147,6 +149,88 @@ def append_capture(spark, sf_dir):
     )
 
 
+BAD_HEADERS = ["Code", "Stock", "Type", "Quantity", "Participation (%)"]
+
+
+def _with_bad_files(spark, sf_dir) -> str:
+    """All events; in every date those of ``error`` are in files that have no quantity's header."""
+    root, rows = scratch(spark, "bad"), raw_events(spark, sf_dir)
+    errors = F.col(f"`{PORTUGUESE['acao']}`") == "error"
+    land(rows.where(~errors), root)
+    other = dict(zip(PORTUGUESE.values(), BAD_HEADERS))
+    land(operators.rename_columns(rows.where(errors), other), root, BAD_HEADERS)
+    return root
+
+
+def _refused(action) -> None:
+    """The action must fail on a file without a quantity's header, and name it."""
+    try:
+        action()
+    except PySparkException as error:
+        text = str(error)
+        if "raw columns missing in " in text and PORTUGUESE["qt_teorica"] in text:
+            return
+        raise
+    raise ValueError("files without a header were taken")
+
+
+def header_audit(spark, sf_dir):
+    """Rows by date and missing headers, of files that have all and files that don't."""
+    audit = sources.audit_headers(spark, _with_bad_files(spark, sf_dir))
+    return audit.groupBy(DATE_COL, F.array_join("missing", ", ").alias("missing")).agg(
+        F.sum("n_rows").alias("n_rows")
+    )
+
+
+def backfill_bad_file(spark, sf_dir):
+    """A backfill, then one of a root with bad files, which must leave the results as they are."""
+    base, root, bad = scratch(spark, "results"), landed(spark, sf_dir), _with_bad_files(spark, sf_dir)
+    plans.store_backfill(spark, root, base)
+    _refused(lambda: plans.store_backfill(spark, bad, base))
+    stored = sources.read_refined(spark, f"{base}/agrupamento", schemas.SUMMARY_SCHEMA)
+    return rounded(stored)
+
+
+def stream_bad_file(spark, sf_dir):
+    """All events ingested, then a landing with bad files, of which nothing may show."""
+    landing, out, checkpoint = (scratch(spark, x) for x in ("landing", "refined", "checkpoint"))
+    land(raw_events(spark, sf_dir), landing)
+    streaming.ingest_new_files(spark, landing, out, checkpoint)
+    land(
+        operators.rename_columns(raw_events(spark, sf_dir), dict(zip(PORTUGUESE.values(), BAD_HEADERS))),
+        landing,
+        BAD_HEADERS,
+    )
+    _refused(lambda: streaming.ingest_new_files(spark, landing, out, checkpoint))
+    return sources.read_refined(spark, out, schemas.REFINED_SCHEMA)
+
+
+# Captures stored file by file
+
+
+def captures_listed(spark, sf_dir):
+    """Dates and times from the paths of two captures a day; no file is opened."""
+    return sources.list_captures(spark, captured(spark, sf_dir)).drop("path")
+
+
+def captures_extract(spark, sf_dir):
+    """The newest capture of the two dates of a run, each from the one file that holds it."""
+    root = captured(spark, sf_dir)
+    reads = sources.layout("captures")
+    dates = sources.latest_dates(spark, root, dates=reads.dates(spark, root))
+    d0, d2 = plans.extract(spark, root, *dates, "captures")
+    return d0.withColumn("side", F.lit("d0")).unionByName(d2.withColumn("side", F.lit("d2")))
+
+
+def captures_backfill(spark, sf_dir):
+    """All dates compared, by the newest capture of each."""
+    base = scratch(spark, "results")
+    plans.store_backfill(spark, captured(spark, sf_dir), base, stored_as="captures")
+    return rounded(
+        sources.read_refined(spark, f"{base}/comparacao_datas", schemas.DATES_COMPARISON_SCHEMA)
+    )
+
+
 # Projection and parsing
 
 
@@ -457,6 +541,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dynamic_overwrite,
         replace_date,
         append_capture,
+        header_audit,
+        backfill_bad_file,
+        stream_bad_file,
+        captures_listed,
+        captures_extract,
+        captures_backfill,
         rename_columns,
         rename_columns_missing,
         parse_grouped_long,
