@@ -32,6 +32,8 @@ def _parser() -> argparse.ArgumentParser:
     job("transform", "write the summary and the comparison of the refined rows", "base")
     sub = job("load", "write and register the result tables", "base", "database")
     sub.add_argument("--replace-date", help="also drop what is stored for this date and not new")
+    sub = job("publish", "like load, but readers see all of a result's new rows at once", "base", "database")
+    sub.add_argument("--replace-date", help="also drop what is shown for this date and not new")
     sub = job("run-latest", "extract, transform and load the newest date", "raw", "base", "database")
     sub.add_argument("--back", type=int, default=2)
     sub.add_argument(
@@ -42,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     layouts.append(sub)
     sub.add_argument("--database", help="where the summary table is registered, if anywhere")
     sub.add_argument("--back", type=int, default=2)
+    sub = job("update", "bring the results of all dates up to date with the raw files", "raw", "base")
+    sub.add_argument("--back", type=int, default=2)
     sub = job("ingest", "refine the files that landed since the last run", "raw", "out", "checkpoint")
     sub.add_argument(
         "--max-files-per-batch", type=int, default=streaming.ingest.MAX_FILES_PER_BATCH
@@ -76,6 +80,11 @@ def main(argv: list[str] | None = None) -> None:
         plans.store_results(spark, args.base)
     elif args.job == "load":
         plans.load_stored(spark, args.base, args.database, args.replace_date)
+    elif args.job == "publish":
+        dates = [args.replace_date] if args.replace_date else []
+        print(*plans.publish_stored(spark, args.base, args.database, dates))
+    elif args.job == "update":
+        print(*plans.update_results(spark, args.raw, args.base, args.back))
     elif args.job == "run-latest":
         where = args.raw, args.base, args.database
         print(*plans.run_latest(spark, *where, args.back, args.replace, args.layout))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from itertools import batched
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -48,13 +50,13 @@ def register_external(
     schema: StructType,
     path: str,
     partitions: Sequence[str] = (),
-    added: Sequence[tuple] | None = None,
+    added: Iterable[tuple] | None = None,
 ) -> None:
     """Create the table over existing files, or replace its definition; the files stay.
 
-    An unchanged definition is kept with the partitions it has. If ``added`` lists the
-    partition values that were written since, only those are registered then;
-    otherwise all partition directories are looked up. Replacing is a drop and a
+    An unchanged definition is kept with the partitions it has. If ``added`` gives the
+    partition values that were written since, only those are registered, whether the
+    definition is new or not; otherwise all partition directories are looked up. Replacing is a drop and a
     create: a reader may find no table in between. A managed table of that name is
     refused, because dropping it would delete its data.
     """
@@ -70,7 +72,10 @@ def register_external(
     columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in schema)
     by = f" PARTITIONED BY ({', '.join(map(_name, partitions))})" if partitions else ""
     spark.sql(f"CREATE TABLE {full} ({columns}) USING PARQUET{by} LOCATION {_text(path)}")
-    repair_partitions(spark, database, table, partitions)
+    if added is None:
+        repair_partitions(spark, database, table, partitions)
+    else:
+        add_partitions(spark, database, table, partitions, added)
 
 
 def repair_partitions(
@@ -81,9 +86,10 @@ def repair_partitions(
         spark.sql(f"MSCK REPAIR TABLE {_name(database)}.{_name(table)} SYNC PARTITIONS")
 
 
-def _partition(partitions: Sequence[str], values: Sequence[str | None]) -> str:
-    """A partition of string columns; empty text is stored as null."""
-    pairs = [f"{_name(c)} = {_text(v) if v else 'null'}" for c, v in zip(partitions, values)]
+def _partition(partitions: Sequence[str], values: Sequence) -> str:
+    """A partition of strings or numbers; empty text is stored as null."""
+    texts = ["null" if v is None or v == "" else _text(str(v)) for v in values]
+    pairs = [f"{_name(c)} = {text}" for c, text in zip(partitions, texts)]
     return f"PARTITION ({', '.join(pairs)})"
 
 
@@ -92,11 +98,70 @@ def add_partitions(
     database: str,
     table: str,
     partitions: Sequence[str],
-    values: Sequence[tuple],
+    values: Iterable[tuple],
     per_statement: int = 500,
 ) -> None:
     """Register partitions by their values, known ones included, without a look at the files."""
-    found = sorted({_partition(partitions, v) for v in values})
-    for start in range(0, len(found), per_statement):
-        batch = " ".join(found[start : start + per_statement])
-        spark.sql(f"ALTER TABLE {_name(database)}.{_name(table)} ADD IF NOT EXISTS {batch}")
+    for batch in batched((_partition(partitions, v) for v in values), per_statement):
+        clauses = " ".join(sorted(set(batch)))
+        spark.sql(f"ALTER TABLE {full_name(database, table)} ADD IF NOT EXISTS {clauses}")
+
+
+def full_name(database: str, table: str) -> str:
+    return f"{_name(database)}.{_name(table)}"
+
+
+def partition_value(part: Column) -> Column:
+    """The value in a part ``column=value`` of a partition's name; null for the default one."""
+    value = F.url_decode(F.replace(F.substring_index(part, "=", -1), F.lit("+"), F.lit("%2B")))
+    return F.when(value != "__HIVE_DEFAULT_PARTITION__", value)
+
+
+def drop_partition(
+    spark: SparkSession, database: str, table: str, partitions: Sequence[str], values: tuple
+) -> str | None:
+    """Forget one partition of an external table; returns where its files are."""
+    full, spec = full_name(database, table), _partition(partitions, values)
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {full} {spec}").where("col_name = 'Location'")
+    where = details.first()
+    spark.sql(f"ALTER TABLE {full} DROP IF EXISTS {spec}")
+    return where["data_type"] if where else None
+
+
+VERSION_PROPERTY = "daymark.version"
+
+
+def view_version(spark: SparkSession, database: str, view: str) -> int:
+    """The version that a view of published rows shows; 0 if there is no view."""
+    full = full_name(database, view)
+    if not spark.catalog.tableExists(full):
+        return 0
+    if spark.catalog.getTable(full).tableType != "VIEW":
+        raise ValueError(f"{full} exists and is not a view of published rows")
+    properties = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()}
+    return int(properties[VERSION_PROPERTY])
+
+
+def replace_view(
+    spark: SparkSession,
+    database: str,
+    view: str,
+    store: str,
+    columns: Sequence[str],
+    keys: Sequence[str],
+    state: str,
+    version: int,
+) -> None:
+    """Let a view show those rows of ``store`` whose ``keys`` are in the ``state`` files.
+
+    One statement: readers have the old definition or the new one.
+    """
+    path = "`" + state.replace("`", "``") + "`"
+    shown = ", ".join(f"rows_.{_name(c)}" for c in columns)
+    same = " AND ".join(f"rows_.{_name(k)} <=> state_.{_name(k)}" for k in keys)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {full_name(database, view)} "
+        f"TBLPROPERTIES ({_text(VERSION_PROPERTY)} = {_text(str(version))}) AS "
+        f"SELECT {shown} FROM {full_name(database, store)} AS rows_ "
+        f"JOIN parquet.{path} AS state_ ON {same}"
+    )

@@ -6,7 +6,12 @@ from daymark.operators.columns import (
     refine,
     rename_columns,
 )
-from daymark.operators.compare import compare_all_dates, compare_snapshots, date_pairs
+from daymark.operators.compare import (
+    compare_all_dates,
+    compare_date_pairs,
+    compare_snapshots,
+    date_pairs,
+)
 from daymark.operators.html import concat_pages, html_table_rows
 from daymark.operators.metrics import observe_refined, quality_metrics
 from daymark.operators.summarise import summarise
@@ -14,6 +19,7 @@ from daymark.operators.summarise import summarise
 __all__ = [
     "apply_positional_schema",
     "compare_all_dates",
+    "compare_date_pairs",
     "compare_snapshots",
     "concat_pages",
     "conform",

@@ -64,9 +64,17 @@ def compare_all_dates(
     listing; otherwise it is read from ``df``. The date is part of the join key, so
     rows meet only rows of their own pair of dates.
     """
-    pairs = broadcast_if_small(date_pairs(df if dates is None else dates, back))
-    now = df.select(*KEYS, DATE_COL, "qt_teorica", "pc_participacao").join(pairs, DATE_COL, "left")
-    before = df.select(
+    return compare_date_pairs(df, df, date_pairs(df if dates is None else dates, back), rows_per_task)
+
+
+def compare_date_pairs(
+    now: DataFrame, before: DataFrame, pairs: DataFrame, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Rows of ``now`` with their differences to those of ``before`` of the date that ``pairs``,
+    (dt_ptcm, dt_d2), has for theirs. ``now`` and ``before`` may be some dates of one table."""
+    pairs = broadcast_if_small(pairs)
+    now = now.select(*KEYS, DATE_COL, "qt_teorica", "pc_participacao").join(pairs, DATE_COL, "left")
+    before = before.select(
         F.col(DATE_COL).alias("dt_d2"),
         *KEYS,
         F.col("qt_teorica").alias("_qt_before"),

@@ -4,6 +4,7 @@ from daymark.plans.backfill import (
     store_backfill,
     summarise_dates,
 )
+from daymark.plans.incremental import Update, update_results
 from daymark.plans.jobs import (
     capture,
     extract,
@@ -14,18 +15,25 @@ from daymark.plans.jobs import (
     store_results,
     transform,
 )
+from daymark.plans.publish import comparison_results, publish, publish_stored, summary_results
 
 __all__ = [
+    "Update",
     "capture",
     "compare_dates",
+    "comparison_results",
     "extract",
     "load",
     "load_stored",
+    "publish",
+    "publish_stored",
     "refine_dates",
     "run_latest",
     "store_backfill",
     "store_refined",
     "store_results",
     "summarise_dates",
+    "summary_results",
     "transform",
+    "update_results",
 ]

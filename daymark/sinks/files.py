@@ -122,7 +122,7 @@ def replace_date(
     write_partitioned(day, f"{path.rstrip('/')}/{date_col}={dt}", inner, whole=True)
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop(spark: SparkSession, path: str):
     """(path, file system) of the Hadoop file system that the path belongs to."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -147,7 +147,7 @@ def _claim(spark: SparkSession, root: str, dates: Sequence[str], capture_ts: flo
     claimed: list[str] = []
     for dt in dates:
         marker = f"{root}/{CLAIMS}/{dt}-{capture_ts!r}"
-        path, files = _hadoop(spark, marker)
+        path, files = hadoop(spark, marker)
         if not files.createNewFile(path):
             _release(spark, claimed)
             raise ValueError(
@@ -160,7 +160,7 @@ def _claim(spark: SparkSession, root: str, dates: Sequence[str], capture_ts: flo
 
 def _release(spark: SparkSession, markers: Sequence[str]) -> None:
     for marker in markers:
-        path, files = _hadoop(spark, marker)
+        path, files = hadoop(spark, marker)
         files.delete(path, False)
 
 
@@ -214,13 +214,13 @@ def write_captures(df: DataFrame, prefix: str) -> None:
         name = f"{float(time)!r}" + (f"-{number}" if number else "")
         moves.append((row["path"], f"{prefix}/{day}/{name}.parquet"))
     for _, to in moves:
-        path, files = _hadoop(spark, to)
+        path, files = hadoop(spark, to)
         if files.exists(path):
             raise ValueError(f"a capture is already stored as {to}")
     for source, to in moves:
-        path, files = _hadoop(spark, to)
+        path, files = hadoop(spark, to)
         files.mkdirs(path.getParent())
-        if not files.rename(_hadoop(spark, source)[0], path):
+        if not files.rename(hadoop(spark, source)[0], path):
             raise ValueError(f"{source} could not be moved to {to}")
-    path, files = _hadoop(spark, aside)
+    path, files = hadoop(spark, aside)
     files.delete(path, True)

@@ -181,7 +181,13 @@ SELECTS = {
     "load_replacing_date": SUMMARY.format(
         rows="(SELECT * FROM snap WHERE NOT (dt_ptcm = (SELECT d0 FROM pick) AND acao = 'view')) AS kept"
     ),
+    "publish_broken_off": SUMMARY.format(rows="snap"),
+    "publish_replacing_dates": SUMMARY.format(
+        rows="(SELECT * FROM snap WHERE NOT (dt_ptcm = (SELECT d0 FROM pick) AND acao = 'view')) AS kept"
+    ),
     "backfill_registered": SUMMARY.format(rows="snap"),
+    "update_comparison": ALL_DATES.format(rows="snap", dates="dates"),
+    "update_summary": SUMMARY.format(rows="snap"),
     "compare_all_dates": ALL_DATES.format(rows="snap", dates="dates"),
     "summarise_all_dates": SUMMARY.format(rows="snap"),
     "compare_all_months": ALL_DATES.format(rows="month_snap", dates="months"),

@@ -487,6 +487,47 @@ def load_replacing_date(spark, sf_dir):
     return rounded(spark.table(f"{database}.{schemas.SUMMARY_TABLE}"))
 
 
+def publish_broken_off(spark, sf_dir):
+    """The summary of all dates, published in parts, with loads of wrong counts broken off at every step."""
+    database, base = new_database(), scratch(spark, "results")
+    catalog.ensure_database(spark, database, scratch(spark, "database"))
+    stored = scratch(spark, "summary")
+    sinks.write_refined(plans.summarise_dates(spark, landed(spark, sf_dir)), stored)
+    summary = sources.read_refined(spark, stored)
+    results = plans.summary_results(spark, base, database)
+    third = F.dayofmonth(F.to_date(DATE_COL, "yyyyMMdd")) % 3
+    wrong = summary.withColumn("qtd_registros", F.lit(-1).cast("long"))
+    results.publish(wrong.where(third != 2))
+    steps = (
+        lambda version: results.write(wrong, version),
+        lambda version: results.write_state(version, results.published()),
+        lambda version: results.register(version),
+    )
+    for k in range(4):
+        if k:
+            version = results.claim()
+            for step in steps[:k]:
+                step(version)
+        if k < 3:
+            results.publish(summary.where(third == k))
+    return rounded(spark.table(f"{database}.{schemas.SUMMARY_TABLE}"))
+
+
+def publish_replacing_dates(spark, sf_dir):
+    """All dates published, then the newest one without ``view`` as a whole, then superseded files deleted."""
+    database, base, root = new_database(), scratch(spark, "results"), landed(spark, sf_dir)
+    catalog.ensure_database(spark, database, scratch(spark, "database"))
+    stored = scratch(spark, "summary")
+    sinks.write_refined(plans.summarise_dates(spark, root), stored)
+    summary = sources.read_refined(spark, stored)
+    d0, _ = sources.latest_dates(spark, root)
+    results = plans.summary_results(spark, base, database)
+    results.publish(summary)
+    results.publish(summary.where((F.col(DATE_COL) == d0) & (F.col("acao") != "view")), [d0])
+    results.vacuum(kept=1)
+    return rounded(spark.table(f"{database}.{schemas.SUMMARY_TABLE}"))
+
+
 def backfill_registered(spark, sf_dir):
     """The daily run of the newest date, then a backfill from a root that has only the others."""
     database, base, older = new_database(), scratch(spark, "results"), scratch(spark, "older")
@@ -498,6 +539,29 @@ def backfill_registered(spark, sf_dir):
     return rounded(spark.table(f"{database}.{schemas.SUMMARY_TABLE}"))
 
 
+def _updated(spark, sf_dir) -> str:
+    """Results of all dates, which land in three lots out of order; some dates land in two parts."""
+    base, root, rows = scratch(spark, "results"), scratch(spark, "raw"), raw_events(spark, sf_dir)
+    day = F.dayofmonth(F.to_date(DATE_COL, "yyyyMMdd"))
+    late = (day % 5 == 0) & (F.col("event_id") % 2 == 0)
+    for lot in (day % 3 == 1, day % 3 == 0, day % 3 == 2):
+        land(rows.where(lot & ~late), root)
+        plans.update_results(spark, root, base)
+    land(rows.where(late), root)
+    plans.update_results(spark, root, base)
+    return base
+
+
+def update_comparison(spark, sf_dir):
+    path = f"{_updated(spark, sf_dir)}/comparacao_datas"
+    return rounded(sources.read_refined(spark, path, schemas.DATES_COMPARISON_SCHEMA))
+
+
+def update_summary(spark, sf_dir):
+    path = f"{_updated(spark, sf_dir)}/agrupamento"
+    return rounded(sources.read_refined(spark, path, schemas.SUMMARY_SCHEMA))
+
+
 def compare_all_dates(spark, sf_dir):
     return rounded(plans.compare_dates(spark, landed(spark, sf_dir)))
 
@@ -575,7 +639,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sql_over_both_tables,
         load_after_interruption,
         load_replacing_date,
+        publish_broken_off,
+        publish_replacing_dates,
         backfill_registered,
+        update_comparison,
+        update_summary,
         compare_all_dates,
         summarise_all_dates,
         compare_all_months,
