@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -24,6 +24,11 @@ C1_CODES = {
 REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _literal_map(values: Mapping) -> Column:
     return F.create_map(*[F.lit(part) for pair in values.items() for part in pair])
 
@@ -42,22 +47,27 @@ def decode_references(text: Column) -> Column:
 
     What is no reference, or one of an unknown name, stays as it is.
     """
-    parts = F.split(text, "&")
 
     def decoded(part: Column) -> Column:
-        name = F.regexp_extract(part, REFERENCE, 1)
+        return let(F.regexp_extract(part, REFERENCE, 1), lambda name: replaced(part, name))
+
+    def replaced(part: Column, name: Column) -> Column:
         rest = F.substr(part, F.char_length(name) + F.lit(2))
         number = F.when(
             F.lower(F.substr(name, F.lit(2), F.lit(1))) == "x",
             F.conv(F.substr(name, F.lit(3)), 16, 10),
         ).otherwise(F.substr(name, F.lit(2)))
         char = F.when(
-            name.startswith("#"), _character(number.try_cast("bigint"))
+            name.startswith("#"), let(number.try_cast("bigint"), _character)
         ).otherwise(F.try_element_at(_literal_map(NAMED), name))
         return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part))
 
-    others = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
-    return F.concat(F.element_at(parts, 1), F.array_join(others, ""))
+    def joined(parts: Column) -> Column:
+        # The first part has no "&" before it.
+        others = F.transform(parts, lambda part, i: F.when(i == 0, part).otherwise(decoded(part)))
+        return F.array_join(others, "")
+
+    return let(F.split(text, "&"), joined)
 
 
 def strip(col: Column | str) -> Column:
@@ -72,4 +82,6 @@ def cell_text(markup: Column | str) -> Column:
     text = F.regexp_replace(markup, r"[\t\r\n\f][ \t\r\n\f]*| [ \t\r\n\f]+", " ")
     lines = F.regexp_replace(text, r"(?i) ?<br\s*/?> ?", "\n")
     text = F.when(markup.contains("<"), F.regexp_replace(lines, r"<[^>]*>", "")).otherwise(text)
-    return strip(F.when(markup.contains("&"), decode_references(text)).otherwise(text))
+    return strip(
+        F.when(markup.contains("&"), let(text, decode_references)).otherwise(text)
+    )

@@ -147,3 +147,15 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("</b></td><TD>\n a &amp;  b\t</TD></tr></tbody></table>"),
         ).alias("html"),
     )
+
+
+def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per customer: two rows, the first with a table in its second cell, that has one too."""
+    name, key = F.col("c_name"), F.col("c_custkey").cast("string")
+    parts = [
+        "<table><thead><tr><td>x</td></tr></thead><tbody><tr><td>", key, "</td><td>before <table><tr><td>",
+        name, "</td><td>deep<table><tbody><tr><td>", key, "<td>&lt;", name, "&gt;</table></td><td>behind</td></tr></table>",
+        " after</td><td>", name, "</td></tr><tr><td>last</td></tr></tbody></table>",
+    ]
+    html = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    return table(spark, sf_dir, "customer").select("c_custkey", html.alias("html"))

@@ -129,6 +129,11 @@ SELECTS = {
         SELECT c_custkey, 0 AS row_pos, 0 AS n_cells, '' AS cells FROM customer
         UNION ALL
         SELECT c_custkey, 1, 3, c_custkey || '|' || c_name || '|a & b' FROM customer""",
+    "html_nested_tables": """
+        SELECT c_custkey, 0 AS row_pos, c_custkey || '|before after|' || c_name AS cells FROM customer
+        UNION ALL SELECT c_custkey, 1, c_name || '|deep|behind' FROM customer
+        UNION ALL SELECT c_custkey, 2, c_custkey || '|<' || c_name || '>' FROM customer
+        UNION ALL SELECT c_custkey, 3, 'last' FROM customer""",
     "html_pages_ordered": """
         SELECT c_nationkey AS capture, c_custkey AS page, 2 * n - 1 + pos AS row_no,
                3 * pos AS n_cells

@@ -18,6 +18,7 @@ from workload.fixtures import (
     event_pages,
     land,
     landed,
+    nested_pages,
     raw_events,
     raw_lineitem,
     scratch,
@@ -315,6 +316,12 @@ def html_tbody_rows(spark, sf_dir):
     )
 
 
+def html_nested_tables(spark, sf_dir):
+    """Rows of tables three deep, in page order, each with its own cells."""
+    rows = operators.html_table_rows(nested_pages(spark, sf_dir))
+    return rows.select("c_custkey", "row_pos", F.array_join("cells", "|").alias("cells"))
+
+
 def html_pages_ordered(spark, sf_dir):
     rows = operators.html_table_rows(customer_pages(spark, sf_dir))
     return operators.concat_pages(rows, "c_nationkey", "c_custkey").select(
@@ -621,6 +628,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         preview,
         html_rows,
         html_tbody_rows,
+        html_nested_tables,
         html_pages_ordered,
         compare_snapshots,
         compare_spread,
