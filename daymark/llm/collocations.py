@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daymark.llm.common import broadcast_if_few, own_columns, small_batches, stored
+from daymark.llm.common import broadcast_if_few, own_columns, scratch, small_batches, stored
 from daymark.llm.textops import LOWER, give_back, mix, text_slices, words
 
 LONGEST = 4
@@ -42,7 +42,10 @@ SCALE = 2_000_000  # of scores
 
 SHARD_WORDS = 600_000
 LEAST_BITS, MOST_BITS = 18, 26  # counters of the sketch; one bit of each is broadcast
-WORDS_PER_COUNTER = 4
+WORDS_PER_COUNTER = 12  # by far fewer than the least count
+BATCH_BYTES = 16_000_000  # of shards that are handed to a Python worker at a time
+# The more shards a task reads, the more of its phrases are summed before they travel.
+WORDS_PER_TASK = 12_000_000
 CHUNK_BITS = 16
 
 INDEX_SCHEMA = "lang string, n_words long, hashes binary, words array<string>, bwt binary, mirror binary"
@@ -53,6 +56,15 @@ _CUT = np.isin(_BYTES, np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
 _WORD = ~(_CUT | (_BYTES == 0x20) | (_BYTES == 0x09))
 
 
+def ordered(keys: np.ndarray) -> np.ndarray:
+    """The stable order of numbers from 0 on."""
+    n = max(len(keys), 1)
+    if len(keys) and int(keys.max()) < 2**62 // n:
+        # Sorting numbers that hold their own place is several times as fast as sorting places.
+        return np.sort(keys.astype(np.int64) * n + np.arange(n)) % n
+    return np.argsort(keys, kind="stable")
+
+
 def transform(symbols: np.ndarray, depth: int) -> np.ndarray:
     """What precedes each suffix, suffixes sorted by their first ``depth`` symbols.
 
@@ -64,16 +76,13 @@ def transform(symbols: np.ndarray, depth: int) -> np.ndarray:
         ahead = min(reach, depth - reach)
         behind = np.zeros_like(rank)
         behind[:-ahead] = rank[ahead:]
-        key = rank * (int(rank.max()) + 1) + behind
+        rank = rank * (int(rank.max()) + 1) + behind
         reach += ahead
         if reach < depth:
-            order = np.argsort(key, kind="stable")
-            steps = np.concatenate(([0], np.diff(key[order]) != 0)).cumsum()
-            rank = np.empty_like(steps)
+            order = ordered(rank)
+            steps = np.concatenate(([0], np.diff(rank[order]) != 0)).cumsum()
             rank[order] = steps
-        else:
-            rank = key
-    return symbols[np.argsort(rank, kind="stable") - 1].astype(np.int32)
+    return symbols[ordered(rank) - 1].astype(np.int32)
 
 
 class Transform:
@@ -87,7 +96,7 @@ class Transform:
     @cached_property
     def last_to_first(self) -> np.ndarray:
         out = np.empty(len(self.bwt), np.int64)
-        out[np.argsort(self.bwt, kind="stable")] = np.arange(len(self.bwt))
+        out[ordered(self.bwt)] = np.arange(len(self.bwt))
         return out
 
 
@@ -123,7 +132,7 @@ class Index:
         before = np.cumsum(phrases.n) - phrases.n
         rows = np.repeat(lo - before, phrases.n) + np.arange(total)
         key = np.repeat(np.arange(len(phrases)) * way.symbols, phrases.n) + way.bwt[rows]
-        order = np.argsort(key, kind="stable")
+        order = ordered(key)
         key = key[order]
         begins = np.flatnonzero(np.concatenate(([total > 0], key[1:] != key[:-1])))
         n = np.diff(np.append(begins, total))
@@ -172,15 +181,45 @@ def levels(index: Index, longest: int, alive: Callable[[Phrases], np.ndarray]) -
         yield phrases
 
 
+class _Held:
+    """What a task has read of one language for its next shard: parts of slices of texts."""
+
+    def __init__(self):
+        self.hashes: list[np.ndarray] = []
+        self.begins: list[np.ndarray] = []  # whether a word begins a piece
+        self.distinct: list[np.ndarray] = []
+        self.names: list[bytes] = []  # of the distinct hashes
+        self.size = 0
+
+    def add(self, hashes: np.ndarray, begins: np.ndarray, name_of: Callable[[np.ndarray], list[bytes]]) -> None:
+        distinct, at = np.unique(hashes, return_index=True)
+        self.hashes.append(hashes)
+        self.begins.append(begins)
+        self.distinct.append(distinct)
+        self.names += name_of(at)
+        self.size += len(hashes)
+
+    def vocabulary(self) -> tuple[np.ndarray, list[str]]:
+        """The distinct hashes, sorted, and their words."""
+        distinct = np.concatenate(self.distinct)
+        order = np.argsort(distinct, kind="stable")
+        again = distinct[order][1:] == distinct[order][:-1]
+        for i, j in zip(order[:-1][again].tolist(), order[1:][again].tolist()):
+            if self.names[i] != self.names[j]:
+                raise ValueError(f"two words share a hash: {self.names[i]!r}, {self.names[j]!r}")
+        order = order[np.concatenate(([True], ~again))]
+        return distinct[order], [self.names[i].decode() for i in order.tolist()]
+
+
 def _sequences(
     batches: Iterable[pa.RecordBatch], shard_words: int
-) -> Iterator[tuple[str, np.ndarray, np.ndarray, dict[int, str]]]:
-    """(lang, word hashes, whether each begins a piece, words by hash) of each shard."""
-    held: dict[str, tuple[list, list, dict[int, str]]] = {}
+) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray, list[str]]]:
+    """(lang, word hashes, whether each begins a piece, distinct hashes, their words) of each shard."""
+    held: dict[str, _Held] = {}
 
-    def joined(lang: str) -> tuple:
-        hashes, begins, names = held.pop(lang)
-        return lang, np.concatenate(hashes), np.concatenate(begins), names
+    def shard(lang: str) -> tuple:
+        own = held.pop(lang)
+        return lang, np.concatenate(own.hashes), np.concatenate(own.begins), *own.vocabulary()
 
     for batch in batches:
         langs = batch.column("lang").to_pylist()
@@ -191,44 +230,33 @@ def _sequences(
             text = found.texts()
             cuts = np.concatenate(([0], np.cumsum(_CUT[data])))[found.starts]
             begins = np.concatenate(([True], (np.diff(cuts) > 0) | (np.diff(text) > 0)))
-            data = LOWER[data].tobytes()
-            names = {name: k for k, name in enumerate(dict.fromkeys(langs[first:last]))}
-            codes = np.array([names[x] for x in langs[first:last]])[text]
-            for lang, code in names.items():
-                own = np.flatnonzero(codes == code)
-                if not len(own):
-                    continue
-                mine = held.setdefault(lang, ([], [], {}))
-                known = mine[2]
-                distinct, at = np.unique(found.hashes[own], return_index=True)
-                at = own[at]
-                for h, a, b in zip(distinct.tolist(), found.starts[at].tolist(), found.ends[at].tolist()):
-                    word = data[a:b].decode()
-                    if known.setdefault(h, word) != word:
-                        raise ValueError(f"two words share a hash: {known[h]!r}, {word!r}")
+            lower = LOWER[data].tobytes()
+            codes = {name: k for k, name in enumerate(dict.fromkeys(langs[first:last]))}
+            code = np.array([codes[x] for x in langs[first:last]])[text]
+            for lang, k in codes.items():
+                own = np.flatnonzero(code == k)
                 # A long text may fill several shards; a piece is in one.
-                starts = np.flatnonzero(begins[own])
+                starts = np.append(np.flatnonzero(begins[own]), len(own))
                 rest = 0
-                while sum(map(len, mine[0])) + len(own) - rest > shard_words:
-                    room = rest + max(shard_words - sum(map(len, mine[0])), 0)
-                    k = int(np.searchsorted(starts, room, "right")) - 1
-                    to = int(starts[k]) if k >= 0 and starts[k] > rest else None
-                    if to is None and mine[0]:
-                        to = rest  # what is held becomes a shard by itself
-                    elif to is None:
-                        k = int(np.searchsorted(starts, rest, "right"))
-                        to = int(starts[k]) if k < len(starts) else len(own)
-                    mine[0].append(found.hashes[own[rest:to]])
-                    mine[1].append(begins[own[rest:to]])
-                    yield joined(lang)
-                    rest = to
-                    mine = held.setdefault(lang, ([], [], dict(known)))
-                if rest < len(own):
-                    mine[0].append(found.hashes[own[rest:]])
-                    mine[1].append(begins[own[rest:]])
+                while rest < len(own):
+                    mine = held.setdefault(lang, _Held())
+                    room = rest + max(shard_words - mine.size, 0)
+                    to = int(starts[np.searchsorted(starts, room, "right") - 1])
+                    if to <= rest and not mine.size:
+                        to = int(starts[np.searchsorted(starts, rest, "right")])  # a piece too long for a shard
+                    if to > rest:
+                        part = own[rest:to]
+
+                        def name_of(at: np.ndarray, part: np.ndarray = part) -> list[bytes]:
+                            ends = found.ends[part[at]].tolist()
+                            return [lower[a:b] for a, b in zip(found.starts[part[at]].tolist(), ends)]
+
+                        mine.add(found.hashes[part], begins[part], name_of)
+                        rest = to
+                    if rest < len(own):
+                        yield shard(lang)
     for lang in list(held):
-        if sum(map(len, held[lang][0])):
-            yield joined(lang)
+        yield shard(lang)
     give_back()
 
 
@@ -236,8 +264,8 @@ def build_index(docs: DataFrame, longest: int = LONGEST, shard_words: int = SHAR
     """INDEX_SCHEMA: the shards of (lang, text)."""
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, hashes, begins, names in _sequences(batches, shard_words):
-            distinct, ids = np.unique(hashes, return_inverse=True)
+        for lang, hashes, begins, distinct, names in _sequences(batches, shard_words):
+            ids = np.searchsorted(distinct, hashes)
             # The symbols, with a mark before each piece but the first, and one in the end.
             places = np.arange(len(ids)) + np.cumsum(begins) - 1
             symbols = np.zeros(int(places[-1]) + 2, np.int32)
@@ -247,7 +275,7 @@ def build_index(docs: DataFrame, longest: int = LONGEST, shard_words: int = SHAR
                 pa.array([lang], pa.string()),
                 pa.array([len(hashes)], pa.int64()),
                 pa.array([distinct.tobytes()], pa.binary()),
-                pa.array([[names[h] for h in distinct.tolist()]], pa.list_(pa.string())),
+                pa.array([names], pa.list_(pa.string())),
                 pa.array([transform(symbols, longest).tobytes()], pa.binary()),
                 pa.array([transform(mirrored, longest).tobytes()], pa.binary()),
             )
@@ -259,6 +287,18 @@ def build_index(docs: DataFrame, longest: int = LONGEST, shard_words: int = SHAR
     return rows.mapInArrow(build, INDEX_SCHEMA)
 
 
+def stored_index(index: DataFrame) -> DataFrame:
+    """The index in the shared folder, in small row groups: a reader holds one of these at a time."""
+    path = scratch(index.sparkSession, "index")
+    small = {
+        "parquet.block.size": BATCH_BYTES,
+        "parquet.block.size.row.check.min": 1,
+        "parquet.page.size.row.check.min": 1,
+    }
+    index.write.options(**small).parquet(path)
+    return index.sparkSession.read.schema(index.schema).parquet(path)
+
+
 def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, Index]]:
     """(lang, hash of each symbol, index); symbol 0, the mark, has hash 0."""
     for batch in batches:
@@ -267,7 +307,7 @@ def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray
             hashes = np.frombuffer(row["hashes"].as_buffer(), np.uint64)
             bwt, mirror = (np.frombuffer(row[x].as_buffer(), np.int32) for x in ("bwt", "mirror"))
             yield row["lang"].as_py(), np.append(np.uint64(0), hashes), Index(bwt, mirror, len(hashes) + 1)
-    give_back()
+            give_back()
 
 
 def _counters(lang: str, hashes: np.ndarray, phrases: Phrases, bits: int) -> np.ndarray:
@@ -346,41 +386,42 @@ def _sketch(index: DataFrame, bounds: Bounds, lengths: tuple[int, ...], least: i
     return out
 
 
-def count_phrases(index: DataFrame, longest: int = LONGEST, least: int = LEAST_COUNT) -> DataFrame:
-    """(lang, gram, f) of all phrases of up to ``longest`` words that occur ``least`` times or more.
-
-    ``gram`` is the hashes of the words, 8 bytes each. ``index`` is stored.
-    """
+def followed_up(index: DataFrame, longest: int = LONGEST, least: int = LEAST_COUNT) -> DataFrame:
+    """GRAM_SCHEMA: the phrases of every shard that may occur ``least`` times in all of them,
+    with their counts there. ``index`` is stored."""
     total = index.agg(F.sum("n_words")).first()[0] or 0
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    index = index.coalesce(max(total // WORDS_PER_TASK + 1, 2 * cores))
     bits = (total // WORDS_PER_COUNTER).bit_length()
     bounds = Bounds(min(max(bits, LEAST_BITS), MOST_BITS))
     reached = _sketch(index, bounds, (1, 2), least)
     bounds.packed |= {1: reached, 2: reached}
-    for length in range(3, longest):
+    for length in range(3, longest + 1):
         bounds.packed[length] = _sketch(index, bounds, (length,), least)
     shared = index.sparkSession.sparkContext.broadcast(bounds)
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, hashes, shard in _shards(batches):
             for phrases in levels(shard, longest, shared.value.alive(lang, hashes)):
-                m, length = phrases.words.shape
-                for a in range(0, m, 100_000):
+                length = phrases.words.shape[1]
+                for a in range(0, len(phrases), 100_000):
                     grams = hashes[phrases.words[a : a + 100_000]]
-                    buffers = [None, pa.py_buffer((np.arange(len(grams) + 1, dtype=np.int32) * 8 * length).tobytes())]
-                    buffers.append(pa.py_buffer(grams.tobytes()))
-                    gram = pa.Array.from_buffers(pa.binary(), len(grams), buffers)
-                    names = pa.DictionaryArray.from_arrays(
-                        pa.array(np.zeros(len(grams), np.int32)), pa.array([lang], pa.string())
-                    ).cast(pa.string())
+                    ends = pa.py_buffer((np.arange(len(grams) + 1) * 8 * length).astype(np.int32).tobytes())
+                    gram = pa.Array.from_buffers(pa.binary(), len(grams), [None, ends, pa.py_buffer(grams.tobytes())])
+                    langs = pa.repeat(pa.scalar(lang, pa.string()), len(grams))
                     n = pa.array(phrases.n[a : a + 100_000], pa.int64())
-                    yield pa.RecordBatch.from_arrays([names, gram, n], ["lang", "gram", "f"])
+                    yield pa.RecordBatch.from_arrays([langs, gram, n], ["lang", "gram", "f"])
+
+    return index.select("lang", "hashes", "bwt", "mirror").mapInArrow(emit, GRAM_SCHEMA)
 
-    rows = index.select("lang", "hashes", "bwt", "mirror").mapInArrow(emit, GRAM_SCHEMA)
-    return rows.groupBy("lang", "gram").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
+def count_phrases(index: DataFrame, longest: int = LONGEST, least: int = LEAST_COUNT) -> DataFrame:
+    """(lang, gram, f) of all phrases of up to ``longest`` words that occur ``least`` times or more.
 
-def _hash_of(gram, first, length):
-    return F.substring(gram, 8 * first + 1, 8 * length)
+    ``gram`` is the hashes of the words, 8 bytes each. ``index`` is stored.
+    """
+    rows = followed_up(index, longest, least)
+    return rows.groupBy("lang", "gram").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
 
 def extensions(grams: DataFrame) -> DataFrame:
@@ -465,8 +506,12 @@ def mine(
     ``a`` is the count of a phrase, ``l`` and ``r`` those of its parts at its weakest cut, ``n`` the
     words of the language.
     """
-    small_batches(docs.sparkSession)
-    index = stored(build_index(docs, longest, shard_words), "index")
+    spark, batch = docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    small_batches(spark)
+    now = spark.conf.get(batch).lower().removesuffix("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(batch, str(BATCH_BYTES))
+    index = stored_index(build_index(docs, longest, shard_words))
     grams = stored(count_phrases(index, longest, least), "grams")
     phrases = extensions(grams).where(F.octet_length("gram") > 8)
     # A longer phrase with enough of the count has a part, one word longer, with as much.

@@ -46,8 +46,9 @@ def test_extension_of_intervals_counts_all_phrases(texts, shard_words):
     expected, found = Counter(), Counter()
     for text in texts:
         expected.update(counted(cut(text)))
-    for _, hashes, begins, names in shards_of([("x", t) for t in texts], shard_words):
-        distinct, ids = np.unique(hashes, return_inverse=True)
+    for _, hashes, begins, distinct, names in shards_of([("x", t) for t in texts], shard_words):
+        assert distinct.tolist() == np.unique(hashes).tolist()
+        ids = np.searchsorted(distinct, hashes)
         places = np.arange(len(ids)) + np.cumsum(begins) - 1
         symbols = np.zeros(int(places[-1]) + 2, np.int32)
         symbols[places] = ids + 1
@@ -55,7 +56,7 @@ def test_extension_of_intervals_counts_all_phrases(texts, shard_words):
         index = collocations.Index(
             collocations.transform(symbols, 4), collocations.transform(mirrored, 4), len(distinct) + 1
         )
-        word = [""] + [names[h] for h in distinct.tolist()]
+        word = ["", *names]
         every = lambda phrases: np.ones(len(phrases), bool)
         for phrases in collocations.levels(index, 4, every):
             for row, n in zip(phrases.words.tolist(), phrases.n.tolist()):
@@ -66,11 +67,11 @@ def test_extension_of_intervals_counts_all_phrases(texts, shard_words):
 def test_long_texts_fill_several_shards_between_pieces():
     text = " ".join(f"w{i % 50}{'.' if i % 7 == 6 else ''}" for i in range(1000))
     shards = shards_of([("x", text), ("y", "a b"), ("x", text)], 100)
-    assert max(len(h) for _, h, _, _ in shards) <= 100
-    assert sum(len(h) for lang, h, _, _ in shards if lang == "x") == 2000
-    assert all(begins[0] for _, _, begins, _ in shards)
+    assert max(len(s[1]) for s in shards) <= 100
+    assert sum(len(s[1]) for s in shards if s[0] == "x") == 2000
+    assert all(s[2][0] for s in shards)
     one_piece = " ".join(f"w{i}" for i in range(300))
-    assert [len(h) for _, h, _, _ in shards_of([("x", one_piece + ". z")], 100)] == [300, 1]
+    assert [len(s[1]) for s in shards_of([("x", one_piece + ". z")], 100)] == [300, 1]
 
 
 def slow(rows, top=2000, longest=4, least=30):
