@@ -17,9 +17,10 @@ Equal sets are one class from the start. The classes are joined in regions:
    in another region is replicated there: to pivot q if d(q) <= d(nearest) + 2 e and d(q) <= 3 e,
    to the outer region if d(nearest) > e. Regions that don't shrink this way are kept as they
    are, without the pivots. So on, with more pivots each time.
-3. What is small is joined in blocks: a task compares two blocks of members and hands on only
-   pairs that may be linked and lie in different components. A region all of whose members are
-   connected already is done.
+3. What is small is joined in blocks. A task compares two blocks and marks the members that may
+   be linked to one of another component; then the sets of these are compared, block by block, in
+   tasks that give only links which join components. A region all of whose members are connected
+   already is done.
 
 First of all, a single pivot in every region connects most near copies, whose pairs then never
 show up.
@@ -61,8 +62,8 @@ SKETCH_CHUNK = 1 << 14
 HOT_SHINGLE = 50_000  # above the sketch's mean; such regions aren't gathered in one task
 LEAF = 4096  # members of a region that is compared in blocks, without more pivots
 BLOCK = 512
-ROWS_PER_BUCKET = 4000  # members that a task compares at a time, about
-FIRST_TAKE = 2  # candidates of a member and a component that are verified at first
+ROWS_PER_BUCKET = 4000  # members that a task compares by sketches at a time, about
+SHINGLES_PER_BLOCK = 1_000_000  # of the sets that are compared exactly
 FIRST_PIVOTS = 16  # after a first level with one
 MORE_PIVOTS = 4  # times as many from level to level
 ODD_BITS = 4  # buckets of an odd sketch for each shingle
@@ -70,7 +71,7 @@ POSTINGS_PER_BUCKET = 300_000
 SPREAD = 64
 
 SETS_SCHEMA = "doc_id long, cls long, other long, n int, chunk int, counts binary"
-CANDIDATE_SCHEMA = "rid long, a long, b long, more boolean"
+LINK_SCHEMA = "a long, b long, d double"
 POSTING_SCHEMA = "shingle long, cls long, n int, pos int, hot boolean"
 
 
@@ -396,72 +397,115 @@ def _may_link(percent: int) -> Column:
     return (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (left >= need)
 
 
-def _block_join(percent: int, take: int) -> Callable[[pa.Table], pa.Table]:
-    """A function from rows of regions' blocks to CANDIDATE_SCHEMA.
-
-    Of a region's two blocks, or of one with itself, all pairs are compared by size, place and
-    odd sketch, but only those in different components that may be linked are handed on.
+def _block_pairs(table: pa.Table) -> Iterator[np.ndarray]:
+    """The rows of each pair of blocks, sorted by size, that are in more than one component."""
+    rid, low, high, root, n = (table[x].to_numpy() for x in ("rid", "low", "high", "root", "n"))
+    order = np.lexsort((n, high, low, rid))
+    keys = np.stack([rid[order], low[order], high[order]])
+    edges = np.flatnonzero(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0), [True])))
+    for first, last in zip(edges[:-1], edges[1:]):
+        rows = order[first:last]
+        if (root[rows] != root[rows[0]]).any():
+            yield rows
+
+
+def _candidates(
+    table: pa.Table, rows: np.ndarray, sketches: list[np.ndarray], percent: int, label: np.ndarray
+) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, others): for each of the ``rows`` the ones behind it that may be linked to it and whose
+    ``label`` differs, as of when they are asked for. By size, place and odd sketch."""
+    own, n, pos, low, high = (table[x].to_numpy()[rows] for x in ("own", "n", "pos", "low", "high"))
+    two = low[0] != high[0]
+    sizes = n.astype(float)
+    folded: dict[int, np.ndarray] = {}
+    for i in range(len(rows)):
+        # Sorted by size: partners are those behind that aren't too large.
+        to = int(np.searchsorted(sizes, sizes[i] * 100 / percent + 1e-9, "right"))
+        if to <= i + 1:
+            continue
+        need = np.ceil(percent * (sizes[i] + sizes[i + 1 : to]) / (100 + percent) - 1e-9)
+        left = np.minimum(sizes[i] - pos[i], sizes[i + 1 : to] - pos[i + 1 : to])
+        fits = (left >= need) & (label[i + 1 : to] != label[i])
+        if two:
+            fits &= own[i + 1 : to] != own[i]
+        at = np.flatnonzero(fits) + i + 1
+        if not len(at):
+            continue
+        width = len(sketches[i])
+        if width not in folded:
+            # Larger sets have sketches as wide or wider; those before are never used.
+            folded[width] = _fold(sketches, width)
+        apart = np.bitwise_count(folded[width][at] ^ folded[width][i]).sum(axis=1, dtype=float)
+        least = 2 * apart / (sizes[i] + sizes[at] + apart)
+        near = at[least <= (100 - percent) / 100 + 1e-9]
+        if len(near):
+            yield i, near
+
+
+def _mark_block(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """A function from rows of regions' blocks to (rid, cls): those that may be linked to another."""
+
+    def mark(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        rid, cls, root = (table[x].to_numpy() for x in ("rid", "cls", "root"))
+        found = []
+        for rows in _block_pairs(table):
+            sketches = [np.frombuffer(table["value"][int(r)].as_py(), np.uint64) for r in rows]
+            marked = np.zeros(len(rows), bool)
+            for i, near in _candidates(table, rows, sketches, percent, root[rows]):
+                marked[i] = True
+                marked[near] = True
+            found.append(rows[marked])
+        both = np.concatenate(found) if found else np.zeros(0, np.int64)
+        both = np.unique(np.stack([rid[both], cls[both]], axis=1), axis=0) if len(both) else np.zeros((0, 2), np.int64)
+        return pa.table([pa.array(both[:, 0]), pa.array(both[:, 1])], ["rid", "cls"])
+
+    return mark
+
+
+def _link_block(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """A function from rows of regions' blocks, with their sets, to LINK_SCHEMA.
+
+    Of each pair of blocks only links are given that join components which weren't joined yet,
+    fewer than there are rows. Sets are intersected exactly.
     """
 
-    def compare(table: pa.Table) -> pa.Table:
+    def link(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        rid, low, high, own, cls, root, n, pos = (
-            table[name].to_numpy()
-            for name in ("rid", "low", "high", "own", "cls", "root", "n", "pos")
-        )
-        values = table["value"]
-        order = np.lexsort((n, high, low, rid))
-        keys = np.stack([rid[order], low[order], high[order]])
-        edges = np.flatnonzero(
-            np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0), [True]))
-        )
-        out: list[tuple[int, int | None, int | None, bool]] = []
-        for first, last in zip(edges[:-1], edges[1:]):
-            rows = order[first:last]
-            if (root[rows] == root[rows[0]]).all():
-                continue
-            two = low[rows[0]] != high[rows[0]]
-            sketches = [np.frombuffer(values[int(r)].as_py(), np.uint64) for r in rows]
-            sizes, places, blocks = n[rows].astype(float), pos[rows], own[rows]
-            folded: dict[int, np.ndarray] = {}
-            widths = np.array([len(x) for x in sketches])
-            more = False
-            for i, r in enumerate(rows.tolist()):
-                # Sorted by size: partners are those behind that aren't too large.
-                to = int(np.searchsorted(sizes, sizes[i] * 100 / percent + 1e-9, "right"))
-                if to <= i + 1:
-                    continue
-                need = np.ceil(percent * (sizes[i] + sizes[i + 1 : to]) / (100 + percent) - 1e-9)
-                left = np.minimum(sizes[i] - places[i], sizes[i + 1 : to] - places[i + 1 : to])
-                fits = (left >= need) & (root[rows[i + 1 : to]] != root[r])
-                if two:
-                    fits &= blocks[i + 1 : to] != blocks[i]
-                at = np.flatnonzero(fits) + i + 1
-                if not len(at):
-                    continue
-                width = int(widths[i])
-                if width not in folded:
-                    # Larger sets have sketches as wide or wider; those before are never used.
-                    folded[width] = _fold(sketches, width)
-                apart = np.bitwise_count(folded[width][at] ^ folded[width][i]).sum(axis=1, dtype=float)
-                least = 2 * apart / (sizes[i] + sizes[at] + apart)
-                near = np.flatnonzero(least <= (100 - percent) / 100 + 1e-9)
-                if len(near) > take:
-                    # The nearest ones of each component.
-                    by = near[np.lexsort((least[near], root[rows[at[near]]]))]
-                    groups = root[rows[at[by]]]
-                    begins = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
-                    rank = np.arange(len(by)) - np.repeat(begins, np.diff(np.append(begins, len(by))))
-                    more |= bool((rank >= take).any())
-                    near = by[rank < take]
-                out += [(int(rid[r]), int(cls[r]), int(x), False) for x in cls[rows[at[near]]]]
-            if more:
-                out.append((int(rid[rows[0]]), None, None, True))
-        columns = list(zip(*out)) if out else [[], [], [], []]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], ["rid", "a", "b", "more"])
-
-    return compare
+        cls, root = table["cls"].to_numpy(), table["root"].to_numpy()
+        out: list[tuple[int, int, float]] = []
+        for rows in _block_pairs(table):
+            sets = [table["value"][int(r)].values.to_numpy().view(np.uint64) for r in rows]
+            sketches = [odd_sketch(x).view(np.uint64) for x in sets]
+            names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+            lengths = np.array([len(x) for x in sets])
+            starts = np.cumsum(lengths) - lengths
+            own = np.zeros(len(names), bool)
+            label = np.unique(root[rows], return_inverse=True)[1]
+            for i, near in _candidates(table, rows, sketches, percent, label):
+                mine = flat[starts[i] : starts[i] + lengths[i]]
+                own[mine] = True
+                # Some at a time, so that what is gathered stays small.
+                for a in range(0, len(near), 64):
+                    some = near[a : a + 64]
+                    some = some[label[some] != label[i]]
+                    if not len(some):
+                        continue
+                    places = np.concatenate([np.arange(starts[k], starts[k] + lengths[k]) for k in some])
+                    edges = np.cumsum(lengths[some]) - lengths[some]
+                    both = np.add.reduceat(own[flat[places]].astype(np.int64), edges)
+                    either = lengths[i] + lengths[some] - both
+                    for k in np.flatnonzero(100 * both >= percent * either).tolist():
+                        j = int(some[k])
+                        if label[j] != label[i]:
+                            label[label == label[j]] = label[i]
+                            out.append((int(cls[rows[i]]), int(cls[rows[j]]), 1 - both[k] / either[k]))
+                own[mine] = False
+        columns = list(zip(*out)) if out else [[], [], []]
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], ["a", "b", "d"])
+
+    return link
 
 
 def _fold(sketches: list[np.ndarray], width: int) -> np.ndarray:
@@ -561,34 +605,58 @@ class _Levels:
     def join_blocks(self, members: DataFrame) -> None:
         """Find what links the components of regions, each in blocks of bounded size.
 
-        Tasks compare the odd sketches of two blocks and hand on pairs that may be linked, for
-        each member and component the ``take`` nearest. While that leaves some out, the regions
-        concerned come again, with more.
+        Tasks compare two blocks by their odd sketches and mark the members that may be linked to
+        one of another component. Only the sets of these travel, and the tasks that compare them
+        intersect the sets and keep the components joined, so a pair of blocks gives fewer links
+        than it has members, however many of its pairs look alike.
         """
-        take = FIRST_TAKE
-        while True:
-            members = self.unfinished(members)
-            n = members.count()
-            if not n:
-                return
-            blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-            own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
-            others = F.sequence(F.lit(0), blocks - 1)
-            rows = members.join(self.sketches.drop("n"), "cls").withColumns({"own": own, "other": F.explode(others)})
-            rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-            buckets = n // ROWS_PER_BUCKET + 1
-            rows = rows.withColumn("bucket", F.pmod(F.xxhash64("rid", "low", "high"), F.lit(buckets)))
-            columns = ("bucket", "rid", "low", "high", "own", "cls", "root", "n", "pos", "value")
-            compare = _block_join(self.percent, take)
-            found = rows.select(*columns).groupBy("bucket").applyInArrow(compare, CANDIDATE_SCHEMA)
-            found = stored(found, "candidates")
-            self.verify(found.where("b IS NOT NULL").select("a", "b"), self.e)
-            self.connect(self.known[-1])
-            again = found.where("more").select("rid").distinct()
-            members = stored(
-                members.join(again, "rid", "left_semi").select("rid", "cls", "n", "pos"), "again"
-            )
-            take *= 4
+        members = self.unfinished(members)
+        if not members.limit(1).count():
+            return
+        few = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+        rows = self.in_blocks(few, self.sketches.drop("n"), members.count() // ROWS_PER_BUCKET + 1)
+        marked = stored(
+            rows.groupBy("bucket").applyInArrow(_mark_block(self.percent), "rid long, cls long").distinct(),
+            "marked",
+        )
+        # Regions whose marked members are the same need one look only.
+        sums = [
+            F.count("*").alias("size"),
+            F.bit_xor(F.xxhash64("cls")).alias("_s1"),
+            F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("_s2"),
+        ]
+        once = marked.groupBy("rid").agg(*sums).groupBy("_s1", "_s2", "size").agg(
+            F.min("rid").alias("rid"), F.count("*").alias("same")
+        )
+        left = marked.join(once.select("rid", "size", "same"), "rid")
+        left = left.join(members.select("rid", "cls", "n", "pos", "root"), ["rid", "cls"])
+        # Places are those in one region, so merged ones go without them.
+        left = stored(left.withColumn("pos", F.when(F.col("same") > 1, 0).otherwise(F.col("pos"))), "left")
+        if not left.limit(1).count():
+            return
+        sets = self.fetch(stored(left.select("cls").distinct(), "near"))
+        # Blocks and buckets of a bounded number of shingles, however long the sets are.
+        weights = left.groupBy("rid").agg(F.sum("n").alias("weight"))
+        blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / SHINGLES_PER_BLOCK))
+        left = left.join(weights, "rid").withColumn("blocks", blocks.cast("int"))
+        total = left.agg(F.sum(F.col("blocks") * F.col("n"))).first()[0]
+        rows = self.in_blocks(left, sets, total // (2 * SHINGLES_PER_BLOCK) + 1)
+        found = rows.groupBy("bucket").applyInArrow(_link_block(self.percent), LINK_SCHEMA)
+        yes = F.lit(True)
+        found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d").distinct()
+        self.known.append(stored(found.select("*", yes.alias("linked"), yes.alias("exact")), "links"))
+        self.connect(self.known[-1])
+
+    def in_blocks(self, members: DataFrame, values: DataFrame, buckets: int) -> DataFrame:
+        """Members with the ``values`` (cls, value) of their classes, once for each pair of their
+        region's blocks that they belong to, in buckets for tasks."""
+        blocks = F.col("blocks")
+        own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
+        others = F.sequence(F.lit(0), blocks - 1)
+        rows = members.join(values, "cls").withColumns({"own": own, "other": F.explode(others)})
+        rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+        rows = rows.withColumn("bucket", F.pmod(F.xxhash64("rid", "low", "high"), F.lit(buckets)))
+        return rows.select("bucket", "rid", "low", "high", "own", "cls", "root", "n", "pos", "value")
 
     def choose(self, members: DataFrame, k: int) -> DataFrame:
         """(rid, pivot, n2, pos2): ``k`` members of each region, those outside its main component first.

@@ -119,3 +119,41 @@ def test_components(spark):
     got = dict(jaccard.components(df).collect())
     assert got == {x: g for x, g in group.items() if x in got}
     assert all(a in got and b in got for a, b in edges if a != b)
+
+
+def almost_alike(n, part, own):
+    """Texts with a common part, each pair of them equally far apart."""
+    common = " ".join(f"c{i}" for i in range(part))
+    return [(k, f"{common} " + " ".join(f"x{k}-{i}" for i in range(own))) for k in range(n)]
+
+
+@pytest.mark.parametrize("n", [100, 200, 400])
+def test_rows_grow_with_members_not_pairs(spark, monkeypatch, n):
+    """Pairs just below the bound give no rows, whatever their number; pairs above it a forest."""
+    made = {"marked": [], "links": []}
+    keep = jaccard.stored
+
+    def noted(df, name):
+        out = keep(df, name)
+        if name in made:
+            made[name].append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", noted)
+    for part, own, linked in ((113, 10, False), (145, 10, True)):
+        # 4-shingles: part - 3 common ones, 10 own ones.
+        similar = (part - 3) / (part - 3 + 2 * own)
+        assert (similar >= 0.85) == linked and abs(similar - 0.85) < 0.04
+        labelled, _ = jaccard.similarity_join(frame(spark, almost_alike(n, part, own)), pivots=2)
+        groups = {r.component_id for r in labelled.collect()}
+        assert len(groups) == (1 if linked else n)
+    # Each block pair marks its members at most, and of links there are fewer still.
+    assert sum(made["marked"]) <= 30 * n
+    assert sum(made["links"]) < 2 * n
+
+
+def test_chains_just_above_the_bound_are_one_component(spark):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(k, " ".join(words[3 * k : 3 * k + 100])) for k in range(80)]
+    got, _ = joined(spark, rows)
+    assert got == brute(rows, 85, 4)
