@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -248,32 +249,55 @@ def with_next(docs: DataFrame) -> DataFrame:
     ids, in descending order, and behind each range a row that is not its own, the one that follows.
 
     Ids are cut into ranges at quantiles, so nothing is sorted as a whole, and only the first row
-    of each range travels twice. The first row follows the last one.
+    of each range travels twice. An id with so many rows that several quantiles fall on it is cut
+    further, by hashes of its texts, by which rows of equal ids are ordered; so are rows without
+    an id, which come last. The first row follows the last one.
     """
     spark = docs.sparkSession
     rows = own_columns(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
+    rows = rows.withColumn("hash", F.xxhash64("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / parts for i in range(1, parts)]
-    cuts = rows.agg(F.percentile_approx("doc_id", shares or [0.5], 10_000)).first()[0] or []
+    found = rows.agg(
+        F.percentile_approx("doc_id", shares or [0.5], 10_000), F.count("*"), F.count("doc_id")
+    ).first()
+    cuts = found[0] or []
+    nulls = min(parts, -(-(found[1] - found[2]) * parts // max(found[1], 1)))
+    hot = {cut: n for cut, n in Counter(cuts).items() if n > 1}
     cuts = sorted(set(cuts))
     # How many cuts are at most the id, by halving; ids that are null come last.
     number = F.coalesce(_halved(F.col("doc_id"), cuts, 0), F.lit(-1))
-    rows = rows.withColumn("range_no", number)
-    # One id per range reaches the driver.
-    heads = rows.groupBy("range_no").agg(F.max("doc_id").alias("head")).orderBy("range_no").collect()
+    pieces = F.when(F.col("doc_id").isNull(), F.lit(max(nulls, 1)))
+    if hot:
+        known = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+        pieces = pieces.otherwise(F.try_element_at(known, F.col("doc_id")))
+    share = F.col("hash").cast("double") / 2.0**64 + 0.5
+    piece = F.least(F.floor(share * pieces), pieces - 1) + 1
+    # The rows of a hot id come behind the larger ids of its range, piece by piece.
+    span = max([*hot.values(), nulls, 1]) + 2
+    rows = rows.withColumn("range_no", (number * span - F.coalesce(piece, F.lit(0))).cast("long"))
+    # One row per range reaches the driver: its largest id, and of that the smallest hash.
+    first = F.max(F.struct("doc_id", F.bitwise_not("hash").alias("rest")))
+    heads = rows.groupBy("range_no").agg(first.alias("head")).orderBy("range_no").collect()
+    own = rows.select("range_no", F.lit(True).alias("own"), "doc_id", "text", "hash")
     if not heads:
-        return rows.withColumn("own", F.lit(True)).select("range_no", "own", "doc_id", "text")
-    follows = [(heads[i - 1].head, heads[i].range_no) for i in range(len(heads))]
+        return own.drop("hash")
+    follows = [
+        (heads[i - 1].head.doc_id, ~heads[i - 1].head.rest, heads[i].range_no) for i in range(len(heads))
+    ]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    known = F.broadcast(spark.createDataFrame(follows, f"_head {kind}, _to int"))
-    repeated = rows.join(known, rows["doc_id"].eqNullSafe(known["_head"])).select(
-        F.col("_to").alias("range_no"), F.lit(False).alias("own"), "doc_id", "text"
+    known = F.broadcast(spark.createDataFrame(follows, f"_head {kind}, _hash long, _to long"))
+    same = rows["doc_id"].eqNullSafe(known["_head"]) & (rows["hash"] == known["_hash"])
+    repeated = rows.join(known, same).select(
+        F.col("_to").alias("range_no"), F.lit(False).alias("own"), "doc_id", "text", "hash"
     )
-    own = rows.select("range_no", F.lit(True).alias("own"), "doc_id", "text")
     return (
         own.unionByName(repeated)
         .repartition(parts, "range_no")
-        .sortWithinPartitions("range_no", F.col("own").desc(), F.col("doc_id").desc_nulls_last(), "text")
+        .sortWithinPartitions(
+            "range_no", F.col("own").desc(), F.col("doc_id").desc_nulls_last(), "hash", "text"
+        )
+        .drop("hash")
     )
 
 
