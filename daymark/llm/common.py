@@ -64,3 +64,16 @@ def small_batches(spark: SparkSession) -> None:
 def own_columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns: others never clash with what an operator adds."""
     return df.select(*(F.col(f"`{name}`") for name in names))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def all_columns(df: DataFrame) -> list:
+    """The columns of ``df`` by their whole names, which may contain dots."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

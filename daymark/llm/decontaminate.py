@@ -32,7 +32,13 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from daymark.llm.common import broadcast_if_few, own_columns, small_batches, stored
+from daymark.llm.common import (
+    all_columns,
+    broadcast_if_few,
+    own_columns,
+    small_batches,
+    stored,
+)
 from daymark.llm.textops import ALPHANUMERIC, text_slices, words
 
 WINDOW = 13
@@ -369,4 +375,4 @@ def clean(docs: DataFrame, items: DataFrame, share: int = 20) -> DataFrame:
     """The rows of ``docs`` without contaminated documents; rows without an id all stay."""
     found = contamination(search(build_index(docs), items), share)
     gone = stored(found.where("contaminated").select("doc_id").distinct(), "contaminated")
-    return docs.join(broadcast_if_few(gone), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(broadcast_if_few(gone), "doc_id", "left_anti").select(*all_columns(docs))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import own_columns, small_batches, stored
+from daymark.llm.common import all_columns, free_name, own_columns, small_batches, stored
 from daymark.llm.textops import give_back, mix
 
 ORDER = 4
@@ -368,8 +368,12 @@ class Sliced(NamedTuple):
         )
 
     def scored(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with ``_sums``, log2 p by language, and ``_letters``; one scan for each slice."""
-        rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+        """``docs`` with two more columns in the end: log2 p by language, and the number of letters.
+
+        One scan for each slice. Whatever the columns of ``docs`` are called, they stay.
+        """
+        row, sums_, letters = (free_name(docs, x) for x in ("_row", "_sums", "_letters"))
+        rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
         parts = []
         for own in range(self.slices):
             shared = docs.sparkSession.sparkContext.broadcast(self.slice(own))
@@ -382,14 +386,14 @@ class Sliced(NamedTuple):
                         sums, n = shared.value.slice_sums(texts, slices, own)
                         yield pa.RecordBatch.from_arrays(
                             [
-                                batch.column("_row").slice(first, last - first),
+                                batch.column(0).slice(first, last - first),
                                 pa.array(list(sums), pa.list_(pa.float64())),
                                 pa.array(n, pa.int64()),
                             ],
                             ["_row", "_sums", "_letters"],
                         )
 
-            made = rows.select("_row", "text").mapInArrow(
+            made = rows.select(F.col(row).alias("_row"), "text").mapInArrow(
                 work, "_row long, _sums array<double>, _letters long"
             )
             parts.append(stored(made, "slice"))
@@ -397,10 +401,10 @@ class Sliced(NamedTuple):
         sums = (F.sum(F.col("_sums")[i]) for i in range(len(self.langs)))
         total = (
             reduce(DataFrame.unionByName, parts)
-            .groupBy("_row")
-            .agg(F.array(*sums).alias("_sums"), F.first("_letters").alias("_letters"))
+            .groupBy(F.col("_row").alias(row))
+            .agg(F.array(*sums).alias(sums_), F.first("_letters").alias(letters))
         )
-        return rows.join(total, "_row").drop("_row")
+        return rows.join(total, row).select(*all_columns(docs), sums_, letters)
 
 
 class Calibration(NamedTuple):
@@ -426,8 +430,8 @@ def _strength(margin: np.ndarray, n: np.ndarray) -> np.ndarray:
 def _entropies(model: Model | Sliced | None, batch: pa.RecordBatch):
     """First and last row, bits per character by language, and letters, for parts of a batch."""
     if isinstance(model, Sliced):
-        n = batch.column("_letters").to_numpy()
-        sums = batch.column("_sums").flatten().to_numpy().reshape(len(n), len(model.langs))
+        n = batch.column(batch.num_columns - 1).to_numpy()
+        sums = batch.column(batch.num_columns - 2).flatten().to_numpy().reshape(len(n), len(model.langs))
         yield 0, len(n), -sums / np.maximum(n, 1)[:, None], n
         return
     for first, last, texts in _text_slices(batch.column("text")):
@@ -690,8 +694,8 @@ def accepted(docs: DataFrame, model: Model | Sliced | None) -> DataFrame:
                 for _, _, entropies, n in _entropies(shared.value, batch)
             ]
             if parts:
-                yield batch.select(names).filter(pa.array(~np.concatenate(parts)))
+                yield batch.select(list(range(width))).filter(pa.array(~np.concatenate(parts)))
 
-    names = docs.columns
+    width = len(docs.columns)
     rows = model.scored(docs) if isinstance(model, Sliced) else docs
     return rows.mapInArrow(keep, docs.schema)

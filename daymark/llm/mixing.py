@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daymark.llm.common import broadcast_if_few, own_columns, stored
+from daymark.llm.common import all_columns, broadcast_if_few, free_name, own_columns, stored
 
 WEIGHTS = (3, 1, 2)  # by the sources' order, repeating
 SHARE = 1.5  # of all words
@@ -183,13 +183,22 @@ def mixed(
     share: float = SHARE,
     most_epochs: int = MOST_EPOCHS,
 ) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, each as often as it does, numbered by ``copy``."""
+    """The rows of ``docs`` that the mix takes, each as often as it does, numbered by ``copy``.
+
+    All columns of ``docs`` stay; if it has a column ``copy``, the number is ``copy_``.
+    """
     _, taken = plan(docs, weights, share, most_epochs)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    copy = free_name(docs, "copy")
+    source, whole, threshold, times = (
+        free_name(docs, f"_mix_{x}") for x in ("source", "whole", "threshold", "times")
+    )
     taken = broadcast_if_few(
-        taken.select(*(F.col(c).alias(f"_mix_{c}") for c in ("_source", "whole", "threshold")))
+        taken.select(
+            F.col("_source").alias(source), F.col("whole").alias(whole), F.col("threshold").alias(threshold)
+        )
     )
-    extra = (id_hash("doc_id") < F.col("_mix_threshold")).cast("long")
-    rows = docs.join(taken, docs["source"].eqNullSafe(taken["_mix__source"]))
-    rows = rows.withColumn("_mix_times", F.col("_mix_whole") + extra).where("_mix_times > 0")
-    return rows.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_mix_times").cast("int"))).alias("copy"))
+    extra = (id_hash("doc_id") < F.col(threshold)).cast("long")
+    rows = docs.join(taken, docs["source"].eqNullSafe(taken[source]))
+    rows = rows.withColumn(times, F.col(whole) + extra).where(F.col(times) > 0)
+    numbers = F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))
+    return rows.select(*all_columns(docs), numbers.alias(copy))
