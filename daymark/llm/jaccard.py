@@ -52,7 +52,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daymark.llm.common import broadcast_if_few, own_columns, small_batches, stored
+from daymark.llm.common import (
+    all_columns,
+    broadcast_if_few,
+    own_columns,
+    small_batches,
+    stored,
+)
 from daymark.llm.textops import NOT_SPACE, mix, shingle_sets, text_slices, words
 
 SHINGLE_WORDS = 4
@@ -813,4 +819,4 @@ def one_of_each_group(
     if labelled.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
         keyed = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
         docs = keyed.unionByName(docs.where("doc_id IS NULL"))
-    return docs.join(broadcast_if_few(gone), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(broadcast_if_few(gone), "doc_id", "left_anti").select(*all_columns(docs))

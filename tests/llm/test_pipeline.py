@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from daymark.llm import cotrain, jaccard, langid, mixing
@@ -144,3 +145,38 @@ def test_no_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, SF_DIR), "empty")
     assert docs.count() == 0
+
+
+CLASHES = (
+    "copy", "copy_", "_row", "_sums", "_letters", "_mix_source", "_mix_whole", "_mix_threshold", "_mix_times",
+    "n", "h", "y", "cls", "root", "rid", "rep", "size", "hash", "target", "whole", "threshold", "rejected",
+    "contaminated", "a.b", "with `tick", "component_id", "n_hit", "own", "range_no", "score",
+)
+
+
+def test_columns_with_clashing_names(spark):
+    """Columns that have the names stages use inside stay as they are, and change no decision."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    wide = docs
+    for k, name in enumerate(CLASHES):
+        wide = wide.withColumn(name, F.lit(k))
+    for name, stage in corpus_pipeline.STAGES:
+        plain, clashing = (stored(stage(spark, x, "/root/testdata/sf0.001"), name) for x in (docs, wide))
+        added = clashing.columns[len(wide.columns) :]
+        assert clashing.columns[: len(wide.columns)] == wide.columns
+        assert added == (["copy__"] if name == "mixed" else [])
+        quoted = ["`" + c.replace("`", "``") + "`" for c in CLASHES]
+        assert [tuple(r) for r in clashing.select(*quoted).distinct().collect()] == [tuple(range(len(CLASHES)))]
+        kept = [Counter(r[0] for r in x.select("doc_id").collect()) for x in (plain, clashing)]
+        assert kept[0] == kept[1]
+
+
+def test_sliced_language_models_with_clashing_names(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents").withColumns(
+        {"_row": F.lit("x"), "_sums": F.lit(1), "_letters": F.lit(2.5)}
+    )
+    whole, sliced = langid.train(docs), langid.train(docs, at_once=3000)
+    assert isinstance(sliced, langid.Sliced)
+    got = [langid.accepted(docs, model) for model in (whole, sliced)]
+    assert got[0].schema == got[1].schema == docs.schema
+    assert [sorted(map(str, x.collect())) for x in got][0] == sorted(map(str, got[1].collect()))
