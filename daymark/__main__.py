@@ -50,6 +50,8 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument(
         "--max-files-per-batch", type=int, default=streaming.ingest.MAX_FILES_PER_BATCH
     )
+    sub = job("land", "like ingest, with a record of one row per date", "raw", "out")
+    sub.add_argument("--max-files-per-lot", type=int, default=plans.landing.MAX_FILES_PER_LOT)
     for sub in layouts:
         sub.add_argument(
             "--layout",
@@ -90,6 +92,8 @@ def main(argv: list[str] | None = None) -> None:
         print(*plans.run_latest(spark, *where, args.back, args.replace, args.layout))
     elif args.job == "backfill":
         plans.store_backfill(spark, args.raw, args.base, args.back, args.database, args.layout)
+    elif args.job == "land":
+        print(*plans.ingest_landed(spark, args.raw, args.out, args.max_files_per_lot))
     else:
         streaming.ingest_new_files(
             spark, args.raw, args.out, args.checkpoint, args.max_files_per_batch

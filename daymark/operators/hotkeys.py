@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import isqrt
+from math import ceil, isqrt
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -26,7 +26,12 @@ MAX_KNOWN = 20_000
 # Rows are first counted per hash bucket of their key; a bucket that is small on both
 # sides has no hot key, and its keys are not counted one by one.
 BUCKETS = 8192
+# With more rows than this in large buckets, summaries of frequent items, of bounded size, choose
+# the keys that are counted one by one. Each holds up to SUMMARY_ITEMS keys.
+SUMMARY_FROM_ROWS = 50_000_000
+SUMMARY_ITEMS = 4096
 MAX_HOT_TASKS = 20_000
+TASKS_FOR_WORK = 3
 
 
 class HotKeys(NamedTuple):
@@ -57,8 +62,8 @@ def _bucket(keys: Sequence[str]) -> Column:
 
 def _heavy_buckets(
     left: DataFrame, right: DataFrame, keys: Sequence[str], at_least: int
-) -> list[int]:
-    """The buckets with more than ``at_least`` rows of a side.
+) -> dict[int, int]:
+    """The buckets with more than ``at_least`` rows of a side, and the larger side's rows.
 
     No hot key is missed, as its bucket is no smaller. Each task counts before the
     shuffle, and the driver gets one number per bucket.
@@ -69,7 +74,50 @@ def _heavy_buckets(
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > at_least)
     )
-    return sorted({row["_bucket"] for row in counts.collect()})
+    found: dict[int, int] = {}
+    for row in counts.collect():
+        found[row["_bucket"]] = max(found.get(row["_bucket"], 0), row["_rows"])
+    return found
+
+
+def frequent_hashes(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], at_least: int, rows: int
+) -> DataFrame:
+    """``_hash`` of every key with more than ``at_least`` rows of a side, and of few others.
+
+    Summaries of frequent items that tasks merge: one misses no item with more than twice its
+    rows over the items it has room for, so keys are dealt to as many summaries, by hash, as it
+    takes for sides of ``rows`` rows. All in all they name some ``rows / at_least`` keys, whatever
+    the number of distinct ones.
+    """
+    room = 0.75 * SUMMARY_ITEMS * at_least / 2
+    # Twice as many as needed, as groups are uneven.
+    groups = 2 * ceil(rows / room)
+    key = F.xxhash64(*keys).alias("_hash")
+    return (
+        _sides(left, right, key)
+        .groupBy("_side", F.pmod(F.xxhash64("_hash"), F.lit(groups)).alias("_group"))
+        .agg(F.expr(f"approx_top_k(_hash, {SUMMARY_ITEMS}, {SUMMARY_ITEMS})").alias("_items"))
+        .select(F.explode("_items").alias("_item"))
+        # The estimates are upper bounds.
+        .where(F.col("_item.count") > at_least)
+        .select(F.col("_item.item").alias("_hash"))
+        .distinct()
+    )
+
+
+def _suspects(
+    df: DataFrame, keys: Sequence[str], buckets: dict[int, int], hashes: DataFrame | None
+) -> DataFrame:
+    """The rows whose keys are counted one by one."""
+    if len(buckets) < BUCKETS // 2:
+        df = df.where(_bucket(keys).isin(sorted(buckets)))
+    if hashes is None:
+        return df
+    rows = small_rows(hashes, MAX_KNOWN)
+    if rows is not None:
+        return df.where(F.xxhash64(*keys).isin([row["_hash"] for row in rows]))
+    return df.withColumn("_hash", F.xxhash64(*keys)).join(hashes, "_hash", "left_semi").drop("_hash")
 
 
 def _splits(own: str, other: str, rows_per_task: int) -> Column:
@@ -85,17 +133,29 @@ def find_hot_keys(
 ) -> HotKeys:
     """The keys whose rows or pairs are too many for one task, however many rows there are.
 
-    One pass over the key columns of both sides; only if that finds heavy buckets are
-    the keys in them counted, with a partial count in each task. Few hot keys are held
-    as values; more than can be broadcast stay a frame, for a shuffled join.
+    One pass over the key columns of both sides; only if that finds heavy buckets are keys in
+    them counted, with a partial count in each task. Beyond SUMMARY_FROM_ROWS rows in such buckets
+    these are the keys that another pass finds frequent. Few hot keys are held as values; more
+    than can be broadcast stay a frame, for a shuffled join.
     """
+    return _find(left, right, keys, rows_per_task)[0]
+
+
+def _find(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_task: int
+) -> tuple[HotKeys, float]:
+    """The hot keys, and how many tasks' work their rows and pairs are."""
     at_least = min(rows_per_task, isqrt(rows_per_task * PAIRS_PER_ROW))
     buckets = _heavy_buckets(left, right, keys, at_least)
     if not buckets:
-        return HotKeys(None, False)
-    if len(buckets) < BUCKETS // 2:
-        left, right = (df.where(_bucket(keys).isin(buckets)) for df in (left, right))
+        return HotKeys(None, False), 0.0
+    rows, hashes = sum(buckets.values()), None
+    if rows > SUMMARY_FROM_ROWS:
+        inside = [_suspects(df.select(*keys), keys, buckets, None) for df in (left, right)]
+        hashes = frequent_hashes(*inside, keys, at_least, rows)
+    left, right = (_suspects(df, keys, buckets, hashes) for df in (left, right))
     grid = "_left_splits", "_right_splits"
+    pairs = F.col("_left_rows").cast("double") * F.greatest("_right_rows", F.lit(1))
     hot = (
         _sides(left, right, *keys)
         .groupBy(*keys)
@@ -112,22 +172,30 @@ def find_hot_keys(
                 F.greatest(*grid) > 1
             )
         )
-        .select(*keys, *grid, "_matchless")
+        .withColumn(
+            "_work",
+            F.greatest(
+                pairs / (rows_per_task * PAIRS_PER_ROW),
+                (F.col("_left_rows") * F.col(grid[1]) + F.col("_right_rows") * F.col(grid[0])) / rows_per_task,
+            ),
+        )
+        .select(*keys, *grid, "_matchless", "_work")
     )
     rows = small_rows(hot, MAX_KNOWN)
     if rows is None:
         matchless = F.col("_matchless")
         nulls = bool(hot.where(matchless).limit(1).count())
         hot = hot.where(~matchless).drop("_matchless")
-        cells = hot.agg(F.sum(F.col(grid[0]) * F.col(grid[1]))).first()[0]
-        return HotKeys(hot if cells else None, nulls, cells or 0)
+        cells, work = hot.agg(F.sum(F.col(grid[0]) * F.col(grid[1])), F.sum("_work")).first()
+        return HotKeys(hot.drop("_work") if cells else None, nulls, cells or 0), work or 0.0
     nulls = any(row["_matchless"] for row in rows)
-    known = [tuple(row)[:-1] for row in rows if not row["_matchless"]]
+    known = [row for row in rows if not row["_matchless"]]
     if not known:
-        return HotKeys(None, nulls)
-    schema = hot.drop("_matchless").schema
-    cells = sum(row[-2] * row[-1] for row in known)
-    return HotKeys(F.broadcast(local_frame(left.sparkSession, known, schema)), nulls, cells)
+        return HotKeys(None, nulls), 0.0
+    schema = hot.drop("_matchless", "_work").schema
+    cells = sum(row[grid[0]] * row[grid[1]] for row in known)
+    frame = local_frame(left.sparkSession, [tuple(row)[:-2] for row in known], schema)
+    return HotKeys(F.broadcast(frame), nulls, cells), sum(row["_work"] for row in known)
 
 
 def _pieces(df: DataFrame, own: str, other: str, own_axis: str, other_axis: str) -> DataFrame:
@@ -154,11 +222,11 @@ def _pieces(df: DataFrame, own: str, other: str, own_axis: str, other_axis: str)
     )
 
 
-def _hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str], cells: int) -> DataFrame:
+def _hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str], tasks: int) -> DataFrame:
     """Left join of the rows of hot keys; each left piece meets each right piece once.
 
-    There are as many tasks as cells, up to a bound: the few bytes of counted rows
-    would otherwise be coalesced into few tasks, though their pairs are many.
+    The number of tasks is given: the few bytes of counted rows would otherwise be
+    coalesced into few tasks, though their pairs are many.
 
     A left row is repeated for every right piece of its key. Where there are several,
     the key has right rows, so a repetition that meets an empty piece is dropped and
@@ -171,7 +239,6 @@ def _hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str], cells: int
         .withColumnRenamed("_copies", "_partner_copies")
     )
     by = [*keys, "_x", "_y"]
-    tasks = min(cells, MAX_HOT_TASKS)
     joined = rows.repartition(tasks, *by).join(partners.repartition(tasks, *by), by, "left")
     joined = joined.where(
         F.col("_partner_copies").isNotNull() | (F.col("_right_splits") == 1)
@@ -196,7 +263,9 @@ def spread_left_join(
     keys = list(keys)
     payload = [c for c in right.columns if c not in keys]
     out = [*left.columns, *payload]
-    hot = find_hot_keys(left, right, keys, rows_per_task)
+    hot, work = _find(left, right, keys, rows_per_task)
+    # Cells are dealt out by hash, so there are some more tasks than full ones.
+    tasks = max(min(hot.cells, TASKS_FOR_WORK * ceil(work), MAX_HOT_TASKS), 1)
 
     branches = []
     if hot.nulls:
@@ -206,7 +275,7 @@ def spread_left_join(
         left = left.where(~matchless)
     if hot.frame is not None:
         known = hot.frame
-        branches.append(_hot_join(left.join(known, keys), right.join(known, keys), keys, hot.cells))
+        branches.append(_hot_join(left.join(known, keys), right.join(known, keys), keys, tasks))
         left, right = (df.join(known, keys, "left_anti") for df in (left, right))
     branches.append(left.join(right, keys, "left"))
     return reduce(DataFrame.unionByName, [branch.select(*out) for branch in branches])

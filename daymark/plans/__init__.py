@@ -15,6 +15,7 @@ from daymark.plans.jobs import (
     store_results,
     transform,
 )
+from daymark.plans.landing import ingest_landed, read_landed
 from daymark.plans.publish import comparison_results, publish, publish_stored, summary_results
 
 __all__ = [
@@ -23,10 +24,12 @@ __all__ = [
     "compare_dates",
     "comparison_results",
     "extract",
+    "ingest_landed",
     "load",
     "load_stored",
     "publish",
     "publish_stored",
+    "read_landed",
     "refine_dates",
     "run_latest",
     "store_backfill",

@@ -12,7 +12,7 @@ from daymark.operators import (
     latest_capture,
     summarise,
 )
-from daymark.operators import small
+from daymark.operators import hotkeys, small
 from daymark.operators.hotkeys import find_hot_keys, spread_left_join
 
 REFINED = "codigo string, acao string, dt_ptcm string, qt_teorica long, pc_participacao double"
@@ -134,6 +134,46 @@ def test_a_key_is_hot_however_many_rows_there_are(spark, n):
     assert [tuple(r) for r in hot.frame.collect()] == [("a", 150, 150)]
 
 
+@pytest.mark.parametrize("known", [3, 20_000])
+def test_frequent_keys_are_found_by_summaries(spark, monkeypatch, known):
+    """As at 10^9 rows: all buckets are heavy, and yet few keys are counted one by one."""
+    monkeypatch.setattr("daymark.operators.hotkeys.BUCKETS", 8)
+    monkeypatch.setattr("daymark.operators.hotkeys.MAX_KNOWN", known)
+    n = 400_000
+    df = spark.range(n).select(
+        # A third in one key, 50 keys of 500 rows, and 240,000 keys of one row.
+        F.when(F.col("id") % 3 == 0, "a")
+        .when(F.col("id") < 37_500, F.concat(F.lit("b"), (F.col("id") % 50).cast("string")))
+        .otherwise(F.col("id").cast("string"))
+        .alias("k")
+    )
+    few = spark.createDataFrame([("a",), ("b1",)], "k string")
+    exact = find_hot_keys(df, few, ["k"], rows_per_task=100)
+    counted = hotkeys.frequent_hashes(df, few, ["k"], 100, n).count()
+    assert 51 <= counted <= 2 * n / 100
+    monkeypatch.setattr("daymark.operators.hotkeys.SUMMARY_FROM_ROWS", 0)
+    hot = find_hot_keys(df, few, ["k"], rows_per_task=100)
+    assert bag(hot.frame) == bag(exact.frame) and hot[1:] == exact[1:]
+    assert hot.frame.count() == 51
+    small = df.where("k = 'a' or k like 'b%'").limit(3000)
+    assert bag(spread_left_join(small, few, ["k"], 20)) == bag(small.join(few, "k", "left"))
+
+
+def test_tasks_follow_the_work_of_hot_keys(spark, monkeypatch):
+    """Many pieces of little work share tasks."""
+    made = []
+    join = hotkeys._hot_join
+    monkeypatch.setattr(hotkeys, "_hot_join", lambda *a: made.append(a[-1]) or join(*a))
+    df = spark.range(3000).select((F.col("id") % 500).alias("k"))
+    out = spread_left_join(df, df.distinct(), ["k"], rows_per_task=1)
+    assert out.count() == 3000
+    # 500 keys cut into 6 pieces each, some 18 pairs of a task's 200.
+    assert find_hot_keys(df, df.distinct(), ["k"], rows_per_task=1).cells >= made[0]
+    hot = spark.range(30_000).select(F.lit(1).alias("k"))
+    spread_left_join(hot, hot, ["k"], rows_per_task=100)
+    assert made[1] > 1000
+
+
 @pytest.mark.parametrize("known", [0, 1, 20_000])
 def test_many_hot_keys_are_joined_without_a_broadcast(spark, monkeypatch, known):
     monkeypatch.setattr("daymark.operators.hotkeys.MAX_KNOWN", known)

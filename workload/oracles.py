@@ -198,6 +198,7 @@ SELECTS = {
     "compare_all_months": ALL_DATES.format(rows="month_snap", dates="months"),
     "summarise_all_months": SUMMARY.format(rows="month_snap"),
     "stream_ingest": SNAP_ROWS,
+    "landed_files": SNAP_ROWS,
 }
 
 ORACLES = {key: f"{PRELUDE.strip()}\n{select.strip()}" for key, select in SELECTS.items()}

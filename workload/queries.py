@@ -597,6 +597,17 @@ def stream_ingest(spark, sf_dir):
     return sources.read_refined(spark, out, schemas.REFINED_SCHEMA)
 
 
+def landed_files(spark, sf_dir):
+    """Landings in three lots, of which two bring late files for dates that were read before."""
+    landing, out = scratch(spark, "landing"), scratch(spark, "landed")
+    rows = raw_events(spark, sf_dir)
+    for lot in (1, 0, 2):
+        land(rows.where(F.pmod(F.col("event_id") + F.dayofmonth(F.to_date(DATE_COL, "yyyyMMdd")), F.lit(3)) == lot), landing)
+        plans.ingest_landed(spark, landing, out, max_files_per_lot=40)
+    plans.ingest_landed(spark, landing, out)
+    return plans.read_landed(spark, out).select(*REFINED)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -657,5 +668,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         compare_all_months,
         summarise_all_months,
         stream_ingest,
+        landed_files,
     )
 }
