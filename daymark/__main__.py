@@ -39,6 +39,10 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument(
         "--replace", action="store_true", help="also drop what is stored for that date and not new"
     )
+    sub.add_argument(
+        "--least-share", type=float, help="stop if the rows fall below this share of what is usual"
+    )
+    job("history", "print what earlier runs counted", "base")
     layouts.append(sub)
     sub = job("backfill", "write the summary and the comparison of all dates", "raw", "base")
     layouts.append(sub)
@@ -89,9 +93,13 @@ def main(argv: list[str] | None = None) -> None:
         print(*plans.update_results(spark, args.raw, args.base, args.back))
     elif args.job == "run-latest":
         where = args.raw, args.base, args.database
-        print(*plans.run_latest(spark, *where, args.back, args.replace, args.layout))
+        print(*plans.run_latest(spark, *where, args.back, args.replace, args.layout, args.least_share))
     elif args.job == "backfill":
         plans.store_backfill(spark, args.raw, args.base, args.back, args.database, args.layout)
+    elif args.job == "history":
+        found = plans.compare_runs(plans.read_history(spark, args.base))
+        for row in found.orderBy("stage", "dt_ptcm", "started").toLocalIterator():
+            print(*row, sep="\t")
     elif args.job == "land":
         print(*plans.ingest_landed(spark, args.raw, args.out, args.max_files_per_lot))
     else:

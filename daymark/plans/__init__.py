@@ -4,6 +4,7 @@ from daymark.plans.backfill import (
     store_backfill,
     summarise_dates,
 )
+from daymark.plans.history import check_run, compare_runs, new_run, read_history, record_run
 from daymark.plans.incremental import Update, update_results
 from daymark.plans.jobs import (
     capture,
@@ -21,15 +22,20 @@ from daymark.plans.publish import comparison_results, publish, publish_stored, s
 __all__ = [
     "Update",
     "capture",
+    "check_run",
     "compare_dates",
+    "compare_runs",
     "comparison_results",
     "extract",
     "ingest_landed",
     "load",
     "load_stored",
+    "new_run",
     "publish",
     "publish_stored",
+    "read_history",
     "read_landed",
+    "record_run",
     "refine_dates",
     "run_latest",
     "store_backfill",

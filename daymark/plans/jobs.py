@@ -19,6 +19,7 @@ from daymark.operators import (
     refine,
     summarise,
 )
+from daymark.plans import history
 from daymark.sinks import append_capture, replace_date, write_partitioned, write_refined
 from daymark.sources import latest_dates, layout, read_refined
 
@@ -122,13 +123,21 @@ def load(
 
 
 def store_refined(
-    spark: SparkSession, raw_root: str, d0: str, d2: str, base: str, stored_as: str = "partitions"
+    spark: SparkSession,
+    raw_root: str,
+    d0: str,
+    d2: str,
+    base: str,
+    stored_as: str = "partitions",
+    run: tuple[str, str] | None = None,
 ) -> None:
-    """``extract``, written under ``base``."""
+    """``extract``, written under ``base``; what a ``run`` counts of its newest date is recorded."""
     for name, df in zip(("d0", "d2"), extract(spark, raw_root, d0, d2, stored_as)):
         seen = Observation()
         write_refined(observe_refined(df, seen), f"{base}/refined/{name}")
         logger.info("refined %s: %s", name, seen.get)
+        if run and name == "d0":
+            history.record_run(spark, base, run, "refined", d0, seen.get)
 
 
 def store_results(spark: SparkSession, base: str) -> None:
@@ -160,16 +169,22 @@ def run_latest(
     back: int = 2,
     replace: bool = False,
     stored_as: str = "partitions",
+    least_share: float | None = None,
 ) -> tuple[str, str]:
     """Extract, transform and load the newest date; returns the two dates used.
 
-    ``replace`` also drops what is stored for the newest date and not new.
+    ``replace`` also drops what is stored for the newest date and not new. Every run leaves its
+    counts under ``base``; with ``least_share`` a run whose rows fall below that share of what is
+    usual stops before it loads anything.
 
     Each step stores what it made and the next one reads it, so nothing is computed
     twice: the refined rows serve two results, and the load counts before it writes.
     """
     d0, d2 = latest_dates(spark, raw_root, back, layout(stored_as).dates(spark, raw_root))
-    store_refined(spark, raw_root, d0, d2, base, stored_as)
+    run = history.new_run()
+    store_refined(spark, raw_root, d0, d2, base, stored_as, run)
+    if least_share is not None:
+        history.check_run(spark, base, run, least_share=least_share)
     store_results(spark, base)
     load_stored(spark, base, database, d0 if replace else None)
     return d0, d2

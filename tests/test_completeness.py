@@ -1,0 +1,103 @@
+"""Missing pages of captures, and runs that count too little."""
+
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from test_files import ROW, bag, root, write  # noqa: F401
+
+from daymark import __main__, operators, plans
+from daymark.plans import history
+
+SCHEMA = "dt_ptcm string, capture_ts double, page int, last int, row int"
+
+
+def slow(rows):
+    captures = {}
+    for dt, ts, page, last, _ in rows:
+        pages, lasts = captures.setdefault((dt, ts), (set(), []))
+        if page is not None:
+            pages.add(page)
+        if last is not None:
+            lasts.append(last)
+    report, gaps = Counter(), Counter()
+    for key, (pages, lasts) in captures.items():
+        announced = max(lasts, default=None)
+        top = max([*pages, announced or 0, 0])
+        bottom = min([1, *pages])
+        expected = set(range(bottom, top + 1))
+        missing = sorted(expected - pages)
+        report[(*key, len(pages), max(pages, default=None), announced, len(missing), bool(pages) and not missing)] += 1
+        missing = [p for p in missing if p >= 1 or bottom < 1]
+        while missing:
+            n = 1
+            while n < len(missing) and missing[n] == missing[0] + n:
+                n += 1
+            gaps[(*key, missing[0], missing[n - 1])] += 1
+            missing = missing[n:]
+    return report, gaps
+
+
+pages = st.tuples(
+    st.sampled_from(["1", "2", None]),
+    st.sampled_from([1.0, 2.0, None]),
+    st.one_of(st.none(), st.integers(1, 9)),
+    st.one_of(st.none(), st.integers(1, 9)),
+    st.just(0),
+)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(pages, max_size=40))
+def test_report_and_gaps_against_sets(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    keys = ["dt_ptcm", "capture_ts"]
+    report, gaps = slow(rows)
+    assert bag(operators.capture_report(df, keys, "page", "last")) == report
+    assert bag(operators.capture_gaps(df, keys, "page", "last")) == gaps
+
+
+@pytest.mark.parametrize("block", [1, 3, 10_000])
+def test_runs_are_joined_over_blocks(spark, block):
+    pages = [*range(1, 12), 14, 15, *range(20, 41)]
+    df = spark.createDataFrame([("1", 1.0, p, None, 0) for p in pages * 2], SCHEMA)
+    runs = operators.page_runs(df, ["dt_ptcm"], "page", pages_per_block=block)
+    assert bag(runs) == Counter([("1", 1, 11), ("1", 14, 15), ("1", 20, 40)])
+
+
+def test_the_newest_complete_capture_counts(spark):
+    rows = [("1", 1.0, 1, 2, 0), ("1", 1.0, 2, 2, 1), ("1", 2.0, 1, 2, 2), ("2", 1.0, 2, None, 3), ("3", 5.0, 1, None, 4)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = operators.latest_complete_capture(df, "page", "last")
+    assert bag(found.select("row")) == Counter([(0,), (1,), (4,)])
+    assert bag(operators.latest_complete_capture(df, "page").select("row")) == Counter([(2,), (4,)])
+
+
+def test_a_run_that_counts_far_less_stops_before_it_loads(spark, root, tmp_path, capsys):  # noqa: F811
+    base, day = f"{tmp_path}/base", "20240107"
+    for k in range(3):
+        dt = str(int(day) + k)
+        write(f"{root}/dt_ptcm={dt}/f.parquet", [ROW] * 10)
+        plans.run_latest(spark, root, base, "history_db", least_share=0.5)
+    before = bag(spark.table("history_db.tb_agrupamento"))
+    write(f"{root}/dt_ptcm=20240110/f.parquet", [ROW] * 4)
+    for _ in range(2):  # a run that failed doesn't count as usual
+        with pytest.raises(history.SuspiciousRun, match="refined of 20240110: few rows, 4 rows .usually 10"):
+            plans.run_latest(spark, root, base, "history_db", least_share=0.5)
+    assert bag(spark.table("history_db.tb_agrupamento")) == before
+    write(f"{root}/dt_ptcm=20240110/f.parquet", [(*ROW[:3], "?", "1")] * 9)
+    with pytest.raises(history.SuspiciousRun, match="unreadable, 9 rows .* 9 and 0 unreadable"):
+        plans.run_latest(spark, root, base, "history_db", least_share=0.5)
+    plans.run_latest(spark, root, base, "history_db")  # without a share it is only recorded
+    assert plans.read_history(spark, base).count() == 7
+    __main__.main(["history", "--base", base])
+    out = capsys.readouterr().out.splitlines()
+    assert len(out) == 7 and out[0].split("\t")[3:5] == ["20240107", "10"] and out[-1].endswith("unreadable")
+
+
+def test_without_history_nothing_is_usual(spark, tmp_path):
+    assert plans.read_history(spark, str(tmp_path)).count() == 0
+    run = plans.new_run()
+    plans.record_run(spark, str(tmp_path), run, "refined", "20240101", {"n_rows": 0, "bad_qt": 0, "bad_pc": 0})
+    plans.check_run(spark, str(tmp_path), run)

@@ -199,6 +199,40 @@ SELECTS = {
     "summarise_all_months": SUMMARY.format(rows="month_snap"),
     "stream_ingest": SNAP_ROWS,
     "landed_files": SNAP_ROWS,
+    "capture_report": """
+        SELECT * FROM (
+        WITH d AS (SELECT dt_ptcm, count(*) AS n, CAST(right(dt_ptcm, 2) AS INTEGER) % 3 AS k
+                   FROM snap GROUP BY dt_ptcm),
+        c AS (SELECT dt_ptcm, 1.0::DOUBLE AS capture_ts, n, n AS n_pages, n AS last_page FROM d
+              UNION ALL
+              SELECT dt_ptcm, 2.0, n,
+                     CASE k WHEN 0 THEN n // 2 WHEN 1 THEN n - (n >= 1)::INT - (n >= 3)::INT - (n >= 4)::INT ELSE n END,
+                     CASE k WHEN 0 THEN n // 2 ELSE n END FROM d)
+        SELECT dt_ptcm, capture_ts, CAST(n_pages AS BIGINT) AS n_pages, last_page, n AS announced,
+               CAST(n - n_pages AS BIGINT) AS n_missing, n = n_pages AS complete FROM c) AS t""",
+    "capture_gaps": """
+        SELECT * FROM (
+        WITH d AS (SELECT dt_ptcm, count(*) AS n, CAST(right(dt_ptcm, 2) AS INTEGER) % 3 AS k
+                   FROM snap GROUP BY dt_ptcm)
+        SELECT dt_ptcm, 2.0::DOUBLE AS capture_ts, n // 2 + 1 AS from_page, n AS to_page FROM d WHERE k = 0
+        UNION ALL SELECT dt_ptcm, 2.0, 1, 1 FROM d WHERE k = 1
+        UNION ALL SELECT dt_ptcm, 2.0, 3, 4 FROM d WHERE k = 1) AS t""",
+    "latest_complete_capture": """
+        SELECT dt_ptcm, CASE WHEN CAST(right(dt_ptcm, 2) AS INTEGER) % 3 = 2 THEN 2 ELSE 1 END
+                 AS capture_ts, event_id
+        FROM snap""",
+    "run_history": """
+        SELECT * FROM (
+        WITH kept AS (
+            SELECT * FROM snap WHERE CAST(right(dt_ptcm, 2) AS INTEGER) % 7 <> 0
+                OR CAST(substr(codigo, 2) AS BIGINT) % 4 = 0),
+        r AS (SELECT dt_ptcm, count(*) AS n_rows, count(*) FILTER (qt_teorica IS NULL) AS bad_qt,
+                     count(*) FILTER (pc_participacao IS NULL) AS bad_pc FROM kept GROUP BY dt_ptcm),
+        u AS (SELECT *, median(n_rows) OVER (ORDER BY dt_ptcm ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)
+                AS usual FROM r)
+        SELECT *, CASE WHEN n_rows < 0.5 * usual THEN 'few rows'
+                       WHEN greatest(bad_qt, bad_pc) > 0.5 * n_rows THEN 'unreadable' ELSE 'ok' END AS verdict
+        FROM u) AS t""",
 }
 
 ORACLES = {key: f"{PRELUDE.strip()}\n{select.strip()}" for key, select in SELECTS.items()}

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daymark import catalog, functions, operators, plans, schemas, sinks, sources, streaming
@@ -597,6 +597,50 @@ def stream_ingest(spark, sf_dir):
     return sources.read_refined(spark, out, schemas.REFINED_SCHEMA)
 
 
+def _truncated(spark, sf_dir) -> DataFrame:
+    """Events as pages of two captures a day, the second of which may lack its end or a page."""
+    day = F.dayofmonth(F.to_date(DATE_COL, "yyyyMMdd"))
+    of_day = Window.partitionBy(DATE_COL)
+    pages = raw_events(spark, sf_dir).select(
+        DATE_COL,
+        "event_id",
+        F.row_number().over(of_day.orderBy("event_id")).alias("page"),
+        F.count("*").over(of_day).alias("last"),
+    )
+    first = pages.withColumn(CAPTURE_COL, F.lit(1.0))
+    gone = F.when(day % 3 == 0, F.col("page") > F.col("last") / 2).otherwise(
+        (day % 3 == 1) & F.col("page").isin(1, 3, 4)
+    )
+    return first.unionByName(pages.where(~gone).withColumn(CAPTURE_COL, F.lit(2.0)))
+
+
+def capture_report(spark, sf_dir):
+    """How many pages every capture has, and how many are missing."""
+    return operators.capture_report(_truncated(spark, sf_dir), [DATE_COL, CAPTURE_COL], "page", "last")
+
+
+def capture_gaps(spark, sf_dir):
+    """The missing pages of every capture, as ranges."""
+    return operators.capture_gaps(_truncated(spark, sf_dir), [DATE_COL, CAPTURE_COL], "page", "last")
+
+
+def latest_complete_capture(spark, sf_dir):
+    """Of every date the newest capture that has all pages."""
+    rows = operators.latest_complete_capture(_truncated(spark, sf_dir), "page", "last")
+    return rows.select(DATE_COL, F.col(CAPTURE_COL).cast("int").alias(CAPTURE_COL), "event_id")
+
+
+def run_history(spark, sf_dir):
+    """One run per date, of which every seventh lost three quarters of its rows."""
+    rows = refined_events(spark, sf_dir).withColumn("_day", F.dayofmonth(F.to_date(DATE_COL, "yyyyMMdd")))
+    kept = (F.col("_day") % 7 != 0) | (F.substring("codigo", 2, 20).cast("long") % 4 == 0)
+    counted = rows.where(kept).groupBy(DATE_COL).agg(*operators.quality_metrics())
+    runs = counted.select(
+        F.col(DATE_COL).alias("run"), F.lit("").alias("started"), F.lit("refined").alias("stage"), "*"
+    )
+    return plans.compare_runs(runs).drop("run", "started", "stage")
+
+
 def landed_files(spark, sf_dir):
     """Landings in three lots, of which two bring late files for dates that were read before."""
     landing, out = scratch(spark, "landing"), scratch(spark, "landed")
@@ -669,5 +713,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         summarise_all_months,
         stream_ingest,
         landed_files,
+        capture_report,
+        capture_gaps,
+        latest_complete_capture,
+        run_history,
     )
 }
