@@ -3,7 +3,9 @@
 Markup is stripped into lines, one for each block element with text. Scripts, styles and the
 like go with their content, and so do elements that are no article text by their kind (menus,
 page headers, footers, sidebars, forms) or by their role. Words of a class or id only exclude with
-care (adverts, comments, notices), as text has them too: see ``_named``. The lengths of the lines that are left, not counting link texts, are summed
+care (adverts, comments, notices), as text has them too: see ``_named``. Two kinds of furniture have
+no name at all: a section of reader comments begins with a heading that says so, beside the text,
+and a line of copyright stands at the end of the page. The lengths of the lines that are left, not counting link texts, are summed
 over sliding windows. Where a window's sum first rises above a bound is the surge point, where it
 last falls below is the dive point, and all lines between are the text, links too. An ``article`` or ``main``
 element with most of the text, or several side by side, is a hint: runs that don't meet it are left out, short lines beside it
@@ -35,7 +37,9 @@ BATCH_CHARS = 4_000_000
 SCHEMA = "page_id long, url string, text string"
 
 # Elements and attribute words with a meaning on the web.
-RAW = frozenset("script style noscript template textarea iframe svg canvas math title object".split())
+RAW = frozenset(
+    "script style noscript template textarea iframe svg canvas title object annotation annotation-xml".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
@@ -45,6 +49,8 @@ BLOCKS = frozenset(
 EXCLUDED = frozenset("nav aside footer form select button menu dialog audio video head".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption caption".split())
 MAINS = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 legend summary".split())
+QUOTES = frozenset(["blockquote", "figure"])  # their footer says who is quoted
 # Of these an id says where a link leads, not what kind of text it is.
 TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dt figcaption caption".split())
 ROLES = frozenset(
@@ -56,6 +62,11 @@ SURE_HINTS = frozenset(
     "commentlist comments cookie cookies disqus footer gdpr masthead nav navbar navi newsletter pager "
     "pagination paywall popup sidebar sidebars signin signup sponsored topbar".split()
 )
+# Words that say what a block is made like, not what it is about.
+FORM_WORDS = frozenset(
+    "area bar block body bottom box col column container content footer form frame group head header inner "
+    "item items left list main module outer panel right row section slot thread top unit wrap wrapper zone".split()
+)
 HINTS = SURE_HINTS | frozenset(
     "advertising banner consent copyright dialog disclaimer login menu menus modal navigation "
     "notice notices notification overlay promo promoted promotion related recommended "
@@ -72,6 +83,13 @@ _ATTRIBUTE = re.compile(
 )
 _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z]+")
+_COMMENTS = re.compile(
+    r"(?:\d+\s+)?(?:(?:reader|user|latest|recent|all)\s+)?(?:comments?|replies|responses|discussion)"
+    r"(?:\s*\(?\d+\)?)?\s*:?|(?:leave|post|add|write) a (?:comment|reply)|join the (?:discussion|conversation)",
+    re.IGNORECASE,
+)
+_COPYRIGHT = re.compile(r"\s*(?:©|\(c\)\s|copyright\b)|.*\ball rights reserved\b", re.IGNORECASE)
+LONGEST_COPYRIGHT = 300  # of a line that can be no more than that
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -81,6 +99,7 @@ class Line(NamedTuple):
     prose: bool  # whether its block is a paragraph, a heading or the like
     outside: tuple[int, ...]  # the excluded elements that it lies in
     mains: tuple[int, ...]  # the article and main elements that it lies in
+    heading: bool = False
 
 
 ALWAYS, LINKS_OR_SHORT, LINKS = range(3)  # when an element is excluded
@@ -90,9 +109,10 @@ def _named(name: str, classes: str, own_id: str, in_main: bool) -> int | None:
     """When an element is excluded by the words of its class and id; None is never.
 
     Paragraphs and headings go by a class of nothing but hints, if they are short or links;
-    their ids are not looked at. Other blocks go by a class with a sure hint. Inside the article an
-    id must be nothing but hints (``comments``, not ``cookie-recipes``). Hints that are not sure
-    need short text or links besides, or links alone if other words stand with them.
+    their ids are not looked at. Other blocks go by a class with a sure hint. Inside the article a
+    class or id must be nothing but hints and words of form (``comments-area``, not ``comment-theory``
+    or ``cookie-recipes``). Hints that are not sure need short text or links besides, or links alone
+    if other words stand with them.
     """
     tokens = [
         set(_WORDS.findall(_CAMEL.sub(" ", x).lower()))
@@ -112,16 +132,17 @@ def _named(name: str, classes: str, own_id: str, in_main: bool) -> int | None:
     if in_main:
         tokens = [x for x in tokens if x != of_id or x <= HINTS]
         whole = [x for x in whole if x != of_id or x & SURE_HINTS]
-    if name in BLOCKS and any(x & SURE_HINTS for x in tokens):
+    sure = [x for x in tokens if x & SURE_HINTS and (not in_main or x <= HINTS | FORM_WORDS)]
+    if name in BLOCKS and sure:
         return ALWAYS
     if whole or tokens and not in_main:
         return LINKS_OR_SHORT if name in BLOCKS else LINKS
     return LINKS if tokens else None
 
 
-def _excluded(name: str, attributes: str, in_main: bool) -> int | None:
+def _excluded(name: str, attributes: str, in_main: bool, quoted: bool = False) -> int | None:
     """When an element is no article text by its kind or its attributes; None is never."""
-    if name in EXCLUDED or name == "header" and not in_main:
+    if name in EXCLUDED and not (name == "footer" and quoted) or name == "header" and not in_main:
         return ALWAYS
     if not attributes.strip() or name in ("html", "body", "main"):
         return None
@@ -148,7 +169,7 @@ def lines(page: str) -> tuple[list[Line], set[int], dict[int, set[int]], dict[in
     articles: set[int] = set()
     inside: dict[int, set[int]] = {}
     when: dict[int, int] = {}
-    prose = False
+    prose = heading = False
 
     def end_line() -> None:
         nonlocal text, linked
@@ -156,7 +177,7 @@ def lines(page: str) -> tuple[list[Line], set[int], dict[int, set[int]], dict[in
         if joined:
             outside = tuple(x for _, x, _ in stack if x is not None)
             mains = tuple(x for _, _, x in stack if x is not None)
-            out.append(Line(joined, linked, prose, outside, mains))
+            out.append(Line(joined, linked, prose, outside, mains, heading))
         text, linked = [], 0
 
     def close(depth: int) -> None:
@@ -182,7 +203,7 @@ def lines(page: str) -> tuple[list[Line], set[int], dict[int, set[int]], dict[in
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if name in BLOCKS:
                 end_line()
-                prose = False
+                prose = heading = False
             if depth is not None and (name in BLOCKS or not any(x[0] in BLOCKS for x in stack[depth:])):
                 close(depth)
             continue
@@ -203,14 +224,14 @@ def lines(page: str) -> tuple[list[Line], set[int], dict[int, set[int]], dict[in
                     break
                 if stack[i][0] in BLOCKS:
                     break
-            prose = name in PROSE
+            prose, heading = name in PROSE, name in HEADINGS
         elif name == "br":
             text.append(" ")
         if name in VOID:
             continue
         number += 1
         in_main = any(x is not None for _, _, x in stack)
-        kind = _excluded(name, m[3], in_main)
+        kind = _excluded(name, m[3], in_main, name == "footer" and any(x[0] in QUOTES for x in stack))
         excluded = number if kind is not None else None
         main = number if name in MAINS and kind != ALWAYS else None
         if main is not None:
@@ -315,6 +336,32 @@ def _hinted_points(kept: list[Line], lengths: list[int], hints: list[int | None]
     return min(first, inside[0]), max(last, inside[-1] + 1)
 
 
+def _without_unnamed(kept: list[Line]) -> list[Line]:
+    """The lines without reader comments and copyright that no element names.
+
+    Comments go from their heading to the next article or main element, where they lie beside such
+    elements, or else behind most of the text. Lines of copyright are the last ones of the page, and no
+    paragraphs.
+    """
+    some = any(line.mains for line in kept)
+    total, passed = sum(len(line.text) for line in kept), 0
+    out: list[Line] = []
+    inside = False
+    for line in kept:
+        if line.mains:
+            inside = False
+        elif line.heading and _COMMENTS.fullmatch(line.text) and (some and passed or 2 * passed > total):
+            inside = True
+        passed += len(line.text)
+        if not inside:
+            out.append(line)
+    while out and not out[-1].mains and not out[-1].prose and len(out) > 1:
+        if len(out[-1].text) > LONGEST_COPYRIGHT or not _COPYRIGHT.match(out[-1].text):
+            break
+        out.pop()
+    return out
+
+
 def extract(page: str | None) -> str:
     """The main text of a page, its blocks joined by newlines."""
     if not page:
@@ -346,6 +393,7 @@ def extract(page: str | None) -> str:
         for line in found
         if all(x in harmless or x in pardoned and inside[x] & set(line.mains) for x in line.outside)
     ]
+    kept = _without_unnamed(kept)
     lengths = [max(len(line.text) - line.linked, 0) if 2 * line.linked <= len(line.text) else 0 for line in kept]
     hints = _hinted(kept, lengths, articles)
     if any(x is not None for x in hints):

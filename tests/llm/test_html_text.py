@@ -1,6 +1,9 @@
+from html.parser import HTMLParser
+
 import pytest
 
 from daymark.llm import html_text
+from daymark.llm.common import table
 from daymark.llm.html_text import extract
 
 LONG = "A sentence that is long enough to be the text of a page, with commas, and more words."
@@ -152,3 +155,113 @@ def test_pages(spark):
     got = sorted((tuple(r) for r in html_text.extract_pages(df).collect()), key=str)
     assert got == sorted(((i, u, extract(h)) for i, u, h, _ in rows), key=str)
     assert html_text.extract_pages(df.limit(0)).count() == 0
+
+
+PARAGRAPH = "This is a paragraph of the article, long enough to be taken for text by its length alone. " * 2
+OTHER = "Another paragraph that goes on about the same thing, at the same length as the one before it. " * 2
+
+
+def article(inner):
+    return f"<body><nav><a href=x>menu</a></nav><article><h1>Title</h1><p>{PARAGRAPH}</p>{inner}</article></body>"
+
+
+@pytest.mark.parametrize(
+    "name", ["comment-theory", "ad-history", "cookie-recipes", "newsletter-era", "sidebar-notes-essay", "adTheory"]
+)
+def test_one_word_of_a_longer_name_excludes_no_text_of_the_article(name):
+    for tag in ("section", "div"):
+        page = article(f"<{tag} class='{name}'><p>{OTHER}</p></{tag}>")
+        assert html_text.extract(page) == f"Title\n{PARAGRAPH.strip()}\n{OTHER.strip()}"
+
+
+@pytest.mark.parametrize("name", ["comments", "comments-area", "comment-list", "ad", "ad-slot", "adBox", "cookie-bar"])
+def test_names_of_nothing_but_furniture_exclude(name):
+    page = article(f"<section class='{name}'><p>{OTHER}</p></section>")
+    assert html_text.extract(page) == f"Title\n{PARAGRAPH.strip()}"
+
+
+def test_formulas_and_sources_of_quotations_stay():
+    page = article(
+        "<p>Euler wrote <math><mi>e</mi><mo>=</mo><mn>2.718</mn><annotation>e=2.7</annotation></math> here.</p>"
+        f"<blockquote><p>{OTHER}</p><footer>Euler, Letters</footer></blockquote><footer>Filed under maths</footer>"
+    )
+    text = html_text.extract(page).split("\n")
+    assert text[2:] == ["Euler wrote e=2.718 here.", OTHER.strip(), "Euler, Letters"]
+
+
+@pytest.mark.parametrize("heading", ["Comments", "3 comments", "Reader comments (12)", "Leave a reply", "Responses:"])
+def test_unnamed_comment_sections_go(heading):
+    behind = f"<section><h2>{heading}</h2><p>{OTHER}</p><div>{OTHER}</div></section>"
+    expected = f"Title\n{PARAGRAPH.strip()}"
+    assert html_text.extract(article("").replace("</article>", f"</article>{behind}")) == expected
+    plain = f"<body><h1>Title</h1><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p>{behind}</body>"
+    assert html_text.extract(plain) == "\n".join(["Title", *[PARAGRAPH.strip()] * 3])
+    # Inside the article it is a heading like others.
+    page = article(f"<h2>{heading}</h2><p>{OTHER}</p>")
+    assert html_text.extract(page) == f"Title\n{PARAGRAPH.strip()}\n{heading}\n{OTHER.strip()}"
+
+
+def test_lines_of_copyright_go():
+    line = "© 2024 Example Press and its licensors, of some town and another one, in most countries of the world. All rights reserved."
+    body = f"<body><h1>Title</h1><p>{PARAGRAPH}</p><p>{OTHER}</p>"
+    expected = f"Title\n{PARAGRAPH.strip()}\n{OTHER.strip()}"
+    assert html_text.extract(f"{body}<div>{line}</div></body>") == expected
+    assert html_text.extract(f"{body}<div>x</div><div>{line}</div><div>(c) Example</div></body>") != ""
+    # A paragraph about copyright is text.
+    about = "Copyright law protects works of the mind, and has done so for some three hundred years, in most places."
+    assert html_text.extract(f"{body}<p>{about}</p></body>") == f"{expected}\n{about}"
+
+
+class Tree(HTMLParser):
+    """The blocks of article elements, by a parsed tree, without the furniture inside."""
+
+    FURNITURE = {"nav", "aside", "footer", "form", "script", "style", "header", "noscript", "template"}
+    VOID = {"br", "img", "hr", "input", "meta", "link"}
+
+    def __init__(self, page):
+        super().__init__()
+        self.open, self.blocks, self.text = [], [], ""
+        self.feed(page)
+        self.close()
+        self.end()
+
+    def end(self):
+        joined = " ".join(self.text.split())
+        if joined:
+            self.blocks.append(joined)
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_text.BLOCKS:
+            self.end()
+            if "p" in [t for t, _ in self.open]:
+                while self.open.pop()[0] != "p":
+                    pass
+        if tag == "br":
+            self.text += " "
+        if tag not in self.VOID:
+            classes = set((dict(attrs).get("class") or "").split())
+            self.open.append((tag, tag in self.FURNITURE or bool(classes & {"ad", "comments", "notice"})))
+
+    def handle_endtag(self, tag):
+        if tag in html_text.BLOCKS:
+            self.end()
+        if tag in [t for t, _ in self.open]:
+            while self.open.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        names = [t for t, _ in self.open]
+        if "article" in names and not any(gone for _, gone in self.open):
+            self.text += data
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_all_pages_against_a_parsed_tree(spark, sf):
+    """Every given page has one article; its blocks by the standard library's parser are the text."""
+    pages = table(spark, f"/root/testdata/{sf}", "pages")
+    found = {r.page_id: r.text for r in html_text.extract_pages(pages).collect()}
+    html = {r.page_id: r.html for r in pages.collect()}
+    assert found.keys() == html.keys()
+    wrong = [k for k, page in html.items() if found[k] != "\n".join(Tree(page or "").blocks)]
+    assert not wrong, (wrong[:5], found[wrong[0]][-300:], Tree(html[wrong[0]]).blocks[-2:])
