@@ -24,12 +24,11 @@ others; an empty table of either kind finds nothing; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
-from pyspark.sql import Column, DataFrame, Row
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymark.llm.common import (
@@ -39,7 +38,7 @@ from daymark.llm.common import (
     small_batches,
     stored,
 )
-from daymark.llm.textops import ALPHANUMERIC, text_slices, words
+from daymark.llm.textops import ALPHANUMERIC, text_slices, tidy, words
 
 WINDOW = 13
 SHARD_WORDS = 1_000_000
@@ -148,19 +147,6 @@ def _item_words(items: DataFrame) -> DataFrame:
     return cut_items.where(F.size("terms") > 0)
 
 
-def _blocks(items: Iterable[Row], most_words: int) -> Iterator[list[tuple[int | None, np.ndarray]]]:
-    """Items in blocks of at most ``most_words`` words, or of one item."""
-    block, size = [], 0
-    for item_id, terms in items:
-        if block and size + len(terms) > most_words:
-            yield block
-            block, size = [], 0
-        block.append((item_id, np.array(terms, np.int64)))
-        size += len(terms)
-    if block:
-        yield block
-
-
 class Postings:
     """The posting lists of one shard that a search needs."""
 
@@ -283,11 +269,52 @@ def search_shard(
     )
 
 
-def _searcher(block: Broadcast, size: int, slack: int | None):
+def _items(table: pa.Table) -> list[tuple[int | None, np.ndarray]]:
+    """(item_id, terms) of some rows."""
+    return [(r["item_id"], np.array(r["terms"], np.int64)) for r in table.select(["item_id", "terms"]).to_pylist()]
+
+
+def _search_at_once(index: DataFrame, cut: DataFrame, size: int, slack: int | None) -> DataFrame:
+    """FOUND_SCHEMA for items of a bounded number of words, which all tasks get."""
+    spark = index.sparkSession
+    block = _items(cut.toArrow())
+    terms = sorted({t for _, own in block for t in own.tolist()})
+    asked = F.broadcast(spark.createDataFrame([(t,) for t in terms], "term long"))
+    lists = index.where("term IS NOT NULL").join(asked, "term", "left_semi")
+    needed = lists.select(*index.columns).unionByName(index.where("term IS NULL"))
+    shared = spark.sparkContext.broadcast(block)
+
     def look(table: pa.Table) -> pa.Table:
-        return search_shard(table, block.value, size, slack)
+        return search_shard(table, shared.value, size, slack)
+
+    return needed.groupBy("shard").applyInArrow(tidy(look), FOUND_SCHEMA)
 
-    return look
+
+def _search_in_blocks(
+    index: DataFrame, cut: DataFrame, blocks: int, size: int, slack: int | None
+) -> DataFrame:
+    """FOUND_SCHEMA, a row for each document and block of items.
+
+    A task meets one shard's lists of the terms of one block with the items of that block; nothing
+    of the items passes through the driver.
+    """
+    number = F.pmod(F.xxhash64("item_id", "terms"), F.lit(blocks)).cast("int")
+    items = stored(cut.withColumn("block", number), "blocks")
+    asked = stored(items.select("block", F.explode("terms").alias("term")).distinct(), "asked")
+    lists = index.where("term IS NOT NULL").join(broadcast_if_few(asked), "term")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    directory = index.where("term IS NULL").withColumn("block", every)
+    needed = lists.select(*index.columns, "block").unionByName(directory)
+    met = items.join(broadcast_if_few(stored(directory.select("shard", "block"), "pairs")), "block")
+
+    def look(table: pa.Table, own: pa.Table) -> pa.Table:
+        return search_shard(table.drop_columns(["block"]), _items(own), size, slack)
+
+    return (
+        needed.groupBy("shard", "block")
+        .cogroup(met.groupBy("shard", "block"))
+        .applyInArrow(tidy(look), FOUND_SCHEMA)
+    )
 
 
 def search(
@@ -301,19 +328,10 @@ def search(
 
     ``items`` is (item_id, text). As FOUND_SCHEMA: runs count words from the document's start.
     """
-    spark = index.sparkSession
     cut = stored(_item_words(items), "items")
-    found = []
-    # The driver holds one block at a time; a block's number of terms bounds what is broadcast.
-    for block in _blocks(cut.toLocalIterator(), block_words):
-        terms = sorted({t for _, own in block for t in own.tolist()})
-        asked = F.broadcast(spark.createDataFrame([(t,) for t in terms], "term long"))
-        lists = index.where("term IS NOT NULL").join(asked, "term", "left_semi")
-        needed = lists.select(*index.columns).unionByName(index.where("term IS NULL"))
-        look = _searcher(spark.sparkContext.broadcast(block), window, slack)
-        found.append(needed.groupBy("shard").applyInArrow(look, FOUND_SCHEMA))
-    if not found:
-        none = spark.createDataFrame([], FOUND_SCHEMA)
+    total = cut.agg(F.sum(F.size("terms"))).first()[0]
+    if not total:
+        none = index.sparkSession.createDataFrame([], FOUND_SCHEMA)
         listed = index.where("term IS NULL").select(
             "shard", F.posexplode(F.arrays_zip("doc_ids", "counts")).alias("doc_no", "doc")
         )
@@ -328,10 +346,10 @@ def search(
                 F.lit(False).alias("null_item"),
             )
         )
-    if len(found) == 1:
-        return found[0]
+    if total <= block_words:
+        return _search_at_once(index, cut, window, slack)
     return (
-        reduce(DataFrame.unionAll, found)
+        _search_in_blocks(index, cut, -(-total // block_words), window, slack)
         .groupBy("shard", "doc_no", "doc_id", "n_words")
         .agg(
             F.flatten(F.collect_list("runs")).alias("runs"),

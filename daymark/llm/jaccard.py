@@ -59,7 +59,7 @@ from daymark.llm.common import (
     small_batches,
     stored,
 )
-from daymark.llm.textops import NOT_SPACE, mix, shingle_sets, text_slices, words
+from daymark.llm.textops import NOT_SPACE, mix, shingle_sets, text_slices, tidy, words
 
 SHINGLE_WORDS = 4
 LEAST_PERCENT = 85
@@ -69,7 +69,7 @@ HOT_SHINGLE = 50_000  # above the sketch's mean; such regions aren't gathered in
 LEAF = 4096  # members of a region that is compared in blocks, without more pivots
 BLOCK = 512
 ROWS_PER_BUCKET = 4000  # members that a task compares by sketches at a time, about
-SHINGLES_PER_BLOCK = 1_000_000  # of the sets that are compared exactly
+SHINGLES_PER_BLOCK = 400_000  # of the sets that are compared exactly
 FIRST_PIVOTS = 16  # after a first level with one
 MORE_PIVOTS = 4  # times as many from level to level
 ODD_BITS = 4  # buckets of an odd sketch for each shingle
@@ -252,7 +252,7 @@ def postings(docs: DataFrame, sets: DataFrame, size: int, percent: int, seed: in
 
     packed = "bucket int, shingle binary, cls binary, n binary, pos binary"
     rows = own_columns(docs, "text").mapInArrow(cut, packed)
-    return rows.groupBy("bucket").applyInArrow(meet, POSTING_SCHEMA)
+    return rows.groupBy("bucket").applyInArrow(tidy(meet), POSTING_SCHEMA)
 
 
 def _of_classes(
@@ -466,7 +466,7 @@ def _mark_block(percent: int) -> Callable[[pa.Table], pa.Table]:
         both = np.unique(np.stack([rid[both], cls[both]], axis=1), axis=0) if len(both) else np.zeros((0, 2), np.int64)
         return pa.table([pa.array(both[:, 0]), pa.array(both[:, 1])], ["rid", "cls"])
 
-    return mark
+    return tidy(mark)
 
 
 def _link_block(percent: int) -> Callable[[pa.Table], pa.Table]:
@@ -511,7 +511,7 @@ def _link_block(percent: int) -> Callable[[pa.Table], pa.Table]:
         kinds = (pa.int64(), pa.int64(), pa.float64())
         return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], ["a", "b", "d"])
 
-    return link
+    return tidy(link)
 
 
 def _fold(sketches: list[np.ndarray], width: int) -> np.ndarray:

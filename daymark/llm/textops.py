@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -87,6 +87,19 @@ def give_back() -> None:
         pass
 
 
+def tidy(work: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """``work`` on a group's rows, after which freed memory goes back."""
+
+    def tidied(*tables: pa.Table) -> pa.Table:
+        try:
+            return work(*tables)
+        finally:
+            give_back()
+
+    # Spark looks at the number of arguments.
+    return (lambda one: tidied(one)) if work.__code__.co_argcount == 1 else (lambda a, b: tidied(a, b))
+
+
 def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Ranges of texts with their bytes and their offsets in these."""
     data, offsets = utf8(column)

@@ -40,7 +40,6 @@ ROWS_PER_BATCH = 1000
 BATCH_BYTES = 8_000_000
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-HEADER_BYTES = 1 << 20  # a longer header is taken for a broken archive
 
 MANIFEST_SCHEMA = "path string, records long, bytes long"
 RECORD_SCHEMA = (
@@ -186,9 +185,11 @@ class _Members:
         """The bytes up to ``mark``, which is skipped."""
         at = self.buffer.find(mark)
         while at < 0:
-            if len(self.buffer) > HEADER_BYTES or not self.more():
+            # However long a header is; what was looked at isn't looked at again.
+            seen = max(len(self.buffer) - len(mark) + 1, 0)
+            if not self.more():
                 raise self.fail("a header does not end")
-            at = self.buffer.find(mark)
+            at = self.buffer.find(mark, seen)
         taken = bytes(self.buffer[:at])
         del self.buffer[: at + len(mark)]
         return taken

@@ -91,6 +91,15 @@ def test_blocks_of_items(spark):
     assert found(spark, docs, items, 3, block_words=5) == brute(docs, items, 3)
 
 
+@pytest.mark.parametrize("words", [1, 7, 40])
+def test_items_beyond_one_block_are_met_in_tasks(spark, monkeypatch, words):
+    docs, items = random_tables(3)
+    expected = brute(docs, items, 3)
+    assert found(spark, docs, items, 3) == expected  # one block
+    monkeypatch.setattr(d, "_search_at_once", lambda *a: pytest.fail("items went through the driver"))
+    assert found(spark, docs, items, 3, block_words=words) == expected
+
+
 def test_empty_tables(spark):
     docs, items = random_tables(3)
     assert found(spark, docs, [], 3) == brute(docs, [], 3)

@@ -75,6 +75,15 @@ def members(*texts):
     return b"".join(warc._member(warc.record(i, "u", text)) for i, text in enumerate(texts))
 
 
+def test_header_of_any_length(spark, tmp_path):
+    """A record that can be written can be read, however long its URL is."""
+    url = "http://x/" + "%C3%A4é" * 400_000
+    rows = spark.createDataFrame([(1, url, "a"), (2, "u", "b")], "page_id long, url string, html string")
+    manifest = warc.write_archives(warc.with_revisits(rows), f"{tmp_path}/archives")
+    found = {r.page_id: r for r in warc.read_archives(manifest).collect()}
+    assert found[1].payload_bytes == 1 and found[2].payload_bytes == 1 and found[1].record_type == "response"
+
+
 def test_one_member_per_record():
     data = members(b"a" * 300_000, b"", b"c")
     assert [r[3] for r in warc.records(io.BytesIO(data), "x")] == [300_000, 0, 1]
