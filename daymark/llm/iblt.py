@@ -245,8 +245,8 @@ def compare_fingerprints(x: str, y: str) -> list[tuple[int, int]] | None:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """Rows of (range_no, own, doc_id, text) from (doc_id, text): each partition holds ranges of
-    ids, in descending order, and behind each range a row that is not its own, the one that follows.
+    """Rows of (range_no, own, doc_id, text) from (doc_id, text): each partition holds a range of
+    ids, in descending order, and behind it a row that is not its own, the one that follows.
 
     Ids are cut into ranges at quantiles, so nothing is sorted as a whole, and only the first row
     of each range travels twice. An id with so many rows that several quantiles fall on it is cut
@@ -263,7 +263,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     ).first()
     cuts = found[0] or []
     nulls = min(parts, -(-(found[1] - found[2]) * parts // max(found[1], 1)))
-    hot = {cut: n for cut, n in Counter(cuts).items() if n > 1}
+    hot = {cut: n + 1 for cut, n in Counter(cuts).items() if n > 1}
     cuts = sorted(set(cuts))
     # How many cuts are at most the id, by halving; ids that are null come last.
     number = F.coalesce(_halved(F.col("doc_id"), cuts, 0), F.lit(-1))
@@ -291,13 +291,17 @@ def with_next(docs: DataFrame) -> DataFrame:
     repeated = rows.join(known, same).select(
         F.col("_to").alias("range_no"), F.lit(False).alias("own"), "doc_id", "text", "hash"
     )
+    # One range in each partition; by hash several would meet in one.
+    places = [(head.range_no, at) for at, head in enumerate(heads)]
+    place = F.broadcast(spark.createDataFrame(places, "range_no long, part int"))
     return (
         own.unionByName(repeated)
-        .repartition(parts, "range_no")
+        .join(place, "range_no")
+        .repartitionById(len(heads), "part")
         .sortWithinPartitions(
             "range_no", F.col("own").desc(), F.col("doc_id").desc_nulls_last(), "hash", "text"
         )
-        .drop("hash")
+        .drop("hash", "part")
     )
 
 
