@@ -3,6 +3,21 @@
 Each stage is written as Parquet to the shared folder and read again by the next, so a lost executor
 never costs more than the stage at hand. All stages but the last return the columns of the
 documents; the last one adds ``copy``, which numbers a document's repetitions.
+
+Edge cases, stage by stage:
+
+- Null and empty texts, and texts without a letter, have no language and go in the first stage. Very
+  long texts are read whole by every stage.
+- A null language or source is a value: the first stage doesn't learn from documents without a
+  language, the last one mixes those without a source as a source of their own, the last in order.
+- Ties: of near copies the document with the smallest id stays; scores exactly at a bound stay.
+- Repeated rows: the first two stages and decontamination judge each alike; of rows that repeat an id
+  and its text near-copy removal keeps one. Rows without an id are never dropped by it, nor by
+  decontamination.
+- Other columns go along unchanged, whatever their names; if there is a ``copy``, the last stage's is
+  ``copy_`` (and so on).
+- Empty tables give no rows, with the same columns. Without labels of both kinds nothing is rejected
+  by quality, without benchmark items nothing by decontamination.
 """
 
 from __future__ import annotations
