@@ -141,7 +141,7 @@ def test_sums_over_all_documents_without_a_label(spark):
         assert np.allclose(a, b)
     # By single documents: the other view's sure ones, and their residuals.
     p = [1 / (1 + np.exp(-v.raw(x))) for v, x in zip(views, features)]
-    bins = [cotrain.sure_bins(v.raw(x)) for v, x in zip(views, features)]
+    bins = [cotrain.sure_bins(v.logits(x)) for v, x in zip(views, features)]
     slow = np.zeros(cotrain.META_FEATURES + 1)
     for i in range(len(free)):
         if bins[0][i] <= 900 or bins[0][i] >= 1100:
@@ -196,3 +196,12 @@ def test_one_labelled_id_with_most_rows(spark):
     assert len(got["y"]) == len({i for i, *_ in labels})
     again = cotrain._sampled(df.repartition(3), ids)
     assert all((got[k] == again[k]).all() for k in got)
+
+
+def test_views_are_as_sure_as_they_are_right():
+    """Fitted on noise a view is sure of what it has seen, and says so of nothing."""
+    rng = np.random.default_rng(7)
+    x, y = rng.normal(size=(120, 60)), (rng.random(120) < 0.5).astype(float)
+    view = cotrain.cross_fitted(x, y)
+    assert np.abs(view.raw(x)).max() > 1 and np.abs(view.logits(x)).max() < 1
+    assert cotrain.cross_fitted(x[:3], np.array([1.0, 0, 1])).calibration == (0.0, 1.0)
