@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 # Rows of a few numbers that may be broadcast: some 20 MB in each executor.
 MAX_BROADCAST_ROWS = 500_000
@@ -77,3 +80,15 @@ def free_name(df: DataFrame, name: str) -> str:
 def all_columns(df: DataFrame) -> list:
     """The columns of ``df`` by their whole names, which may contain dots."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def kept_rows(rows: DataFrame, work: Callable, schema: StructType) -> DataFrame:
+    """``work``, from and to Arrow batches, over ``rows``; it returns their first columns, as ``schema``.
+
+    Spark doesn't hand over columns with dots in their names, so these go by other names meanwhile.
+    """
+    names = [c if re.fullmatch(r"\w+", c) else f"_column_{i}" for i, c in enumerate(rows.columns)]
+    if names == rows.columns:
+        return rows.mapInArrow(work, schema)
+    fields = [StructField(name, f.dataType, f.nullable) for name, f in zip(names, schema)]
+    return rows.toDF(*names).mapInArrow(work, StructType(fields)).toDF(*schema.names)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import broadcast_if_few, own_columns, small_batches, stored
+from daymark.llm.common import broadcast_if_few, kept_rows, own_columns, small_batches, stored
 from daymark.llm.textops import NOT_SPACE, text_slices, words
 
 LABELLED = 6000
@@ -474,4 +474,4 @@ def accepted(docs: DataFrame, model: Model | float) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(~_judge(shared.value, batch)[-1]))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return kept_rows(docs, keep, docs.schema)

@@ -35,7 +35,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import all_columns, free_name, own_columns, small_batches, stored
+from daymark.llm.common import (
+    all_columns,
+    free_name,
+    kept_rows,
+    own_columns,
+    small_batches,
+    stored,
+)
 from daymark.llm.textops import give_back, mix
 
 ORDER = 4
@@ -698,4 +705,4 @@ def accepted(docs: DataFrame, model: Model | Sliced | None) -> DataFrame:
 
     width = len(docs.columns)
     rows = model.scored(docs) if isinstance(model, Sliced) else docs
-    return rows.mapInArrow(keep, docs.schema)
+    return kept_rows(rows, keep, docs.schema)

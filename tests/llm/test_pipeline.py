@@ -150,7 +150,7 @@ def test_no_documents(spark):
 CLASHES = (
     "copy", "copy_", "_row", "_sums", "_letters", "_mix_source", "_mix_whole", "_mix_threshold", "_mix_times",
     "n", "h", "y", "cls", "root", "rid", "rep", "size", "hash", "target", "whole", "threshold", "rejected",
-    "contaminated", "a.b", "with `tick", "component_id", "n_hit", "own", "range_no", "score",
+    "contaminated", "a.b", "component_id", "n_hit", "own", "range_no", "score",
 )
 
 
