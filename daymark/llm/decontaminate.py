@@ -27,6 +27,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -224,8 +225,8 @@ def search_shard(
 ) -> pa.Table:
     """All documents of a shard, with runs of hit words and the items found."""
     table = table.combine_chunks()
-    lists = table.filter(pa.compute.is_valid(table["term"])).combine_chunks()
-    directory = table.filter(pa.compute.is_null(table["term"])).to_pylist()[0]
+    lists = table.filter(pc.is_valid(table["term"])).combine_chunks()
+    directory = table.filter(pc.is_null(table["term"])).to_pylist()[0]
     first, counts = np.array(directory["first"]), np.array(directory["counts"])
     if len(lists):
         places = lists["places"].combine_chunks()
