@@ -204,7 +204,7 @@ class Sums(NamedTuple):
         """Add some documents. ``limits``, by view: the last bin that is bad, the first that is good."""
         bins = []
         for k, (view, x) in enumerate(zip(views, features)):
-            bins.append(sure_bins(view.logits(x)))
+            bins.append(sure_bins(view.raw(x)))
             self.sure[k] += np.bincount(bins[k], minlength=SURE_BINS)
         for k, (view, x) in enumerate(zip(views, features)):
             teacher = bins[1 - k]
@@ -236,19 +236,24 @@ class Sums(NamedTuple):
         return out
 
 
-def sure_limits(sure: np.ndarray, share: float, rounds: int) -> np.ndarray:
+def sure_limits(
+    sure: np.ndarray, share: float, rounds: int, views: tuple[View, View] | None = None
+) -> np.ndarray:
     """By view: the last bin that it calls bad and the first that it calls good, -1 and SURE_BINS
-    where there are none. Of the documents at most ``rounds`` times ROUND_SHARE are labelled."""
+    where there are none. A view is as sure as its calibrated logits say; the bins are of raw ones. Of
+    the documents at most ``rounds`` times ROUND_SHARE are labelled."""
     out = np.zeros((2, 2), int)
     least = np.log(SURE / (1 - SURE))
     for k, counts in enumerate(sure):
+        offset, slope = views[k].calibration if views else (0.0, 1.0)
+        low, high = ((x - offset) / slope if slope > 0 else x * np.inf for x in (-least, least))
         room = min(ROUND_SHARE * rounds, 1.0) * counts.sum()
         good = np.cumsum(counts[::-1])[::-1]
         bad = np.cumsum(counts)
         fits = np.flatnonzero(good <= room * share + 1e-6)
-        out[k, 1] = max(fits[0] if len(fits) else SURE_BINS, int(sure_bins(np.array(least))) + 1)
+        out[k, 1] = max(fits[0] if len(fits) else SURE_BINS, int(sure_bins(np.array(high))) + 1)
         fits = np.flatnonzero(bad <= room * (1 - share) + 1e-6)
-        out[k, 0] = min(fits[-1] if len(fits) else -1, int(sure_bins(np.array(-least))) - 1)
+        out[k, 0] = min(fits[-1] if len(fits) else -1, int(sure_bins(np.array(low))) - 1)
     return out
 
 
@@ -290,7 +295,7 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, scan) -> tuple[V
     nothing = np.array([[-1, SURE_BINS]] * 2)
     sums = scan(views, nothing)
     for k in range(1, ROUNDS + 1):
-        limits = sure_limits(sums.sure, share, k)
+        limits = sure_limits(sums.sure, share, k, views)
         if not any(n[: low + 1].sum() + n[high:].sum() for n, (low, high) in zip(sums.sure, limits)):
             break
         sums = scan(views, limits)
