@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from daymark.schemas import CAPTURE_COL, CAPTURE_NAMES, DATE_COL, HEADERS
 from daymark.sinks import write_captures
 
 PORTUGUESE = {name: headers[0] for name, headers in HEADERS.items()}
+# A page made of a narrow row takes far more work than the row's bytes in a file tell.
+PAGES_PER_TASK = 4_000
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -133,9 +136,16 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt evenly to tasks by their number: a few megabytes of file, which one task
+    reads, are pages enough for many."""
+    return rows.repartition(max(1, ceil(rows.count() / PAGES_PER_TASK)))
+
+
 def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per customer: a head row, a body row without cells, a body row with three."""
-    return table(spark, sf_dir, "customer").select(
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name")
+    return _spread(customers).select(
         "c_custkey",
         "c_nationkey",
         F.concat(
@@ -158,4 +168,5 @@ def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         " after</td><td>", name, "</td></tr><tr><td>last</td></tr></tbody></table>",
     ]
     html = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-    return table(spark, sf_dir, "customer").select("c_custkey", html.alias("html"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return _spread(customers).select("c_custkey", html.alias("html"))
