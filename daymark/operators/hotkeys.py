@@ -32,6 +32,9 @@ SUMMARY_FROM_ROWS = 50_000_000
 SUMMARY_ITEMS = 4096
 MAX_HOT_TASKS = 20_000
 TASKS_FOR_WORK = 3
+# However small the pieces, a task takes as many as make work of this many rows: a task per handful
+# of rows costs far more than the rows.
+LEAST_ROWS_PER_TASK = 20_000
 
 
 class HotKeys(NamedTuple):
@@ -146,6 +149,7 @@ def _find(
 ) -> tuple[HotKeys, float]:
     """The hot keys, and how many tasks' work their rows and pairs are."""
     at_least = min(rows_per_task, isqrt(rows_per_task * PAIRS_PER_ROW))
+    for_task = max(rows_per_task, LEAST_ROWS_PER_TASK)
     buckets = _heavy_buckets(left, right, keys, at_least)
     if not buckets:
         return HotKeys(None, False), 0.0
@@ -175,8 +179,8 @@ def _find(
         .withColumn(
             "_work",
             F.greatest(
-                pairs / (rows_per_task * PAIRS_PER_ROW),
-                (F.col("_left_rows") * F.col(grid[1]) + F.col("_right_rows") * F.col(grid[0])) / rows_per_task,
+                pairs / (for_task * PAIRS_PER_ROW),
+                (F.col("_left_rows") * F.col(grid[1]) + F.col("_right_rows") * F.col(grid[0])) / for_task,
             ),
         )
         .select(*keys, *grid, "_matchless", "_work")

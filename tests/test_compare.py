@@ -174,6 +174,19 @@ def test_tasks_follow_the_work_of_hot_keys(spark, monkeypatch):
     assert made[1] > 1000
 
 
+@pytest.mark.parametrize("known", [3, 20_000])
+def test_small_pieces_share_tasks(spark, monkeypatch, known):
+    """Tasks follow the rows, however many pieces these are cut into."""
+    made = []
+    join = hotkeys._hot_join
+    monkeypatch.setattr(hotkeys, "_hot_join", lambda *a: made.append(a[-1]) or join(*a))
+    monkeypatch.setattr(hotkeys, "MAX_KNOWN", known)
+    df = spark.range(6000).select((F.col("id") % 2000).alias("k"), "id")
+    out = spread_left_join(df, df.withColumnRenamed("id", "b"), ["k"], rows_per_task=1)
+    assert out.count() == 18_000
+    assert made == [6]  # 18,000 rows of each side in 18,000 cells
+
+
 @pytest.mark.parametrize("known", [0, 1, 20_000])
 def test_many_hot_keys_are_joined_without_a_broadcast(spark, monkeypatch, known):
     monkeypatch.setattr("daymark.operators.hotkeys.MAX_KNOWN", known)
