@@ -146,15 +146,39 @@ def _staged(rows: DataFrame, path: str) -> DataFrame:
     return read_refined(rows.sparkSession, path, rows.schema)
 
 
+def _stale_dates(rows: DataFrame, path: str, partitions: Sequence[str], replaced: list[str]) -> list[str]:
+    """Of ``replaced`` dates those with stored leaves that ``rows`` has nothing for."""
+
+    def leaves(df: DataFrame) -> DataFrame:
+        # Null and empty values are one leaf.
+        values = [F.coalesce(c, F.lit("")).alias(c) for c in partitions]
+        return df.where(F.col(DATE_COL).isin(replaced)).select(*values).distinct()
+
+    try:
+        stored = leaves(read_refined(rows.sparkSession, path, rows.schema))
+        gone = stored.join(leaves(rows), list(partitions), "left_anti")
+        # At most the replaced dates.
+        return sorted(r[0] for r in gone.select(DATE_COL).distinct().collect())
+    except AnalysisException as error:
+        if not is_absent(error):
+            raise
+    return []
+
+
 def _put(
     rows: DataFrame, path: str, partitions: Sequence[str], replaced: list[str], gather: bool = True
 ) -> None:
-    """Write the leaves of ``rows``; of ``replaced`` dates everything else goes, rows or not."""
-    for dt in replaced:
+    """Write the leaves of ``rows``; of ``replaced`` dates everything else goes, rows or not.
+
+    Leaves with rows are replaced all at once. Only dates with leaves that are left are
+    replaced one by one.
+    """
+    stale = _stale_dates(rows, path, partitions, replaced) if replaced else []
+    for dt in stale:
         if len(partitions) == 1:
             day = rows.where(F.col(DATE_COL) == dt).drop(DATE_COL)
             write_refined(day, f"{path}/{DATE_COL}={dt}")
         else:
             replace_date(rows, path, dt, partitions)
-    others = rows.where(~F.coalesce(F.col(DATE_COL).isin(replaced), F.lit(False))) if replaced else rows
+    others = rows.where(~F.coalesce(F.col(DATE_COL).isin(stale), F.lit(False))) if stale else rows
     write_partitioned(others, path, partitions, gather)

@@ -22,6 +22,10 @@ from daymark.sources.partitions import is_absent
 LEAVES_PER_TASK = 32
 # A leaf with more rows than this is written by several tasks.
 ROWS_PER_TASK = 2_000_000
+# Leaves that make up more than this get tasks of their own: with four for each leaf, few hashes
+# fall together.
+ROWS_TO_SPREAD = 100_000
+TASKS_PER_LEAF = 4
 # Holds a marker file per stored capture; readers leave out what begins so.
 CLAIMS = "_captures"
 
@@ -59,14 +63,15 @@ def gather_leaves(
 ) -> DataFrame:
     """Bring the rows of a leaf partition together, so that it gets few files.
 
-    Many small leaves need many tasks, however few bytes they hold. A leaf too large
-    for one task is left to adaptive execution, which splits it by size.
+    Many small leaves need many tasks, however few bytes they hold, and so do leaves of many
+    rows. A leaf too large for one task is left to adaptive execution, which splits it by size.
     """
     columns = list(partitions)
     leaves = leaves or count_leaves(df, columns)
     if not leaves.number:
         return df
-    tasks = ceil(max(leaves.number / leaves_per_task, leaves.rows / rows_per_task))
+    apart = min(leaves.rows / ROWS_TO_SPREAD, TASKS_PER_LEAF * leaves.number)
+    tasks = ceil(max(leaves.number / leaves_per_task, leaves.rows / rows_per_task, apart))
     if leaves.largest <= rows_per_task:
         return df.repartition(tasks, *columns)
     large = (

@@ -203,6 +203,18 @@ def test_gathering_leaves(spark, tmp_path, rows_per_task):
     assert (hot > 3) == (rows_per_task == 500)
 
 
+def test_leaves_of_many_rows_have_tasks_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr("daymark.sinks.files.ROWS_TO_SPREAD", 100)
+    rows = spark.range(10_000).select(F.concat(F.lit("d"), F.col("id") % 10).alias("dt_ptcm"), "id")
+    gathered = sinks.gather_leaves(rows, ["dt_ptcm"])
+    assert gathered.rdd.getNumPartitions() == 40
+    places = gathered.select("dt_ptcm", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(places) == 10 and len({r.task for r in places}) > 5
+    assert bag(gathered) == bag(rows)
+    # Few rows stay together.
+    assert sinks.gather_leaves(rows.limit(100), ["dt_ptcm"]).rdd.getNumPartitions() == 1
+
+
 def test_gathering_nothing(spark):
     empty = spark.createDataFrame([], schemas.SUMMARY_SCHEMA)
     assert sinks.gather_leaves(empty, schemas.SUMMARY_PARTITIONS).count() == 0

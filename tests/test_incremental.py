@@ -101,3 +101,27 @@ def test_other_distances_and_the_command(spark, tmp_path, capsys):
     plans.store_backfill(spark, root, f"{tmp_path}/full", 1)
     assert results(spark, base) == results(spark, f"{tmp_path}/full")
     shutil.rmtree(f"{tmp_path}/full")
+
+
+def test_changed_dates_are_replaced_all_at_once(spark, tmp_path, monkeypatch):
+    """One by one only where a leaf has no rows any more."""
+    root, base = f"{tmp_path}/raw", f"{tmp_path}/base"
+    for dt in DATES:
+        land(root, dt)
+    plans.update_results(spark, root, base)
+    alone, refined = [], []
+    replace, write_all = incremental.replace_date, incremental.write_refined
+    monkeypatch.setattr(incremental, "replace_date", lambda *a: alone.append(a[2]) or replace(*a))
+    monkeypatch.setattr(incremental, "write_refined", lambda df, path: refined.append(path) or write_all(df, path))
+    for dt in DATES[:4]:
+        land(root, dt, "g", 7)
+    assert plans.update_results(spark, root, base)[:2] == (4, 5)
+    assert alone == [] and not [p for p in refined if "dt_ptcm=" in p]
+    assert results(spark, base) == rebuilt(spark, root, f"{tmp_path}/full1")
+    write(f"{root}/dt_ptcm={DATES[0]}/f.parquet", [("Z", "Zeta", "ON", "1", "1")])
+    write(f"{root}/dt_ptcm={DATES[0]}/g.parquet", [])
+    write(f"{root}/dt_ptcm={DATES[1]}/g.parquet", [])
+    refined.clear()
+    assert plans.update_results(spark, root, base)[0] == 2
+    assert alone == [DATES[0]]  # its other values of the second level are gone
+    assert results(spark, base) == rebuilt(spark, root, f"{tmp_path}/full2")
